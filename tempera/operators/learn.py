@@ -51,7 +51,7 @@ def genre_scores(interactions: DataFrame) -> DataFrame:
 
 def genre_scores_map(scores: DataFrame) -> DataFrame:
     """One row per mood with its genre to score map, the shape of a score snapshot."""
-    entries = F.array_sort(F.collect_list(F.struct("genre", "score")))
+    entries = F.sort_array(F.collect_list(F.struct("genre", "score")))
     return scores.groupBy("mood").agg(F.map_from_entries(entries).alias("genre_scores"))
 
 
@@ -94,5 +94,5 @@ def top_genres(scores: DataFrame, n: int) -> DataFrame:
         scores.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= n)
         .groupBy("mood")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "genre")))["genre"].alias("learned"))
+        .agg(F.sort_array(F.collect_list(F.struct("rank", "genre")))["genre"].alias("learned"))
     )

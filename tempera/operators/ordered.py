@@ -77,7 +77,7 @@ class Ordered:
             newest = W.partitionBy(*self.parts).orderBy(*[F.desc(c) for c in self.order])
             ends = df.withColumn("_age", F.row_number().over(newest)).filter(F.col("_age") < length)
             tails = ends.groupBy(*self.parts).agg(
-                F.array_sort(F.collect_list(F.struct((-F.col("_age")).alias("age"), "_value"))).alias("_tail")
+                F.sort_array(F.collect_list(F.struct((-F.col("_age")).alias("age"), "_value"))).alias("_tail")
             )
             # Every chunk has a row, so the last length - 1 rows lie in the last length - 1 chunks.
             before = W.partitionBy(self.key).orderBy(self.chunk).rowsBetween(1 - length, -1)

@@ -10,6 +10,9 @@ from tempera import dims
 from tempera.functions.tracks import watch_link
 from tempera.operators.lookup import Lookup
 
+SHUFFLE_PRIME = 2**31 - 1
+POOL_LIMIT = 64  # above the 25 + 15 + 15 tracks that a request can find
+
 
 def ranked_cells(tracks: DataFrame, limit: int = dims.PRIMARY_LIMIT) -> DataFrame:
     """One row per (language, genre) with its ``limit`` most relevant tracks, best first.
@@ -22,8 +25,9 @@ def ranked_cells(tracks: DataFrame, limit: int = dims.PRIMARY_LIMIT) -> DataFram
         tracks.filter("language is not null and genre is not null")
         .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= limit)
+        .withColumn("h", hash_bits(F.col("video_id")))
         .groupBy("language", "genre")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "video_id", "title", "artist"))).alias("tracks"))
+        .agg(F.sort_array(F.collect_list(F.struct("rank", "h", "video_id", "title", "artist"))).alias("tracks"))
     )
 
 
@@ -60,40 +64,51 @@ def fallback_stages(requests: DataFrame, cells: Lookup, wanted: int = dims.PLAYL
     return out.drop("_alt_2", "_alt_3")
 
 
+def hash_bits(text: Column, part: int = 0) -> Column:
+    """The ``part``-th 28 bits of the text's hash; MD5, so that other engines agree."""
+    return F.conv(F.substring(F.md5(text), 1 + 7 * part, 7), 16, 10).cast("bigint")
+
+
 def playlists(
     staged: DataFrame, request: str, seed: str, length: int = dims.PLAYLIST_LENGTH
 ) -> DataFrame:
     """Adds ``playlist``: the found tracks in a shuffled order, cut to ``length``.
 
-    The order is that of a hash over the seed, the request, the stage and the track, so a
-    replay or another engine gives the same playlist. Requests without a track are dropped.
+    A track's place is ``(a * h + b) mod P``: ``h`` is the track's own hash from the
+    catalogue, ``a`` and one ``b`` per stage come from one hash of seed and request. So a
+    replay or another engine gives the same playlist, at a multiplication per track. The
+    place and the track's index share one number, and only numbers are sorted.
+    Requests without a track are dropped.
     """
+    identity = F.concat_ws("|", F.lit(seed), F.col(request))
+    drawn = staged.filter(F.size("stage_1") + F.size("stage_2") + F.size("stage_3") > 0).withColumn(
+        "_draw", F.array(hash_bits(identity, 0) + 1, *[hash_bits(identity, part) for part in (1, 2, 3)])
+    )
 
-    def keyed(stage: int) -> Column:
-        return F.transform(
-            f"stage_{stage}",
-            lambda t: F.struct(
-                F.md5(F.concat_ws("|", F.lit(seed), F.col(request), F.lit(str(stage)), t["video_id"])).alias("h"),
-                F.lit(stage).alias("stage"),
-                t["video_id"].alias("video_id"),
-                t["title"].alias("title"),
-                t["artist"].alias("artist"),
-            ),
-        )
+    def places(stage: int) -> Column:
+        scale, shift = F.col("_draw")[0], F.col("_draw")[stage]
+        return F.transform(f"stage_{stage}.h", lambda h: F.pmod(scale * h + shift, F.lit(SHUFFLE_PRIME)))
 
-    mixed = F.slice(F.array_sort(F.concat(keyed(1), keyed(2), keyed(3))), 1, length)
-    found = F.size("stage_1") + F.size("stage_2") + F.size("stage_3")
-    tracks = F.transform(
-        mixed,
-        lambda t: F.struct(
-            t["stage"].alias("stage"),
+    pool = drawn.withColumn("_places", F.concat(places(1), places(2), places(3))).withColumn(
+        "_pool", F.concat("stage_1", "stage_2", "stage_3")
+    )
+    numbered = F.transform("_places", lambda place, i: place * POOL_LIMIT + i)
+    picked = pool.withColumn("_picked", F.slice(F.sort_array(numbered), 1, length))
+    first, second = F.size("stage_1"), F.size("stage_1") + F.size("stage_2")
+
+    def track(number: Column) -> Column:
+        at = (number % POOL_LIMIT).cast("int")
+        t = F.get("_pool", at)
+        return F.struct(
+            F.when(at < first, 1).when(at < second, 2).otherwise(3).alias("stage"),
             t["video_id"].alias("video_id"),
             t["title"].alias("title"),
             t["artist"].alias("artist"),
             watch_link(t["video_id"]).alias("youtube_url"),
-        ),
-    )
-    return staged.filter(found > 0).withColumn("playlist", tracks).drop("stage_1", "stage_2", "stage_3")
+        )
+
+    out = picked.withColumn("playlist", F.transform("_picked", track))
+    return out.drop("stage_1", "stage_2", "stage_3", "_draw", "_places", "_pool", "_picked")
 
 
 def _or_none(name: str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tempera import dims
+from tempera.operators.retrieve import SHUFFLE_PRIME
 from tempera.plans.queries import AS_OF, LEARNED_AT_FIRST, THROTTLE_GAP_SECONDS
 from tempera.plans.serve import SEED
 from tempera.sources.views import EMOTION_ORDER, MOOD_OF_EVENT
@@ -23,6 +24,11 @@ def _case(column: str, mapping: dict, default: str = "NULL") -> str:
     return f"CASE {column} {arms} ELSE {default} END"
 
 
+def _bits(text: str, part: int) -> str:
+    return f"CAST('0x' || substr(md5({text}), {1 + 7 * part}, 7) AS BIGINT)"
+
+
+IDENTITY = f"concat_ws('|', '{SEED}', event_id)"
 GENRES, CODES, NAMES = _list(dims.GENRES), _list(list(dims.LANGUAGES.values())), _list(list(dims.LANGUAGES))
 
 # Common table expressions in order of use; a query takes all of them, unused ones cost nothing.
@@ -73,8 +79,10 @@ CTES = {
           ON t.language = s.language AND t.genre = s.recommended[2] AND t.rank <= s.n_2
         UNION ALL SELECT s.event_id, 3, t.* FROM staged s JOIN ranked t
           ON t.language = s.language AND t.genre = s.recommended[3] AND t.rank <= s.n_3""",
-    "mixed_up": f"""SELECT *, row_number() OVER (PARTITION BY event_id
-        ORDER BY md5(concat_ws('|', '{SEED}', event_id, stage, video_id))) AS position FROM pool""",
+    "mixed_up": f"""SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY
+        (({_bits(IDENTITY, 0)} + 1) * {_bits("video_id", 0)} + CASE stage WHEN 1 THEN {_bits(IDENTITY, 1)}
+          WHEN 2 THEN {_bits(IDENTITY, 2)} ELSE {_bits(IDENTITY, 3)} END) % {SHUFFLE_PRIME}, stage, rank) AS position
+        FROM pool""",
     "chosen": f"SELECT * FROM mixed_up WHERE position <= {dims.PLAYLIST_LENGTH}",
     "lists": """SELECT event_id, count(*) AS n_tracks,
         string_agg(video_id, '|' ORDER BY position) AS video_ids,

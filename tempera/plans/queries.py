@@ -15,7 +15,7 @@ from tempera.functions.tracks import embed_link, search_link, search_phrase, sea
 from tempera.operators import learn, parse, publish, recommend, retrieve, sequence, session
 from tempera.operators import tracks as track_ops
 from tempera.plans.serve import SEED, serve, staged_requests
-from tempera.session import shared_folder
+from tempera.session import materialise, shared_folder
 from tempera.sources import log, views
 
 THROTTLE_GAP_SECONDS = 12 * 3600.0
@@ -55,8 +55,9 @@ def served(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve(requests(spark, sf_dir), learned, cells, "event_id")
 
 
-def playlist_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return served(spark, sf_dir).select("event_id", "ts", publish.playlist_payload().alias("value"))
+def playlist_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Playlist messages, written and read back as a consumer gets them."""
+    return materialise(served(spark, sf_dir).select("event_id", publish.playlist_payload().alias("value")))
 
 
 # --- parsing and learning -----------------------------------------------------------------
@@ -149,7 +150,7 @@ def playlist_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def playlist_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = publish.parse_playlists(playlist_messages(spark, sf_dir))
+    messages = publish.parse_playlists(playlist_topic(spark, sf_dir))
     return messages.select(
         "event_id",
         "user_id",
@@ -240,7 +241,7 @@ def latest_playlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 def user_playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages kept by the active users: those who reset their session at some time."""
     received = publish.received_playlists(
-        publish.parse_playlists(playlist_messages(spark, sf_dir).drop("ts")),
+        publish.parse_playlists(playlist_topic(spark, sf_dir)),
         F.lit(dims.DEFAULT_LANGUAGE_NAME),
         F.lit(dims.ANY_GENRE),
     )

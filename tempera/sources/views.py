@@ -140,7 +140,7 @@ def shown_playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         track_links(spark, sf_dir)
         .groupBy(F.floor(key / 4).alias("playlist_id"))
-        .agg(F.array_sort(F.collect_list(track)).alias("playlist"))
+        .agg(F.sort_array(F.collect_list(track)).alias("playlist"))
     )
 
 
