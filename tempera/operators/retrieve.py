@@ -25,9 +25,8 @@ def ranked_cells(tracks: DataFrame, limit: int = dims.PRIMARY_LIMIT) -> DataFram
         tracks.filter("language is not null and genre is not null")
         .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= limit)
-        .withColumn("h", hash_bits(F.col("video_id")))
         .groupBy("language", "genre")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "h", "video_id", "title", "artist"))).alias("tracks"))
+        .agg(F.sort_array(F.collect_list(F.struct("rank", "video_id", "title", "artist"))).alias("tracks"))
     )
 
 
@@ -69,46 +68,48 @@ def hash_bits(text: Column, part: int = 0) -> Column:
     return F.conv(F.substring(F.md5(text), 1 + 7 * part, 7), 16, 10).cast("bigint")
 
 
-def playlists(
-    staged: DataFrame, request: str, seed: str, length: int = dims.PLAYLIST_LENGTH
-) -> DataFrame:
-    """Adds ``playlist``: the found tracks in a shuffled order, cut to ``length``.
+def track_pools(staged: DataFrame) -> DataFrame:
+    """Adds ``pool``, the tracks of all stages, each with a hash ``h`` of stage and track.
 
-    A track's place is ``(a * h + b) mod P``: ``h`` is the track's own hash from the
-    catalogue, ``a`` and one ``b`` per stage come from one hash of seed and request. So a
-    replay or another engine gives the same playlist, at a multiplication per track. The
-    place and the track's index share one number, and only numbers are sorted.
-    Requests without a track are dropped.
+    Rows without any track are dropped.
     """
-    identity = F.concat_ws("|", F.lit(seed), F.col(request))
-    drawn = staged.filter(F.size("stage_1") + F.size("stage_2") + F.size("stage_3") > 0).withColumn(
-        "_draw", F.array(hash_bits(identity, 0) + 1, *[hash_bits(identity, part) for part in (1, 2, 3)])
-    )
-
-    def places(stage: int) -> Column:
-        scale, shift = F.col("_draw")[0], F.col("_draw")[stage]
-        return F.transform(f"stage_{stage}.h", lambda h: F.pmod(scale * h + shift, F.lit(SHUFFLE_PRIME)))
 
-    pool = drawn.withColumn("_places", F.concat(places(1), places(2), places(3))).withColumn(
-        "_pool", F.concat("stage_1", "stage_2", "stage_3")
-    )
-    numbered = F.transform("_places", lambda place, i: place * POOL_LIMIT + i)
-    picked = pool.withColumn("_picked", F.slice(F.sort_array(numbered), 1, length))
-    first, second = F.size("stage_1"), F.size("stage_1") + F.size("stage_2")
-
-    def track(number: Column) -> Column:
-        at = (number % POOL_LIMIT).cast("int")
-        t = F.get("_pool", at)
-        return F.struct(
-            F.when(at < first, 1).when(at < second, 2).otherwise(3).alias("stage"),
-            t["video_id"].alias("video_id"),
-            t["title"].alias("title"),
-            t["artist"].alias("artist"),
-            watch_link(t["video_id"]).alias("youtube_url"),
+    def stage_tracks(stage: int) -> Column:
+        return F.transform(
+            f"stage_{stage}",
+            lambda t: F.struct(
+                F.lit(stage).alias("stage"),
+                t["video_id"].alias("video_id"),
+                t["title"].alias("title"),
+                t["artist"].alias("artist"),
+                watch_link(t["video_id"]).alias("youtube_url"),
+                hash_bits(F.concat_ws("|", F.lit(str(stage)), t["video_id"])).alias("h"),
+            ),
         )
 
-    out = picked.withColumn("playlist", F.transform("_picked", track))
-    return out.drop("stage_1", "stage_2", "stage_3", "_draw", "_places", "_pool", "_picked")
+    found = staged.filter(F.size("stage_1") + F.size("stage_2") + F.size("stage_3") > 0)
+    pool = F.concat(stage_tracks(1), stage_tracks(2), stage_tracks(3))
+    return found.withColumn("pool", pool).drop("stage_1", "stage_2", "stage_3")
+
+
+def playlists(pooled: DataFrame, request: str, seed: str, length: int = dims.PLAYLIST_LENGTH) -> DataFrame:
+    """Adds ``playlist``: the pool in a shuffled order, cut to ``length``.
+
+    A track's place is ``(a * h + b) mod P``, with ``a`` and ``b`` from a hash of the seed and
+    the request. So a replay or another engine gives the same playlist, at one
+    multiplication per track. The place and the track's index share one number, and only
+    numbers are sorted.
+    """
+    identity = F.concat_ws("|", F.lit(seed), F.col(request))
+    # Kept in an array of its own: inside the lambda it would be hashed for every track.
+    drawn = pooled.withColumn("_draw", F.array(hash_bits(identity, 0) + 1, hash_bits(identity, 1)))
+    numbers = F.transform(
+        "pool.h",
+        lambda h, i: F.pmod(F.col("_draw")[0] * h + F.col("_draw")[1], F.lit(SHUFFLE_PRIME)) * POOL_LIMIT + i,
+    )
+    picked = F.slice(F.sort_array(numbers), 1, length)
+    chosen = F.transform(picked, lambda n: F.get("pool", (n % POOL_LIMIT).cast("int")))
+    return drawn.withColumn("playlist", chosen).drop("_draw", "pool")
 
 
 def _or_none(name: str) -> Column:

@@ -80,9 +80,8 @@ CTES = {
         UNION ALL SELECT s.event_id, 3, t.* FROM staged s JOIN ranked t
           ON t.language = s.language AND t.genre = s.recommended[3] AND t.rank <= s.n_3""",
     "mixed_up": f"""SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY
-        (({_bits(IDENTITY, 0)} + 1) * {_bits("video_id", 0)} + CASE stage WHEN 1 THEN {_bits(IDENTITY, 1)}
-          WHEN 2 THEN {_bits(IDENTITY, 2)} ELSE {_bits(IDENTITY, 3)} END) % {SHUFFLE_PRIME}, stage, rank) AS position
-        FROM pool""",
+        (({_bits(IDENTITY, 0)} + 1) * {_bits("concat_ws('|', stage, video_id)", 0)} + {_bits(IDENTITY, 1)})
+          % {SHUFFLE_PRIME}, stage, rank) AS position FROM pool""",
     "chosen": f"SELECT * FROM mixed_up WHERE position <= {dims.PLAYLIST_LENGTH}",
     "lists": """SELECT event_id, count(*) AS n_tracks,
         string_agg(video_id, '|' ORDER BY position) AS video_ids,

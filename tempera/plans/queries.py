@@ -145,7 +145,9 @@ def fallback_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def playlist_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = served(spark, sf_dir).select("event_id", F.posexplode("playlist").alias("at", "t"))
+    # A playlist is never empty, so the outer form gives the same rows; the inner one would
+    # first filter on the array's size and compute every playlist twice for it.
+    rows = served(spark, sf_dir).select("event_id", F.posexplode_outer("playlist").alias("at", "t"))
     return rows.select("event_id", (F.col("at") + 1).alias("position"), "t.stage", "t.video_id")
 
 
@@ -228,7 +230,8 @@ def mood_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_playlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = session.latest_playlist(served(spark, sf_dir).select("user_id", "ts", "event_id", "mood", "playlist"))
+    lists = served(spark, sf_dir).select("user_id", "ts", "event_id", "mood", "playlist")
+    newest = session.latest_playlist(materialise(lists))
     return newest.select(
         "user_id",
         "event_id",
@@ -257,7 +260,7 @@ def _session_stats(spark: SparkSession, sf_dir: str, resets: DataFrame | None) -
     lists = served(spark, sf_dir).select("user_id", "ts", "event_id", F.size("playlist").alias("n_tracks"))
     as_of = F.lit(AS_OF).cast("timestamp_ntz")
     sends = sequence.debounce(mixed, manual="manual")
-    return session.session_stats(mixed.filter("not manual"), sends, lists, as_of, resets)
+    return session.session_stats(mixed.filter("not manual"), sends, materialise(lists), as_of, resets)
 
 
 def session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

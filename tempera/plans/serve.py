@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 
 from tempera.operators.lookup import Lookup
 from tempera.operators.recommend import choose_primary, recommend_genres
-from tempera.operators.retrieve import fallback_stages, playlists
+from tempera.operators.retrieve import fallback_stages, playlists, track_pools
 
 SEED = "7"
+WISH = ["mood", "language", "genre"]
 
 
 def staged_requests(requests: DataFrame, learned: Lookup, cells: Lookup) -> DataFrame:
@@ -16,9 +17,24 @@ def staged_requests(requests: DataFrame, learned: Lookup, cells: Lookup) -> Data
     return fallback_stages(choose_primary(recommend_genres(requests, learned)), cells)
 
 
+def answer_wishes(requests: DataFrame, learned: Lookup, cells: Lookup) -> Lookup:
+    """The track pool of every distinct (mood, language, genre) that is asked for.
+
+    Genres, searches and the stage rule depend on nothing else, so they run once per wish
+    and not once per request.
+    """
+    wishes = requests.select(*WISH).distinct()
+    pools = track_pools(staged_requests(wishes, learned, cells))
+    return Lookup(pools.select(*WISH, "recommended", "primary_genre", "pool"))
+
+
 def serve(requests: DataFrame, learned: Lookup, cells: Lookup, request: str, seed: str = SEED) -> DataFrame:
-    """Served requests with their playlist. ``request`` names the column that identifies a request.
+    """Requests for which some track was found, with their playlist.
 
-    Three lookups per request and no shuffle of the requests while the lookups are small.
+    ``request`` names the column that identifies a request. A request needs one lookup and
+    its own shuffle of the pool; the requests themselves are not shuffled while the table
+    of wishes is small.
     """
-    return playlists(staged_requests(requests, learned, cells), request, seed)
+    pools = answer_wishes(requests, learned, cells)
+    taken = {c: c for c in ("recommended", "primary_genre", "pool")}
+    return playlists(pools.join(requests, {w: w for w in WISH}, taken, how="inner"), request, seed)
