@@ -33,15 +33,17 @@ def scores_from_parts(parts: DataFrame) -> DataFrame:
     """Average confidence times number of interactions.
 
     The average skips NULL while the count does not, so this is not simply the sum.
-    Rounded, so that the order of a distributed sum cannot change a rank.
+    Rounded, so that the order of a distributed sum cannot change a rank; first to more
+    places, so that it cannot tip a half either.
     """
     average = F.col("confidence_sum") / F.nullif(F.col("confidence_count"), F.lit(0))
+    score = average * F.col("interaction_count")
     return parts.select(
         "mood",
         "genre",
-        F.round(average, PLACES).alias("avg_confidence"),
+        F.round(F.round(average, 2 * PLACES), PLACES).alias("avg_confidence"),
         "interaction_count",
-        F.round(average * F.col("interaction_count"), PLACES).alias("score"),
+        F.round(F.round(score, 2 * PLACES), PLACES).alias("score"),
     )
 
 

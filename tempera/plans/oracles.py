@@ -47,8 +47,8 @@ CTES = {
     "req": """SELECT * REPLACE (CASE WHEN genre = '' THEN 'Any Genre' ELSE genre END AS genre)
               FROM actions WHERE action = 'mood_update'""",
     "log": "SELECT mood, genre, confidence, language, ts AS action_time FROM req WHERE genre <> 'Any Genre'",
-    "scores": """SELECT mood, genre, round(avg(confidence), 4) AS avg_confidence,
-                 count(*) AS interaction_count, round(avg(confidence) * count(*), 4) AS score
+    "scores": """SELECT mood, genre, round(round(avg(confidence), 8), 4) AS avg_confidence,
+                 count(*) AS interaction_count, round(round(avg(confidence) * count(*), 8), 4) AS score
                  FROM log GROUP BY mood, genre""",
     "learned": f"""SELECT mood, list(genre ORDER BY score DESC, genre)[1:{dims.TOP_GENRES}] AS learned
                    FROM scores GROUP BY mood""",

@@ -21,13 +21,15 @@ def kafka_options(servers: str, topic: str) -> dict[str, str]:
     }
 
 
-def read_messages(spark: SparkSession, source: str, path: str | None = None, **options: str) -> DataFrame:
-    """Stream of messages. File sources hold the message in a string column ``value``."""
+def read_messages(
+    spark: SparkSession, source: str, path: str | None = None, columns: str = "value string", **options: str
+) -> DataFrame:
+    """Stream of messages. A file source has a column ``value`` and may have more beside it."""
     reader = spark.readStream.format(source).options(**options)
-    if source not in ("kafka", "text"):
-        reader = reader.schema("value string")
+    if source != "kafka":
+        reader = reader.schema(columns)
     stream = reader.load(path) if path else reader.load()
-    return stream.selectExpr("cast(value as string) as value")
+    return stream.withColumn("value", stream["value"].cast("string"))
 
 
 def write_messages(messages: DataFrame, sink: str, path: str | None = None, **options: str) -> None:
