@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tempera.session import materialise
 
@@ -54,9 +55,12 @@ class Lookup:
         counts = df.groupBy(*mine).agg(F.count("*").alias("_n")).filter(F.col("_n") * SALTS > total)
         hot = materialise(counts.select(*[F.col(m).alias(f"_hot_{i}") for i, m in enumerate(mine)]))
         hot = F.broadcast(hot.withColumn("_is_hot", F.lit(True)))
+        # The salt follows from the row itself, so a task that runs again puts it in the same
+        # bucket. Rows that are copies in all columns share one; AQE's skew join splits those.
+        hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
         left = df.join(hot, [df[m] == hot[f"_hot_{i}"] for i, m in enumerate(mine)], "left").withColumn(
             "_salt",
-            F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")).otherwise(0),
+            F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*hashed), F.lit(SALTS)).cast("int")).otherwise(0),
         )
         left = left.select(*df.columns, "_salt")
         copies = F.when(F.col("_is_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
