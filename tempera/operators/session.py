@@ -16,7 +16,10 @@ def own_playlists(playlists: DataFrame, active_users: DataFrame) -> DataFrame:
 
 
 def latest_playlist(playlists: DataFrame, order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
-    """The newest row of each user. Partial maxima leave one row per user and task to shuffle."""
+    """The newest row of each user. Partial maxima leave one row per user and task to shuffle.
+
+    A maximum of structs sorts its input; pass narrow rows, without the tracks where possible.
+    """
     rest = [c for c in playlists.columns if c != "user_id"]
     newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_newest")
     return playlists.groupBy("user_id").agg(newest).select("user_id", "_newest.*")

@@ -14,7 +14,8 @@ from tempera import dims
 from tempera.functions.tracks import embed_link, search_link, search_phrase, search_request, video_id
 from tempera.operators import learn, parse, publish, recommend, retrieve, sequence, session
 from tempera.operators import tracks as track_ops
-from tempera.plans.serve import SEED, serve, staged_requests
+from tempera.operators.lookup import Lookup
+from tempera.plans.serve import SEED, WISH, answer_wishes, grant, once_per_wish, serve, staged_requests
 from tempera.session import materialise, shared_folder
 from tempera.sources import log, views
 
@@ -43,16 +44,18 @@ def recommended(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.choose_primary(recommend.recommend_genres(requests(spark, sf_dir), learned))
 
 
-def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def searches(spark: SparkSession, sf_dir: str) -> tuple[Lookup, Lookup]:
+    """Learned genres and the ranked catalogue."""
     learned = recommend.learned_genres(scores(spark, sf_dir))
-    cells = retrieve.catalogue(views.tracks(spark, sf_dir))
-    return staged_requests(requests(spark, sf_dir), learned, cells)
+    return learned, retrieve.catalogue(views.tracks(spark, sf_dir))
+
+
+def pools(spark: SparkSession, sf_dir: str) -> Lookup:
+    return answer_wishes(requests(spark, sf_dir), *searches(spark, sf_dir))
 
 
 def served(spark: SparkSession, sf_dir: str) -> DataFrame:
-    learned = recommend.learned_genres(scores(spark, sf_dir))
-    cells = retrieve.catalogue(views.tracks(spark, sf_dir))
-    return serve(requests(spark, sf_dir), learned, cells, "event_id")
+    return serve(requests(spark, sf_dir), pools(spark, sf_dir), "event_id")
 
 
 def playlist_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,25 +126,32 @@ def search_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = retrieve.catalogue(views.tracks(spark, sf_dir))
-    found = retrieve.catalogue_candidates(recommended(spark, sf_dir), cells)
-    return found.select(
-        "event_id",
-        "language",
-        "primary_genre",
-        F.size("candidates").alias("n_candidates"),
-        F.array_join("candidates.video_id", "|").alias("video_ids"),
-    )
+    learned, cells = searches(spark, sf_dir)
+
+    def answer(wishes: DataFrame) -> DataFrame:
+        primary = recommend.choose_primary(recommend.recommend_genres(wishes, learned))
+        return retrieve.catalogue_candidates(primary, cells).select(
+            *WISH,
+            "primary_genre",
+            F.size("candidates").alias("n_candidates"),
+            F.array_join("candidates.video_id", "|").alias("video_ids"),
+        )
+
+    asked = requests(spark, sf_dir)
+    columns = ("primary_genre", "n_candidates", "video_ids")
+    return grant(asked, once_per_wish(asked, answer), *columns).select("event_id", "language", *columns)
 
 
 def fallback_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged(spark, sf_dir).select(
-        "event_id",
-        "primary_genre",
-        F.size("stage_1").alias("n_1"),
-        F.size("stage_2").alias("n_2"),
-        F.size("stage_3").alias("n_3"),
-    )
+    learned, cells = searches(spark, sf_dir)
+
+    def answer(wishes: DataFrame) -> DataFrame:
+        sizes = [F.size(f"stage_{k}").alias(f"n_{k}") for k in (1, 2, 3)]
+        return staged_requests(wishes, learned, cells).select(*WISH, "primary_genre", *sizes)
+
+    asked = requests(spark, sf_dir)
+    columns = ("primary_genre", "n_1", "n_2", "n_3")
+    return grant(asked, once_per_wish(asked, answer), *columns).select("event_id", *columns)
 
 
 def playlist_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,9 +240,11 @@ def mood_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_playlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = served(spark, sf_dir).select("user_id", "ts", "event_id", "mood", "playlist")
-    newest = session.latest_playlist(materialise(lists))
-    return newest.select(
+    """The newest request with tracks is found first, so only one playlist per user is made."""
+    answers = pools(spark, sf_dir)
+    asked = requests(spark, sf_dir).select("user_id", "ts", "event_id", *WISH)
+    newest = session.latest_playlist(grant(asked, answers, how="left_semi"))
+    return serve(newest, answers, "event_id").select(
         "user_id",
         "event_id",
         "mood",
@@ -257,10 +269,10 @@ def user_playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _session_stats(spark: SparkSession, sf_dir: str, resets: DataFrame | None) -> DataFrame:
     mixed = views.readings_mixed(spark, sf_dir)
-    lists = served(spark, sf_dir).select("user_id", "ts", "event_id", F.size("playlist").alias("n_tracks"))
+    lists = grant(requests(spark, sf_dir), pools(spark, sf_dir), "n_tracks")
     as_of = F.lit(AS_OF).cast("timestamp_ntz")
     sends = sequence.debounce(mixed, manual="manual")
-    return session.session_stats(mixed.filter("not manual"), sends, materialise(lists), as_of, resets)
+    return session.session_stats(mixed.filter("not manual"), sends, lists, as_of, resets)
 
 
 def session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from tempera.operators.lookup import Lookup
 from tempera.operators.parse import clean_requests, parse_actions, rejected_actions
 from tempera.operators.publish import interactions, playlist_payload
 from tempera.operators.recommend import learned_genres
-from tempera.plans.serve import SEED, serve
+from tempera.plans.serve import SEED, answer_wishes, serve
 from tempera.sources.log import LOG_SCHEMA, PARTS_SCHEMA, read_batch, read_batches, write_batch
 
 PLAYLIST_SCHEMA = f"request string, user_id string, value string, primary_genre string, {LOG_SCHEMA}"
@@ -52,7 +52,7 @@ class Service:
         actions = parse_actions(batch, integer_confidence=self.integer_confidence)
         requests = clean_requests(actions).withColumn("request", F.concat_ws("|", "user_id", "action_time", "mood"))
         learned = learned_genres(scores_from_parts(before))
-        served = serve(requests, learned, self.cells, "request", self.seed)
+        served = serve(requests, answer_wishes(requests, learned, self.cells), "request", self.seed)
         rows = served.select(
             "request",
             "user_id",

@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 from tempera import dims
 from tempera.operators import learn, publish, recommend, retrieve, session
-from tempera.plans.serve import serve, staged_requests
+from tempera.plans import serve as plan
+from tempera.plans.serve import staged_requests
 from tempera.session import shared_folder
 from tempera.sources import log
 
 LOG = "mood string, genre string, confidence double, language string"
 
 
+def serve(requests, learned, cells, request, **options):
+    return plan.serve(requests, plan.answer_wishes(requests, learned, cells), request, **options)
+
+
 def interactions(spark, rows):
     return spark.createDataFrame([(m, g, c, "en") for m, g, c in rows], LOG)
 

@@ -6,11 +6,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 from test_ordered import by_user, frame, kept_ids, readings, sent_ids
-from test_serve import shop
+from test_serve import serve, shop
 
 from tempera.operators import learn, parse, recommend
 from tempera.operators.publish import parse_playlists
-from tempera.plans.serve import serve
 from tempera.session import shared_folder
 from tempera.sources import log
 from tempera.sources.topics import kafka_options, read_messages, write_messages
