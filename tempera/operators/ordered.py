@@ -20,20 +20,25 @@ from tempera.session import materialise
 
 MAX_ROWS = 5_000_000
 MAX_HOT_KEYS = 100_000
+PARTS = ["_hot", "_chunk"]
 
 
 @dataclass(frozen=True)
 class Ordered:
-    """Rows with a key, a total order inside the key, and chunks if the keys are split."""
+    """Rows with a key and a total order inside the key.
+
+    If ``split``, the rows have the number of their key in ``_hot`` and of its chunk in
+    ``_chunk``, and are partitioned and sorted by both: no step moves or sorts them again.
+    """
 
     df: DataFrame
     key: str
     order: tuple[str, ...]
-    chunk: str | None = None
+    split: bool = False
 
     @property
     def parts(self) -> list[str]:
-        return [self.key] + ([self.chunk] if self.chunk else [])
+        return PARTS if self.split else [self.key]
 
     @property
     def window(self) -> WindowSpec:
@@ -50,9 +55,9 @@ class Ordered:
         df = self.df.withColumn("_value", value)
         frame = self.window.rowsBetween(W.unboundedPreceding, 0 if current else -1)
         out = df.withColumn(name, F.last("_value", ignorenulls=True).over(frame))
-        if self.chunk:
+        if self.split:
             position = F.when(F.col("_value").isNotNull(), F.struct(*self.order))
-            before = W.partitionBy(self.key).orderBy(self.chunk).rowsBetween(W.unboundedPreceding, -1)
+            before = W.partitionBy("_hot").orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
             tails = df.groupBy(*self.parts).agg(F.max_by("_value", position).alias("_tail"))
             carry = tails.withColumn("_carry", F.last("_tail", ignorenulls=True).over(before)).drop("_tail")
             out = self.carried(out, carry).withColumn(name, F.coalesce(name, "_carry")).drop("_carry")
@@ -62,8 +67,8 @@ class Ordered:
         """Rows up to and including this one for which ``flag`` holds."""
         df = self.df.withColumn("_one", F.when(flag, 1).otherwise(0))
         out = df.withColumn(name, F.sum("_one").over(self.window.rowsBetween(W.unboundedPreceding, 0)))
-        if self.chunk:
-            before = W.partitionBy(self.key).orderBy(self.chunk).rowsBetween(W.unboundedPreceding, -1)
+        if self.split:
+            before = W.partitionBy("_hot").orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
             sums = df.groupBy(*self.parts).agg(F.sum("_one").alias("_sum"))
             carry = sums.withColumn("_carry", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
             out = self.carried(out, carry).withColumn(name, F.col(name) + F.col("_carry")).drop("_carry")
@@ -73,14 +78,14 @@ class Ordered:
         """The last ``length`` values up to this row, oldest first."""
         df = self.df.withColumn("_value", value)
         out = df.withColumn(name, F.collect_list("_value").over(self.window.rowsBetween(1 - length, 0)))
-        if self.chunk:
+        if self.split:
             newest = W.partitionBy(*self.parts).orderBy(*[F.desc(c) for c in self.order])
             ends = df.withColumn("_age", F.row_number().over(newest)).filter(F.col("_age") < length)
             tails = ends.groupBy(*self.parts).agg(
                 F.sort_array(F.collect_list(F.struct((-F.col("_age")).alias("age"), "_value"))).alias("_tail")
             )
             # Every chunk has a row, so the last length - 1 rows lie in the last length - 1 chunks.
-            before = W.partitionBy(self.key).orderBy(self.chunk).rowsBetween(1 - length, -1)
+            before = W.partitionBy("_hot").orderBy("_chunk").rowsBetween(1 - length, -1)
             carry = tails.withColumn("_carry", F.flatten(F.collect_list("_tail").over(before))["_value"])
             out = self.carried(out, carry.drop("_tail"))
             joined = F.concat(F.coalesce("_carry", F.array()), F.col(name))
@@ -90,11 +95,10 @@ class Ordered:
         return replace(self, df=out.drop("_value"))
 
     def carried(self, out: DataFrame, carry: DataFrame) -> DataFrame:
-        # Both sides are partitioned by (key, chunk), so the rows themselves do not move again.
-        # AQE may broadcast the carry, which has one row per chunk, once it knows its size.
-        other = carry.select(*[F.col(p).alias(f"_{p}") for p in self.parts], "_carry")
-        same = [out[p].eqNullSafe(other[f"_{p}"]) for p in self.parts]
-        return out.join(other, same, "left").drop(*[f"_{p}" for p in self.parts])
+        # Bounded: split() makes at most MAX_HOT_KEYS chunks, and a chunk and a key meet in at
+        # most MAX_HOT_KEYS rows more. A broadcast keeps the order of the rows for the next step.
+        other = F.broadcast(carry.select(*[F.col(p).alias(f"_{p}") for p in PARTS], "_carry"))
+        return out.join(other, [out[p] == other[f"_{p}"] for p in PARTS], "left").drop(*[f"_{p}" for p in PARTS])
 
 
 def split(df: DataFrame, key: str, order: tuple[str, ...], max_rows: int = MAX_ROWS) -> list[Ordered]:
@@ -107,23 +111,27 @@ def split(df: DataFrame, key: str, order: tuple[str, ...], max_rows: int = MAX_R
     total = df.count()
     if total <= max_rows:
         return [plain]
-    # At most MAX_HOT_KEYS keys can pass this limit, which bounds the broadcast below.
+    # At most MAX_HOT_KEYS keys can pass this limit, and their rows fill at most as many chunks.
+    # This bounds what is broadcast, here and in carried().
     limit = max(max_rows, total // MAX_HOT_KEYS)
     counts = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
-    hot = materialise(counts.select(F.col(key).alias("_hot"), "_n"))
+    hot = materialise(counts.select(F.col(key).alias("_key"), "_n").withColumn("_hot", F.monotonically_increasing_id()))
     keys, rows = hot.agg(F.count("*"), F.sum("_n")).first()
     if not keys:
         return [plain]
-    listed = F.broadcast(hot.select("_hot"))
-    cold = df.join(listed, df[key].eqNullSafe(listed["_hot"]), "left_anti")
+    listed = F.broadcast(hot.drop("_n"))
+    same = df[key].eqNullSafe(listed["_key"])
+    cold = df.join(listed, same, "left_anti")
     chunks = -(-rows // limit) + 1
     pieces = (
-        df.join(listed, df[key].eqNullSafe(listed["_hot"]), "left_semi")
-        .repartitionByRange(chunks, key, *order)
+        df.join(listed, same)
+        .drop("_key")
+        .repartitionByRange(chunks, "_hot", *order)
         .withColumn("_chunk", F.spark_partition_id())
     )
     # Written once: the cut points come from a sample, and every pass must see the same ones.
-    return [Ordered(cold, key, order), Ordered(materialise(pieces), key, order, "_chunk")]
+    placed = materialise(pieces).repartition(*PARTS).sortWithinPartitions(*PARTS, *order)
+    return [Ordered(cold, key, order), Ordered(placed, key, order, True)]
 
 
 def over_sequence(
@@ -134,7 +142,7 @@ def over_sequence(
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Apply ``steps`` to the rows of every key in order, whatever the size of a key."""
-    done = [steps(part).df.drop("_chunk") for part in split(df, key, order, max_rows)]
+    done = [steps(part).df.drop(*PARTS) for part in split(df, key, order, max_rows)]
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)

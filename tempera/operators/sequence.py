@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tempera import dims
 from tempera.functions.clock import micros
-from tempera.operators.ordered import MAX_ROWS, Ordered, over_sequence, split
+from tempera.operators.ordered import MAX_ROWS, PARTS, Ordered, over_sequence, split
 
 # --- one reading --------------------------------------------------------------------------
 
@@ -60,7 +60,7 @@ def throttle(
     out = None
     for part in split(timed, key, ("_at", order_id), max_rows):
         df = part.df
-        if part.chunk:
+        if part.split:
             df = part.carried(df, _entries(part, gap)).withColumnRenamed("_carry", "_entry")
         else:
             df = df.withColumn("_entry", F.lit(None).cast("long"))
@@ -71,25 +71,42 @@ def throttle(
 
 
 def _keep(gap: int):
-    """Filter of sorted batches; ``_first`` marks a new fold, which starts from ``_entry``."""
+    """Filter of sorted batches; ``_first`` marks a new fold, which starts from ``_entry``.
+
+    A reading at least one gap after the reading before it is kept whatever came earlier.
+    Such readings are found at once; only the closer ones between them are followed.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         due = None  # earliest time the next reading may be kept; None keeps any
         for batch in batches:
+            if not batch.num_rows:
+                continue
             times = batch.column("_at").to_numpy(zero_copy_only=False)
-            starts = np.flatnonzero(batch.column("_first").to_numpy(zero_copy_only=False))
+            first = batch.column("_first").to_numpy(zero_copy_only=False)
+            known = batch.column("_entry").is_valid().to_numpy(zero_copy_only=False)
+            entry = batch.column("_entry").fill_null(0).to_numpy(zero_copy_only=False)
+            apart = np.append(True, np.diff(times) >= gap) | first
+            begin = np.flatnonzero(apart)
+            end = np.append(begin[1:], len(times))
+            free = ~(first[begin] & known[begin])
+            if not first[0]:
+                free[0] = due is None
             kept = np.zeros(len(times), dtype=bool)
-            cuts = [0, *starts.tolist(), len(times)]
-            for n, (begin, end) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                if n:
-                    entry = batch.column("_entry")[begin].as_py()
-                    due = None if entry is None else entry + gap
-                here = times[begin:end]
-                i = 0 if due is None else int(np.searchsorted(here, due))
-                while i < len(here):
-                    kept[begin + i] = True
-                    due = int(here[i]) + gap
-                    i += 1 + int(np.searchsorted(here[i + 1 :], due))
+            kept[begin[free]] = True
+            follow = (end - begin > 1) | ~free
+            follow[-1] = True  # its last kept time goes on to the next batch
+            for b, e, is_free in zip(begin[follow], end[follow], free[follow], strict=True):
+                i = b
+                if is_free:
+                    due, i = int(times[b]) + gap, b + 1
+                elif first[b]:
+                    due = int(entry[b]) + gap
+                i += int(np.searchsorted(times[i:e], due))
+                while i < e:
+                    kept[i] = True
+                    due = int(times[i]) + gap
+                    i += 1 + int(np.searchsorted(times[i + 1 : e], due))
             yield batch.filter(pa.array(kept))
 
     return run
@@ -104,12 +121,11 @@ def _entries(part: Ordered, gap: int) -> DataFrame:
     computed for all chunks in parallel; then one pass over the steps of a key applies
     them in order.
     """
-    key_field = part.df.schema[part.key]
-    chunk_field = part.df.schema[part.chunk]
-    steps_schema = T.StructType(
-        [key_field, chunk_field, T.StructField("upto", T.LongType()), T.StructField("leave", T.LongType())]
-    )
-    key, chunk = part.key, part.chunk
+    hot, chunk = PARTS
+    numbers = [part.df.schema[hot], part.df.schema[chunk]]
+    long = T.LongType()
+    steps_schema = T.StructType([*numbers, T.StructField("upto", long), T.StructField("leave", long)])
+    carry_schema = T.StructType([*numbers, T.StructField("_carry", long)])
 
     def steps(pdf: pd.DataFrame) -> pd.DataFrame:
         times = np.unique(pdf["_at"].to_numpy())
@@ -125,7 +141,7 @@ def _entries(part: Ordered, gap: int) -> DataFrame:
         upto, leave = times[:first], times[leave[:first]]
         ends = np.append(leave[1:] != leave[:-1], True)
         return pd.DataFrame(
-            {key: pdf[key].iloc[0], chunk: pdf[chunk].iloc[0], "upto": upto[ends], "leave": leave[ends]}
+            {hot: pdf[hot].iloc[0], chunk: pdf[chunk].iloc[0], "upto": upto[ends], "leave": leave[ends]}
         )
 
     def follow(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -137,15 +153,14 @@ def _entries(part: Ordered, gap: int) -> DataFrame:
                 last = int(group["leave"].iloc[at])
         return pd.DataFrame(
             {
-                key: pdf[key].iloc[0],
+                hot: pdf[hot].iloc[0],
                 chunk: [number for number, _ in rows],
                 "_carry": pd.array([entry for _, entry in rows], dtype="Int64"),
             }
         )
 
-    stepped = part.df.select(key, chunk, "_at").groupBy(key, chunk).applyInPandas(steps, steps_schema)
-    carry_schema = T.StructType([key_field, chunk_field, T.StructField("_carry", T.LongType())])
-    return stepped.groupBy(key).applyInPandas(follow, carry_schema)
+    stepped = part.df.select(*PARTS, "_at").groupBy(*PARTS).applyInPandas(steps, steps_schema)
+    return stepped.groupBy(hot).applyInPandas(follow, carry_schema)
 
 
 # --- runs and debounce --------------------------------------------------------------------
@@ -159,7 +174,7 @@ def _runs(seq: Ordered, detection: Column) -> Ordered:
     starts = detection & (F.col("_before").isNull() | (F.col("_before.mood") != F.col("mood")))
     seq = seq.last_known("_start", F.when(starts, F.col("_seen")))
     seq = seq.with_column("run_position", F.when(detection, F.col("_seen") - F.col("_start") + 1))
-    return Ordered(seq.df.drop("_before", "_seen", "_start"), seq.key, seq.order, seq.chunk)
+    return Ordered(seq.df.drop("_before", "_seen", "_start"), seq.key, seq.order, seq.split)
 
 
 def mood_runs(
@@ -195,7 +210,7 @@ def debounce(
         seq = seq.last_known("_sent", F.when(by_hand | confirmed, F.col("mood")), current=False)
         changed = F.col("_sent").isNull() | (F.col("_sent") != F.col("mood"))
         sent = seq.df.filter(by_hand | (confirmed & changed))
-        return Ordered(sent.drop("_sent", "run_position"), seq.key, seq.order, seq.chunk)
+        return Ordered(sent.drop("_sent", "run_position"), seq.key, seq.order, seq.split)
 
     return over_sequence(readings, key, order, steps, max_rows)
 
@@ -244,7 +259,7 @@ def as_of(
     def steps(seq: Ordered) -> Ordered:
         for name in values:
             seq = seq.last_known(f"_now_{name}", F.when(F.col("_kind") == 0, F.col(name)))
-        return Ordered(seq.df.filter("_kind = 1"), seq.key, seq.order, seq.chunk)
+        return Ordered(seq.df.filter("_kind = 1"), seq.key, seq.order, seq.split)
 
     out = over_sequence(marked, key, (ts, "_kind", order_id), steps, max_rows)
     for name, initial in values.items():
