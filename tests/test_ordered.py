@@ -226,3 +226,8 @@ def test_dominant_emotion(spark):
     )
     out = sequence.dominant_emotion(df).collect()
     assert {r.id: (r.mood, r.confidence) for r in out} == {1: ("sad", 5.0), 2: ("happy", 5.0), 5: ("sad", 1.0)}
+
+
+def test_plain_sequences_shuffle_once(spark):
+    plan = sequence.debounce(frame(spark, readings()).drop("manual"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("+- Sort [") == 1
