@@ -10,7 +10,8 @@ _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def micros(ts: str) -> Column:
-    return F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, {ts})")
+    since = f"cast(cast({ts} - {_EPOCH} as interval second) as decimal(20, 6))"
+    return F.expr(f"cast({since} * 1000000 as bigint)")
 
 
 def epoch_seconds(ts: str) -> Column:
@@ -23,4 +24,4 @@ def from_epoch_seconds(seconds: str) -> Column:
 
 def elapsed_seconds(ts: str, as_of: str) -> Column:
     """Whole seconds from ``ts`` to ``as_of``."""
-    return F.expr(f"timestampdiff(SECOND, {ts}, {as_of})")
+    return F.expr(f"cast(cast({as_of} - {ts} as interval second) as decimal(20, 6))").cast("bigint")

@@ -62,12 +62,16 @@ def key_counts(interactions: DataFrame, key: str) -> DataFrame:
 
 
 def learning_stats(interactions: DataFrame) -> DataFrame:
+    """Statistics of a log, which is scanned once."""
+    return stats_from_parts(score_parts(interactions))
+
+
+def stats_from_parts(parts: DataFrame) -> DataFrame:
     """One row: totals, number of moods and genres (NULL is a group too), the most frequent ones.
 
-    The log is scanned once; everything after works on its (mood, genre) counts. Equal
-    counts give the smallest key.
+    The sums per (mood, genre) hold all that is needed. Equal counts give the smallest key.
     """
-    pairs = interactions.groupBy("mood", "genre").agg(F.count("*").alias("n"))
+    pairs = parts.select("mood", "genre", F.col("interaction_count").alias("n"))
     # Two narrow rows per pair, so moods and genres share one aggregate.
     kinds = pairs.select(
         F.explode(

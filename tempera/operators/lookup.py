@@ -14,13 +14,14 @@ SALTS = 64
 
 
 def is_small(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Whether ``table`` may be broadcast, by counting rows and bytes of text form.
+    """Whether ``table`` may be broadcast, by counting rows and then bytes of text form.
 
-    Call it on a materialised table. Rows past the limit are not even measured.
+    Call it on a materialised table: its rows are counted from the file footers.
     """
+    if table.count() > max_rows:
+        return False
     size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    rows, width = table.limit(max_rows + 1).agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
-    return rows <= max_rows and width <= max_bytes
+    return table.agg(F.coalesce(size, F.lit(0))).first()[0] <= max_bytes
 
 
 class Lookup:

@@ -14,7 +14,7 @@ from tempera.session import shared_folder
 from tempera.sources import log, views
 from tempera.sources.topics import read_messages
 from tempera.streaming.feed import finish, stage_slices
-from tempera.streaming.service import STATS_SCHEMA, Service, report
+from tempera.streaming.service import STATS_SCHEMA, Service, learn_batch
 from tempera.streaming.stateful import stream_debounce, stream_throttle
 
 STATS_SLICES = 12
@@ -102,8 +102,7 @@ def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        log.write_batch(batch.select("mood", "genre", "confidence", "language", "action_time"), f"{root}/log", batch_id)
-        report(spark, root, batch_id, dims.STATS_EVERY)
+        learn_batch(batch, root, batch_id, dims.STATS_EVERY)
 
     _each_batch(source, handle)
     return log.read_batches(spark, f"{root}/stats", STATS_SCHEMA)

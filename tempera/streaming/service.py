@@ -5,18 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tempera import dims
-from tempera.operators.learn import learning_stats, merge_parts, score_parts, scores_from_parts
+from tempera.operators.learn import merge_parts, score_parts, scores_from_parts, stats_from_parts
 from tempera.operators.lookup import Lookup
 from tempera.operators.parse import clean_requests, parse_actions, rejected_actions
 from tempera.operators.publish import interactions, playlist_payload
 from tempera.operators.recommend import learned_genres
 from tempera.plans.serve import SEED, answer_wishes, serve
-from tempera.sources.log import LOG_SCHEMA, PARTS_SCHEMA, read_batch, read_batches, write_batch
+from tempera.sources.log import LOG_SCHEMA, PARTS_SCHEMA, read_batch, write_batch
 
 PLAYLIST_SCHEMA = f"request string, user_id string, value string, primary_genre string, {LOG_SCHEMA}"
 STATS_SCHEMA = (
@@ -67,12 +67,9 @@ class Service:
         write_batch(rows, f"{self.root}/playlists", batch_id)
         # Read back, so that log and delivery do not serve the batch a second time.
         written = read_batch(spark, f"{self.root}/playlists", batch_id, PLAYLIST_SCHEMA)
-        logged = interactions(written)
-        write_batch(logged, f"{self.root}/log", batch_id)
-        write_batch(merge_parts(before, score_parts(logged)).coalesce(1), f"{self.root}/scores", batch_id)
+        learn_batch(interactions(written), self.root, batch_id, self.stats_every)
         if self.deliver:
             self.deliver(written)
-        report(spark, self.root, batch_id, self.stats_every)
         batch.unpersist()
 
     def start(self, messages: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
@@ -85,8 +82,16 @@ class Service:
         )
 
 
-def report(spark: SparkSession, root: str, batch_id: int, every: int) -> None:
-    """Statistics of the log so far, with every ``every``-th batch."""
-    if (batch_id + 1) % every == 0:
-        so_far = read_batches(spark, f"{root}/log", LOG_SCHEMA).filter(F.col("batch_id") <= batch_id)
-        write_batch(learning_stats(so_far).coalesce(1), f"{root}/stats", batch_id)
+def learn_batch(rows: DataFrame, root: str, batch_id: int, stats_every: int) -> None:
+    """Log interactions and add them to the scores; report with every ``stats_every``-th batch.
+
+    The report comes from the small score snapshot, not from the log.
+    """
+    spark = rows.sparkSession
+    write_batch(rows, f"{root}/log", batch_id)
+    before = read_batch(spark, f"{root}/scores", batch_id - 1, PARTS_SCHEMA)
+    new = score_parts(read_batch(spark, f"{root}/log", batch_id, LOG_SCHEMA))
+    write_batch(merge_parts(before, new).coalesce(1), f"{root}/scores", batch_id)
+    if (batch_id + 1) % stats_every == 0:
+        parts = read_batch(spark, f"{root}/scores", batch_id, PARTS_SCHEMA)
+        write_batch(stats_from_parts(parts).coalesce(1), f"{root}/stats", batch_id)
