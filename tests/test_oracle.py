@@ -7,7 +7,7 @@ import __spark_entry__ as driver
 
 SQL = driver.oracle_sql()
 QUERIES = driver.queries()
-BATCH = [k for k in QUERIES if not k.startswith("stream_")]
+BATCH = [k for k in QUERIES if k in SQL and not k.startswith("stream_") and not k.startswith("op") and k != "pipeline"]
 SMALL = "/root/testdata/sf0.001"
 MIDDLE = "/root/testdata/sf0.01"
 PINNED = {
