@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempera.llm import bpe, repair
+from tempera.llm import bpe, quality, repair
 from tempera.session import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -26,6 +26,12 @@ def op1_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of line-first cleaning for every document."""
+    rows = quality.assess(documents(spark, sf_dir).select("doc_id", "text"), "quality")
+    return rows.select("doc_id", "quality.*").drop("clean_text")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every document and of the text decoded from them."""
     rows = bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
@@ -39,7 +45,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair": op1_repair,
+    "op2_quality": op2_quality,
     "op7_bpe": op7_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_quality": quality.SQL,
+}
