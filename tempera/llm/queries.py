@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempera.llm import bpe, quality, repair
+from tempera.llm import bpe, quality, repair, simhash
 from tempera.session import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -32,6 +32,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "quality.*").drop("clean_text")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and class of near-duplicates of every document."""
+    rows = simhash.near_duplicates(documents(spark, sf_dir))
+    return rows.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every document and of the text decoded from them."""
     rows = bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
@@ -46,6 +52,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair": op1_repair,
     "op2_quality": op2_quality,
+    "op3_simhash": op3_simhash,
     "op7_bpe": op7_bpe,
 }
 
