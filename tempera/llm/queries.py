@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempera.llm import bpe, quality, repair, simhash
+from tempera.llm import bpe, mixing, quality, repair, simhash
 from tempera.session import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -49,13 +49,24 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document, in the order of first training."""
+    rows = mixing.assign(documents(spark, sf_dir), carry=["doc_id"])
+    first = F.coalesce(F.get("positions", F.lit(0)), F.lit(1.0))
+    taken = (F.col("size") * F.col("copies")).cast("bigint").alias("taken")
+    ordered = rows.select("row.doc_id", "size", "source_size", "target", taken, first.alias("first"))
+    return ordered.repartitionByRange("first", "doc_id").sortWithinPartitions("first", "doc_id").drop("first")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair": op1_repair,
     "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
     "op7_bpe": op7_bpe,
+    "op10_mixing": op10_mixing,
 }
 
 SQL: dict[str, str] = {
     "op2_quality": quality.SQL,
+    "op10_mixing": mixing.SQL,
 }
