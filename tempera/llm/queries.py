@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempera.llm import bpe, mixing, quality, repair, simhash
+from tempera.llm import bpe, mixing, quality, repair, secrets, simhash
 from tempera.session import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -18,6 +18,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def number_of(kind: str) -> Column:
+    """How many spans are of this kind."""
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+
 def op1_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written as a Re-Pair archive and read back."""
     folder = shared_folder(spark)
@@ -49,6 +54,19 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and places of the secrets in every document."""
+    rows = secrets.find(documents(spark, sf_dir), carry=["doc_id"])
+    counts = [number_of(k) for k in secrets.BASE]
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
+    return rows.select(
+        "row.doc_id",
+        *counts,
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document, in the order of first training."""
     rows = mixing.assign(documents(spark, sf_dir), carry=["doc_id"])
@@ -63,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
     "op7_bpe": op7_bpe,
+    "op8_secrets": op8_secrets,
     "op10_mixing": op10_mixing,
 }
 
