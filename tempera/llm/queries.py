@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempera.llm import bpe, mixing, quality, repair, secrets, simhash
+from tempera.llm import bpe, mixing, quality, repair, secrets, simhash, winnow
 from tempera.session import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -67,6 +67,20 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    rows = winnow.compare(documents(spark, sf_dir))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        winnow.listed(F.col("marks")).alias("fingerprint"),
+        winnow.listed(F.col("edited_marks")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document, in the order of first training."""
     rows = mixing.assign(documents(spark, sf_dir), carry=["doc_id"])
@@ -82,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op7_bpe": op7_bpe,
     "op8_secrets": op8_secrets,
+    "op9_winnow": op9_winnow,
     "op10_mixing": op10_mixing,
 }
 
