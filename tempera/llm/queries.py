@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempera.llm import bpe, mixing, quality, repair, secrets, simhash, winnow
+from tempera.llm import bpe, langid, mixing, quality, repair, secrets, simhash, winnow
 from tempera.session import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -43,6 +43,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    return langid.identify(documents(spark, sf_dir))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every document and of the text decoded from them."""
     rows = bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair": op1_repair,
     "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
+    "op5_langid": op5_langid,
     "op7_bpe": op7_bpe,
     "op8_secrets": op8_secrets,
     "op9_winnow": op9_winnow,
