@@ -42,9 +42,12 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Encoder:
-    """The vocabulary of a byte-level BPE file, its forced boundaries and the fragments seen so far."""
+    """The vocabulary of a byte-level BPE file, its forced boundaries and the fragments seen so far.
 
-    def __init__(self, path: str):
+    Unless ``special``, the special tokens are ordinary characters where a text has them.
+    """
+
+    def __init__(self, path: str, special: bool = True):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         split, model = spec["pre_tokenizer"] or {}, spec["model"]
@@ -52,22 +55,21 @@ class Encoder:
         if not plain or spec["normalizer"] or spec["post_processor"]:
             raise ValueError(f"{path}: only plain byte-level BPE has these boundaries")
         alphabet = byte_alphabet()
-        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        tokens = {t: i for t, i in model["vocab"].items() if t not in special}
+        added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        tokens = {t: i for t, i in model["vocab"].items() if t not in added}
         spelled = {bytes(alphabet[c] for c in t): i for t, i in tokens.items()}
         made = [tokens[m.replace(" ", "") if isinstance(m, str) else "".join(m)] for m in model["merges"]]
-        if made != sorted(made) or any(re.search(rb"[%s]" % WHITE, s.encode()) for s in special):
+        if made != sorted(made) or any(re.search(rb"[%s]" % WHITE, s.encode()) for s in added):
             raise ValueError(f"{path}: merges must be in the order of their ids, special tokens without white space")
-        self.special = special
-        self.specials = [s.encode() for s in special]
-        self.core = tiktoken.Encoding("core", pat_str=PATTERN, mergeable_ranks=spelled, special_tokens=special)
-        self.size = max([*spelled.values(), *special.values()]) + 1
+        self.specials = [s.encode() for s in added] if special else []
+        self.core = tiktoken.Encoding("core", pat_str=PATTERN, mergeable_ranks=spelled, special_tokens=added)
+        self.size = max([*spelled.values(), *added.values()]) + 1
         self.joins = np.zeros((256, 256), bool)
         for token in spelled:
             self.joins[np.frombuffer(token[:-1], np.uint8), np.frombuffer(token[1:], np.uint8)] = True
         self.fragments = self._fragments().findall
         self.memory = _Memory(self)
-        self._spell({i: t for t, i in spelled.items()} | {i: t.encode() for t, i in special.items()})
+        self._spell({i: t for t, i in spelled.items()} | {i: t.encode() for t, i in added.items()})
 
     def _fragments(self) -> re.Pattern:
         """White space and what follows it; no cut after a byte that some token joins to white space."""
@@ -126,9 +128,9 @@ class _Memory(dict):
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, special: bool = True) -> Encoder:
     """One per worker process and file."""
-    return Encoder(path)
+    return Encoder(path, special)
 
 
 def id_lists(packed: list[bytes]) -> pa.ListArray:

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempera.llm import bpe, langid, mixing, quality, repair, secrets, simhash, winnow
-from tempera.session import shared_folder
+from tempera.llm import bpe, chat, langid, mixing, quality, repair, secrets, simhash, winnow
+from tempera.session import materialise, shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -48,6 +48,15 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one with control strings, formatted, written, and read back."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    mine = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    path = public_tokenizers.path(TOKENIZER)
+    return chat.digest(materialise(chat.format_conversations(turns.unionByName(mine), path)), path)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every document and of the text decoded from them."""
     rows = bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
@@ -100,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
     "op5_langid": op5_langid,
+    "op6_chat": op6_chat,
     "op7_bpe": op7_bpe,
     "op8_secrets": op8_secrets,
     "op9_winnow": op9_winnow,
