@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempera.llm import bpe, chat, langid, mixing, quality, repair, secrets, simhash, winnow
+from tempera.llm import bpe, chat, langid, mixing, pii, quality, repair, secrets, simhash, winnow
 from tempera.session import materialise, shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -43,6 +43,18 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and places of personal data in every document."""
+    rows = pii.find(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.KINDS))
+    return rows.select(
+        "doc_id",
+        *[number_of(k) for k in pii.KINDS],
+        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
     return langid.identify(documents(spark, sf_dir))
@@ -108,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair": op1_repair,
     "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
+    "op4_pii": op4_pii,
     "op5_langid": op5_langid,
     "op6_chat": op6_chat,
     "op7_bpe": op7_bpe,
