@@ -1,14 +1,24 @@
-"""The corpus pipeline: five stages over ``documents``, each written as Parquet and reread by the next."""
+"""The corpus pipeline: five stages over ``documents``, each written as Parquet and reread by the next.
+
+1. Line-first cleaning removes failing lines and the documents that fail or lose too much.
+2. SimHash: one document of each group of near-duplicates stays.
+3. Secrets are replaced by a mask.
+4. Sources are mixed to their target weights: documents are left out or repeated, in the order of training.
+5. Texts become token ids.
+
+All stages but the last return the columns of the documents they get; ``n_chars`` follows the text.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempera.llm import bpe
+from tempera.llm import bpe, mixing, quality, secrets, simhash
+from tempera.llm.common import col, free_name
 from tempera.session import materialise
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -16,8 +26,33 @@ TOKENIZER = "byte_bpe_50k.json"
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def with_text(row: dict[str, Column], text: Column) -> list[Column]:
+    """The columns of a row with another text, and its length if they have one."""
+    new = {"text": text, "n_chars": F.length(text).cast("bigint")}
+    return [new.get(name, value).alias(name) for name, value in row.items()]
+
+
+def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = free_name(docs, "quality")
+    rows = quality.assess(docs, found).filter(f"{found}.kept")
+    return rows.select(with_text({c: col(c) for c in docs.columns}, F.col(found)["clean_text"]))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.one_of_each(docs)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows = secrets.find(docs, mask=True)
+    return rows.select(with_text({c: F.col("row").getField(c) for c in docs.columns}, F.col("clean_text")))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.curriculum(docs)
+
+
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text, checked by decoding them again."""
+    """Ids of every text, with a digest of what they decode to."""
     rows = bpe.round_trip(docs, public_tokenizers.path(TOKENIZER))
     return rows.select(
         "doc_id",
@@ -28,10 +63,14 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", clean_documents),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("secret_scans", mask_secrets),
+    ("source_mixing", mix_sources),
     ("bpe_encoding", encode_texts),
 ]
 
-# Digests of token ids cannot be written in SQL.
+# Fingerprints and token ids cannot be written in SQL.
 ORACLE_SQL: str | None = None
 
 

@@ -130,7 +130,8 @@ def assess(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
     kept = ~F.col("base_failed") & (100 * F.col("n_words_removed") <= MOST_LOST * F.col("n_words"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines_removed", "n_words_removed"]
     found = F.struct(*counts, "base_failed", kept.alias("kept"), "clean_text")
-    return out.select("row", found.alias("found")).select("row.*", F.col("found").alias(into))
+    # A generator, because a filter on the verdict would else be pushed below every step and repeat them all.
+    return out.select("row", F.explode(F.array(found)).alias("found")).select("row.*", F.col("found").alias(into))
 
 
 SQL = rf"""

@@ -40,7 +40,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and class of near-duplicates of every document."""
     rows = simhash.near_duplicates(documents(spark, sf_dir))
-    return rows.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

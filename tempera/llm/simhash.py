@@ -21,9 +21,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tempera.llm.common import bytes_of, slices
+from tempera.llm.common import bytes_of, col, slices
 from tempera.llm.components import components
 from tempera.session import materialise
 
@@ -51,18 +52,17 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and its ``fingerprint`` as a signed 64-bit integer."""
+    """``doc_id``, its ``fingerprint`` as a signed 64-bit integer, and ``row_key``, a hash of id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             found = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found.view(np.int64))], names=NAMES)
+            columns = [b.column("doc_id"), b.column("row_key"), pa.array(found.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row_key", "fingerprint"])
 
-    source = bytes_of(docs, id, text)
-    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, fingerprint bigint")
-
-
-NAMES = ["doc_id", "fingerprint"]
+    source = bytes_of(docs, id, text).withColumn("row_key", F.xxhash64("doc_id", "text"))
+    kind = source.schema["doc_id"].dataType.simpleString()
+    return source.mapInArrow(run, f"doc_id {kind}, row_key bigint, fingerprint bigint")
 
 
 class Forest:
@@ -166,12 +166,30 @@ def _compared(packed: DataFrame, tiles: dict[int, int], n_pairs: int, radius: in
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE
 ) -> DataFrame:
-    """``doc_id``, ``fingerprint`` and ``component_id``, the smallest ``doc_id`` that links reach."""
+    """``doc_id``, ``fingerprint`` and ``component_id``, the smallest ``doc_id`` that links reach.
+
+    Also ``component``, which tells components apart even without ids, and ``row_key``, a hash of id and text.
+    """
     marked = materialise(fingerprints(docs, id, text, shingle))
     distinct = materialise(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")))
     links = fingerprint_links(distinct, radius, tile)
     joined = components(links, "a", "b").withColumnRenamed("node", "fingerprint")
     grouped = distinct.join(joined, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
     least = grouped.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = grouped.join(least, "component").select("fingerprint", "component_id")
-    return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    named = grouped.join(least, "component").select("fingerprint", "component", "component_id")
+    return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id", "component", "row_key")
+
+
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` of which each stands for its component: that of the smallest id, then text hash.
+
+    Of rows with the same id and text one stays, the smallest by all its columns.
+    """
+    classes = near_duplicates(docs, id, text, **options)
+    first = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stay = first.groupBy("component").agg(F.min("row_key").alias("key")).select("key")
+    whole = F.coalesce(col(text), F.lit("")).cast("binary")
+    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), F.xxhash64(col(id), whole).alias("key"))
+    alike = W.partitionBy("key").orderBy(*[F.col("row").getField(c) for c in docs.columns])
+    kept = rows.join(stay, "key").withColumn("n", F.row_number().over(alike)).filter("n = 1")
+    return kept.select("row.*")
