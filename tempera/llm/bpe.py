@@ -87,6 +87,12 @@ class Encoder:
         """Ids as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.memory.__getitem__, self.fragments(text)))
 
+    def encode_whole(self, text: bytes) -> bytes:
+        """The same ids without cuts, which takes half the time where few fragments repeat."""
+        allowed = "all" if self.specials else set()
+        ids = self.core.encode_to_numpy(text.decode("utf-8", "replace"), allowed_special=allowed, disallowed_special=())
+        return ids.astype("<u4").tobytes()
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of all tokens, special ones included."""
         n = self.lengths[ids]

@@ -39,6 +39,8 @@ BLOCK = 1 << 20
 #: A pair must occur once in so many symbols to be replaced, round by round.
 ROUNDS = (1 << 10, 1 << 12, 1 << 14, 1 << 15, 1 << 16, 1 << 17)
 LEAST = 4
+SLOT_BITS = 18
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 SCHEMA = (
     "shard int, block int, start bigint, n_tokens bigint, doc_ids array<bigint>, n_ids array<bigint>, "
     "n_symbols array<bigint>, first bigint, rules binary, lengths binary, symbols binary"
@@ -50,27 +52,20 @@ def compress(ids: np.ndarray, ends: np.ndarray, first: int) -> tuple[np.ndarray,
     rules, seq, last = [np.zeros((0, 2), np.uint32)], ids.astype(np.uint32), ends.copy()
     made = first
     for share in ROUNDS:
-        if len(seq) < 2:
-            break
         key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        key[last[:-1]] = np.iinfo(np.uint64).max
-        pairs, rank = frequent(key, max(LEAST, len(seq) // share))
-        if not len(pairs):
-            continue
-        order = ranks_of(key, pairs, rank)
+        pairs, at, rank = frequent(key, last[:-1], max(LEAST, len(seq) // share))
         # The better pair wins where two overlap; of equal ones the left. Losers wait for a later round.
-        none = np.int32(len(pairs))
-        left = np.concatenate(([none], order[:-1]))
-        right = np.concatenate((order[1:], [none]))
-        at = np.flatnonzero((order < none) & (order < left) & (order <= right))
-        used = np.flatnonzero(np.bincount(order[at], minlength=len(pairs)))
+        meet = np.diff(at) == 1
+        lost = np.zeros(len(at), bool)
+        lost[1:] |= meet & (rank[1:] >= rank[:-1])
+        lost[:-1] |= meet & (rank[:-1] > rank[1:])
+        at, rank = at[~lost], rank[~lost]
+        used = np.flatnonzero(np.bincount(rank, minlength=len(pairs)))
         ids_of = np.zeros(len(pairs), np.uint32)
         ids_of[used] = made + np.arange(len(used))
-        chosen = np.empty(len(pairs), np.uint64)
-        chosen[rank] = pairs
-        rules.append(chosen[used].view("<u4").reshape(-1, 2)[:, ::-1])
+        rules.append(pairs[used].view("<u4").reshape(-1, 2)[:, ::-1])
         made += len(used)
-        seq[at] = ids_of[order[at]]
+        seq[at] = ids_of[rank]
         last[at] = last[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
@@ -78,31 +73,28 @@ def compress(ids: np.ndarray, ends: np.ndarray, first: int) -> tuple[np.ndarray,
     return seq, np.ascontiguousarray(np.concatenate(rules)), last
 
 
-def frequent(key: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that occur ``least`` times or more, sorted, and their rank by count."""
-    ordered = np.sort(key)
-    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+def frequent(key: np.ndarray, closed: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that occur ``least`` times or more, most frequent first; where they occur, and as which of them.
+
+    Counts of hashed pairs come first: only pairs whose slot is full enough need sorting.
+    """
+    slot = ((key * SPREAD) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+    full = np.bincount(slot, minlength=1 << SLOT_BITS) >= least
+    at = np.flatnonzero(full[slot] & ~closed)
+    some = key[at]
+    ordered = np.sort(some)
+    starts = np.flatnonzero(np.append(len(some) > 0, ordered[1:] != ordered[:-1])[: len(some)])
     counts = np.diff(np.append(starts, len(ordered)))
-    often = (counts >= least) & (ordered[starts] != np.iinfo(np.uint64).max)
+    often = counts >= least
     pairs, counts = ordered[starts[often]], counts[often]
-    rank = np.empty(len(pairs), np.int32)
-    rank[np.lexsort((pairs, -counts))] = np.arange(len(pairs))
-    return pairs, rank
-
-
-def ranks_of(key: np.ndarray, pairs: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The rank of each key's pair, or their number for any other key."""
-    bits = 18
-    spread = np.uint64(0x9E3779B97F4A7C15)
-    slot = ((key * spread) >> np.uint64(64 - bits)).astype(np.int32)
-    possible = np.zeros(1 << bits, bool)
-    possible[(pairs * spread) >> np.uint64(64 - bits)] = True
-    out = np.full(len(key), len(pairs), np.int32)
-    maybe = np.flatnonzero(possible[slot])
-    at = np.minimum(np.searchsorted(pairs, key[maybe]), len(pairs) - 1)
-    same = pairs[at] == key[maybe]
-    out[maybe[same]] = rank[at[same]]
-    return out
+    if not len(pairs):
+        return pairs, at[:0], at[:0]
+    order = np.lexsort((pairs, -counts))
+    rank = np.empty(len(pairs), np.int64)
+    rank[order] = np.arange(len(pairs))
+    place = np.minimum(np.searchsorted(pairs, some), len(pairs) - 1)
+    same = pairs[place] == some
+    return pairs[order], at[same], rank[place[same]]
 
 
 def rule_lengths(rules: np.ndarray, first: int) -> np.ndarray:
@@ -114,7 +106,7 @@ def rule_lengths(rules: np.ndarray, first: int) -> np.ndarray:
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
-    """The ids of ``symbols``."""
+    """The ids of ``symbols``, level by level."""
     while (made := symbols >= first).any():
         at = np.cumsum(np.where(made, 2, 1))
         out = np.empty(at[-1], np.uint32)
@@ -125,6 +117,17 @@ def expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
     return symbols
 
 
+def expand_all(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, first: int) -> np.ndarray:
+    """As ``expand``, for a whole block: every rule is spelled once and copied wherever it is used."""
+    n = np.concatenate((np.ones(first, np.int64), lengths))
+    starts = np.cumsum(n) - n
+    spelled = np.concatenate((np.arange(first, dtype=np.uint32), expand(rules.reshape(-1), rules, first)))
+    each = n[symbols]
+    at = np.repeat(starts[symbols] - (np.cumsum(each) - each), each)
+    at += np.arange(len(at))
+    return spelled[at]
+
+
 def ids_between(block: dict, start: int, stop: int) -> np.ndarray:
     """Ids ``start`` to ``stop`` of a block, expanding only the symbols that touch them."""
     symbols, first = np.frombuffer(block["symbols"], "<u4"), block["first"]
@@ -168,7 +171,7 @@ def write_archive(docs: DataFrame, path: str, folder: str, id: str = "doc_id", t
         size = 0
         for b in slices(batches, "text"):
             for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                docs.append((d, e.encode(t) + end))
+                docs.append((d, e.encode_whole(t) + end))
                 size += len(docs[-1][1]) // 4
                 if size >= BLOCK:
                     yield packed()
@@ -199,7 +202,8 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 rules = np.frombuffer(row["rules"], "<u4").reshape(-1, 2)
-                ids = expand(np.frombuffer(row["symbols"], "<u4"), rules, row["first"]).astype("<u4")
+                symbols, lengths = (np.frombuffer(row[c], "<u4") for c in ("symbols", "lengths"))
+                ids = expand_all(symbols, rules, lengths, row["first"]).astype("<u4")
                 ends = np.cumsum(row["n_ids"])
                 packed = [p.tobytes() for p in np.split(ids, ends[:-1])]
                 columns = {
