@@ -66,14 +66,14 @@ def search_phrase(
     return F.when(present(mood), phrase)
 
 
-def search_request(phrase: Column, language: Column, limit: int) -> Column:
+def search_request(phrase: Column, language: Column, limit: Column | int) -> Column:
     """Parameters of one search call; credentials are not part of it."""
     return F.struct(
         F.lit("snippet").alias("part"),
         phrase.alias("q"),
         F.lit("video").alias("type"),
         F.lit("10").alias("videoCategoryId"),
-        F.lit(limit).alias("maxResults"),
+        (limit if isinstance(limit, Column) else F.lit(limit)).alias("maxResults"),
         F.coalesce(dims.lookup(dims.REGIONS, language), F.lit(dims.DEFAULT_REGION)).alias("regionCode"),
         language.alias("relevanceLanguage"),
         F.lit("relevance").alias("order"),

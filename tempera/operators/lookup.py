@@ -10,32 +10,39 @@ from tempera.session import materialise
 
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 64
+ROWS_PER_TASK = 5_000_000
 
 
 def is_small(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Whether ``table`` may be broadcast, by counting rows and then bytes of text form.
+    """Whether ``table`` may be broadcast, by its rows and the bytes of their text form.
 
-    Call it on a materialised table: its rows are counted from the file footers.
+    Call it on a materialised table. One pass measures both; it reads no more rows than decide.
     """
-    if table.count() > max_rows:
-        return False
-    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    return table.agg(F.coalesce(size, F.lit(0))).first()[0] <= max_bytes
+    text = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
+    some = table.select(text.alias("n")).limit(max_rows + 1)
+    rows, size = some.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
 
 
 class Lookup:
     """A table with one row per key, measured once and joined any number of times.
 
     Within the size bound the table is broadcast and the other side is not shuffled.
-    Beyond it both sides shuffle, and keys that hold more than their share of the other
-    side are spread over salts: such rows take one of ``SALTS`` buckets, and only the
-    table's rows of those few keys are copied into every bucket.
+    Beyond it both sides shuffle, and keys with more rows on the other side than a task should
+    have are spread over salts: such a key gets as many buckets as its rows need, and only the
+    table's rows of those keys are copied into their buckets.
     """
 
-    def __init__(self, table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES):
+    def __init__(
+        self,
+        table: DataFrame,
+        max_rows: int = MAX_BROADCAST_ROWS,
+        max_bytes: int = MAX_BROADCAST_BYTES,
+        rows_per_task: int = ROWS_PER_TASK,
+    ):
         self.table = materialise(table)
         self.small = is_small(self.table, max_rows, max_bytes)
+        self.rows_per_task = rows_per_task
 
     def join(self, df: DataFrame, on: dict[str, str], take: dict[str, str], how: str = "left") -> DataFrame:
         """Join on ``{column of df: column of the table}``; ``take`` maps table columns to new names."""
@@ -51,24 +58,21 @@ class Lookup:
 
     def _salted(self, df: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], how: str) -> DataFrame:
         mine = [m for m, _ in pairs]
-        # A key is hot above 1/SALTS of the rows, so there are fewer than SALTS hot keys.
-        total = df.count()
-        counts = df.groupBy(*mine).agg(F.count("*").alias("_n")).filter(F.col("_n") * SALTS > total)
-        hot = materialise(counts.select(*[F.col(m).alias(f"_hot_{i}") for i, m in enumerate(mine)]))
-        hot = F.broadcast(hot.withColumn("_is_hot", F.lit(True)))
+        counts = df.groupBy(*mine).agg(F.count("*").alias("_n")).filter(F.col("_n") > self.rows_per_task)
+        buckets = F.ceil(F.col("_n") / self.rows_per_task).cast("int").alias("_salts")
+        hot = materialise(counts.select(*[F.col(m).alias(f"_hot_{i}") for i, m in enumerate(mine)], buckets))
+        hot = F.broadcast(hot) if is_small(hot) else hot
         # The salt follows from the row itself, so a task that runs again puts it in the same
         # bucket. Rows that are copies in all columns share one; AQE's skew join splits those.
         hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
         left = df.join(hot, [df[m] == hot[f"_hot_{i}"] for i, m in enumerate(mine)], "left").withColumn(
-            "_salt",
-            F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*hashed), F.lit(SALTS)).cast("int")).otherwise(0),
+            "_salt", F.coalesce(F.pmod(F.xxhash64(*hashed), F.col("_salts")).cast("int"), F.lit(0))
         )
         left = left.select(*df.columns, "_salt")
-        copies = F.when(F.col("_is_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
         theirs = [k for _, k in pairs]
         spread = (
             right.join(hot, [right[k] == hot[f"_hot_{i}"] for i, k in enumerate(theirs)], "left")
-            .withColumn("_bucket", F.explode(copies))
+            .withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
             .select(*right.columns, "_bucket")
         )
         same = [left[m] == spread[k] for m, k in pairs] + [left["_salt"] == spread["_bucket"]]

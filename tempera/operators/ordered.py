@@ -16,10 +16,10 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tempera.operators.lookup import is_small
 from tempera.session import materialise
 
 MAX_ROWS = 5_000_000
-MAX_HOT_KEYS = 100_000
 PARTS = ["_hot", "_chunk"]
 
 
@@ -84,9 +84,12 @@ class Ordered:
             tails = ends.groupBy(*self.parts).agg(
                 F.sort_array(F.collect_list(F.struct((-F.col("_age")).alias("age"), "_value"))).alias("_tail")
             )
-            # Every chunk has a row, so the last length - 1 rows lie in the last length - 1 chunks.
+            # Every chunk has a row, so the last length - 1 rows lie in the last length - 1 chunks. Only as many
+            # values go on, however many those chunks have together.
             before = W.partitionBy("_hot").orderBy("_chunk").rowsBetween(1 - length, -1)
-            carry = tails.withColumn("_carry", F.flatten(F.collect_list("_tail").over(before))["_value"])
+            tails = tails.withColumn("_all", F.flatten(F.collect_list("_tail").over(before))["_value"])
+            first = F.greatest(F.size("_all") - F.lit(length - 2), F.lit(1))
+            carry = tails.withColumn("_carry", F.slice("_all", first, length - 1)).drop("_all")
             out = self.carried(out, carry.drop("_tail"))
             joined = F.concat(F.coalesce("_carry", F.array()), F.col(name))
             start = F.greatest(F.size("_joined") - F.lit(length - 1), F.lit(1))
@@ -95,9 +98,14 @@ class Ordered:
         return replace(self, df=out.drop("_value"))
 
     def carried(self, out: DataFrame, carry: DataFrame) -> DataFrame:
-        # Bounded: split() makes at most MAX_HOT_KEYS chunks, and a chunk and a key meet in at
-        # most MAX_HOT_KEYS rows more. A broadcast keeps the order of the rows for the next step.
-        other = F.broadcast(carry.select(*[F.col(p).alias(f"_{p}") for p in PARTS], "_carry"))
+        """Join the carried value of each chunk.
+
+        A small table is broadcast, which keeps the order of the rows for the next step. A large one is shuffled
+        to the chunks; the rows stay where they are, as they are partitioned and sorted by chunk already.
+        """
+        other = materialise(carry.select(*[F.col(p).alias(f"_{p}") for p in PARTS], "_carry"))
+        if is_small(other):
+            other = F.broadcast(other)
         return out.join(other, [out[p] == other[f"_{p}"] for p in PARTS], "left").drop(*[f"_{p}" for p in PARTS])
 
 
@@ -105,24 +113,18 @@ def split(df: DataFrame, key: str, order: tuple[str, ...], max_rows: int = MAX_R
     """Plain rows and, when some key has too many rows for one task, its chunked rows.
 
     ``order`` must end in a unique column: then any run of rows can be cut, even one with
-    equal times.
+    equal times. A chunk has about ``max_rows`` rows, whatever the size of the table.
     """
-    plain = Ordered(df, key, order)
-    total = df.count()
-    if total <= max_rows:
-        return [plain]
-    # At most MAX_HOT_KEYS keys can pass this limit, and their rows fill at most as many chunks.
-    # This bounds what is broadcast, here and in carried().
-    limit = max(max_rows, total // MAX_HOT_KEYS)
-    counts = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
-    hot = materialise(counts.select(F.col(key).alias("_key"), "_n").withColumn("_hot", F.monotonically_increasing_id()))
+    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_rows)
+    hot = materialise(counts.withColumn("_hot", F.monotonically_increasing_id()))
     keys, rows = hot.agg(F.count("*"), F.sum("_n")).first()
     if not keys:
-        return [plain]
-    listed = F.broadcast(hot.drop("_n"))
+        return [Ordered(df, key, order)]
+    listed = hot.drop("_n")
+    listed = F.broadcast(listed) if is_small(listed) else listed
     same = df[key].eqNullSafe(listed["_key"])
     cold = df.join(listed, same, "left_anti")
-    chunks = -(-rows // limit) + 1
+    chunks = -(-rows // max_rows) + 1
     pieces = (
         df.join(listed, same)
         .drop("_key")

@@ -46,16 +46,20 @@ def parse_actions(messages: DataFrame, value: str = "value", integer_confidence:
     )
 
 
-def rejected_actions(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Messages that will not be served, with the reason."""
-    parsed = parse_actions(messages.withColumn("_text", F.col(value).cast("string")), value)
-    reason = (
+def rejection() -> Column:
+    """Why a parsed action will not be served; NULL for one that will."""
+    return (
         F.when(F.col("user_id").isNull() & F.col("action").isNull(), "unreadable message")
         .when(F.col("action").isNull() | (F.col("action") != dims.MOOD_UPDATE), "not a mood update")
         .when(~present(F.col("mood")), "no mood")
     )
+
+
+def rejected_actions(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Messages that will not be served, with the reason."""
+    parsed = parse_actions(messages.withColumn("_text", F.col(value).cast("string")), value)
     kept = [c for c in messages.columns if c != value]
-    return parsed.withColumn("reason", reason).filter("reason is not null").select(
+    return parsed.withColumn("reason", rejection()).filter("reason is not null").select(
         *kept, F.col("_text").alias(value), "reason"
     )
 

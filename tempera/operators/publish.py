@@ -73,8 +73,3 @@ def interactions(served: DataFrame) -> DataFrame:
     return served.select(
         "mood", F.col("primary_genre").alias("genre"), F.col("confidence").cast("double"), "language", "action_time"
     )
-
-
-def track_fields(playlist: Column, field: str) -> Column:
-    return F.array_join(playlist[field], "|")
-

@@ -10,9 +10,6 @@ from tempera import dims
 from tempera.functions.tracks import watch_link
 from tempera.operators.lookup import Lookup
 
-SHUFFLE_PRIME = 2**31 - 1
-POOL_LIMIT = 64  # above the 25 + 15 + 15 tracks that a request can find
-
 
 def ranked_cells(tracks: DataFrame, limit: int = dims.PRIMARY_LIMIT) -> DataFrame:
     """One row per (language, genre) with its ``limit`` most relevant tracks, best first.
@@ -63,13 +60,8 @@ def fallback_stages(requests: DataFrame, cells: Lookup, wanted: int = dims.PLAYL
     return out.drop("_alt_2", "_alt_3")
 
 
-def hash_bits(text: Column, part: int = 0) -> Column:
-    """The ``part``-th 28 bits of the text's hash; MD5, so that other engines agree."""
-    return F.conv(F.substring(F.md5(text), 1 + 7 * part, 7), 16, 10).cast("bigint")
-
-
 def track_pools(staged: DataFrame) -> DataFrame:
-    """Adds ``pool``, the tracks of all stages, each with a hash ``h`` of stage and track.
+    """Adds ``pool``, the tracks of all stages, each with its ``name`` in the shuffle: stage and track.
 
     Rows without any track are dropped.
     """
@@ -83,7 +75,7 @@ def track_pools(staged: DataFrame) -> DataFrame:
                 t["title"].alias("title"),
                 t["artist"].alias("artist"),
                 watch_link(t["video_id"]).alias("youtube_url"),
-                hash_bits(F.concat_ws("|", F.lit(str(stage)), t["video_id"])).alias("h"),
+                F.concat(F.lit(f"|{stage}|"), F.coalesce(t["video_id"], F.lit(""))).alias("name"),
             ),
         )
 
@@ -95,21 +87,16 @@ def track_pools(staged: DataFrame) -> DataFrame:
 def playlists(pooled: DataFrame, request: str, seed: str, length: int = dims.PLAYLIST_LENGTH) -> DataFrame:
     """Adds ``playlist``: the pool in a shuffled order, cut to ``length``.
 
-    A track's place is ``(a * h + b) mod P``, with ``a`` and ``b`` from a hash of the seed and
-    the request. So a replay or another engine gives the same playlist, at one
-    multiplication per track. The place and the track's index share one number, and only
-    numbers are sorted.
+    A track's place is the MD5 of the seed, the request, its stage and itself: every track of every request gets a
+    draw of its own, and a replay or another engine the same one. Only draws and indexes are sorted.
     """
-    identity = F.concat_ws("|", F.lit(seed), F.col(request))
-    # Kept in an array of its own: inside the lambda it would be hashed for every track.
-    drawn = pooled.withColumn("_draw", F.array(hash_bits(identity, 0) + 1, hash_bits(identity, 1)))
-    numbers = F.transform(
-        "pool.h",
-        lambda h, i: F.pmod(F.col("_draw")[0] * h + F.col("_draw")[1], F.lit(SHUFFLE_PRIME)) * POOL_LIMIT + i,
+    drawn = pooled.withColumn("_who", F.concat_ws("|", F.lit(seed), F.col(request)))
+    draws = F.transform(
+        "pool.name", lambda name, i: F.struct(F.md5(F.concat("_who", name)).alias("draw"), i.alias("i"))
     )
-    picked = F.slice(F.sort_array(numbers), 1, length)
-    chosen = F.transform(picked, lambda n: F.get("pool", (n % POOL_LIMIT).cast("int")))
-    return drawn.withColumn("playlist", chosen).drop("_draw", "pool")
+    picked = F.slice(F.sort_array(draws), 1, length)
+    chosen = F.transform(picked, lambda d: F.get("pool", d["i"]))
+    return drawn.withColumn("playlist", chosen).drop("_who", "pool")
 
 
 def _or_none(name: str) -> Column:

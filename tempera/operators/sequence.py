@@ -51,12 +51,15 @@ def throttle(
 
     The rule is a chain, so rows are folded in order. Spark shuffles and sorts; Python sees
     Arrow batches of sorted rows and holds one batch and one time. A key with too many
-    rows is folded chunk by chunk at once: see ``_entries``.
+    rows is folded chunk by chunk at once: see ``_entries``. Readings without a time cannot be
+    too close to any other, so all of them are kept.
     """
     gap = round(gap_seconds * 1e6)
     if gap <= 0:
         return readings
-    timed = readings.withColumn("_at", micros(ts)).filter("_at is not null")
+    timed = readings.withColumn("_at", micros(ts))
+    untimed = timed.filter("_at is null").select(readings.columns)
+    timed = timed.filter("_at is not null")
     out = None
     for part in split(timed, key, ("_at", order_id), max_rows):
         df = part.df
@@ -67,7 +70,7 @@ def throttle(
         ordered = df.withColumn("_first", F.row_number().over(part.window) == 1)
         kept = ordered.mapInArrow(_keep(gap), ordered.schema).select(*readings.columns)
         out = kept if out is None else out.unionByName(kept)
-    return out
+    return out.unionByName(untimed)
 
 
 def _keep(gap: int):
@@ -117,9 +120,9 @@ def _entries(part: Ordered, gap: int) -> DataFrame:
 
     A chunk acts on that time as a step function: every value up to ``upto`` leads to the
     same last kept time ``leave``. Only readings within one gap of the chunk's start can be
-    its first kept one, so the steps are few whatever the size of the chunk. They are
-    computed for all chunks in parallel; then one pass over the steps of a key applies
-    them in order.
+    its first kept one. The steps are computed for all chunks in parallel; then one pass over the steps
+    of a key, sorted, applies them in order. It streams: a task holds one Arrow batch and one time, however many steps
+    a dense key has.
     """
     hot, chunk = PARTS
     numbers = [part.df.schema[hot], part.df.schema[chunk]]
@@ -144,23 +147,32 @@ def _entries(part: Ordered, gap: int) -> DataFrame:
             {hot: pdf[hot].iloc[0], chunk: pdf[chunk].iloc[0], "upto": upto[ends], "leave": leave[ends]}
         )
 
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        last, rows = None, []
-        for number, group in pdf.sort_values([chunk, "upto"]).groupby(chunk, sort=True):
-            rows.append((number, last))
-            at = 0 if last is None else int(np.searchsorted(group["upto"].to_numpy(), last + gap))
-            if at < len(group):
-                last = int(group["leave"].iloc[at])
-        return pd.DataFrame(
-            {
-                hot: pdf[hot].iloc[0],
-                chunk: [number for number, _ in rows],
-                "_carry": pd.array([entry for _, entry in rows], dtype="Int64"),
-            }
-        )
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The time before each chunk, from steps sorted by key, chunk and time."""
+        key = number = last = before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, chunks, upto, leave = (c.to_numpy() for c in batch.columns)
+            begin = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (chunks[1:] != chunks[:-1])))
+            out = []
+            for b, e in zip(begin.tolist(), [*begin[1:].tolist(), len(keys)], strict=True):
+                if (keys[b], chunks[b]) != (key, number):  # else the chunk goes on from the batch before
+                    last = last if keys[b] == key else None
+                    key, number, before, settled = keys[b], chunks[b], last, False
+                    out.append((int(key), int(number), before))
+                if not settled:
+                    at = b if before is None else b + int(np.searchsorted(upto[b:e], before + gap))
+                    if at < e:
+                        last, settled = int(leave[at]), True
+            names = [f.name for f in carry_schema]
+            arrays = [pa.array(list(v), c.type) for v, c in zip(zip(*out, strict=True), batch.columns, strict=False)]
+            if out:
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     stepped = part.df.select(*PARTS, "_at").groupBy(*PARTS).applyInPandas(steps, steps_schema)
-    return stepped.groupBy(hot).applyInPandas(follow, carry_schema)
+    ordered = stepped.repartition(hot).sortWithinPartitions(hot, chunk, "upto")
+    return ordered.mapInArrow(follow, carry_schema)
 
 
 # --- runs and debounce --------------------------------------------------------------------
@@ -171,7 +183,7 @@ def _runs(seq: Ordered, detection: Column) -> Ordered:
     mood = F.struct("mood")
     seq = seq.last_known("_before", F.when(detection, mood), current=False)
     seq = seq.running_count("_seen", detection)
-    starts = detection & (F.col("_before").isNull() | (F.col("_before.mood") != F.col("mood")))
+    starts = detection & (F.col("_before").isNull() | ~F.col("_before.mood").eqNullSafe(F.col("mood")))
     seq = seq.last_known("_start", F.when(starts, F.col("_seen")))
     seq = seq.with_column("run_position", F.when(detection, F.col("_seen") - F.col("_start") + 1))
     return Ordered(seq.df.drop("_before", "_seen", "_start"), seq.key, seq.order, seq.split)
@@ -200,15 +212,16 @@ def debounce(
     Rows flagged by ``manual`` are always sent and change what was sent last, but are no
     detections. No user state is needed: after any confirmed detection the mood sent last
     is its own, whether it was sent or not, so comparing with the last confirmed or
-    manual row is enough.
+    manual row is enough. NULL is a mood like any other, except that it counts as sent before the first send.
     """
     by_hand = F.coalesce(F.col(manual), F.lit(False)) if manual else F.lit(False)
 
     def steps(seq: Ordered) -> Ordered:
         seq = _runs(seq, ~by_hand)
         confirmed = F.coalesce(F.col("run_position") >= count, F.lit(False))
-        seq = seq.last_known("_sent", F.when(by_hand | confirmed, F.col("mood")), current=False)
-        changed = F.col("_sent").isNull() | (F.col("_sent") != F.col("mood"))
+        # In a struct, because a mood that was sent may itself be NULL. Before any, NULL counts as sent.
+        seq = seq.last_known("_sent", F.when(by_hand | confirmed, F.struct("mood")), current=False)
+        changed = ~F.col("_sent.mood").eqNullSafe(F.col("mood"))
         sent = seq.df.filter(by_hand | (confirmed & changed))
         return Ordered(sent.drop("_sent", "run_position"), seq.key, seq.order, seq.split)
 

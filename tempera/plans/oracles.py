@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
 from tempera import dims
-from tempera.operators.retrieve import SHUFFLE_PRIME
 from tempera.plans.queries import AS_OF, LEARNED_AT_FIRST, THROTTLE_GAP_SECONDS
 from tempera.plans.serve import SEED
 from tempera.sources.views import EMOTION_ORDER, MOOD_OF_EVENT
@@ -24,10 +25,6 @@ def _case(column: str, mapping: dict, default: str = "NULL") -> str:
     return f"CASE {column} {arms} ELSE {default} END"
 
 
-def _bits(text: str, part: int) -> str:
-    return f"CAST('0x' || substr(md5({text}), {1 + 7 * part}, 7) AS BIGINT)"
-
-
 IDENTITY = f"concat_ws('|', '{SEED}', event_id)"
 GENRES, CODES, NAMES = _list(dims.GENRES), _list(list(dims.LANGUAGES.values())), _list(list(dims.LANGUAGES))
 
@@ -46,7 +43,9 @@ CTES = {
         FROM ev""",
     "req": """SELECT * REPLACE (CASE WHEN genre = '' THEN 'Any Genre' ELSE genre END AS genre)
               FROM actions WHERE action = 'mood_update'""",
-    "log": "SELECT mood, genre, confidence, language, ts AS action_time FROM req WHERE genre <> 'Any Genre'",
+    "log": f"""SELECT mood, confidence, language, ts AS action_time, CASE WHEN genre <> 'Any Genre' THEN genre
+               ELSE {_case("mood", {m: g[0] for m, g in dims.DEFAULT_GENRES.items()}, _text(dims.FALLBACK_GENRES[0]))}
+               END AS genre FROM req""",
     "scores": """SELECT mood, genre, round(round(avg(confidence), 8), 4) AS avg_confidence,
                  count(*) AS interaction_count, round(round(avg(confidence) * count(*), 8), 4) AS score
                  FROM log GROUP BY mood, genre""",
@@ -80,8 +79,7 @@ CTES = {
         UNION ALL SELECT s.event_id, 3, t.* FROM staged s JOIN ranked t
           ON t.language = s.language AND t.genre = s.recommended[3] AND t.rank <= s.n_3""",
     "mixed_up": f"""SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY
-        (({_bits(IDENTITY, 0)} + 1) * {_bits("concat_ws('|', stage, video_id)", 0)} + {_bits(IDENTITY, 1)})
-          % {SHUFFLE_PRIME}, stage, rank) AS position FROM pool""",
+        md5({IDENTITY} || '|' || stage || '|' || video_id), stage, rank) AS position FROM pool""",
     "chosen": f"SELECT * FROM mixed_up WHERE position <= {dims.PLAYLIST_LENGTH}",
     "lists": """SELECT event_id, count(*) AS n_tracks,
         string_agg(video_id, '|' ORDER BY position) AS video_ids,
@@ -154,7 +152,7 @@ def _stats(fresh_join: str, fresh: str) -> str:
 
 def _keyword() -> str:
     words = _case("mood", dims.MOOD_KEYWORDS, "[mood]")
-    hashed = f"lambda w: md5(concat_ws('|', '{SEED}', event_id, w)) || w"
+    hashed = f"lambda w: md5(concat_ws('|', '{SEED}', event_id, search, w)) || w"
     return f"substr(list_sort(list_transform({words}, {hashed}))[1], 33)"
 
 
@@ -178,17 +176,25 @@ _BODIES = {
         (SELECT genre FROM log GROUP BY genre ORDER BY count(*) DESC, genre LIMIT 1) AS top_genre FROM log""",
     "top_genres": "SELECT mood, array_to_string(learned, '|') AS learned FROM learned",
     "recommend_genres": f"SELECT event_id, mood, {_RECOMMENDED} FROM rec",
-    "recommend_with_defaults": f"""SELECT event_id, req.mood, array_to_string(coalesce(learned,
+    "recommend_with_defaults": f"""firsts AS (SELECT min(action_time) AS t FROM log GROUP BY mood),
+        cut AS (SELECT coalesce(max(t) FILTER (n = {LEARNED_AT_FIRST + 1}), TIMESTAMP '9999-01-01') AS t
+          FROM (SELECT t, row_number() OVER (ORDER BY t) AS n FROM firsts)),
+        early AS (SELECT mood, list(genre ORDER BY score DESC, genre)[1:{dims.TOP_GENRES}] AS learned FROM
+          (SELECT mood, genre, round(round(avg(confidence) * count(*), 8), 4) AS score FROM log, cut
+            WHERE action_time < cut.t GROUP BY mood, genre) GROUP BY mood)
+        SELECT event_id, req.mood, array_to_string(coalesce(learned,
         {_case("req.mood", dims.DEFAULT_GENRES, _list(dims.FALLBACK_GENRES))}), '|') AS recommended
-        FROM req LEFT JOIN learned ON req.mood = learned.mood
-          AND learned.mood IN ({", ".join(_text(m) for m in LEARNED_AT_FIRST)})""",
+        FROM req LEFT JOIN early ON req.mood = early.mood""",
     "primary_genre": "SELECT event_id, mood, genre, primary_genre FROM prim",
-    "search_phrase": f"""SELECT event_id, 'snippet' AS part,
-        concat_ws(' ', {_keyword()}, CASE WHEN primary_genre NOT IN ('', 'Any Genre') THEN primary_genre END,
+    "search_phrase": f"""made AS (SELECT *, 1 AS search, primary_genre AS g, {dims.PRIMARY_LIMIT} AS n FROM staged
+          UNION ALL SELECT *, 2, recommended[2], {dims.ALTERNATE_LIMIT} FROM staged WHERE n_1 < {dims.PLAYLIST_LENGTH}
+          UNION ALL SELECT *, 3, recommended[3], {dims.ALTERNATE_LIMIT} FROM staged WHERE n_1 + n_2 < {dims.PLAYLIST_LENGTH})
+        SELECT event_id, search, 'snippet' AS part,
+        concat_ws(' ', {_keyword()}, CASE WHEN g NOT IN ('', 'Any Genre') THEN g END,
           CASE WHEN language <> 'en' THEN language_name END, 'songs music') AS q,
-        'video' AS "type", '10' AS "videoCategoryId", {dims.PRIMARY_LIMIT} AS "maxResults",
+        'video' AS "type", '10' AS "videoCategoryId", n AS "maxResults",
         {_case("language", dims.REGIONS, "'US'")} AS "regionCode", language AS "relevanceLanguage",
-        'relevance' AS "order" FROM prim""",
+        'relevance' AS "order" FROM made WHERE g IS NOT NULL""",
     "catalogue_candidates": f"""SELECT event_id, p.language, primary_genre, count(video_id) AS n_candidates,
         coalesce(string_agg(video_id, '|' ORDER BY rank), '') AS video_ids
         FROM prim p LEFT JOIN ranked t ON t.language = p.language AND t.genre = p.primary_genre
@@ -216,11 +222,16 @@ _BODIES = {
     "debounce_with_manual": f"{_SENT} SELECT event_id, user_id, ts, mood, manual FROM sent",
     "asof_preferences": "SELECT * FROM preferred",
     "refresh_requests": f"""seen AS (SELECT event_id, user_id, ts,
-          CASE WHEN event_type = 'error' AND k < 5 THEN NULL ELSE {_case("event_type", MOOD_OF_EVENT)} END AS mood
+          CASE WHEN event_id % 9 = 0 THEN {_list(dims.MOODS)}[1 + k % {len(dims.MOODS)}]
+            WHEN event_type = 'error' AND k < 5 THEN NULL ELSE {_case("event_type", MOOD_OF_EVENT)} END AS mood
           FROM ev WHERE event_type <> 'click')
-        SELECT c.event_id, c.user_id, c.ts, s.mood, {dims.MANUAL_CONFIDENCE}::DOUBLE AS confidence,
-          true AS manual
-        FROM clicks c ASOF JOIN seen s ON c.user_id = s.user_id AND c.ts >= s.ts WHERE s.mood IS NOT NULL""",
+        SELECT c.event_id, c.user_id, c.ts, c.language_name, c.genre, s.mood,
+          {dims.MANUAL_CONFIDENCE}::DOUBLE AS confidence, true AS manual
+        FROM preferred c ASOF JOIN seen s ON c.user_id = s.user_id AND c.ts >= s.ts WHERE s.mood IS NOT NULL""",
+    "manual_requests": f"""SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, 'mood_update' AS action,
+        {_list(dims.MOODS)}[1 + k % {len(dims.MOODS)}] AS mood, {dims.MANUAL_CONFIDENCE}::DOUBLE AS confidence,
+        {CODES}[1 + k % 14] AS language, {NAMES}[1 + k % 14] AS language_name, {GENRES}[1 + k % 16] AS genre,
+        true AS manual, ts AS action_time FROM ev WHERE event_id % 9 = 0 AND event_type <> 'click'""",
     "action_payload": f"""SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, 'mood_update' AS action,
         'happy' AS mood, {dims.MANUAL_CONFIDENCE}::DOUBLE AS confidence,
         {_case("language_name", dims.LANGUAGES)} AS language, language_name, genre, false AS manual,
@@ -264,3 +275,50 @@ def _whole(body: str) -> str:
 
 
 BATCH: dict[str, str] = {key: _whole(body) for key, body in _BODIES.items()}
+
+
+# --- streams ------------------------------------------------------------------------------
+
+_PER_BATCH = "req log scores learned rec prim found staged pool mixed_up chosen lists served".split()
+
+
+def _unrolled(edges: list[str]) -> str:
+    """Serving batch by batch: each learns from what the batches before it served."""
+    shared = [n for n in CTES if n not in _PER_BATCH]
+    ctes = [f"{n} AS ({CTES[n]})" for n in [*shared[: shared.index("actions") + 1], "req", *shared[shared.index("actions") + 1 :]] if n in CTES]
+    bounds = ["TIMESTAMP '1900-01-01'", *[f"TIMESTAMP '{e}'" for e in edges], "TIMESTAMP '9999-01-01'"]
+    for k, (low, high) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        logged = [f"SELECT mood, primary_genre AS genre, confidence FROM served_{j}" for j in range(k)]
+        nothing = "SELECT mood, genre, confidence FROM req WHERE false"
+        ctes.append(f"req_{k} AS (SELECT * FROM req WHERE ts >= {low} AND ts < {high})")
+        ctes.append(f"log_{k} AS ({' UNION ALL '.join(logged) or nothing})")
+        for name in _PER_BATCH[2:]:
+            body = CTES[name]
+            for other in _PER_BATCH:
+                body = re.sub(rf"\b{other}\b", f"{other}_{k}", body)
+            ctes.append(f"{name}_{k} AS ({body})")
+    rows = [
+        f"""SELECT CAST(event_id AS VARCHAR) AS request, CAST(user_id AS VARCHAR) AS user_id, mood, genre, n_tracks, links,
+            array_to_string(recommended, '|') AS ml_recommendations FROM served_{k}"""
+        for k in range(len(edges) + 1)
+    ]
+    return "WITH " + ",\n".join(ctes) + "\n" + " UNION ALL ".join(rows)
+
+
+def stream_serve(edges: list[str]) -> str:
+    return _unrolled(edges)
+
+
+def stream_stats(edges: list[str], every: int = dims.STATS_EVERY) -> str:
+    """The reports of every ``every``-th batch: statistics so far, its number and its rows."""
+    bounds = ["1900-01-01", *edges, "9999-01-01"]
+    reports = []
+    for batch in range(every - 1, len(edges) + 1, every):
+        low, high = bounds[batch], bounds[batch + 1]
+        so_far = f"(SELECT * FROM log WHERE action_time < TIMESTAMP '{high}')"
+        reports.append(f"""SELECT count(*) AS total_interactions, count(DISTINCT mood) AS moods_learned,
+            count(DISTINCT genre) AS genres_seen,
+            (SELECT mood FROM {so_far} GROUP BY mood ORDER BY count(*) DESC, mood LIMIT 1) AS top_mood,
+            (SELECT genre FROM {so_far} GROUP BY genre ORDER BY count(*) DESC, genre LIMIT 1) AS top_genre,
+            count(*) FILTER (action_time >= TIMESTAMP '{low}') AS batch_rows, {batch}::BIGINT AS batch_id FROM {so_far}""")
+    return _whole(" UNION ALL ".join(reports))

@@ -16,12 +16,13 @@ from tempera.operators import learn, parse, publish, recommend, retrieve, sequen
 from tempera.operators import tracks as track_ops
 from tempera.operators.lookup import Lookup
 from tempera.plans.serve import SEED, WISH, answer_wishes, grant, once_per_wish, serve, staged_requests
-from tempera.session import materialise, shared_folder
+from tempera.session import shared_folder
 from tempera.sources import log, views
+from tempera.sources.topics import write_messages
 
 THROTTLE_GAP_SECONDS = 12 * 3600.0
 AS_OF = "2024-02-01 00:00:00"
-LEARNED_AT_FIRST = ["happy", "sad"]
+LEARNED_AT_FIRST = 2
 
 
 def joined(column: str) -> Column:
@@ -58,9 +59,18 @@ def served(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve(requests(spark, sf_dir), pools(spark, sf_dir), "event_id")
 
 
-def playlist_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Playlist messages, written and read back as a consumer gets them."""
-    return materialise(served(spark, sf_dir).select("event_id", publish.playlist_payload().alias("value")))
+def active_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those who reset their session at some time."""
+    return views.resets(spark, sf_dir).select(F.col("user_id").cast("string").alias("user_id"))
+
+
+def kept_playlists(messages: DataFrame, active: DataFrame) -> DataFrame:
+    """Playlist messages of the active users, read with the reader's defaults."""
+    defaults = F.lit(dims.DEFAULT_LANGUAGE_NAME), F.lit(dims.ANY_GENRE)
+    received = publish.received_playlists(publish.parse_playlists(messages), *defaults)
+    return session.own_playlists(received, active).select(
+        "event_id", "user_id", "mood", "language_name", "genre", F.size("playlist").alias("n_tracks")
+    )
 
 
 # --- parsing and learning -----------------------------------------------------------------
@@ -108,9 +118,14 @@ def recommend_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recommend_with_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As while learning begins: two moods have scores, the others take the defaults."""
-    known = scores(spark, sf_dir).filter(F.col("mood").isin(LEARNED_AT_FIRST))
-    out = recommend.recommend_genres(requests(spark, sf_dir), recommend.learned_genres(known))
+    """As while learning begins: the log ends before a third mood occurs, which and later ones take the defaults."""
+    whole = views.training_log(spark, sf_dir)
+    seen = whole.groupBy("mood").agg(F.min("action_time").alias("first")).orderBy("first").limit(LEARNED_AT_FIRST + 1)
+    firsts = [r["first"] for r in seen.collect()]
+    until = F.lit(firsts[-1]) if len(firsts) > LEARNED_AT_FIRST else None
+    early = whole if until is None else whole.filter(F.col("action_time") < until.cast("timestamp_ntz"))
+    learned = recommend.learned_genres(learn.genre_scores(early))
+    out = recommend.recommend_genres(requests(spark, sf_dir), learned)
     return out.select("event_id", "mood", joined("recommended"))
 
 
@@ -119,10 +134,30 @@ def primary_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = [F.col(c) for c in ("mood", "primary_genre", "language", "language_name", "event_id")]
-    phrase = search_phrase(*columns, SEED)
-    call = search_request(phrase, F.col("language"), dims.PRIMARY_LIMIT)
-    return recommended(spark, sf_dir).select("event_id", call.alias("call")).select("event_id", "call.*")
+    """The searches of each request: for the primary genre, and for alternates while too few tracks are found."""
+    learned, cells = searches(spark, sf_dir)
+    wanted, limits = dims.PLAYLIST_LENGTH, (dims.PRIMARY_LIMIT, dims.ALTERNATE_LIMIT, dims.ALTERNATE_LIMIT)
+
+    def answer(wishes: DataFrame) -> DataFrame:
+        staged = staged_requests(wishes, learned, cells)
+        second, third = F.get("recommended", F.lit(1)), F.get("recommended", F.lit(2))
+        found = F.size("stage_1")
+        genres = F.array(
+            F.col("primary_genre"), F.when(found < wanted, second), F.when(found + F.size("stage_2") < wanted, third)
+        )
+        return staged.select(*WISH, genres.alias("genres"))
+
+    asked = requests(spark, sf_dir)
+    each = grant(asked, once_per_wish(asked, answer), "genres").select(
+        "event_id", "mood", "language", "language_name", F.posexplode("genres").alias("at", "search_genre")
+    )
+    each = each.filter("search_genre is not null").withColumn("search", F.col("at") + 1)
+    limit = F.element_at(F.array(*[F.lit(n) for n in limits]), F.col("search"))
+    # Every search draws a keyword of its own.
+    draw = F.concat_ws("|", "event_id", "search")
+    phrase = search_phrase(*[F.col(c) for c in ("mood", "search_genre", "language", "language_name")], draw, SEED)
+    call = search_request(phrase, F.col("language"), limit)
+    return each.select("event_id", "search", call.alias("call")).select("event_id", "search", "call.*")
 
 
 def catalogue_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,8 +197,9 @@ def playlist_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def playlist_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = publish.parse_playlists(playlist_topic(spark, sf_dir))
-    return messages.select(
+    """Playlist messages as text, and what a consumer reads from it."""
+    messages = served(spark, sf_dir).select("event_id", publish.playlist_payload().alias("value"))
+    return publish.parse_playlists(messages).select(
         "event_id",
         "user_id",
         "source",
@@ -182,7 +218,7 @@ def playlist_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark)
     log.write_batch(publish.interactions(served(spark, sf_dir)), root, 0)
-    return log.read_batches(spark, root, log.LOG_SCHEMA).drop("batch_id")
+    return log.read_batches(spark, root, log.LOG_SCHEMA).drop("run", "batch_id")
 
 
 # --- sequences ----------------------------------------------------------------------------
@@ -215,20 +251,35 @@ def asof_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def refresh_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    detections = views.events(spark, sf_dir).filter("event_type <> 'click' and not (event_type = 'error' and k < 5)")
+    """Clicks that re-send the mood detected or chosen last, with the preferences of their time."""
+    by_hand = views.manual_requests(spark, sf_dir).select("event_id", "user_id", "ts", "mood")
+    detections = views.events(spark, sf_dir).filter(
+        "event_type <> 'click' and event_id % 9 <> 0 and not (event_type = 'error' and k < 5)"
+    )
     detections = detections.withColumn("mood", dims.lookup(views.MOOD_OF_EVENT, F.col("event_type")))
-    return sequence.refresh_requests(views.clicks(spark, sf_dir), detections, views.resets(spark, sf_dir))
+    detections = detections.select("event_id", "user_id", "ts", "mood").unionByName(by_hand)
+    resets = views.resets(spark, sf_dir).filter("event_id % 9 <> 0")
+    return sequence.refresh_requests(asof_preferences(spark, sf_dir), detections, resets)
+
+
+def manual_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests by hand with preferences for this once, as messages that are parsed again."""
+    rows = views.manual_requests(spark, sf_dir)
+    rows = rows.withColumn("confidence", F.lit(dims.MANUAL_CONFIDENCE)).withColumn("manual", F.lit(True))
+    return parse.parse_actions(rows.select("event_id", parse.action_payload("ts").alias("value"))).drop("song")
 
 
 def action_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clicks sent as actions with the preferences of their time, written and read back."""
+    """Clicks sent as actions with the preferences of their time, written to a sink and read back."""
     rows = (
         asof_preferences(spark, sf_dir)
         .withColumn("mood", F.lit("happy"))
         .withColumn("confidence", F.lit(dims.MANUAL_CONFIDENCE))
         .withColumn("manual", F.lit(False))
     )
-    return parse.parse_actions(rows.select("event_id", parse.action_payload("ts").alias("value"))).drop("song")
+    folder = shared_folder(spark)
+    write_messages(rows.select("event_id", parse.action_payload("ts").alias("value")), "parquet", folder, ("event_id",))
+    return parse.parse_actions(spark.read.schema("event_id bigint, value string").parquet(folder)).drop("song")
 
 
 # --- sessions -----------------------------------------------------------------------------
@@ -254,17 +305,11 @@ def latest_playlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages kept by the active users: those who reset their session at some time."""
-    received = publish.received_playlists(
-        publish.parse_playlists(playlist_topic(spark, sf_dir)),
-        F.lit(dims.DEFAULT_LANGUAGE_NAME),
-        F.lit(dims.ANY_GENRE),
-    )
-    active = views.resets(spark, sf_dir).select(F.col("user_id").cast("string").alias("user_id"))
-    own = session.own_playlists(received, active)
-    return own.select(
-        "event_id", "user_id", "mood", "language_name", "genre", F.size("playlist").alias("n_tracks")
-    )
+    """Messages kept by the active users. Only their requests are served: no other message would be kept."""
+    active = active_users(spark, sf_dir)
+    asked = session.own_playlists(requests(spark, sf_dir), active.select(F.col("user_id").cast("bigint").alias("user_id")))
+    lists = serve(asked, pools(spark, sf_dir), "event_id")
+    return kept_playlists(lists.select("event_id", publish.playlist_payload().alias("value")), active)
 
 
 def _session_stats(spark: SparkSession, sf_dir: str, resets: DataFrame | None) -> DataFrame:
@@ -334,6 +379,7 @@ BATCH: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "debounce_with_manual": debounce_with_manual,
     "asof_preferences": asof_preferences,
     "refresh_requests": refresh_requests,
+    "manual_requests": manual_requests,
     "action_payload": action_payload,
     "mood_history": mood_history,
     "latest_playlist": latest_playlist,

@@ -38,12 +38,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/tempera/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, *partitions: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the table read back.
 
     Cuts the lineage: a lost executor re-reads files instead of recomputing, and
-    every later pass sees the same rows with column pruning.
+    every later pass sees the same rows with column pruning. ``partitions`` name columns that
+    get folders of their own.
     """
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partitions).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    return table.select(df.columns) if partitions else table

@@ -1,37 +1,73 @@
-"""The interaction log and the score snapshots, both replay-safe by batch."""
+"""The interaction log and the score snapshots, replay-safe by run and batch.
+
+A run is the life of one checkpoint: batch ids start at 0 in each. Every batch of every run is a folder of its own, so a
+new checkpoint on an old log adds to it.
+"""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LOG_SCHEMA = "mood string, genre string, confidence double, language string, action_time timestamp_ntz"
 PARTS_SCHEMA = (
     "mood string, genre string, confidence_sum double, confidence_count bigint, interaction_count bigint"
 )
+RUNS_SCHEMA = "number int, parent string, parent_batch bigint, run string"
+FIRST_RUN = "0"
 
 
-def write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
+def write_batch(rows: DataFrame, root: str, batch_id: int, run: str = FIRST_RUN) -> None:
     """Write one batch. A replay replaces the batch, also when it is empty now."""
-    rows.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+    rows.write.mode("overwrite").parquet(f"{root}/run={run}/batch_id={batch_id}")
 
 
-def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """All batches with ``batch_id``; no rows, but the same columns, before the first write."""
-    full = f"{schema}, batch_id bigint"
+def _read(spark: SparkSession, path: str, schema: str, root: str) -> DataFrame | None:
     try:
-        return spark.read.schema(full).option("basePath", root).parquet(root)
+        return spark.read.schema(schema).option("basePath", root).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], full)
+        return None
 
 
-def read_batch(spark: SparkSession, root: str, batch_id: int, schema: str) -> DataFrame:
-    """One batch alone: a single folder is listed, whatever the age of the log."""
-    try:
-        return spark.read.schema(schema).parquet(f"{root}/batch_id={batch_id}")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """All batches with ``run`` and ``batch_id``; no rows, but the same columns, before the first write."""
+    full = f"{schema}, run string, batch_id bigint"
+    found = _read(spark, root, full, root)
+    return spark.createDataFrame([], full) if found is None else found
+
+
+def read_batch(spark: SparkSession, root: str, batch_id: int, schema: str, run: str = FIRST_RUN) -> DataFrame:
+    """One batch alone: a single folder is listed, whatever the age of the log. A missing batch is an error."""
+    path = f"{root}/run={run}/batch_id={batch_id}"
+    found = _read(spark, path, schema, path)
+    if found is None:
+        raise FileNotFoundError(f"no batch {batch_id} of run {run} in {root}")
+    return found
+
+
+def begin_run(spark: SparkSession, root: str, run: str, snapshots: str) -> tuple[str, int] | None:
+    """Where a run goes on from: the newest batch in ``snapshots`` of the run before it, or None for the first run.
+
+    Decided once and written down, so that a replay goes on from the same place.
+    """
+    runs = _read(spark, root, RUNS_SCHEMA, root)
+    known = {r["run"]: r for r in runs.collect()} if runs is not None else {}  # a row per checkpoint
+    if run not in known:
+        parent = None
+        for r in sorted(known.values(), key=lambda r: r["number"]):
+            path = f"{snapshots}/run={r['run']}"
+            written = _read(spark, path, "mood string, batch_id bigint", path)
+            newest = written.select(F.max("batch_id")).first()[0] if written is not None else None
+            if newest is not None:
+                parent = (r["run"], newest)
+        row = (len(known), *(parent or (None, None)))
+        spark.createDataFrame([row], "number int, parent string, parent_batch bigint").coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(f"{root}/run={run}")
+        return parent
+    mine = known[run]
+    return None if mine["parent"] is None else (mine["parent"], mine["parent_batch"])
+

@@ -32,9 +32,14 @@ def read_messages(
     return stream.withColumn("value", stream["value"].cast("string"))
 
 
-def write_messages(messages: DataFrame, sink: str, path: str | None = None, **options: str) -> None:
-    """Batch write of a ``value`` column, from a table or inside ``foreachBatch``."""
-    writer = messages.select("value").write.format(sink).options(**options)
+def write_messages(
+    messages: DataFrame, sink: str, path: str | None = None, beside: tuple[str, ...] = (), **options: str
+) -> None:
+    """Batch write of a ``value`` column, from a table or inside ``foreachBatch``.
+
+    ``beside`` names columns that go with it, such as a topic's ``key``.
+    """
+    writer = messages.select(*beside, "value").write.format(sink).options(**options)
     if path:
         writer.mode("append").save(path)
     else:

@@ -116,6 +116,7 @@ def resets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def emotion_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first seven elements of each vector stand for the scores of the seven labels."""
     entries = F.arrays_zip(
         dims.string_array(EMOTION_ORDER).alias("k"), F.slice("embedding", 1, len(EMOTION_ORDER)).alias("v")
     )
@@ -175,11 +176,30 @@ def search_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Interactions to learn from: mood updates with a chosen genre."""
-    rows = actions(spark, sf_dir)
+    """Interactions to learn from: every mood update, under the genre it was served with.
+
+    A request for any genre counts for the first default of its mood, which is what it gets before
+    anything is learned.
+    """
+    rows = actions(spark, sf_dir).filter(F.col("action") == dims.MOOD_UPDATE)
+    genre = or_default(F.col("genre"), dims.ANY_GENRE)
+    defaults = F.coalesce(dims.lookup(dims.DEFAULT_GENRES, F.col("mood")), dims.string_array(dims.FALLBACK_GENRES))
+    primary = F.when(genre == dims.ANY_GENRE, F.get(defaults, F.lit(0))).otherwise(genre)
+    return rows.select("mood", primary.alias("genre"), "confidence", "language", F.col("ts").alias("action_time"))
+
+
+def manual_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests sent by hand: mood, language and genre are chosen for this one request."""
+    k = F.col("k")
     return (
-        rows.filter(F.col("action") == dims.MOOD_UPDATE)
-        .withColumn("genre", or_default(F.col("genre"), dims.ANY_GENRE))
-        .filter(F.col("genre") != dims.ANY_GENRE)
-        .select("mood", "genre", "confidence", "language", F.col("ts").alias("action_time"))
+        events(spark, sf_dir)
+        .filter("event_id % 9 = 0 and event_type <> 'click'")
+        .select(
+            "event_id",
+            "user_id",
+            "ts",
+            nth(dims.MOODS, k % len(dims.MOODS)).alias("mood"),
+            nth(list(dims.LANGUAGES), k % 14).alias("language_name"),
+            nth(dims.GENRES, k % 16).alias("genre"),
+        )
     )

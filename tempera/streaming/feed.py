@@ -2,47 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tempera.functions.clock import micros
 from tempera.session import materialise, shared_folder
 
-ROWS_PER_SLICE = 5_000_000
+ROWS_PER_SLICE = 500_000_000
 ROWS_PER_FILE = 1_000_000
 LEAST_SLICES = 4
-LONGEST_SECONDS = 3600
 
 
 def stage_slices(
-    df: DataFrame, ts: str = "ts", key: str | None = None, slices: int = LEAST_SLICES, rows: int = ROWS_PER_SLICE
+    df: DataFrame,
+    ts: str = "ts",
+    key: str | None = None,
+    slices: int = LEAST_SLICES,
+    rows: int = ROWS_PER_SLICE,
+    edges: list[str] | None = None,
 ) -> tuple[str, int]:
     """Write ``df`` as files in time order, one slice of time after the other.
 
-    Returns the folder and the number of files of a slice. A stream reads files by age, so
-    it sees the slices in order. Inside a slice the rows are split by ``key``: the order of
-    a slice's files does not matter then. The number of slices grows with the table, so that
-    a micro-batch does not.
+    Returns the folder and the number of files of a slice. A stream reads files by age, so it sees the slices in
+    order. With ``edges`` (ascending times) a slice ends before each of them; else a range shuffle cuts the table into
+    as many slices as keep each at about ``rows``, and at least ``slices``. Rows of one time stay together, and rows without
+    a time are in the first slice. In a slice the rows are split by ``key``: the order of its files does not matter.
     """
     total = df.count()
-    count = max(slices, -(-total // rows))
+    if edges is None:
+        count = max(slices, -(-total // rows))
+        cut = df.withColumn("_at", micros(ts)).repartitionByRange(count, "_at").drop("_at")
+        cut = cut.withColumn("_slice", F.spark_partition_id())
+    else:
+        count = len(edges) + 1
+        cut = df.withColumn("_slice", _edges_passed(F.col(ts), edges))
     files = max(1, -(-total // (count * ROWS_PER_FILE)))
-    timed = materialise(df.withColumn("_at", micros(ts)).repartitionByRange("_at"))
-    cuts = timed.approxQuantile("_at", [i / count for i in range(1, count)], 0.001)
+    # One folder per slice: writing a slice reads no other.
+    timed = materialise(cut, "_slice")
     folder = shared_folder(df.sparkSession)
-    edges = [None, *cuts, None]
-    for low, high in zip(edges, edges[1:], strict=False):
-        after = F.lit(True) if low is None else F.col("_at") > low
-        until = F.lit(True) if high is None else F.col("_at") <= high
-        piece = timed.filter(after & until).drop("_at")
+    for k in range(count):
+        piece = timed.filter(F.col("_slice") == k).drop("_slice")
         split = piece.repartition(files, key) if key else piece.repartition(files)
         split.write.mode("append").parquet(folder)
     return folder, files
 
 
-def finish(query: StreamingQuery, seconds: int = LONGEST_SECONDS) -> None:
-    """Wait for a bounded stream; stop it and fail if it does not end."""
-    if not query.awaitTermination(seconds):
+def _edges_passed(at: Column, edges: list[str]) -> Column:
+    passed = F.lit(0)
+    for edge in edges:
+        passed = passed + F.coalesce(at >= F.lit(edge).cast("timestamp_ntz"), F.lit(False)).cast("int")
+    return passed
+
+
+def finish(query: StreamingQuery, seconds: float | None = None) -> None:
+    """Wait for a bounded stream. With ``seconds`` it is stopped and fails if it does not end in time."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"stream still active after {seconds} s")

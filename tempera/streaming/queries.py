@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,20 +10,23 @@ from pyspark.sql import functions as F
 
 from tempera import dims
 from tempera.operators import learn, parse, publish, retrieve
-from tempera.plans.queries import THROTTLE_GAP_SECONDS
+from tempera.plans.queries import THROTTLE_GAP_SECONDS, active_users, kept_playlists, served
 from tempera.session import shared_folder
 from tempera.sources import log, views
-from tempera.sources.topics import read_messages
+from tempera.sources.topics import read_messages, write_messages
 from tempera.streaming.feed import finish, stage_slices
 from tempera.streaming.service import STATS_SCHEMA, Service, learn_batch
 from tempera.streaming.stateful import stream_debounce, stream_throttle
 
-STATS_SLICES = 12
+#: Fixed cuts of the month of events: micro-batches of 180 hours for serving and of 60 for the statistics.
+MONTH = dt.datetime(2024, 1, 1)
+SERVE_EDGES = [str(MONTH + dt.timedelta(hours=180 * i)) for i in range(1, 4)]
+STATS_EDGES = [str(MONTH + dt.timedelta(hours=60 * i)) for i in range(1, 12)]
 
 
-def _source(spark: SparkSession, table: DataFrame, key: str | None = None, **slices: int) -> DataFrame:
+def _source(spark: SparkSession, table: DataFrame, key: str | None = None, edges: list[str] | None = None) -> DataFrame:
     """``table`` as a stream of at least four micro-batches in time order."""
-    folder, files = stage_slices(table, key=key, **slices)
+    folder, files = stage_slices(table, key=key, edges=edges)
     reader = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files)
     return reader.parquet(folder)
 
@@ -55,11 +59,12 @@ def stream_genre_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = []
 
     def handle(parts: DataFrame, batch_id: int) -> None:
-        log.write_batch(parts.coalesce(1), root, batch_id)
+        log.write_batch(parts, root, batch_id)
         last[:] = [batch_id]
 
     _each_batch(learn.score_parts(source), handle, "complete")
-    return learn.scores_from_parts(log.read_batch(spark, root, last[0] if last else 0, log.PARTS_SCHEMA))
+    parts = log.read_batch(spark, root, last[0], log.PARTS_SCHEMA) if last else spark.createDataFrame([], log.PARTS_SCHEMA)
+    return learn.scores_from_parts(parts)
 
 
 def stream_throttled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,13 +82,14 @@ def stream_debounced_with_manual(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_serve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Playlists served while the scores are learned from the batches before."""
-    folder, files = stage_slices(views.action_messages(spark, sf_dir).select("ts", "value"))
-    columns = "ts timestamp_ntz, value string"
+    table = views.action_messages(spark, sf_dir)
+    folder, files = stage_slices(table, edges=SERVE_EDGES)
+    columns = "event_id bigint, ts timestamp_ntz, value string"
     messages = read_messages(spark, "parquet", folder, columns, maxFilesPerTrigger=str(files))
-    service = Service(shared_folder(spark), retrieve.catalogue(views.tracks(spark, sf_dir)))
+    service = Service(shared_folder(spark), retrieve.catalogue(views.tracks(spark, sf_dir)), key="event_id")
     finish(service.start(messages, shared_folder(spark), availableNow=True))
     rows = log.read_batches(spark, f"{service.root}/playlists", "request string, value string")
-    lists = publish.parse_playlists(rows.drop("batch_id"))
+    lists = publish.parse_playlists(rows.drop("run", "batch_id"))
     return lists.select(
         "request",
         "user_id",
@@ -95,17 +101,26 @@ def stream_serve(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_user_playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The playlist topic as a stream, of which active users keep their own messages."""
+    folder = shared_folder(spark)
+    messages = served(spark, sf_dir).select("event_id", publish.playlist_payload().alias("value"))
+    write_messages(messages, "parquet", folder, ("event_id",))
+    topic = read_messages(spark, "parquet", folder, "event_id bigint, value string")
+    return _appended(kept_playlists(topic, active_users(spark, sf_dir)))
+
+
 def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Interactions per batch are logged; every tenth batch reports the statistics so far."""
     table = views.training_log(spark, sf_dir).withColumnRenamed("action_time", "ts")
-    source = _source(spark, table, slices=STATS_SLICES).withColumnRenamed("ts", "action_time")
+    source = _source(spark, table, edges=STATS_EDGES).withColumnRenamed("ts", "action_time")
     root = shared_folder(spark)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         learn_batch(batch, root, batch_id, dims.STATS_EVERY)
 
     _each_batch(source, handle)
-    return log.read_batches(spark, f"{root}/stats", STATS_SCHEMA)
+    return log.read_batches(spark, f"{root}/stats", STATS_SCHEMA).drop("run")
 
 
 STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -116,6 +131,7 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_debounce_with_manual": stream_debounced_with_manual,
     "stream_serve": stream_serve,
     "stream_stats": stream_stats,
+    "stream_user_playlists": stream_user_playlists,
 }
 
 # A stream gives the rows of its batch twin, so it is checked by the same SQL.
@@ -125,4 +141,5 @@ BATCH_TWIN = {
     "stream_throttle": "throttle_detections",
     "stream_debounce": "debounce_moods",
     "stream_debounce_with_manual": "debounce_with_manual",
+    "stream_user_playlists": "user_playlists",
 }

@@ -2,35 +2,40 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tempera import dims
 from tempera.operators.learn import merge_parts, score_parts, scores_from_parts, stats_from_parts
 from tempera.operators.lookup import Lookup
-from tempera.operators.parse import clean_requests, parse_actions, rejected_actions
+from tempera.operators.parse import clean_requests, parse_actions, rejection
 from tempera.operators.publish import interactions, playlist_payload
 from tempera.operators.recommend import learned_genres
 from tempera.plans.serve import SEED, answer_wishes, serve
-from tempera.sources.log import LOG_SCHEMA, PARTS_SCHEMA, read_batch, write_batch
+from tempera.sources.log import FIRST_RUN, LOG_SCHEMA, PARTS_SCHEMA, begin_run, read_batch, write_batch
 
 PLAYLIST_SCHEMA = f"request string, user_id string, value string, primary_genre string, {LOG_SCHEMA}"
 STATS_SCHEMA = (
-    "total_interactions bigint, moods_learned bigint, genres_seen bigint, top_mood string, top_genre string"
+    "total_interactions bigint, moods_learned bigint, genres_seen bigint, top_mood string, top_genre string, "
+    "batch_rows bigint"
 )
 
 
 @dataclass(frozen=True)
 class Service:
-    """Handler of micro-batches. Everything it writes is one folder per batch, replaced on replay.
+    """Handler of micro-batches. Everything it writes is one folder per run and batch, replaced on replay.
 
     All requests of a batch see the scores as they were before the batch. So a replay of the
-    batch reads the same snapshot and writes the same rows. ``deliver`` sends the playlist
-    messages on, for instance to a topic; a replay sends them again.
+    batch reads the same snapshot and writes the same rows. A run is the life of one checkpoint; a new one goes on from the
+    newest snapshot of those before. ``key`` names a column that identifies a message, such as its place in a topic;
+    without it a message is known by its text and how often that occurred in the batch before. ``deliver`` sends
+    the playlist messages on, for instance to a topic; a replay sends them again.
     """
 
     root: str
@@ -39,59 +44,93 @@ class Service:
     integer_confidence: bool = False
     stats_every: int = dims.STATS_EVERY
     deliver: Callable[[DataFrame], None] | None = None
+    key: str | None = None
 
-    def handle(self, messages: DataFrame, batch_id: int) -> None:
+    def handle(self, messages: DataFrame, batch_id: int, run: str = FIRST_RUN) -> None:
         spark = messages.sparkSession
-        before = read_batch(spark, f"{self.root}/scores", batch_id - 1, PARTS_SCHEMA)
-        batch = messages.select("value").persist()
-        if batch.isEmpty():
-            write_batch(before.coalesce(1), f"{self.root}/scores", batch_id)
+        before = scores_before(spark, self.root, batch_id, run)
+        named = [F.col(self.key).cast("string").alias("_name")] if self.key else []
+        raw = messages.select(F.col("value").cast("string").alias("value"), F.col("value").cast("string").alias("_text"), *named)
+        # Parsed once for all that follows.
+        batch = parse_actions(raw, integer_confidence=self.integer_confidence).withColumn("reason", rejection()).persist()
+        try:
+            if batch.isEmpty():
+                write_batch(before, f"{self.root}/scores", batch_id, run)
+                return
+            rejected = batch.filter("reason is not null").select(F.col("_text").alias("value"), "reason")
+            write_batch(rejected, f"{self.root}/rejected", batch_id, run)
+            requests = clean_requests(batch).withColumn("request", self._request())
+            learned = learned_genres(scores_from_parts(before))
+            served = serve(requests, answer_wishes(requests, learned, self.cells), "request", self.seed)
+            rows = served.select(
+                "request",
+                "user_id",
+                playlist_payload().alias("value"),
+                "primary_genre",
+                "mood",
+                "genre",
+                F.col("confidence").cast("double").alias("confidence"),
+                "language",
+                "action_time",
+            )
+            write_batch(rows, f"{self.root}/playlists", batch_id, run)
+            # Read back, so that log and delivery do not serve the batch a second time.
+            written = read_batch(spark, f"{self.root}/playlists", batch_id, PLAYLIST_SCHEMA, run)
+            learn_batch(interactions(written), self.root, batch_id, self.stats_every, run, batch.count())
+            if self.deliver:
+                self.deliver(written)
+        finally:
             batch.unpersist()
-            return
-        write_batch(rejected_actions(batch), f"{self.root}/rejected", batch_id)
-        actions = parse_actions(batch, integer_confidence=self.integer_confidence)
-        requests = clean_requests(actions).withColumn("request", F.concat_ws("|", "user_id", "action_time", "mood"))
-        learned = learned_genres(scores_from_parts(before))
-        served = serve(requests, answer_wishes(requests, learned, self.cells), "request", self.seed)
-        rows = served.select(
-            "request",
-            "user_id",
-            playlist_payload().alias("value"),
-            "primary_genre",
-            "mood",
-            "genre",
-            F.col("confidence").cast("double").alias("confidence"),
-            "language",
-            "action_time",
-        )
-        write_batch(rows, f"{self.root}/playlists", batch_id)
-        # Read back, so that log and delivery do not serve the batch a second time.
-        written = read_batch(spark, f"{self.root}/playlists", batch_id, PLAYLIST_SCHEMA)
-        learn_batch(interactions(written), self.root, batch_id, self.stats_every)
-        if self.deliver:
-            self.deliver(written)
-        batch.unpersist()
+
+    def _request(self):
+        if self.key:
+            return F.col("_name")
+        same = F.md5("_text")
+        return F.concat_ws("-", same, F.row_number().over(W.partitionBy(same).orderBy(F.lit(0))))
 
     def start(self, messages: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Start serving; the default trigger is a micro-batch every two seconds."""
+
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            self.handle(batch, batch_id, run_of(batch.sparkSession, checkpoint))
+
         return (
-            messages.writeStream.foreachBatch(self.handle)
+            messages.writeStream.foreachBatch(handle)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "2 seconds"}))
             .start()
         )
 
 
-def learn_batch(rows: DataFrame, root: str, batch_id: int, stats_every: int) -> None:
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint keeps over restarts; a new checkpoint has a new one."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def scores_before(spark: SparkSession, root: str, batch_id: int, run: str = FIRST_RUN) -> DataFrame:
+    """The snapshot that a batch starts from. Only the first batch of the first run has none; a lost one is an error."""
+    if batch_id > 0:
+        return read_batch(spark, f"{root}/scores", batch_id - 1, PARTS_SCHEMA, run)
+    parent = begin_run(spark, f"{root}/runs", run, f"{root}/scores")
+    if parent is None:
+        return spark.createDataFrame([], PARTS_SCHEMA)
+    return read_batch(spark, f"{root}/scores", parent[1], PARTS_SCHEMA, parent[0])
+
+
+def learn_batch(
+    rows: DataFrame, root: str, batch_id: int, stats_every: int, run: str = FIRST_RUN, batch_rows: int | None = None
+) -> None:
     """Log interactions and add them to the scores; report with every ``stats_every``-th batch.
 
-    The report comes from the small score snapshot, not from the log.
+    The report comes from the small score snapshot, not from the log. ``batch_rows`` is the number of messages of the
+    batch, by default that of its interactions.
     """
     spark = rows.sparkSession
-    write_batch(rows, f"{root}/log", batch_id)
-    before = read_batch(spark, f"{root}/scores", batch_id - 1, PARTS_SCHEMA)
-    new = score_parts(read_batch(spark, f"{root}/log", batch_id, LOG_SCHEMA))
-    write_batch(merge_parts(before, new).coalesce(1), f"{root}/scores", batch_id)
+    write_batch(rows, f"{root}/log", batch_id, run)
+    logged = read_batch(spark, f"{root}/log", batch_id, LOG_SCHEMA, run)
+    new = score_parts(logged)
+    write_batch(merge_parts(scores_before(spark, root, batch_id, run), new), f"{root}/scores", batch_id, run)
     if (batch_id + 1) % stats_every == 0:
-        parts = read_batch(spark, f"{root}/scores", batch_id, PARTS_SCHEMA)
-        write_batch(stats_from_parts(parts).coalesce(1), f"{root}/stats", batch_id)
+        parts = read_batch(spark, f"{root}/scores", batch_id, PARTS_SCHEMA, run)
+        n = logged.count() if batch_rows is None else batch_rows
+        write_batch(stats_from_parts(parts).withColumn("batch_rows", F.lit(n).cast("bigint")), f"{root}/stats", batch_id, run)

@@ -22,7 +22,7 @@ def test_salted_equals_broadcast(spark, how):
     left, right = tables(spark)
     keys = {"k": "k", "j": "j"}
     taken = {} if how == "left_semi" else {"name": "found"}
-    small, large = Lookup(right), Lookup(right, max_rows=3)
+    small, large = Lookup(right), Lookup(right, max_rows=3, rows_per_task=100)
     assert small.small and not large.small
     a = small.join(left, keys, taken, how)
     b = large.join(left, keys, taken, how)
@@ -37,7 +37,7 @@ def test_hot_key_is_spread(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = Lookup(right, max_rows=3).join(left, {"k": "k", "j": "j"}, {"name": "found"})
+        joined = Lookup(right, max_rows=3, rows_per_task=60).join(left, {"k": "k", "j": "j"}, {"name": "found"})
         parts = joined.filter("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")

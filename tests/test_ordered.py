@@ -137,6 +137,46 @@ def test_throttle_of_a_regular_hot_user(spark, step, gap):
     assert ids(sequence.throttle(frame(spark, rows), gap, max_rows=30)) == kept_ids(rows, gap)
 
 
+@pytest.mark.parametrize("step,gap", [(1, 100), (1, 333), (0.5, 60)])
+def test_throttle_of_a_dense_hot_user(spark, step, gap):
+    """The gap spans many chunks; their steps pass in small batches, and no task folds a key at once."""
+    rows = [(i, "hot", START + dt.timedelta(seconds=step * i), "m", False) for i in range(1200)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert ids(sequence.throttle(frame(spark, rows), gap, max_rows=20)) == kept_ids(rows, gap)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@SIZES
+def test_null_moods_are_moods(spark, max_rows):
+    rows = [r if r[0] % 4 else (*r[:3], None, r[4]) for r in readings(9, moods=("happy", None))]
+    out = sequence.mood_runs(frame(spark, rows), max_rows=max_rows).collect()
+    expected = {}
+    for mine in by_user(rows).values():
+        pending, run = None, 0
+        for event, _, _, mood, _ in mine:
+            run, pending = (run + 1 if mood == pending else 1), mood
+            expected[event] = run
+    assert {r.event_id: r.run_position for r in out} == expected
+    for count in (1, 2):
+        out = sequence.debounce(frame(spark, rows), count, manual="manual", max_rows=max_rows)
+        assert ids(out) == sent_ids(rows, count, "manual")
+
+
+def test_null_moods_between_others(spark):
+    rows = [(i, "u", START + dt.timedelta(seconds=i), m, False) for i, m in enumerate(["a", None, "b"])]
+    assert sorted((r.event_id, r.run_position) for r in sequence.mood_runs(frame(spark, rows)).collect()) == [(0, 1), (1, 1), (2, 1)]
+    assert ids(sequence.debounce(frame(spark, rows))) == []
+
+
+def test_throttle_keeps_readings_without_a_time(spark):
+    rows = readings(10, 50) + [(100 + i, "hot", None, "m", False) for i in range(5)]
+    kept = ids(sequence.throttle(frame(spark, rows), 10))
+    assert [i for i in kept if i >= 100] == [100, 101, 102, 103, 104]
+    assert [i for i in kept if i < 100] == kept_ids(readings(10, 50), 10)
+
+
 def test_throttle_is_a_chain_and_not_a_window(spark):
     rows = [(i, "u", START + dt.timedelta(seconds=s), "m", False) for i, s in enumerate([0, 9, 11, 19, 20, 21, 31])]
     assert ids(sequence.throttle(frame(spark, rows), 10)) == [0, 2, 5, 6]

@@ -5,7 +5,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
-from test_ordered import by_user, frame, kept_ids, readings, sent_ids
+from test_ordered import START, by_user, frame, ids, kept_ids, readings, sent_ids
 from test_serve import serve, shop
 
 from tempera.operators import learn, parse, recommend
@@ -13,7 +13,7 @@ from tempera.operators.publish import parse_playlists
 from tempera.session import shared_folder
 from tempera.sources import log
 from tempera.sources.topics import kafka_options, read_messages, write_messages
-from tempera.streaming.feed import finish
+from tempera.streaming.feed import finish, stage_slices
 from tempera.streaming.service import PLAYLIST_SCHEMA, Service
 from tempera.streaming.stateful import stream_debounce, stream_throttle
 
@@ -75,7 +75,13 @@ def expected_playlists(spark, cells):
     logged, out = spark.createDataFrame([], log.LOG_SCHEMA), []
     for texts in BATCHES:
         requests = parse.clean_requests(parse.parse_actions(spark.createDataFrame([(t,) for t in texts], "value string")))
-        requests = requests.withColumn("request", F.concat_ws("|", "user_id", "action_time", "mood"))
+        key = F.concat(F.md5("value"), F.lit("-1"))
+        requests = requests.join(
+            spark.createDataFrame([(t,) for t in texts], "value string").select(
+                key.alias("request"), F.get_json_object("value", "$.user_id").alias("user_id")
+            ),
+            "user_id",
+        )
         rows = serve(requests, recommend.learned_genres(learn.genre_scores(logged)), cells, "request").collect()
         out += [(r.user_id, r.primary_genre, [t.youtube_url for t in r.playlist], r.recommended) for r in rows]
         new = [(r.mood, r.primary_genre, r.confidence, r.language, r.action_time) for r in rows]
@@ -104,18 +110,49 @@ def test_service_learns_between_batches_and_survives_replay(spark):
     expected, logged = expected_playlists(spark, cells)
     assert written_playlists(spark, service) == expected
     assert ("u1", "B") in [(u, g) for u, g, *_ in expected]  # learned: B is above A for sad
-    scores = learn.scores_from_parts(log.read_batch(spark, f"{service.root}/scores", 2, log.PARTS_SCHEMA))
+    run = log.read_batches(spark, f"{service.root}/scores", log.PARTS_SCHEMA).first().run
+    scores = learn.scores_from_parts(log.read_batch(spark, f"{service.root}/scores", 2, log.PARTS_SCHEMA, run))
     assert sorted(scores.collect()) == sorted(learn.genre_scores(logged).collect())
     rejected = log.read_batches(spark, f"{service.root}/rejected", "value string, reason string")
     assert sorted(r.reason for r in rejected.collect()) == ["no mood", "not a mood update", "unreadable message"]
-    stats = log.read_batches(spark, f"{service.root}/stats", "total_interactions bigint")
-    assert [(r.batch_id, r.total_interactions) for r in stats.collect()] == [(1, 5)]
+    stats = log.read_batches(spark, f"{service.root}/stats", "total_interactions bigint, batch_rows bigint")
+    assert [(r.batch_id, r.total_interactions, r.batch_rows) for r in stats.collect()] == [(1, 5, 4)]
 
     # A batch that runs again writes what it wrote, although the log has grown since.
-    service.handle(spark.createDataFrame([(t,) for t in BATCHES[1]], "value string"), 1)
+    service.handle(spark.createDataFrame([(t,) for t in BATCHES[1]], "value string"), 1, run)
     assert written_playlists(spark, service) == expected
     assert log.read_batches(spark, f"{service.root}/log", log.LOG_SCHEMA).count() == logged.count()
 
+    # A new checkpoint on the same folder reads all messages again: it adds to the log, from the scores learned so far.
+    finish(service.start(read_messages(spark, "text", source), shared_folder(spark), availableNow=True), 120)
+    rows = log.read_batches(spark, f"{service.root}/log", log.LOG_SCHEMA)
+    assert rows.select("run").distinct().count() == 2 and rows.count() == 2 * logged.count()
+    newest = log.read_batches(spark, f"{service.root}/scores", log.PARTS_SCHEMA).filter(F.col("run") != run)
+    assert newest.filter("batch_id = 0").agg(F.sum("interaction_count")).first()[0] == 2 * logged.count()
+
+
+def test_a_lost_snapshot_is_an_error(spark):
+    service = Service(shared_folder(spark), shop(spark, {"A": 9}))
+    first = spark.createDataFrame([(message("u", "sad", 1, "A"),)], "value string")
+    service.handle(first, 0)
+    with pytest.raises(FileNotFoundError):
+        service.handle(first, 7)
+
+
+def test_equal_messages_are_requests_of_their_own(spark):
+    service = Service(shared_folder(spark), shop(spark, {"A": 40}))
+    text = message("u", "sad", 1, "A")
+    service.handle(spark.createDataFrame([(text,)] * 3, "value string"), 0)
+    rows = log.read_batches(spark, f"{service.root}/playlists", "request string, value string").collect()
+    assert len({r.request for r in rows}) == 3 and len({r.value for r in rows}) == 3
+
+
+def test_rows_without_a_time_are_staged(spark):
+    rows = [(i, "u", START + dt.timedelta(seconds=i) if i % 10 else None, "m", False) for i in range(100)]
+    for edges in (None, [str(START + dt.timedelta(seconds=50))]):
+        folder, _ = stage_slices(frame(spark, rows), edges=edges)
+        assert ids(spark.read.schema(SCHEMA).parquet(folder)) == list(range(100))
+
 
 def test_empty_batch_keeps_the_scores(spark):
     delivered = []
