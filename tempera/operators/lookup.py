@@ -6,22 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tempera.session import materialise
+from tempera.session import measured
 
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_TASK = 5_000_000
 
 
-def is_small(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Whether ``table`` may be broadcast, by its rows and the bytes of their text form.
-
-    Call it on a materialised table. One pass measures both; it reads no more rows than decide.
-    """
-    text = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
-    some = table.select(text.alias("n")).limit(max_rows + 1)
-    rows, size = some.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
+def may_broadcast(rows: int, size: int) -> bool:
+    """Whether a table of so many rows and bytes is small enough."""
+    return rows <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
 
 
 class Lookup:
@@ -40,8 +34,8 @@ class Lookup:
         max_bytes: int = MAX_BROADCAST_BYTES,
         rows_per_task: int = ROWS_PER_TASK,
     ):
-        self.table = materialise(table)
-        self.small = is_small(self.table, max_rows, max_bytes)
+        self.table, rows, size = measured(table)
+        self.small = rows <= max_rows and size <= max_bytes
         self.rows_per_task = rows_per_task
 
     def join(self, df: DataFrame, on: dict[str, str], take: dict[str, str], how: str = "left") -> DataFrame:
@@ -60,8 +54,8 @@ class Lookup:
         mine = [m for m, _ in pairs]
         counts = df.groupBy(*mine).agg(F.count("*").alias("_n")).filter(F.col("_n") > self.rows_per_task)
         buckets = F.ceil(F.col("_n") / self.rows_per_task).cast("int").alias("_salts")
-        hot = materialise(counts.select(*[F.col(m).alias(f"_hot_{i}") for i, m in enumerate(mine)], buckets))
-        hot = F.broadcast(hot) if is_small(hot) else hot
+        hot, *size = measured(counts.select(*[F.col(m).alias(f"_hot_{i}") for i, m in enumerate(mine)], buckets))
+        hot = F.broadcast(hot) if may_broadcast(*size) else hot
         # The salt follows from the row itself, so a task that runs again puts it in the same
         # bucket. Rows that are copies in all columns share one; AQE's skew join splits those.
         hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]

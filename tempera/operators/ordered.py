@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tempera.operators.lookup import is_small
-from tempera.session import materialise
+from tempera.operators.lookup import may_broadcast
+from tempera.session import materialise, measured
 
 MAX_ROWS = 5_000_000
 PARTS = ["_hot", "_chunk"]
@@ -103,8 +103,8 @@ class Ordered:
         A small table is broadcast, which keeps the order of the rows for the next step. A large one is shuffled
         to the chunks; the rows stay where they are, as they are partitioned and sorted by chunk already.
         """
-        other = materialise(carry.select(*[F.col(p).alias(f"_{p}") for p in PARTS], "_carry"))
-        if is_small(other):
+        other, *size = measured(carry.select(*[F.col(p).alias(f"_{p}") for p in PARTS], "_carry"))
+        if may_broadcast(*size):
             other = F.broadcast(other)
         return out.join(other, [out[p] == other[f"_{p}"] for p in PARTS], "left").drop(*[f"_{p}" for p in PARTS])
 
@@ -116,12 +116,11 @@ def split(df: DataFrame, key: str, order: tuple[str, ...], max_rows: int = MAX_R
     equal times. A chunk has about ``max_rows`` rows, whatever the size of the table.
     """
     counts = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_rows)
-    hot = materialise(counts.withColumn("_hot", F.monotonically_increasing_id()))
-    keys, rows = hot.agg(F.count("*"), F.sum("_n")).first()
-    if not keys:
+    hot, *size = measured(counts.withColumn("_hot", F.monotonically_increasing_id()))
+    if not size[0]:
         return [Ordered(df, key, order)]
-    listed = hot.drop("_n")
-    listed = F.broadcast(listed) if is_small(listed) else listed
+    rows = hot.agg(F.sum("_n")).first()[0]
+    listed = F.broadcast(hot.drop("_n")) if may_broadcast(*size) else hot.drop("_n")
     same = df[key].eqNullSafe(listed["_key"])
     cold = df.join(listed, same, "left_anti")
     chunks = -(-rows // max_rows) + 1

@@ -73,6 +73,24 @@ def throttle(
     return out.unionByName(untimed)
 
 
+def chain(times: np.ndarray, gap: int) -> np.ndarray:
+    """Positions of the first of the ascending ``times`` and of each next one at least ``gap`` after the one before.
+
+    Every round doubles the part of the chain that is known and the length of the jumps.
+    """
+    n = len(times)
+    jump = np.append(np.searchsorted(times, times + gap), n)
+    seen = np.zeros(1, np.int64)
+    while True:
+        more = jump[seen]
+        more = more[more < n]
+        whole = len(more) == len(seen)
+        seen = np.append(seen, more)
+        if not whole:
+            return seen
+        jump = jump[jump]
+
+
 def _keep(gap: int):
     """Filter of sorted batches; ``_first`` marks a new fold, which starts from ``_entry``.
 
@@ -106,10 +124,10 @@ def _keep(gap: int):
                 elif first[b]:
                     due = int(entry[b]) + gap
                 i += int(np.searchsorted(times[i:e], due))
-                while i < e:
-                    kept[i] = True
-                    due = int(times[i]) + gap
-                    i += 1 + int(np.searchsorted(times[i + 1 : e], due))
+                if i < e:
+                    chosen = i + chain(times[i:e], gap)
+                    kept[chosen] = True
+                    due = int(times[chosen[-1]]) + gap
             yield batch.filter(pa.array(kept))
 
     return run
@@ -238,10 +256,29 @@ def mood_history(
     length: int = dims.HISTORY_LENGTH,
     shown: int = dims.HISTORY_SHOWN,
     max_rows: int = MAX_ROWS,
+    resets: DataFrame | None = None,
 ) -> DataFrame:
-    """Adds ``history``, the last moods of the user, and ``history_text``, the newest as emoji."""
+    """Adds ``history``, the last moods of the user, and ``history_text``, the newest as emoji.
+
+    A reset forgets the readings up to its time.
+    """
     known = readings.filter("mood is not null")
-    out = over_sequence(known, key, order, lambda seq: seq.recent("history", F.col("mood"), length), max_rows)
+    if resets is None:
+        out = over_sequence(known, key, order, lambda seq: seq.recent("history", F.col("mood"), length), max_rows)
+    else:
+        ts, order_id = order
+        marked = known.withColumn("_kind", F.lit(0)).unionByName(
+            resets.select(key, ts, order_id).withColumn("_kind", F.lit(1)), allowMissingColumns=True
+        )
+
+        def steps(seq: Ordered) -> Ordered:
+            seq = seq.last_known("_since", F.when(F.col("_kind") == 1, F.col(order_id)))
+            seq = Ordered(seq.df.filter("_kind = 0"), seq.key, seq.order, seq.split)
+            return seq.recent("history", F.struct("mood", "_since"), length)
+
+        out = over_sequence(marked, key, (ts, "_kind", order_id), steps, max_rows)
+        mine = F.filter("history", lambda h: h["_since"].eqNullSafe(F.col("_since")))
+        out = out.withColumn("history", F.transform(mine, lambda h: h["mood"])).select(*readings.columns, "history")
     newest = F.slice("history", F.greatest(F.size("history") - F.lit(shown - 1), F.lit(1)), shown)
     emoji = F.transform(newest, lambda m: F.coalesce(dims.lookup(dims.MOOD_EMOJI, m), F.lit(dims.DEFAULT_EMOJI)))
     return out.withColumn("history_text", F.array_join(emoji, " → "))

@@ -132,7 +132,12 @@ _SENT = f"""{_runs("(SELECT * FROM readings WHERE NOT manual)")},
 _LATEST = "SELECT * FROM served QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"
 
 
-def _stats(fresh_join: str, fresh: str) -> str:
+_SINCE_RESET = "LEFT JOIN last_reset z ON z.user_id = x.user_id", "reset IS NULL OR x.ts > reset"
+
+
+def _sessions(fresh_join: str, fresh: str) -> str:
+    """Table expressions that end in ``sessions``, the counters of each user."""
+
     def kept(rows: str) -> str:
         return f"SELECT x.* FROM {rows} x {fresh_join} WHERE {fresh}"
 
@@ -142,12 +147,14 @@ def _stats(fresh_join: str, fresh: str) -> str:
       s AS (SELECT user_id, count(*) AS n FROM ({kept("sent")}) GROUP BY user_id),
       p AS (SELECT user_id, arg_max(n_tracks, ts) AS n FROM ({kept("served")}) GROUP BY user_id),
       t AS (SELECT user_id, max(ts) AS last_reading FROM readings WHERE NOT manual GROUP BY user_id),
-      u AS (SELECT user_id FROM t UNION SELECT user_id FROM s UNION SELECT user_id FROM p)
-    SELECT u.user_id, substr(CAST(u.user_id AS VARCHAR), 1, 12) AS user_label,
+      told AS (SELECT user_id, array_to_string(list(mood ORDER BY ts, event_id)[-{dims.HISTORY_LENGTH}:], '|') AS history
+        FROM ({kept("(SELECT * FROM readings WHERE NOT manual)")}) GROUP BY user_id),
+      u AS (SELECT user_id FROM t UNION SELECT user_id FROM s UNION SELECT user_id FROM p),
+      sessions AS (SELECT u.user_id, substr(CAST(u.user_id AS VARCHAR), 1, 12) AS user_label,
       coalesce(d.n, 0) AS detections, coalesce(s.n, 0) AS sends, coalesce(p.n, 0) AS tracks_in_queue,
       last_reading, date_sub('second', last_reading, TIMESTAMP '{AS_OF}') AS seconds_since_reading
     FROM u LEFT JOIN d USING (user_id) LEFT JOIN s USING (user_id) LEFT JOIN p USING (user_id)
-      LEFT JOIN t USING (user_id)"""
+      LEFT JOIN t USING (user_id))"""
 
 
 def _keyword() -> str:
@@ -241,11 +248,19 @@ _BODIES = {
         SELECT event_id, user_id, array_to_string(history, '|') AS history,
           array_to_string(list_transform(history[-{dims.HISTORY_SHOWN}:],
             lambda m: {_case("m", dims.MOOD_EMOJI, _text(dims.DEFAULT_EMOJI))}), ' → ') AS history_text FROM h""",
+    "mood_history_reset": f"""marked AS (SELECT r.event_id, r.user_id, r.ts, r.mood,
+          max(z.ts) AS since FROM readings r LEFT JOIN resets z ON z.user_id = r.user_id AND z.ts < r.ts
+          GROUP BY r.event_id, r.user_id, r.ts, r.mood),
+        h AS (SELECT event_id, user_id, list(mood) OVER (PARTITION BY user_id, since ORDER BY ts, event_id
+          ROWS BETWEEN {dims.HISTORY_LENGTH - 1} PRECEDING AND CURRENT ROW) AS history FROM marked)
+        SELECT event_id, user_id, array_to_string(history, '|') AS history,
+          array_to_string(list_transform(history[-{dims.HISTORY_SHOWN}:],
+            lambda m: {_case("m", dims.MOOD_EMOJI, _text(dims.DEFAULT_EMOJI))}), ' → ') AS history_text FROM h""",
     "latest_playlist": f"SELECT user_id, event_id, mood, n_tracks, video_ids FROM ({_LATEST})",
     "user_playlists": """SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, mood, language_name, genre, n_tracks
         FROM served WHERE user_id IN (SELECT user_id FROM resets)""",
-    "session_stats": _stats("", "true"),
-    "session_stats_reset": _stats("LEFT JOIN last_reset z ON z.user_id = x.user_id", "reset IS NULL OR x.ts > reset"),
+    "session_stats": f"{_sessions('', 'true')} SELECT * FROM sessions",
+    "session_stats_reset": f"{_sessions(*_SINCE_RESET)} SELECT * FROM sessions",
     "search_links": """SELECT p_partkey, 'https://www.youtube.com/results?search_query=' ||
         replace(url_encode(p_name || ' & *~+''é ' || p_brand), '%20', '+') AS link FROM part""",
     "video_ids": """v AS (SELECT p_partkey, url, CASE WHEN p_partkey % 4 < 2 THEN 'v' || p_partkey END AS video_id
@@ -309,6 +324,13 @@ def stream_serve(edges: list[str]) -> str:
     return _unrolled(edges)
 
 
+def stream_session() -> str:
+    """The counters of the session statistics with resets, and the last moods since the reset."""
+    return _whole(f"""{_sessions(*_SINCE_RESET)}
+        SELECT user_id, detections, sends, coalesce(history, '') AS history, last_reading
+        FROM sessions LEFT JOIN told USING (user_id)""")
+
+
 def stream_stats(edges: list[str], every: int = dims.STATS_EVERY) -> str:
     """The reports of every ``every``-th batch: statistics so far, its number and its rows."""
     bounds = ["1900-01-01", *edges, "9999-01-01"]

@@ -290,6 +290,11 @@ def mood_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", "user_id", joined("history"), "history_text")
 
 
+def mood_history_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sequence.mood_history(views.readings(spark, sf_dir), resets=views.resets(spark, sf_dir))
+    return rows.select("event_id", "user_id", joined("history"), "history_text")
+
+
 def latest_playlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest request with tracks is found first, so only one playlist per user is made."""
     answers = pools(spark, sf_dir)
@@ -382,6 +387,7 @@ BATCH: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "manual_requests": manual_requests,
     "action_payload": action_payload,
     "mood_history": mood_history,
+    "mood_history_reset": mood_history_reset,
     "latest_playlist": latest_playlist,
     "user_playlists": user_playlists,
     "session_stats": session_stats,

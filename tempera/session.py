@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "8", app: str = "tempera") -> SparkSession:
@@ -49,3 +50,11 @@ def materialise(df: DataFrame, *partitions: str) -> DataFrame:
     df.write.partitionBy(*partitions).parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     return table.select(df.columns) if partitions else table
+
+
+def measured(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """``materialise``, with the number of rows and the bytes of their text form, taken while they are written."""
+    seen = Observation()
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("bigint"))
+    table = materialise(df.observe(seen, F.count(F.lit(1)).alias("rows"), size.alias("bytes")))
+    return table, seen.get["rows"], seen.get["bytes"] or 0

@@ -91,6 +91,15 @@ def readings_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings(spark, sf_dir).withColumn("manual", F.col("event_id") % 9 == 0)
 
 
+def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings, those sent by hand, and which of them clear the session."""
+    mood = dims.lookup(MOOD_OF_EVENT, F.col("event_type"))
+    manual, reset = F.col("event_id") % 9 == 0, (F.col("event_type") == "error") & (F.col("k") < 5)
+    return events(spark, sf_dir).select(
+        "event_id", "user_id", "ts", mood.alias("mood"), manual.alias("manual"), reset.alias("reset")
+    )
+
+
 def preference_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sign-ups choose a genre; those with an even ``k`` choose a language too."""
     k = F.col("k")

@@ -16,7 +16,7 @@ from tempera.sources import log, views
 from tempera.sources.topics import read_messages, write_messages
 from tempera.streaming.feed import finish, stage_slices
 from tempera.streaming.service import STATS_SCHEMA, Service, learn_batch
-from tempera.streaming.stateful import stream_debounce, stream_throttle
+from tempera.streaming.stateful import stream_debounce, stream_session, stream_throttle
 
 #: Fixed cuts of the month of events: micro-batches of 180 hours for serving and of 60 for the statistics.
 MONTH = dt.datetime(2024, 1, 1)
@@ -80,6 +80,15 @@ def stream_debounced_with_manual(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _appended(stream_debounce(_source(spark, views.readings_mixed(spark, sf_dir), key="user_id")))
 
 
+def stream_session_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest state of each user's session."""
+    source = _source(spark, views.session_events(spark, sf_dir), key="user_id")
+    states = _appended(stream_session(source))
+    rest = [c for c in states.columns if c not in ("user_id", "version")]
+    newest = states.groupBy("user_id").agg(F.max_by(F.struct(*rest), "version").alias("s")).select("user_id", "s.*")
+    return newest.withColumn("history", F.array_join("history", "|"))
+
+
 def stream_serve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Playlists served while the scores are learned from the batches before."""
     table = views.action_messages(spark, sf_dir)
@@ -129,6 +138,7 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_throttle": stream_throttled,
     "stream_debounce": stream_debounced,
     "stream_debounce_with_manual": stream_debounced_with_manual,
+    "stream_session": stream_session_state,
     "stream_serve": stream_serve,
     "stream_stats": stream_stats,
     "stream_user_playlists": stream_user_playlists,

@@ -1,15 +1,19 @@
-"""Sampling and debounce on a stream, with state per user.
+"""Sampling, debounce and sessions on a stream, with state per user.
 
-The rows of a user arrive unordered inside a micro-batch; they are sorted before the fold.
+The rows of a user arrive unordered inside a micro-batch; they are sorted before the fold, which is a few array steps.
 So one task holds the rows of a user in one micro-batch, which the source's admission limit
 bounds, never those of the whole stream. Rows that arrive after newer ones were folded count
-in the order of arrival.
+in the order of arrival; rows without a time come last in their micro-batch.
+
+The state of a user is dropped once event time has moved ``idle_seconds`` past the user's last row, by default a
+month. Event time, unlike processing time, lets a bounded stream end. Rows more than ``delay`` late are dropped.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,95 +22,172 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tempera import dims
 from tempera.functions.clock import micros
+from tempera.operators.sequence import chain
 
+IDLE_SECONDS = 30 * 24 * 3600.0
+DELAY = "1 hour"
 
-def _sorted_rows(pdfs: Iterator[pd.DataFrame], order_id: str) -> pd.DataFrame:
-    return pd.concat(list(pdfs), ignore_index=True).sort_values(["_at", order_id], ignore_index=True)
-
+Fold = Callable[[pd.DataFrame, tuple | None], tuple[pd.DataFrame, tuple]]
 
-def _apply(stream: DataFrame, key: str, fold, state: str, idle_seconds: float | None, delay: str) -> DataFrame:
-    """Run ``fold(rows, old state) -> (kept rows, new state)`` per key.
 
-    With ``idle_seconds`` the state of a key is dropped when event time has moved that far
-    past its last row; rows more than ``delay`` late are dropped too. Event time, unlike
-    processing time, lets a bounded stream end.
-    """
-    schema = stream.schema
-    timed = stream.withColumn("_at", micros("ts"))
-    timeout = GroupStateTimeout.NoTimeout
-    if idle_seconds is not None:
-        timed = timed.withColumn("_event_time", F.col("ts").cast("timestamp")).withWatermark("_event_time", delay)
-        timeout = GroupStateTimeout.EventTimeTimeout
+def _apply(
+    stream: DataFrame, key: str, fold: Fold, schema: T.StructType, state: T.StructType, idle_seconds: float, delay: str
+) -> DataFrame:
+    """Run ``fold(sorted rows, old state) -> (rows out, new state)`` per key."""
+    timed = stream.withColumn("_at", micros("ts")).withColumn("_event_time", F.col("ts").cast("timestamp"))
+    timed = timed.withWatermark("_event_time", delay)
 
     def run(keys: tuple, pdfs: Iterator[pd.DataFrame], group: GroupState) -> Iterator[pd.DataFrame]:
         if group.hasTimedOut:
             group.remove()
             return
-        rows = _sorted_rows(pdfs, "event_id")
-        kept, new = fold(rows, group.get if group.exists else None)
+        rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["_at", "event_id"], ignore_index=True)
+        out, new = fold(rows, group.get if group.exists else None)
         group.update(new)
-        if idle_seconds is not None:
-            newest = int(rows["_event_time"].iloc[-1].timestamp() * 1000)
-            until = newest + int(idle_seconds * 1000)
-            group.setTimeoutTimestamp(max(until, group.getCurrentWatermarkMs() + 1))
-        yield rows.loc[kept, schema.names]
+        newest = rows["_event_time"].max()
+        until = 0 if pd.isna(newest) else int(newest.timestamp() * 1000) + int(idle_seconds * 1000)
+        group.setTimeoutTimestamp(max(until, group.getCurrentWatermarkMs() + 1))
+        yield out[schema.names]
 
+    timeout = GroupStateTimeout.EventTimeTimeout
     return timed.groupBy(key).applyInPandasWithState(run, schema, state, "append", timeout)
 
 
 def stream_throttle(
     readings: DataFrame,
     gap_seconds: float = dims.SAMPLING_GAP_SECONDS,
-    idle_seconds: float | None = None,
-    delay: str = "1 hour",
+    idle_seconds: float = IDLE_SECONDS,
+    delay: str = DELAY,
 ) -> DataFrame:
-    """Keep a reading if the gap has passed since the last kept one of its user."""
+    """Keep a reading if the gap has passed since the last kept one of its user, or if it has no time."""
     gap = round(gap_seconds * 1e6)
 
-    def fold(rows: pd.DataFrame, old: tuple | None) -> tuple[list[bool], tuple]:
+    def fold(rows: pd.DataFrame, old: tuple | None) -> tuple[pd.DataFrame, tuple]:
         last = old[0] if old else None
-        kept = []
-        for at in rows["_at"].tolist():
-            keep = last is None or at - last >= gap
-            kept.append(keep)
-            if keep:
-                last = at
-        return kept, (last,)
-
-    return _apply(readings, "user_id", fold, "last_kept bigint", idle_seconds, delay)
+        keep = rows["_at"].isna().to_numpy()
+        times = rows["_at"].to_numpy()[~keep].astype(np.int64)
+        start = 0 if last is None else int(np.searchsorted(times, last + gap))
+        if start < len(times):
+            chosen = start + chain(times[start:], gap)
+            keep[chosen] = True  # rows without a time come last
+            last = int(times[chosen[-1]])
+        return rows[keep], (last,)
+
+    state = T.StructType([T.StructField("last_kept", T.LongType())])
+    return _apply(readings, "user_id", fold, readings.schema, state, idle_seconds, delay)
+
+
+def _text(value) -> str | None:
+    return None if pd.isna(value) else value
+
+
+def _sends(
+    rows: pd.DataFrame, by_hand: np.ndarray, count: int, old: tuple[str | None, int, str | None]
+) -> tuple[np.ndarray, tuple[str | None, int, str | None]]:
+    """Which rows are sent, and the pending mood, its run and the mood sent last after them."""
+    pending, run, sent = old
+    moods = rows["mood"].astype(object)
+    codes, _ = pd.factorize(pd.concat([pd.Series([pending, sent], dtype=object), moods]), use_na_sentinel=False)
+    (pending_code, sent_code), codes = codes[:2], codes[2:]
+    place = np.arange(len(codes))
+    # Runs are counted over detections only, and go on from the run before.
+    seen = np.flatnonzero(~by_hand)
+    number = np.arange(len(seen))
+    starts = codes[seen] != np.append([pending_code], codes[seen[:-1]])[: len(seen)]
+    begun = np.maximum.accumulate(np.where(starts, number, -1))
+    runs = np.where(begun >= 0, number - begun, run + number) + 1
+    confirmed = np.zeros(len(codes), bool)
+    confirmed[seen] = runs >= count
+    # After a confirmed detection the mood sent last is its own, whether it was sent or not.
+    setter = np.maximum.accumulate(np.where(by_hand | confirmed, place, -1)) if len(codes) else place
+    before = np.append([-1], setter[:-1])[: len(codes)]
+    changed = codes != np.where(before >= 0, codes[before], sent_code)
+    if len(seen):
+        pending, run = _text(moods.iloc[seen[-1]]), int(runs[-1])
+    if len(codes) and setter[-1] >= 0:
+        sent = _text(moods.iloc[setter[-1]])
+    return by_hand | (confirmed & changed), (pending, run, sent)
+
+
+def _flags(rows: pd.DataFrame, name: str) -> np.ndarray:
+    return rows[name].fillna(False).to_numpy(bool) if name in rows else np.zeros(len(rows), bool)
+
+
+DEBOUNCE_STATE = [
+    T.StructField("pending_mood", T.StringType()),
+    T.StructField("run_length", T.LongType()),
+    T.StructField("last_sent", T.StringType()),
+]
 
 
 def stream_debounce(
     readings: DataFrame,
     count: int = dims.DEBOUNCE_COUNT,
-    idle_seconds: float | None = None,
-    delay: str = "1 hour",
+    idle_seconds: float = IDLE_SECONDS,
+    delay: str = DELAY,
 ) -> DataFrame:
     """Send a mood seen ``count`` times in a row that is not the one sent last.
 
     Rows flagged ``manual`` are sent at once and are no detections.
     """
-    by_hand = "manual" in readings.columns
-
-    def fold(rows: pd.DataFrame, old: tuple | None) -> tuple[list[bool], tuple]:
-        pending, run, sent = old or (None, 0, None)
-        kept = []
-        flags = rows["manual"].tolist() if by_hand else [False] * len(rows)
-        for mood, manual in zip(rows["mood"].tolist(), flags, strict=True):
-            if not manual:
-                run = run + 1 if mood == pending else 1
-                pending = mood
-            send = bool(manual) or (run >= count and mood != sent)
-            if send:
-                sent = mood
-            kept.append(send)
-        return kept, (pending, run, sent)
-
-    state = T.StructType(
-        [
-            T.StructField("pending_mood", T.StringType()),
-            T.StructField("run_length", T.LongType()),
-            T.StructField("last_sent", T.StringType()),
-        ]
-    )
-    return _apply(readings, "user_id", fold, state, idle_seconds, delay)
+
+    def fold(rows: pd.DataFrame, old: tuple | None) -> tuple[pd.DataFrame, tuple]:
+        send, new = _sends(rows, _flags(rows, "manual"), count, old or (None, 0, None))
+        return rows[send], new
+
+    return _apply(readings, "user_id", fold, readings.schema, T.StructType(DEBOUNCE_STATE), idle_seconds, delay)
+
+
+SESSION = T.StructType(
+    [
+        T.StructField("user_id", T.LongType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("detections", T.LongType()),
+        T.StructField("sends", T.LongType()),
+        T.StructField("history", T.ArrayType(T.StringType())),
+        T.StructField("last_reading", T.TimestampNTZType()),
+    ]
+)
+
+
+def stream_session(
+    events: DataFrame,
+    count: int = dims.DEBOUNCE_COUNT,
+    length: int = dims.HISTORY_LENGTH,
+    idle_seconds: float = IDLE_SECONDS,
+    delay: str = DELAY,
+) -> DataFrame:
+    """The session of each user after every micro-batch that has rows of the user; the highest ``version`` is the newest.
+
+    Rows flagged ``manual`` are sent at once; the others are detections. A row flagged ``reset`` clears the
+    counters and the history after it has counted itself; runs and the mood sent last go on.
+    """
+    fields = [f for f in SESSION if f.name not in ("user_id", "last_reading")]
+    state = T.StructType([*DEBOUNCE_STATE, *fields, T.StructField("last_at", T.LongType())])
+    user = T.StructType([events.schema["user_id"], *SESSION.fields[1:]])
+
+    def fold(rows: pd.DataFrame, old: tuple | None) -> tuple[pd.DataFrame, tuple]:
+        *runs, version, detections, sends, history, last = old or (None, 0, None, 0, 0, 0, [], None)
+        by_hand = _flags(rows, "manual")
+        sent, runs = _sends(rows, by_hand, count, tuple(runs))
+        cleared = np.flatnonzero(_flags(rows, "reset"))
+        if len(cleared):
+            detections, sends, history = 0, 0, []
+        first = cleared[-1] + 1 if len(cleared) else 0
+        moods = rows["mood"].iloc[first:][~by_hand[first:]]
+        history = [*history, *moods.dropna().tolist()][-length:]
+        detections, sends = detections + len(moods), sends + int(sent[first:].sum())
+        at = rows["_at"][~by_hand].max()
+        last = max((int(t) for t in (last, at) if t is not None and not pd.isna(t)), default=None)
+        new = (*runs, version + 1, detections, sends, history, last)
+        row = {
+            "user_id": rows["user_id"].iloc[0],
+            "version": version + 1,
+            "detections": detections,
+            "sends": sends,
+            "history": history,
+            "last_reading": pd.NaT if last is None else pd.Timestamp(last, unit="us"),
+        }
+        return pd.DataFrame([row]), new
+
+    return _apply(events, "user_id", fold, user, state, idle_seconds, delay)

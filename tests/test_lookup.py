@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tempera.operators.lookup import Lookup, is_small
+from tempera.operators.lookup import Lookup
 
 
 def tables(spark):
@@ -46,5 +46,6 @@ def test_hot_key_is_spread(spark):
 
 
 def test_size_check_counts_bytes_too(spark):
-    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))
-    assert is_small(wide) and not is_small(wide, max_bytes=5000) and not is_small(wide, max_rows=9)
+    wide = spark.range(10).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("t"))
+    assert Lookup(wide).small and not Lookup(wide, max_bytes=5000).small and not Lookup(wide, max_rows=9).small
+    assert Lookup(wide.limit(0)).small

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -202,6 +203,33 @@ def test_history(spark, max_rows):
     }
 
 
+@SIZES
+def test_history_with_resets(spark, max_rows):
+    rows = readings(13)
+    df = frame(spark, rows)
+    resets = df.filter("event_id % 17 = 3").select("event_id", "user_id", "ts")
+    expected = {}
+    for mine in by_user(rows).values():
+        for row in mine:
+            cleared = [r[2] for r in mine if r[0] % 17 == 3 and r[2] < row[2]]
+            fresh = [r for r in mine if r <= row or (r[2], r[0]) <= (row[2], row[0])]
+            fresh = [r for r in fresh if not cleared or r[2] > cleared[-1]]
+            expected[row[0]] = [r[3] for r in fresh][-10:]
+    out = sequence.mood_history(df, max_rows=max_rows, resets=resets).collect()
+    assert {r.event_id: r.history for r in out} == expected
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_chain(seed):
+    rnd = random.Random(seed)
+    times = np.array(sorted(rnd.randrange(200) for _ in range(rnd.randrange(1, 60))))
+    gap, kept = rnd.randrange(1, 40), [0]
+    for i, t in enumerate(times):
+        if t >= times[kept[-1]] + gap:
+            kept.append(i)
+    assert sequence.chain(times, gap).tolist() == kept
+
+
 def test_history_over_tiny_chunks(spark):
     rows = [(i, "hot", START + dt.timedelta(seconds=i), f"m{i % 7}", False) for i in range(60)]
     out = sequence.mood_history(frame(spark, rows), max_rows=2).collect()

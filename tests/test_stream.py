@@ -15,7 +15,7 @@ from tempera.sources import log
 from tempera.sources.topics import kafka_options, read_messages, write_messages
 from tempera.streaming.feed import finish, stage_slices
 from tempera.streaming.service import PLAYLIST_SCHEMA, Service
-from tempera.streaming.stateful import stream_debounce, stream_throttle
+from tempera.streaming.stateful import stream_debounce, stream_session, stream_throttle
 
 SCHEMA = "event_id bigint, user_id string, ts timestamp_ntz, mood string, manual boolean"
 
@@ -44,6 +44,45 @@ def test_throttle_over_restarts(spark):
     assert run(spark, rows, lambda s: stream_throttle(s, 15)) == kept_ids(rows, 15)
 
 
+def test_null_moods_and_times(spark):
+    rows = [r if r[0] % 4 else (*r[:3], None, r[4]) for r in readings(14, moods=("happy", None))]
+    assert run(spark, rows, stream_debounce) == sent_ids(rows, 2, "manual")
+    source = shared_folder(spark)
+    frame(spark, [*rows[:40], (900, "u1", None, "sad", False), (901, "new", None, "sad", False)]).write.parquet(source)
+    query = stream_throttle(spark.readStream.schema(SCHEMA).parquet(source), 15).writeStream.format("memory")
+    finish(query.queryName("untimed").option("checkpointLocation", shared_folder(spark)).trigger(availableNow=True).start(), 120)
+    assert [i for i in ids(spark.table("untimed")) if i >= 900] == [900, 901]
+
+
+def test_session_over_restarts(spark):
+    """The newest state of every user equals a plain fold over all rows."""
+    rows = [(*r, r[0] % 23 == 5, r[0] % 7) for r in readings(15)]
+    schema = "event_id bigint, user_id string, ts timestamp_ntz, mood string, manual boolean, reset boolean, k int"
+    expected = {}
+    for user, mine in by_user(rows).items():
+        pending, run_, sent, counts, history, last = None, 0, None, [0, 0], [], None
+        for _, _, ts, mood, by_hand, reset, _ in mine:
+            if not by_hand:
+                run_, pending = (run_ + 1 if mood == pending else 1), mood
+                counts[0], last = counts[0] + 1, ts
+                history = [*history, mood][-10:]
+            if by_hand or (run_ >= 2 and mood != sent):
+                sent, counts[1] = mood, counts[1] + 1
+            if reset:
+                counts, history = [0, 0], []
+        expected[user] = (*counts, history, last)
+    source, state, out = shared_folder(spark), shared_folder(spark), shared_folder(spark)
+    for low in range(0, len(rows), 200):
+        spark.createDataFrame(sorted(rows, key=lambda r: (r[2], r[0]))[low : low + 200], schema).write.mode("append").parquet(source)
+        stream = stream_session(spark.readStream.schema(schema).parquet(source))
+        writer = stream.writeStream.option("checkpointLocation", state).trigger(availableNow=True)
+        finish(writer.format("parquet").start(out), 120)
+    got = {}
+    for r in sorted(spark.read.parquet(out).collect(), key=lambda r: r.version):
+        got[r.user_id] = (r.detections, r.sends, r.history, r.last_reading)
+    assert got == expected
+
+
 def test_idle_state_is_forgotten(spark):
     """With a short idle time, a user silent for long starts anew; one who stays active does not."""
     start = dt.datetime(2024, 1, 1)
