@@ -43,8 +43,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = secrets.find(docs, mask=True)
-    return rows.select(with_text({c: F.col("row").getField(c) for c in docs.columns}, F.col("clean_text")))
+    rest = [c for c in docs.columns if c != "text"]
+    rows = secrets.find(docs, mask=True, carry=rest)
+    row = {c: F.col("row").getField(c) if c in rest else F.lit(None) for c in docs.columns}
+    return rows.select(with_text(row, F.col("clean_text")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from tempera.llm.common import bytes_of, slices
 
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 LONG = 256
 WHITE = b" \t\n\r"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

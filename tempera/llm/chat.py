@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tempera.llm.bpe import encoder, id_lists
-from tempera.llm.common import col, slices
+from tempera.llm.common import col, lean, slices
 
 MARKS = ("<turn>", "<says>", "</turn>")
 LEARNED = "assistant"
@@ -73,7 +73,7 @@ def segments(turns: DataFrame, path: str, conv: str, turn: str, role: str, text:
         F.coalesce(col(text), F.lit("")).alias("text"),
     )
     # Ties are rare, so their order travels as a digest; equal digests mean equal turns.
-    source = named.withColumn("order", F.sha2(F.concat("role", F.lit("\n"), "text"), 256))
+    source = lean(named).withColumn("order", F.sha2(F.concat("role", F.lit("\n"), "text"), 256))
     kinds = {c: named.schema[c].dataType.simpleString() for c in ("conv_id", "turn")}
     schema = f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, order string, ids binary, first int, last int"
     return source.mapInArrow(run, schema)

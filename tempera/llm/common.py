@@ -9,7 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BATCH_BYTES = 32 * 1024 * 1024
+BATCH_BYTES = 8 * 1024 * 1024
+BATCH_ROWS = 1000
 #: What separates words: space and the ASCII controls from tab to carriage return.
 SPACES = r"\x20\x09-\x0D"
 
@@ -26,7 +27,18 @@ def text_of(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 def bytes_of(docs: DataFrame, id: str, text: str) -> DataFrame:
     """As ``text_of``, with the text as UTF-8 bytes: Python then need not decode it."""
-    return text_of(docs, id, text).withColumn("text", F.col("text").cast("binary"))
+    return lean(text_of(docs, id, text).withColumn("text", F.col("text").cast("binary")))
+
+
+def lean(df: DataFrame) -> DataFrame:
+    """``df``, in a session that sends Python no more than ``BATCH_ROWS`` rows at once unless it sets a number itself.
+
+    Spark's own number is made for narrow rows: ten thousand whole texts fill buffers on both sides.
+    """
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if conf.get(name) == "10000":
+        conf.set(name, str(BATCH_ROWS))
+    return df
 
 
 def words(text: Column) -> Column:

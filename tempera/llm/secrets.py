@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tempera.llm.common import col, slices
+from tempera.llm.common import col, lean, slices
 
 KINDS = ("assign", "access", "hex", "novel")
 BASE = KINDS[:3]
@@ -161,7 +161,7 @@ def find(docs: DataFrame, text: str = "text", mask: bool = False, carry: list[st
 
     columns = docs.columns if carry is None else carry
     bytes_ = F.coalesce(col(text), F.lit("")).cast("binary").alias("text")
-    source = docs.select(F.struct(*[col(c) for c in columns]).alias("row"), bytes_)
+    source = lean(docs.select(F.struct(*[col(c) for c in columns]).alias("row"), bytes_))
     row = source.schema["row"].dataType.simpleString()
     return source.mapInArrow(run, f"row {row}, spans array<{SPAN}>" + ", clean_text string" * mask)
 

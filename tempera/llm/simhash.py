@@ -32,7 +32,7 @@ SHINGLE = 4
 RADIUS = 4
 SEED = 42
 TILE = 1 << 14
-BLOCK = 1 << 22  # pairs compared at once
+BLOCK = 1 << 19  # pairs compared at once, all of which may be links
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
