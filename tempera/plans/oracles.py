@@ -300,7 +300,8 @@ _PER_BATCH = "req log scores learned rec prim found staged pool mixed_up chosen
 def _unrolled(edges: list[str]) -> str:
     """Serving batch by batch: each learns from what the batches before it served."""
     shared = [n for n in CTES if n not in _PER_BATCH]
-    ctes = [f"{n} AS ({CTES[n]})" for n in [*shared[: shared.index("actions") + 1], "req", *shared[shared.index("actions") + 1 :]] if n in CTES]
+    at = shared.index("actions") + 1
+    ctes = [f"{n} AS ({CTES[n]})" for n in [*shared[:at], "req", *shared[at:]]]
     bounds = ["TIMESTAMP '1900-01-01'", *[f"TIMESTAMP '{e}'" for e in edges], "TIMESTAMP '9999-01-01'"]
     for k, (low, high) in enumerate(zip(bounds, bounds[1:], strict=False)):
         logged = [f"SELECT mood, primary_genre AS genre, confidence FROM served_{j}" for j in range(k)]

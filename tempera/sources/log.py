@@ -1,7 +1,7 @@
 """The interaction log and the score snapshots, replay-safe by run and batch.
 
-A run is the life of one checkpoint: batch ids start at 0 in each. Every batch of every run is a folder of its own, so a
-new checkpoint on an old log adds to it.
+A run is the life of one checkpoint: batch ids start at 0 in each. Every batch of every run is a folder of
+its own, so a new checkpoint on an old log adds to it.
 """
 
 from __future__ import annotations
@@ -40,7 +40,8 @@ def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
 
 
 def read_batch(spark: SparkSession, root: str, batch_id: int, schema: str, run: str = FIRST_RUN) -> DataFrame:
-    """One batch alone: a single folder is listed, whatever the age of the log. A missing batch is an error."""
+    """One batch alone: a single folder is listed, whatever the age of the log. A missing batch is an
+    error."""
     path = f"{root}/run={run}/batch_id={batch_id}"
     found = _read(spark, path, schema, path)
     if found is None:
@@ -49,7 +50,8 @@ def read_batch(spark: SparkSession, root: str, batch_id: int, schema: str, run:
 
 
 def begin_run(spark: SparkSession, root: str, run: str, snapshots: str) -> tuple[str, int] | None:
-    """Where a run goes on from: the newest batch in ``snapshots`` of the run before it, or None for the first run.
+    """Where a run goes on from: the newest batch in ``snapshots`` of the run before it, or None for the
+    first run.
 
     Decided once and written down, so that a replay goes on from the same place.
     """

@@ -24,10 +24,11 @@ def stage_slices(
 ) -> tuple[str, int]:
     """Write ``df`` as files in time order, one slice of time after the other.
 
-    Returns the folder and the number of files of a slice. A stream reads files by age, so it sees the slices in
-    order. With ``edges`` (ascending times) a slice ends before each of them; else a range shuffle cuts the table into
-    as many slices as keep each at about ``rows``, and at least ``slices``. Rows of one time stay together, and rows without
-    a time are in the first slice. In a slice the rows are split by ``key``: the order of its files does not matter.
+    Returns the folder and the number of files of a slice. A stream reads files by age, so it sees the
+    slices in order. With ``edges`` (ascending times) a slice ends before each of them; else a range shuffle
+    cuts the table into as many slices as keep each at about ``rows``, and at least ``slices``. Rows of one
+    time stay together, and rows without a time are in the first slice. In a slice the rows are split by
+    ``key``: the order of its files does not matter.
     """
     total = df.count()
     if edges is None:

@@ -31,11 +31,11 @@ STATS_SCHEMA = (
 class Service:
     """Handler of micro-batches. Everything it writes is one folder per run and batch, replaced on replay.
 
-    All requests of a batch see the scores as they were before the batch. So a replay of the
-    batch reads the same snapshot and writes the same rows. A run is the life of one checkpoint; a new one goes on from the
-    newest snapshot of those before. ``key`` names a column that identifies a message, such as its place in a topic;
-    without it a message is known by its text and how often that occurred in the batch before. ``deliver`` sends
-    the playlist messages on, for instance to a topic; a replay sends them again.
+    All requests of a batch see the scores as they were before the batch. So a replay of the batch reads the
+    same snapshot and writes the same rows. A run is the life of one checkpoint; a new one goes on from the
+    newest snapshot of those before. ``key`` names a column that identifies a message, such as its place in
+    a topic; without it a message is known by its text and how often that occurred in the batch before.
+    ``deliver`` sends the playlist messages on, for instance to a topic; a replay sends them again.
     """
 
     root: str
@@ -50,7 +50,8 @@ class Service:
         spark = messages.sparkSession
         before = scores_before(spark, self.root, batch_id, run)
         named = [F.col(self.key).cast("string").alias("_name")] if self.key else []
-        raw = messages.select(F.col("value").cast("string").alias("value"), F.col("value").cast("string").alias("_text"), *named)
+        text = F.col("value").cast("string")
+        raw = messages.select(text.alias("value"), text.alias("_text"), *named)
         # Parsed once for all that follows.
         batch = parse_actions(raw, integer_confidence=self.integer_confidence).withColumn("reason", rejection()).persist()
         try:
@@ -108,7 +109,8 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
 
 
 def scores_before(spark: SparkSession, root: str, batch_id: int, run: str = FIRST_RUN) -> DataFrame:
-    """The snapshot that a batch starts from. Only the first batch of the first run has none; a lost one is an error."""
+    """The snapshot that a batch starts from. Only the first batch of the first run has none; a lost one is
+    an error."""
     if batch_id > 0:
         return read_batch(spark, f"{root}/scores", batch_id - 1, PARTS_SCHEMA, run)
     parent = begin_run(spark, f"{root}/runs", run, f"{root}/scores")
@@ -122,8 +124,8 @@ def learn_batch(
 ) -> None:
     """Log interactions and add them to the scores; report with every ``stats_every``-th batch.
 
-    The report comes from the small score snapshot, not from the log. ``batch_rows`` is the number of messages of the
-    batch, by default that of its interactions.
+    The report comes from the small score snapshot, not from the log. ``batch_rows`` is the number of
+    messages of the batch, by default that of its interactions.
     """
     spark = rows.sparkSession
     write_batch(rows, f"{root}/log", batch_id, run)

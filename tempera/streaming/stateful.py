@@ -1,12 +1,13 @@
 """Sampling, debounce and sessions on a stream, with state per user.
 
-The rows of a user arrive unordered inside a micro-batch; they are sorted before the fold, which is a few array steps.
-So one task holds the rows of a user in one micro-batch, which the source's admission limit
-bounds, never those of the whole stream. Rows that arrive after newer ones were folded count
-in the order of arrival; rows without a time come last in their micro-batch.
-
-The state of a user is dropped once event time has moved ``idle_seconds`` past the user's last row, by default a
-month. Event time, unlike processing time, lets a bounded stream end. Rows more than ``delay`` late are dropped.
+The rows of a user arrive unordered inside a micro-batch; they are sorted before the fold, which is a few
+array steps. So one task holds the rows of a user in one micro-batch, which the source's admission limit
+bounds, never those of the whole stream. Rows that arrive after newer ones were folded count in the order of
+arrival; rows without a time come last in their micro-batch.
+
+The state of a user is dropped once event time has moved ``idle_seconds`` past the user's last row, by
+default a month. Event time, unlike processing time, lets a bounded stream end. Rows more than ``delay``
+late are dropped.
 """
 
 from __future__ import annotations
@@ -157,7 +158,8 @@ def stream_session(
     idle_seconds: float = IDLE_SECONDS,
     delay: str = DELAY,
 ) -> DataFrame:
-    """The session of each user after every micro-batch that has rows of the user; the highest ``version`` is the newest.
+    """The session of each user after every micro-batch that has rows of the user; the highest ``version``
+    is the newest.
 
     Rows flagged ``manual`` are sent at once; the others are detections. A row flagged ``reset`` clears the
     counters and the history after it has counted itself; runs and the mood sent last go on.
