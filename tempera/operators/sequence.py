@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tempera import dims
 from tempera.functions.clock import micros
+from tempera.functions.labels import mood_emoji
 from tempera.operators.ordered import MAX_ROWS, PARTS, Ordered, over_sequence, split
 
 # --- one reading --------------------------------------------------------------------------
@@ -21,12 +22,12 @@ from tempera.operators.ordered import MAX_ROWS, PARTS, Ordered, over_sequence, s
 def dominant_emotion(readings: DataFrame, scores: str = "scores") -> DataFrame:
     """Adds ``mood`` and ``confidence``: the label with the highest score; the first on ties.
 
-    Readings without any score are dropped: they are failed analyses.
+    NULL and NaN are no scores. Readings without any score are dropped: they are failed analyses.
     """
     ranked = F.transform(
         F.map_entries(scores), lambda e, i: F.struct(e["value"].alias("s"), (-i).alias("i"), e["key"].alias("k"))
     )
-    best = F.array_max(F.filter(ranked, lambda e: e["s"].isNotNull()))
+    best = F.array_max(F.filter(ranked, lambda e: e["s"].isNotNull() & ~F.isnan(e["s"])))
     return (
         readings.withColumn("_best", best)
         .filter("_best is not null")
@@ -280,8 +281,7 @@ def mood_history(
         mine = F.filter("history", lambda h: h["_since"].eqNullSafe(F.col("_since")))
         out = out.withColumn("history", F.transform(mine, lambda h: h["mood"])).select(*readings.columns, "history")
     newest = F.slice("history", F.greatest(F.size("history") - F.lit(shown - 1), F.lit(1)), shown)
-    emoji = F.transform(newest, lambda m: F.coalesce(dims.lookup(dims.MOOD_EMOJI, m), F.lit(dims.DEFAULT_EMOJI)))
-    return out.withColumn("history_text", F.array_join(emoji, " → "))
+    return out.withColumn("history_text", F.array_join(F.transform(newest, mood_emoji), " → "))
 
 
 # --- as-of values -------------------------------------------------------------------------

@@ -216,6 +216,9 @@ _BODIES = {
     "dominant_emotion": f"""SELECT vec_id,
         {_list(EMOTION_ORDER)}[list_position(embedding[1:7], list_max(embedding[1:7]))] AS mood,
         CAST(list_max(embedding[1:7]) AS DOUBLE) AS confidence FROM embeddings""",
+    "detection_labels": f"""SELECT event_id,
+        {_case("mood", dims.MOOD_EMOJI, _text(dims.DEFAULT_EMOJI))} || ' ' || upper(mood) AS label,
+        printf('Detected: %s (%.0f%% confidence)', mood, confidence) AS text FROM actions""",
     "throttle_detections": f"""kept AS (
         SELECT user_id, min(ts) AS ts FROM readings GROUP BY user_id
         UNION ALL

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempera import dims
+from tempera.functions.labels import detection_text, mood_label
 from tempera.functions.tracks import embed_link, search_link, search_phrase, search_request, video_id
 from tempera.operators import learn, parse, publish, recommend, retrieve, sequence, session
 from tempera.operators import tracks as track_ops
@@ -229,6 +230,12 @@ def dominant_emotion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "mood", F.col("confidence").cast("double").alias("confidence"))
 
 
+def detection_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mood, confidence = F.col("mood"), F.col("confidence")
+    label, text = mood_label(mood).alias("label"), detection_text(mood, confidence).alias("text")
+    return views.actions(spark, sf_dir).select("event_id", label, text)
+
+
 def throttle_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.throttle(views.readings(spark, sf_dir), THROTTLE_GAP_SECONDS)
 
@@ -378,6 +385,7 @@ BATCH: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "playlist_payload": playlist_payload,
     "log_interactions": log_interactions,
     "dominant_emotion": dominant_emotion,
+    "detection_labels": detection_labels,
     "throttle_detections": throttle_detections,
     "mood_runs": mood_runs,
     "debounce_moods": debounce_moods,

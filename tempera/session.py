@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -35,8 +37,21 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tempera-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/tempera/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    return f"{_own_folder(spark, root)}/{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession, root: str) -> str:
+    return f"{root.rstrip('/')}/tempera/{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete every table that this application wrote to the shared folder. Results read from them are gone too."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark, root))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, *partitions: str) -> DataFrame:

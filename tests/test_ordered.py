@@ -288,12 +288,18 @@ def test_null_key_is_a_group(spark):
 
 def test_dominant_emotion(spark):
     """The first label wins a tie; a reading without any score is a failed one."""
-    rows = [(1, [3.0, 5.0]), (2, [5.0, 5.0]), (3, [None, None]), (4, None), (5, [None, 1.0])]
+    nan = float("nan")
+    rows = [(1, [3.0, 5.0]), (2, [5.0, 5.0]), (3, [None, nan]), (4, None), (5, [None, 1.0]), (6, [2.0, nan])]
     df = spark.createDataFrame(rows, "id int, s array<double>").selectExpr(
         "id", "map_from_arrays(array('happy', 'sad'), s) as scores"
     )
     out = sequence.dominant_emotion(df).collect()
-    assert {r.id: (r.mood, r.confidence) for r in out} == {1: ("sad", 5.0), 2: ("happy", 5.0), 5: ("sad", 1.0)}
+    assert {r.id: (r.mood, r.confidence) for r in out} == {
+        1: ("sad", 5.0),
+        2: ("happy", 5.0),
+        5: ("sad", 1.0),
+        6: ("happy", 2.0),
+    }
 
 
 def test_plain_sequences_shuffle_once(spark):
