@@ -16,6 +16,12 @@ MOOD_OF_EVENT = {
     "signup": "sad",
     "error": "angry",
 }
+#: Schemas of the tables in use. A table read without one starts a job that reads its footers.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
 EMOTION_ORDER = ["happy", "sad", "angry", "neutral", "fear", "surprise", "disgust"]
 
 
@@ -24,7 +30,8 @@ def nth(values: list[str], index: Column) -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
