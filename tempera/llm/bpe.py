@@ -1,17 +1,17 @@
 """Byte-level BPE by forced boundaries.
 
-A pair of bytes that occurs inside no token of the vocabulary can never be joined by a merge,
-so a cut between them is certain. A text is cut there before white space; each fragment is encoded alone, once
-per worker while it is remembered, and the ids are concatenated. Long fragments without white space
-are cut again between letters. The ids equal those of the tokenizers library.
+A pair of bytes that occurs inside no token of the vocabulary can never be joined by a merge, so a cut
+between them is certain. A text is cut there before white space; each fragment is encoded alone, once per
+worker while it is remembered, and the ids are concatenated. Long fragments without white space are cut
+again between letters. The ids equal those of the tokenizers library.
 
 Why a cut is also safe for the tokenizer's pattern: no alternative of it goes on from a character that is
 not white space to one that is, and inside white space only the last character before a word is treated
-apart, which the cut leaves to the right side. Letters: a run of them is one piece, and no merge
-crosses the cut.
+apart, which the cut leaves to the right side. Letters: a run of them is one piece, and no merge crosses the
+cut.
 
-NULL text counts as empty, and an empty text has no ids. Repeated rows give repeated results. Columns other than
-the named ones are ignored by ``encode`` and ``round_trip``.
+NULL text counts as empty, and an empty text has no ids. Repeated rows give repeated results. Columns other
+than the named ones are ignored by ``encode`` and ``round_trip``.
 """
 
 from __future__ import annotations
@@ -159,7 +159,8 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -
 
 
 def decode(encoded: DataFrame, path: str, id: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """``doc_id`` and the ``text`` of its ids (NULL: empty); special tokens stay, broken UTF-8 is replaced."""
+    """``doc_id`` and the ``text`` of its ids (NULL: empty); special tokens stay, broken UTF-8 is
+    replaced."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
@@ -178,7 +179,8 @@ def _decoded(e: Encoder, ids: np.ndarray) -> str:
 
 
 def round_trip(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``encode`` and ``decode`` in one pass: ``doc_id``, ``ids`` and ``decoded``, made from the ids alone."""
+    """``encode`` and ``decode`` in one pass: ``doc_id``, ``ids`` and ``decoded``, made from the ids
+    alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)

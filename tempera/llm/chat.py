@@ -1,22 +1,24 @@
 """Chat formatting at the level of tokens.
 
-A turn is ``<turn>`` role ``<says>`` text ``</turn>``, where the three marks are reserved ids above the vocabulary.
-Role and text are escaped and encoded as segments of their own, in parallel before any shuffle, and the reserved ids are spliced
-between them. Conversations are then put in order and laid out over chunks of bounded size; where a segment begins and ends in
-its conversation follows from running sums of the segments' lengths, and the loss mask is the prefix sum of
-steps +1 and -1 at the ends of the assistants' texts.
-
-Escaping: in a role or text, a backslash is doubled, and one goes behind the first character of each control string (the marks
-and ``### Role:`` headers). So the formatted text has no control string but the template's, and taking every
-backslash away but keeping what follows it gives the original. Special tokens of the vocabulary that occur in a text are encoded
-as ordinary characters.
-
-The output has one row per chunk: ``conv_id``, ``chunk``, ``start`` (ids of the conversation before it), ``ids`` and
-``loss`` (0 or 1 per id). Chunks end with a turn, and only a turn longer than a chunk makes a longer one.
-
-Turns are ordered by number, a NULL number first, equal ones by role and then text, so the result does not depend on
-the order of rows; repeated rows are turns of their own. NULL role and text are empty. Rows with a NULL ``conv_id`` are one
-conversation. Extra columns are ignored. An empty table gives no conversation.
+A turn is ``<turn>`` role ``<says>`` text ``</turn>``, where the three marks are reserved ids above the
+vocabulary. Role and text are escaped and encoded as segments of their own, in parallel before any shuffle,
+and the reserved ids are spliced between them. Conversations are then put in order and laid out over chunks
+of bounded size; where a segment begins and ends in its conversation follows from running sums of the
+segments' lengths, and the loss mask is the prefix sum of steps +1 and -1 at the ends of the assistants'
+texts.
+
+Escaping: in a role or text, a backslash is doubled, and one goes behind the first character of each control
+string (the marks and ``### Role:`` headers). So the formatted text has no control string but the
+template's, and taking every backslash away but keeping what follows it gives the original. Special tokens
+of the vocabulary that occur in a text are encoded as ordinary characters.
+
+The output has one row per chunk: ``conv_id``, ``chunk``, ``start`` (ids of the conversation before it),
+``ids`` and ``loss`` (0 or 1 per id). Chunks end with a turn, and only a turn longer than a chunk makes a
+longer one.
+
+Turns are ordered by number, a NULL number first, equal ones by role and then text, so the result does not
+depend on the order of rows; repeated rows are turns of their own. NULL role and text are empty. Rows with a
+NULL ``conv_id`` are one conversation. Extra columns are ignored. An empty table gives no conversation.
 """
 
 from __future__ import annotations
@@ -49,7 +51,8 @@ def unescape(text: str) -> str:
 
 
 def segments(turns: DataFrame, path: str, conv: str, turn: str, role: str, text: str) -> DataFrame:
-    """Encoded turns: ``conv_id``, ``turn``, ``role``, ``text``, ``ids`` (packed) and the ends of the loss in these."""
+    """Encoded turns: ``conv_id``, ``turn``, ``role``, ``text``, ``ids`` (packed) and the ends of the loss
+    in these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, False)

@@ -31,7 +31,8 @@ def bytes_of(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def lean(df: DataFrame) -> DataFrame:
-    """``df``, in a session that sends Python no more than ``BATCH_ROWS`` rows at once unless it sets a number itself.
+    """``df``, in a session that sends Python no more than ``BATCH_ROWS`` rows at once unless it sets a
+    number itself.
 
     Spark's own number is made for narrow rows: ten thousand whole texts fill buffers on both sides.
     """
@@ -55,7 +56,8 @@ def free_name(df: DataFrame, base: str) -> str:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the values of ``column`` have about ``limit`` bytes in a piece, whole rows always."""
+    """Cut batches so that the values of ``column`` have about ``limit`` bytes in a piece, whole rows
+    always."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start, size = 0, 0

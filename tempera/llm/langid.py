@@ -1,20 +1,21 @@
 """Language identification by string kernels.
 
-Two texts are compared by the n-grams of one to three characters that both have, counted once each and divided by
-the square root of the product of their numbers: the blended-spectrum presence kernel. Characters are taken
-in lower case over an alphabet of ``ALPHABET`` symbols: the commonest letters of the training sample, one sign for all
-other letters, one for digits, one for white space and one for the rest, so that every n-gram has a number and
-presence is a flag in a table.
-
-Training is on a bounded sample: at most ``PER_LANGUAGE`` labelled texts of each language (the first by a hash of their
-id and text) and ``MOST_LANGUAGES`` languages (the commonest). ``LANDMARKS`` of them span the Nyström features, on which one ridge regression
-per language against the rest is solved. Scoring multiplies a batch of presence rows with the landmarks and the result with the
-weights; every text is scored whole.
-
-A text that is NULL, empty or without letters is ``und`` with score 0; so is every text if no label can be learned from. Other
-texts get the language with the highest value, the smaller name on ties. The score is the logistic function of four times the
-lead over the second language's value, and of four times the value itself if there is one language.
-Rows are independent, so repeated rows give repeated results. Columns other than the named ones are ignored.
+Two texts are compared by the n-grams of one to three characters that both have, counted once each and
+divided by the square root of the product of their numbers: the blended-spectrum presence kernel. Characters
+are taken in lower case over an alphabet of ``ALPHABET`` symbols: the commonest letters of the training
+sample, one sign for all other letters, one for digits, one for white space and one for the rest, so that
+every n-gram has a number and presence is a flag in a table.
+
+Training is on a bounded sample: at most ``PER_LANGUAGE`` labelled texts of each language (the first by a
+hash of their id and text) and ``MOST_LANGUAGES`` languages (the commonest). ``LANDMARKS`` of them span the
+Nyström features, on which one ridge regression per language against the rest is solved. Scoring multiplies
+a batch of presence rows with the landmarks and the result with the weights; every text is scored whole.
+
+A text that is NULL, empty or without letters is ``und`` with score 0; so is every text if no label can be
+learned from. Other texts get the language with the highest value, the smaller name on ties. The score is
+the logistic function of four times the lead over the second language's value, and of four times the value
+itself if there is one language. Rows are independent, so repeated rows give repeated results. Columns other
+than the named ones are ignored.
 """
 
 from __future__ import annotations
@@ -67,7 +68,8 @@ class Grams:
 
 def symbols_of(texts: list[str]) -> np.ndarray:
     """The symbol of every code point: the commonest letters of the texts have their own."""
-    points, counts = np.unique(np.frombuffer("".join(texts).lower().encode("utf-32-le", "replace"), np.uint32), return_counts=True)
+    characters = np.frombuffer("".join(texts).lower().encode("utf-32-le", "replace"), np.uint32)
+    points, counts = np.unique(characters, return_counts=True)
     letters = [(-int(n), int(p)) for p, n in zip(points, counts, strict=True) if chr(p).isalpha()]
     own = {p: RARE + 1 + i for i, (_, p) in enumerate(sorted(letters)[: ALPHABET - RARE - 1])}
     table = np.empty(0x110000, np.uint8)
@@ -102,7 +104,8 @@ class Model:
 
 
 def learn(texts: list[str], labels: list[str]) -> Model:
-    """Nyström features on evenly chosen landmarks, and ridge regression of each language against the rest."""
+    """Nyström features on evenly chosen landmarks, and ridge regression of each language against the
+    rest."""
     grams = Grams(symbols_of(texts))
     flags = np.zeros(grams.size, bool)
     found = [grams.present(t, flags) for t in texts]
@@ -188,7 +191,8 @@ def held_out(id: Column) -> Column:
 
 
 def identify(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """Learn from the documents that are not held out, and predict all: ``doc_id``, ``held_out``, ``lang_pred``, ``score``."""
+    """Learn from the documents that are not held out, and predict all: ``doc_id``, ``held_out``,
+    ``lang_pred``, ``score``."""
     texts, labels = sample(docs.filter(~held_out(col(id))), id, text, lang)
     rows = predict(docs, learn(texts, labels) if texts else None, id, text)
     return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

@@ -1,17 +1,18 @@
 """Mixing sources to target weights over a time-varying curriculum.
 
-Each source has a weight that varies over training time 0 to 1; its integral is the source's share. Targets are the shares
-of all words to take, held to ``MOST_PASSES`` times the source's size, with the excess reshared by weight. In a source
-documents follow a hash of their id; a running sum of their words gives each the share of the source's demand
-that lies before it, and the inverse of the integrated schedule turns that into a training position. Documents are
-then range-sorted by position.
+Each source has a weight that varies over training time 0 to 1; its integral is the source's share. Targets
+are the shares of all words to take, held to ``MOST_PASSES`` times the source's size, with the excess
+reshared by weight. In a source documents follow a hash of their id; a running sum of their words gives each
+the share of the source's demand that lies before it, and the inverse of the integrated schedule turns that
+into a training position. Documents are then range-sorted by position.
 
 A running sum over a large source does not lie in one task: the hash cuts a source into buckets of about
 ``BUCKET`` documents, sums of buckets are added up first, and each bucket continues from the sum before it.
 
-NULL text has no words; documents without words are placed like others. A NULL source is a source of its own, last in order. Rows with the
-same ``doc_id`` are separate documents, in the order of their size; a NULL id hashes like an empty one. Without any words all
-targets are zero and nothing is taken. An empty table gives an empty result. Extra columns are carried along untouched.
+NULL text has no words; documents without words are placed like others. A NULL source is a source of its
+own, last in order. Rows with the same ``doc_id`` are separate documents, in the order of their size; a NULL
+id hashes like an empty one. Without any words all targets are zero and nothing is taken. An empty table
+gives an empty result. Extra columns are carried along untouched.
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (1
 
 
 def keyed(docs: DataFrame, id: str, text: str, source: str, carry: list[str]) -> DataFrame:
-    """The carried columns as ``row``, the source as a key that is never NULL, its size in words and its place in the hash order."""
+    """The carried columns as ``row``, the source as a key that is never NULL, its size in words and its
+    place in the hash order."""
     return docs.select(
         F.struct(*[col(c) for c in carry]).alias("row"),
         col(id).alias("id"),
@@ -66,14 +68,16 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int =
     held = F.col("left") * F.col("weight") >= 100 * MOST_PASSES * words * F.col("rest")
     each = each.withColumn("held", held)
     free = F.when(~F.col("held"), F.struct("left", "rest"))
-    each = each.withColumn("level", F.first(free, ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+    everywhere = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    each = each.withColumn("level", F.first(free, ignorenulls=True).over(everywhere))
     share = F.col("level.left").cast("double") * F.col("weight").cast("double") / (100 * F.col("level.rest")).cast("double")
     target = F.when(F.col("held"), (MOST_PASSES * F.col("source_size")).cast("double")).otherwise(share)
     return each.select("source_key", "source_size", "n_docs", "kind", target.alias("target"))
 
 
 def position(demand: Column, kind: Column, schedules: tuple = SCHEDULES) -> Column:
-    """The time by which a source has had the share ``demand`` (0 to 1) of its words: the inverse of its integral."""
+    """The time by which a source has had the share ``demand`` (0 to 1) of its words: the inverse of its
+    integral."""
     out = F.lit(None).cast("double")
     for number, knots in enumerate(schedules):
         areas = [(t1 - t0) * (w0 + w1) / 2 for (t0, w0), (t1, w1) in zip(knots, knots[1:], strict=False)]
@@ -100,13 +104,15 @@ def assign(
     percent: int = TAKE_PERCENT,
     carry: list[str] | None = None,
 ) -> DataFrame:
-    """Per document: ``row`` (all columns or those to ``carry``), ``size``, ``source_size``, ``target``, ``copies`` and the ``positions`` of these."""
+    """Per document: ``row`` (all columns or those to ``carry``), ``size``, ``source_size``, ``target``,
+    ``copies`` and the ``positions`` of these."""
     rows = keyed(docs, id, text, source, docs.columns if carry is None else carry)
     sizes = materialise(rows.select("source_key", "size", "hash"))
     wanted = Lookup(targets(sizes, weights, percent))
     known = {c: c for c in ("source_size", "n_docs", "kind", "target")}
     # Buckets ascend with the hash, so a source's order runs through them.
-    bucket = F.floor(F.conv(F.substring("hash", 1, 8), 16, 10).cast("bigint") * F.ceil(F.col("n_docs") / BUCKET) / (1 << 32))
+    place = F.conv(F.substring("hash", 1, 8), 16, 10).cast("bigint")
+    bucket = F.floor(place * F.ceil(F.col("n_docs") / BUCKET) / (1 << 32))
 
     def placed(df: DataFrame) -> DataFrame:
         return wanted.join(df, {"source_key": "source_key"}, known).withColumn("bucket", bucket)

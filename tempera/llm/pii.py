@@ -1,14 +1,15 @@
 """Personal data by fixed patterns and bootstrapped contexts, with DataFrame functions alone.
 
-The fixed patterns find e-mail addresses, IP addresses, card and phone numbers; their finds are the seeds. Every run of
-words with a digit or an at sign is an instance, and its patterns are the two words before it, and the word before with the
-word behind it. Patterns and instances form a graph: the confidence of a pattern is the smoothed mean of its instances', that of
-an instance which is no seed is the noisy-or of its patterns'. After ``ROUNDS`` rounds, patterns with enough seeds and
-confidence report their other instances that look like identifiers, as kind ``id``.
-
-Starts and ends are code points, the end exclusive; a pattern's finds do not overlap. NULL and empty texts have no spans. Each row is
-judged by itself, repeated rows alike; repetition of an instance adds nothing to the graph. Columns other than the two
-named ones are ignored. An empty table gives an empty result.
+The fixed patterns find e-mail addresses, IP addresses, card and phone numbers; their finds are the seeds.
+Every run of words with a digit or an at sign is an instance, and its patterns are the two words before it,
+and the word before with the word behind it. Patterns and instances form a graph: the confidence of a
+pattern is the smoothed mean of its instances', that of an instance which is no seed is the noisy-or of its
+patterns'. After ``ROUNDS`` rounds, patterns with enough seeds and confidence report their other instances
+that look like identifiers, as kind ``id``.
+
+Starts and ends are code points, the end exclusive; a pattern's finds do not overlap. NULL and empty texts
+have no spans. Each row is judged by itself, repeated rows alike; repetition of an instance adds nothing to
+the graph. Columns other than the two named ones are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -110,7 +111,8 @@ def is_identifier(value: Column) -> Column:
 
 
 def matched(docs: DataFrame) -> DataFrame:
-    """``doc_id``, the spans ``base`` and the ``instances`` with the words around them, per row of ``doc_id``, ``text``."""
+    """``doc_id``, the spans ``base`` and the ``instances`` with the words around them, per row of
+    ``doc_id``, ``text``."""
     nothing = F.array().cast("array<string>")
     out = docs.select(
         "doc_id",

@@ -1,12 +1,13 @@
 """Line-first cleaning with DataFrame functions alone.
 
-Every line is judged by itself: punctuation (marks for every other word), navigation (separators or
-a menu word in a short line), boilerplate phrases, and one word said over and over. Failing lines are removed; a document
-that loses more than ``MOST_LOST`` of its words so is rejected, as is one that fails the base limits.
+Every line is judged by itself: punctuation (marks for every other word), navigation (separators or a menu
+word in a short line), boilerplate phrases, and one word said over and over. Failing lines are removed; a
+document that loses more than ``MOST_LOST`` of its words so is rejected, as is one that fails the base
+limits.
 
 NULL text has no words and is rejected like an empty one. Blank lines are kept. Repeated rows give repeated
-results. All columns of the table are kept as they are; the result is one struct column, whose name replaces a
-column of that name, so the caller picks a free one.
+results. All columns of the table are kept as they are; the result is one struct column, whose name replaces
+a column of that name, so the caller picks a free one.
 """
 
 from __future__ import annotations

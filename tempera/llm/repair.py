@@ -1,9 +1,10 @@
 """Re-Pair archives of token ids.
 
-Documents are sorted by id over range partitions (shards), encoded, and packed in blocks of about a
-million ids. In a block, frequent pairs of neighbouring ids are replaced by new ids, round after round at
-a falling threshold; no pair spans two documents. A block stores the rules in the order of their making, the length of each
-rule's expansion and the remaining symbols, so any document or range of ids is decoded without the rest.
+Documents are sorted by id over range partitions (shards), encoded, and packed in blocks of about a million
+ids. In a block, frequent pairs of neighbouring ids are replaced by new ids, round after round at a falling
+threshold; no pair spans two documents. A block stores the rules in the order of their making, the length of
+each rule's expansion and the remaining symbols, so any document or range of ids is decoded without the
+rest.
 
 The archive is a Parquet table with one row per block:
 
@@ -18,7 +19,8 @@ The archive is a Parquet table with one row per block:
     symbols          the compressed ids, likewise
 
 NULL text is empty; every document ends with the end id, so an empty one has that alone. Rows with the same
-``doc_id`` are kept, in the order of a hash of their text; a NULL id comes first. An empty table gives an archive without blocks.
+``doc_id`` are kept, in the order of a hash of their text; a NULL id comes first. An empty table gives an
+archive without blocks.
 """
 
 from __future__ import annotations
@@ -74,7 +76,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, first: int) -> tuple[np.ndarray,
 
 
 def frequent(key: np.ndarray, closed: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs that occur ``least`` times or more, most frequent first; where they occur, and as which of them.
+    """Pairs that occur ``least`` times or more, most frequent first; where they occur, and as which of
+    them.
 
     Counts of hashed pairs come first: only pairs whose slot is full enough need sorting.
     """
@@ -195,8 +198,9 @@ SCHEMA_ARROW = pa.schema(
 
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per document: ``doc_id``, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids``,
-    packed as unsigned 32-bit little-endian integers."""
+    """One row per document: ``doc_id``, ``start`` (ids of all documents before it), ``n_tokens`` and
+    ``ids``, packed as unsigned 32-bit little-endian integers.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,12 +1,13 @@
 """Secret scans: fixed patterns, and novelty under a primed zstandard compressor.
 
-Beside the fixed patterns, every long string with digits that follows a sensitive word is a candidate. Its novelty is what
-it adds to the compressed size of the text around it, with a dictionary of common identifiers primed: names and
-repeated strings cost little, random ones as much as their alphabet allows. Candidates near that limit are reported as
-kind ``novel``. A string directly after a reported one counts as in the same context, as in a key over several lines.
-
-Starts and ends are code points, the end exclusive. NULL and empty texts have no spans; repeated rows give repeated
-results. Columns other than the named ones are carried untouched.
+Beside the fixed patterns, every long string with digits that follows a sensitive word is a candidate. Its
+novelty is what it adds to the compressed size of the text around it, with a dictionary of common
+identifiers primed: names and repeated strings cost little, random ones as much as their alphabet allows.
+Candidates near that limit are reported as kind ``novel``. A string directly after a reported one counts as
+in the same context, as in a key over several lines.
+
+Starts and ends are code points, the end exclusive. NULL and empty texts have no spans; repeated rows give
+repeated results. Columns other than the named ones are carried untouched.
 """
 
 from __future__ import annotations

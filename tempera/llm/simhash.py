@@ -1,16 +1,16 @@
 """SimHash near-duplicates by tiled exact comparison.
 
-Every text gets a 64-bit fingerprint of its word shingles. Distinct fingerprints are
-sorted by their population count into strips and dealt over tiles of bounded size. Two fingerprints within the radius
-differ by no more than the radius in population count, so only tiles of near strips meet; in a task, the same holds for
-the population counts of the four quarters, and only pairs of cells that can be near are
-compared, by exclusive-or and bit counts over whole arrays. Each pair of tiles returns a spanning forest of its links, never
-all of them, and the components of these are those of all links.
-
-NULL and empty texts, and those without words, have fingerprint zero, which is linked like any other. Equal texts share a
-fingerprint and so a component; rows with the same ``doc_id`` are each returned, and a fingerprint's smallest
-``doc_id`` stands for it. A NULL ``doc_id`` gets the component of its fingerprint. An empty table gives an empty
-result. Columns other than the two named ones are ignored.
+Every text gets a 64-bit fingerprint of its word shingles. Distinct fingerprints are sorted by their
+population count into strips and dealt over tiles of bounded size. Two fingerprints within the radius differ
+by no more than the radius in population count, so only tiles of near strips meet; in a task, the same holds
+for the population counts of the four quarters, and only pairs of cells that can be near are compared, by
+exclusive-or and bit counts over whole arrays. Each pair of tiles returns a spanning forest of its links,
+never all of them, and the components of these are those of all links.
+
+NULL and empty texts, and those without words, have fingerprint zero, which is linked like any other. Equal
+texts share a fingerprint and so a component; rows with the same ``doc_id`` are each returned, and a
+fingerprint's smallest ``doc_id`` stands for it. A NULL ``doc_id`` gets the component of its fingerprint. An
+empty table gives an empty result. Columns other than the two named ones are ignored.
 """
 
 from __future__ import annotations
@@ -20,23 +20,28 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tempera.llm.common import bytes_of, col, slices
 from tempera.llm.components import components
+from tempera.operators.lookup import Lookup
 from tempera.session import materialise
 
 SHINGLE = 4
 RADIUS = 4
 SEED = 42
-TILE = 1 << 14
+TILE = 1 << 14  # fingerprints of a tile, where there are few
+MOST_TILE = 1 << 18
+TILES = 16  # of a strip, until tiles have their largest size
+MOST_TASKS = 1_000_000
 BLOCK = 1 << 19  # pairs compared at once, all of which may be links
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """Bits set in over half of the hashes of the shingles; A-Z in lower case, words split at ASCII white space."""
+    """Bits set in over half of the hashes of the shingles; A-Z in lower case, words split at ASCII white
+    space."""
     said = text.lower().split()
     if not said:
         return 0
@@ -52,7 +57,8 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id``, its ``fingerprint`` as a signed 64-bit integer, and ``row_key``, a hash of id and text."""
+    """``doc_id``, its ``fingerprint`` as a signed 64-bit integer, and ``row_key``, a hash of id and
+    text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -115,33 +121,38 @@ def near_links(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple
 
 
 def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Links ``a``, ``b`` between the distinct values of column ``fingerprint``, enough to connect all near ones."""
+    """Links ``a``, ``b`` between the distinct values of column ``fingerprint``, enough to connect all near
+    ones."""
     ones = F.bit_count("fingerprint")
-    # At most 65 rows: how many tiles each population count needs.
+    # At most 65 rows. Larger tables get larger tiles: each tile then travels to fewer others.
     counts = {r[0]: r[1] for r in distinct.groupBy(ones.alias("ones")).count().collect()}
-    tiles = {p: -(-n // tile) for p, n in counts.items()}
-    per = F.element_at(F.create_map(*[F.lit(x) for p, n in tiles.items() for x in (p, n)]), ones) if tiles else F.lit(1)
-    dealt = distinct.select("fingerprint", ones.alias("strip"), F.pmod(F.xxhash64("fingerprint"), per).cast("int").alias("tile"))
+    size = max(tile, min(MOST_TILE, -(-max(counts.values(), default=0) // TILES)))
+    tiles = {p: -(-n // size) for p, n in counts.items()}
+    if not tiles:
+        return distinct.sparkSession.createDataFrame([], "a bigint, b bigint")
+    number = F.create_map(*[F.lit(x) for p, n in tiles.items() for x in (p, n)])
+    tile_of = F.pmod(F.xxhash64("fingerprint"), F.try_element_at(number, ones)).cast("int")
+    dealt = distinct.select("fingerprint", ones.alias("strip"), tile_of.alias("tile"))
     packed = materialise(dealt.groupBy("strip", "tile").agg(F.sort_array(F.collect_list("fingerprint")).alias("values")))
-    meets = [(p, i, q, j) for p in tiles for i in range(tiles[p]) for q in range(p, p + radius + 1)
-             for j in range(i if p == q else 0, tiles.get(q, 0))]
-    return _compared(packed, tiles, len(meets), radius)
+    pairs = sum(n * (n + 1) // 2 + n * sum(tiles.get(p + d, 0) for d in range(1, radius + 1)) for p, n in tiles.items())
+    return _compared(packed, number, pairs, radius)
 
 
-def _compared(packed: DataFrame, tiles: dict[int, int], n_pairs: int, radius: int) -> DataFrame:
+def _compared(packed: DataFrame, number: Column, n_pairs: int, radius: int) -> DataFrame:
     spark = packed.sparkSession
-    # A row per population count that occurs, and its number of tiles.
-    strips = spark.createDataFrame([(p, n) for p, n in tiles.items()], "other int, n int")
-    reach = packed.join(F.broadcast(strips), F.abs(F.col("strip") - F.col("other")) <= radius)
+    # Every tile goes to each pair that it is part of; ``number`` maps a population count to its number of tiles.
+    near = F.explode(F.sequence(F.col("strip") - radius, F.col("strip") + radius))
+    reach = packed.select("strip", "tile", near.alias("other"), "values")
+    reach = reach.withColumn("n", F.try_element_at(number, F.col("other"))).filter("n is not null")
     each = reach.select("strip", "tile", "other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("at"), "values")
     mine, theirs = F.struct("strip", "tile"), F.struct(F.col("other").alias("strip"), F.col("at").alias("tile"))
     pairs = each.select(
         F.least(mine, theirs).alias("first"), F.greatest(mine, theirs).alias("second"), (mine <= theirs).alias("leads"), "values"
     )
-    # A task has a few pairs of tiles; a pair holds two tiles of bounded size.
+    # A task has a few pairs of tiles, one after the other; a pair holds two tiles of bounded size.
     key = F.xxhash64("first.strip", "first.tile", "second.strip", "second.tile")
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = pairs.withColumn("pair", key).repartition(max(least, n_pairs // 4), "pair")
+    dealt = pairs.withColumn("pair", key).repartition(max(least, min(n_pairs // 4, MOST_TASKS)), "pair")
     ordered = dealt.sortWithinPartitions("pair", "first", "second", F.desc("leads"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,15 +179,21 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id``, ``fingerprint`` and ``component_id``, the smallest ``doc_id`` that links reach.
 
-    Also ``component``, which tells components apart even without ids, and ``row_key``, a hash of id and text.
+    Also ``component``, which tells components apart even without ids, and ``row_key``, a hash of id and
+    text.
     """
     marked = materialise(fingerprints(docs, id, text, shingle))
     distinct = materialise(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")))
     links = fingerprint_links(distinct, radius, tile)
     joined = components(links, "a", "b").withColumnRenamed("node", "fingerprint")
-    grouped = distinct.join(joined, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
-    least = grouped.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = grouped.join(least, "component").select("fingerprint", "component", "component_id")
+    grouped = distinct.join(joined, "fingerprint", "left")
+    least = grouped.filter("component is not null").groupBy("component").agg(F.min("least_id").alias("least"))
+    # A component may hold much of the table: a measured lookup, salted where it is not broadcast.
+    named = Lookup(least).join(grouped, {"component": "component"}, {"least": "least"}).select(
+        "fingerprint",
+        F.coalesce("component", "fingerprint").alias("component"),
+        F.coalesce("least", "least_id").alias("component_id"),
+    )
     return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id", "component", "row_key")
 
 

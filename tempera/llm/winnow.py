@@ -1,13 +1,15 @@
 """Document fingerprints by winnowing, with DataFrame functions alone.
 
-The grams are ``GRAM`` words in a row, hashed to 64 bits. In every window of ``WINDOW`` grams the smallest hash is
-chosen, the rightmost of equal ones, and kept with the position of its first word. Two texts that share
-``GRAM + WINDOW - 1`` words in a row therefore share a chosen gram. A text with fewer words than a gram has one gram
-of all its words; with fewer grams than a window, one window of them all. A text without words has no grams.
-
-NULL text is empty. Two fingerprints without grams are alike (1), and one without differs from any other (0).
-Documents are ordered by id, NULL ids first, rows with the same id by a hash of their text. The only document is its own
-next one. Columns other than the two named ones are ignored; an empty table gives an empty result.
+The grams are ``GRAM`` words in a row, hashed to 64 bits. In every window of ``WINDOW`` grams the smallest
+hash is chosen, the rightmost of equal ones, and kept with the position of its first word. Two texts that
+share ``GRAM + WINDOW - 1`` words in a row therefore share a chosen gram. A text with fewer words than a
+gram has one gram of all its words; with fewer grams than a window, one window of them all. A text without
+words has no grams.
+
+NULL text is empty. Two fingerprints without grams are alike (1), and one without differs from any other
+(0). Documents are ordered by id, NULL ids first, rows with the same id by a hash of their text. The only
+document is its own next one. Columns other than the two named ones are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ PICK = "array<struct<hash:bigint,back:int>>"
 
 
 def grams(said: Column, k: int = GRAM) -> Column:
-    """Hash and negated position of every gram: the smaller of two is that with the smaller hash, then the rightmost."""
+    """Hash and negated position of every gram: the smaller of two is that with the smaller hash, then the
+    rightmost."""
     many = F.transform(
         F.sequence(F.lit(0), F.size(said) - k),
         lambda i: F.struct(F.xxhash64(*[F.get(said, i + j) for j in range(k)]).alias("hash"), (-i).alias("back")),
@@ -92,10 +95,11 @@ def bucket_of(id: Column, edges: list[int]) -> Column:
 
 
 def with_next(docs: DataFrame, rows: int = ROWS) -> DataFrame:
-    """``doc_id``, ``text`` and fingerprint ``marks`` of every document, and ``next_text``, ``next_marks`` of the next.
+    """``doc_id``, ``text`` and fingerprint ``marks`` of every document, and ``next_text``, ``next_marks``
+    of the next.
 
-    Buckets of neighbouring ids are windows of their own. Each also gets a copy of the first document of the bucket
-    after it, so that its last document finds its next one there, and the texts are shuffled once.
+    Buckets of neighbouring ids are windows of their own. Each also gets a copy of the first document of the
+    bucket after it, so that its last document finds its next one there, and the texts are shuffled once.
     """
     ids = docs.select("doc_id")
     total = docs.count()
@@ -118,7 +122,8 @@ def with_next(docs: DataFrame, rows: int = ROWS) -> DataFrame:
     ghosts = placed.filter(copied).withColumn("bucket", F.get(literal(earlier, "int"), F.col("bucket"))).withColumn("ghost", F.lit(True))
     order = W.partitionBy("bucket").orderBy("ghost", "doc_id", "hash")
     both = placed.unionByName(ghosts)
-    led = both.withColumn("next_text", F.lead("text").over(order)).withColumn("next_marks", F.lead("marks").over(order))
+    led = both.withColumn("next_text", F.lead("text").over(order))
+    led = led.withColumn("next_marks", F.lead("marks").over(order))
     return led.filter(~F.col("ghost")).select("doc_id", "text", "marks", "next_text", "next_marks")
 
 
