@@ -194,7 +194,9 @@ def near_duplicates(
         F.coalesce("component", "fingerprint").alias("component"),
         F.coalesce("least", "least_id").alias("component_id"),
     )
-    return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id", "component", "row_key")
+    # A fingerprint may be that of much of the table, too.
+    out = Lookup(named).join(marked, {"fingerprint": "fingerprint"}, {c: c for c in ("component_id", "component")})
+    return out.select("doc_id", "fingerprint", "component_id", "component", "row_key")
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
