@@ -1,8 +1,9 @@
 """Secret scans: fixed patterns, and novelty under a primed zstandard compressor.
 
-Beside the fixed patterns, every long string with digits that follows a sensitive word is a candidate. Its
-novelty is what it adds to the compressed size of the text around it, with a dictionary of common
+Beside the fixed patterns, every long string that follows a sensitive word is a candidate, with digits or
+without. Its novelty is what it adds to the compressed size of the text around it, with a dictionary of common
 identifiers primed: names and repeated strings cost little, random ones as much as their alphabet allows.
+Short texts are filled up with prose, since what one string adds to a few words says little.
 Candidates near that limit are reported as kind ``novel``. A string directly after a reported one counts as
 in the same context, as in a key over several lines.
 
@@ -31,9 +32,10 @@ LEAST_ASSIGNED = 6
 LEAST_NOVEL = 16
 CONTEXT = 64  # characters before a candidate in which a sensitive word must stand
 AROUND = 512  # characters on either side that prime the compressor
-#: Least added size as a multiple of what a random string of the candidate's alphabet needs. Framing adds to the
-#: size, so that random strings of 24 characters reach 1.16 and more, and names joined from common parts about 1.
+#: Least added size as a multiple of what a random string of the candidate's alphabet needs. Framing and a code made
+#: for the text around add to the size of random strings; names joined from common parts mostly stay below 1.
 NOVEL = 1.1
+FILLED = 600  # characters that the text around a candidate is filled up to
 MASK = "[SECRET]"
 
 ASSIGN = re.compile(
@@ -58,6 +60,14 @@ PARTS = (
     "status store stream string struct sum table task test text time title token true type update url user utf value "
     "version view void width window write www xml yaml 0123456789 2000 2010 2020 2024 2025 com org net"
 ).split()
+#: Prose that shares few strings with ``PARTS``.
+PROSE = (
+    "Quiet mornings by the harbour bring fishermen, gulls and a faint smell of tar; nobody hurries before eight. Jackets "
+    "hang beside wet ropes, while Mrs. Oxley weighs mackerel, haddock and crab (always fresh) on brass scales. Zinc buckets "
+    "knock together, voices drift up from below, and Victor, who once sailed to Quebec, explains how fog swallows sound. By "
+    "noon everything has changed: tourists arrive, buy ices, take pictures, ask whether dolphins ever visit. They do, "
+    "rarely, in June. Afterwards we walk home along Kiln Street, past 12 gardens full of phlox."
+)
 
 
 @lru_cache(maxsize=1)
@@ -70,7 +80,8 @@ def compressor() -> zstandard.ZstdCompressor:
 
 def novelty(text: str, start: int, end: int) -> float:
     """Bytes that ``text[start:end]`` adds to the compressed text around it, per character."""
-    around = (text[max(0, start - AROUND) : start] + "\n" + text[end : end + AROUND]).encode("utf-8", "replace")
+    near = text[max(0, start - AROUND) : start] + "\n" + text[end : end + AROUND]
+    around = (PROSE[: max(0, FILLED - len(near))] + "\n" + near).encode("utf-8", "replace")
     size = compressor().compress
     return (len(size(around + b"\n" + text[start:end].encode())) - len(size(around + b"\n"))) / (end - start)
 
@@ -82,15 +93,11 @@ def alphabet_bytes(candidate: str) -> float:
     if not candidate.lower().strip("0123456789abcdef"):
         return 4 / 8
     one_case = candidate in (candidate.lower(), candidate.upper())
+    if candidate.isalpha():
+        return (4.7 if one_case else 5.7) / 8
     return (5.17 if one_case else 6) / 8
 
 
-def turns(candidate: str) -> int:
-    """Changes between digits and other characters."""
-    digits = [c.isdigit() for c in candidate]
-    return sum(a != b for a, b in zip(digits, digits[1:], strict=False))
-
-
 def scan(raw: bytes) -> list[tuple[str, int, int, int, float | None]]:
     """Spans as (kind, start, end, start of the secret itself, novelty), by start and then kind."""
     low = raw.lower()
@@ -115,7 +122,7 @@ def novel(text: str, taken: list[tuple[int, int]]) -> list[tuple[str, int, int,
         while at < len(taken) and taken[at][0] < end:
             reach = max(reach, taken[at][1])
             at += 1
-        if reach > start or end - start < LEAST_NOVEL or turns(m[0]) < 3:
+        if reach > start or end - start < LEAST_NOVEL:
             continue
         chained = 0 <= start - after <= 2
         if chained or SENSITIVE_WORD.search(text, max(0, start - CONTEXT), start):

@@ -235,6 +235,24 @@ def test_novel_strings_are_reported(spark):
     assert got[1].clean_text.startswith("The signing key is [SECRET] and") and got[2].spans == []
 
 
+@pytest.mark.parametrize(
+    "key",
+    [
+        "qZxLrKdVbNwTmYcPfGhJ",  # letters only
+        "QZXLRKDVBNWTMYCPFGHJ",
+        "83920174650918273645",  # digits only
+        "qZxLrKd4827VbNwTmYcP",  # one run of digits
+    ],
+)
+@pytest.mark.parametrize("rest", [" and more prose follows.", "\nPlease keep it safe. " + "It was made for the machine in the cellar. " * 20])
+def test_secrets_need_no_mixture_of_digits(key, rest):
+    text = f"The signing key is {key}{rest}"
+    found = [(k, text[s:e]) for k, s, e, _, _ in secrets.scan(text.encode())]
+    assert found == [("novel", key)]
+    for name in ("request_response_status", "get_default_session_token", "some.package.name.here"):
+        assert secrets.scan(f"The signing key is {name}{rest}".encode()) == []
+
+
 def test_overlapping_secrets_are_masked_once():
     raw = b'x token = "0123456789abcdef0123456789abcdef" y'
     assert secrets.masked(raw, secrets.scan(raw)) == 'x token = "[SECRET]" y'
