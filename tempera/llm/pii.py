@@ -4,8 +4,9 @@ The fixed patterns find e-mail addresses, IP addresses, card and phone numbers;
 Every run of words with a digit or an at sign is an instance, and its patterns are the two words before it,
 and the word before with the word behind it. Patterns and instances form a graph: the confidence of a
 pattern is the smoothed mean of its instances', that of an instance which is no seed is the noisy-or of its
-patterns'. After ``ROUNDS`` rounds, patterns with enough seeds and confidence report their other instances
-that look like identifiers, as kind ``id``.
+patterns', less a decay. Identifiers found so support further patterns as seeds do. When the confidences have
+settled, patterns with enough support and confidence report their other instances that look like identifiers,
+as kind ``id``.
 
 Starts and ends are code points, the end exclusive; a pattern's finds do not overlap. NULL and empty texts
 have no spans. Each row is judged by itself, repeated rows alike; repetition of an instance adds nothing to
@@ -40,7 +41,8 @@ KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"
 PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 REACH = 80  # code points before an instance in which its words are sought
-ROUNDS = 3
+SETTLED = 0.01  # growth of a confidence below which no further round is needed
+DECAY = 0.9  # of belief, from a pattern to what it finds
 SMOOTHING = 1.0
 LEAST_SEEDS = 3
 CONFIDENCE = 0.6
@@ -158,29 +160,46 @@ def around(found: Column, gaps: Column, base: Column) -> Column:
     return F.transform(found, one)
 
 
-def scored_patterns(instances: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``pattern``, ``confidence`` and ``seeds``, from rows of ``value``, ``seed`` and ``patterns``."""
+def scored_patterns(instances: DataFrame) -> DataFrame:
+    """``pattern`` and ``confidence`` of the patterns with enough support, from rows of ``value``, ``seed`` and
+    ``patterns``.
+
+    Support is the number of instances believed to be personal data: seeds, and identifiers that a pattern of
+    ``CONFIDENCE`` reaches. Beliefs start at nothing and only grow, so no patterns vouch for each other alone;
+    each step away from the seeds costs a factor ``DECAY``. Rounds go on until no confidence grows by more than
+    ``SETTLED``.
+    """
     edges = instances.select(F.explode("patterns").alias("pattern"), "value", F.col("seed").cast("int").alias("seed"))
     edges = materialise(edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed")))
-    belief = edges.groupBy("value").agg(F.max("seed").cast("double").alias("belief"))
-    scores = None
-    for k in range(rounds):
-        known = edges.join(belief, "value")
-        sums = known.groupBy("pattern").agg(
-            F.sum("belief").alias("sum"), F.count("*").alias("n"), F.sum(F.floor("belief")).alias("seeds")
+    believed = edges.groupBy("value").agg(F.max("seed").cast("double").alias("belief"))
+    belief = believed.withColumn("counts", F.col("belief").cast("int"))
+    before = None
+    while True:
+        sums = edges.drop("seed").join(belief, "value").groupBy("pattern").agg(
+            F.sum("belief").alias("sum"), F.count("*").alias("n"), F.sum("counts").alias("support")
+        )
+        # Rounded, so that the order of a sum does not decide. Without a floor, one find would vouch for a pattern.
+        confidence = F.round(F.col("sum") / (F.col("n") + SMOOTHING), 9)
+        scores = materialise(sums.filter(F.col("support") >= LEAST_SEEDS).select("pattern", confidence.alias("confidence")))
+        grown = scores.withColumn("old", F.lit(0.0))
+        if before is not None:
+            old = before.withColumnRenamed("confidence", "old")
+            grown = scores.join(old, "pattern", "left").fillna(0.0, ["old"])
+        if grown.filter(F.col("confidence") > F.col("old") + SETTLED).isEmpty():
+            return scores
+        before = scores
+        doubt = edges.join(scores, "pattern", "left")
+        not_it = F.exp(F.sum(F.log(1 - F.coalesce("confidence", F.lit(0.0)))))
+        noisy_or = F.round(DECAY * (1 - not_it), 9)
+        agreed = doubt.groupBy("value").agg(F.max("seed").alias("s"), noisy_or.alias("b"), F.max("confidence").alias("best"))
+        counts = is_identifier(F.col("value")) & (F.col("b") >= CONFIDENCE) & (F.col("best") >= CONFIDENCE)
+        belief = materialise(
+            agreed.select(
+                "value",
+                F.when(F.col("s") == 1, 1.0).otherwise(F.col("b")).alias("belief"),
+                ((F.col("s") == 1) | F.coalesce(counts, F.lit(False))).cast("int").alias("counts"),
+            )
         )
-        confidence = F.col("sum") / (F.col("n") + SMOOTHING)
-        # Without a floor of seeds, patterns seen once would vouch for each other.
-        enough = F.when(F.col("seeds") >= LEAST_SEEDS, confidence).otherwise(0.0)
-        scores = materialise(sums.select("pattern", enough.alias("confidence"), "seeds"))
-        if k + 1 < rounds:
-            doubt = edges.join(scores.filter("confidence > 0").drop("seeds"), "pattern", "left")
-            not_it = F.exp(F.sum(F.log(1 - F.coalesce("confidence", F.lit(0.0)))))
-            # Below one, so that only seeds count as such.
-            noisy_or = F.least(1 - not_it, F.lit(0.999))
-            agreed = doubt.groupBy("value").agg(F.max("seed").alias("s"), noisy_or.alias("b"))
-            belief = materialise(agreed.select("value", F.when(F.col("s") == 1, 1.0).otherwise(F.col("b")).alias("belief")))
-    return scores
 
 
 def find(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -190,7 +209,7 @@ def find(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     rows = materialise(rows)
     each = rows.select("row", F.explode("instances").alias("i")).select("row", "i.*")
     scores = scored_patterns(each.select("value", "seed", "patterns"))
-    sure = scores.filter((F.col("confidence") >= CONFIDENCE) & (F.col("seeds") >= LEAST_SEEDS)).select("pattern")
+    sure = scores.filter(F.col("confidence") >= CONFIDENCE).select("pattern")
     new = each.filter(~F.col("seed") & is_identifier(F.col("value")))
     reached = new.select("row", "start", "end", "value", F.explode("patterns").alias("pattern")).join(sure, "pattern")
     span = F.struct(F.lit(FOUND).alias("kind"), "start", "end", "value")

@@ -212,6 +212,20 @@ def test_patterns_find_unseen_identifiers(spark):
     assert not any(found[i] for i in range(11) if i != 8)
 
 
+def test_found_identifiers_support_further_patterns(spark):
+    """Seeds, a pattern, new identifiers, a pattern none of whose instances is a seed, further identifiers."""
+    texts = [f"please call me on +1 (274) 555-{1000 + i} today, thing {i}." for i in range(8)]
+    texts += [f"please call me on 0274/{5559000 + i} today." for i in range(4)]
+    texts += [f"the member number 0274/{5559000 + i} has expired again." for i in range(4)]
+    texts += ["the member number KX-88271 has expired again."]
+    texts += [f"a lot of part no {70000000 + i} was sold." for i in range(9)]  # a context that no find supports
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == pii.FOUND] for r in pii.find(rows).collect()}
+    assert found[16] == ["KX-88271"]
+    assert all(found[i] == [f"0274/{5559000 + i % 4}"] for i in range(8, 16))
+    assert not any(found[i] for i in [*range(8), *range(17, len(texts))])
+
+
 def test_running_sums(spark):
     numbers = list(range(1, 400))
     row = spark.createDataFrame([(numbers,)], "x array<int>").select(pii.running(F.col("x")).alias("s")).first()
