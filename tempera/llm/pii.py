@@ -1,8 +1,8 @@
 """Personal data by fixed patterns and bootstrapped contexts, with DataFrame functions alone.
 
 The fixed patterns find e-mail addresses, IP addresses, card and phone numbers; their finds are the seeds.
-Every run of words with a digit or an at sign is an instance, and its patterns are the two words before it,
-and the word before with the word behind it. Patterns and instances form a graph: the confidence of a
+The seeds, and what every run of words with a digit or an at sign has beside them, are instances; the patterns
+of one are the two words before it, and the word before with the word behind it. Patterns and instances form a graph: the confidence of a
 pattern is the smoothed mean of its instances', that of an instance which is no seed is the noisy-or of its
 patterns', less a decay. Identifiers found so support further patterns as seeds do. When the confidences have
 settled, patterns with enough support and confidence report their other instances that look like identifiers,
@@ -40,6 +40,10 @@ PATTERNS = (
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"
 PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+TRIM_START = r"""[("'\[<{]"""
+TRIM_END = r"""[.,;:!?)"'\]>}]"""
+BESIDE = rf"""[{SPACES}.,;:!?()"'\[\]<>{{}}|/=&-]"""  # at the ends of what stands beside a match
+PARTS = "array<struct<start:bigint,end:bigint,value:string,kind:string,seed:boolean>>"
 REACH = 80  # code points before an instance in which its words are sought
 SETTLED = 0.01  # growth of a confidence below which no further round is needed
 DECAY = 0.9  # of belief, from a pattern to what it finds
@@ -139,25 +143,112 @@ def checked(kind: str) -> Column:
 
 
 def around(found: Column, gaps: Column, base: Column) -> Column:
-    """Instances without the punctuation at their ends, their patterns, and whether a seed lies in them."""
+    """Instances without the punctuation at their ends, their patterns, and whether they are seeds.
 
-    def one(s: Column, k: Column) -> Column:
-        before = words(F.lower(F.right(F.get(gaps, k), F.lit(REACH))))
-        behind = words(F.lower(F.left(F.get(gaps, k + 1), F.lit(REACH))))
+    Matches of the fixed patterns are cut out of the runs ``found``: they are seeds, what remains of the run
+    beside them are instances of their own. In contexts a match stands as its kind.
+    """
+    runs = F.transform(
+        found,
+        lambda s, k: F.struct(
+            words(F.lower(F.right(F.get(gaps, k), F.lit(REACH)))).alias("before"),
+            words(F.lower(F.left(F.get(gaps, k + 1), F.lit(REACH)))).alias("behind"),
+            s["start"].alias("start"),
+            s["end"].alias("end"),
+            s["value"].alias("value"),
+            F.array_sort(
+                F.filter(base, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])),
+                lambda x, y: F.when(x["start"] != y["start"], F.signum(x["start"] - y["start"]))
+                .otherwise(F.signum(y["end"] - x["end"]))
+                .cast("int"),
+            ).alias("base"),
+        ),
+    )
+    parted = F.transform(
+        runs,
+        lambda r: F.struct(
+            r["before"].alias("before"),
+            r["behind"].alias("behind"),
+            F.when(F.size(r["base"]) > 0, F.filter(parts(r), lambda p: p["value"] != ""))
+            .otherwise(F.array(part(r["start"], r["value"], TRIM_START, TRIM_END)))
+            .alias("parts"),
+        ),
+    )
+    said = F.transform(
+        parted,
+        lambda r: F.struct(
+            r["before"].alias("before"),
+            r["behind"].alias("behind"),
+            r["parts"].alias("parts"),
+            F.transform(
+                r["parts"],
+                lambda p: F.when(p["kind"].isNotNull(), F.array(F.concat(F.lit("<"), p["kind"], F.lit(">")))).otherwise(
+                    words(F.lower(p["value"]))
+                ),
+            ).alias("said"),
+        ),
+    )
+
+    def instance(r: Column, p: Column, j: Column) -> Column:
+        # Two words before and one behind are enough, from the parts beside it and then from beyond the run.
+        before = F.concat(r["before"], F.flatten(F.slice(r["said"], F.greatest(j - 1, F.lit(1)), F.least(j, F.lit(2)))))
+        behind = F.concat(F.get(r["said"], j + 1), r["behind"])
+        behind = F.when(j + 1 < F.size(r["said"]), behind).otherwise(r["behind"])
         w1, w2 = F.get(before, F.size(before) - 1), F.get(before, F.size(before) - 2)
-        inner = F.regexp_replace(s["value"], r"""^[("'\[<{]+""", "")
-        start = s["start"] + F.length(s["value"]) - F.length(inner)
-        value = F.regexp_replace(inner, r"""[.,;:!?)"'\]>}]+$""", "")
         patterns = F.array(F.concat(w2, F.lit(" "), w1, F.lit(" _")), F.concat(w1, F.lit(" _ "), F.get(behind, F.lit(0))))
         return F.struct(
-            start.alias("start"),
-            (start + F.length(value)).alias("end"),
-            value.alias("value"),
-            F.exists(base, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])).alias("seed"),
-            F.filter(patterns, lambda p: p.isNotNull()).alias("patterns"),
+            p["start"].alias("start"),
+            p["end"].alias("end"),
+            p["value"].alias("value"),
+            p["seed"].alias("seed"),
+            F.filter(patterns, lambda x: x.isNotNull()).alias("patterns"),
+            (p["seed"] | p["kind"].isNull() & p["value"].rlike("[0-9@]")).alias("one"),
         )
 
-    return F.transform(found, one)
+    each = F.flatten(F.transform(said, lambda r: F.transform(r["parts"], lambda p, j: instance(r, p, j))))
+    named = ("start", "end", "value", "seed", "patterns")
+    return F.transform(F.filter(each, lambda i: i["one"]), lambda i: F.struct(*[i[n].alias(n) for n in named]))
+
+
+def part(start: Column, value: Column, first: str, last: str) -> Column:
+    """What a run has beside the matches of the fixed patterns, without the characters of ``first`` and ``last``
+    at its ends."""
+    inner = F.regexp_replace(value, f"^{first}+", "")
+    at = start + F.length(value) - F.length(inner)
+    core = F.regexp_replace(inner, f"{last}+$", "")
+    return F.struct(
+        at.alias("start"),
+        (at + F.length(core)).alias("end"),
+        core.alias("value"),
+        F.lit(None).cast("string").alias("kind"),
+        F.lit(False).alias("seed"),
+    )
+
+
+def parts(r: Column) -> Column:
+    """A run cut at its matches, in order. A match that goes on from the run before is no seed again."""
+    piece = lambda at, end: part(
+        at, F.substring(r["value"], (at - r["start"] + 1).cast("int"), (end - at).cast("int")), BESIDE, BESIDE
+    )
+
+    def match(b: Column) -> Column:
+        return F.struct(
+            b["start"].alias("start"),
+            b["end"].alias("end"),
+            b["value"].alias("value"),
+            b["kind"].alias("kind"),
+            (b["start"] >= r["start"]).alias("seed"),
+        )
+
+    # How far the matches before each one reach: these may overlap.
+    ends = lambda k: F.transform(F.slice(r["base"], F.lit(1), k), lambda b: b["end"])
+    far = lambda k: F.greatest(r["start"], F.coalesce(F.array_max(ends(k)), r["start"]))
+    cut = F.transform(
+        r["base"],
+        lambda b, k: F.when(b["start"] > far(k), F.array(piece(far(k), b["start"]), match(b))).otherwise(F.array(match(b))),
+    )
+    rest = far(F.size(r["base"]))
+    return F.flatten(F.concat(cut, F.array(F.when(rest < r["end"], F.array(piece(rest, r["end"]))).otherwise(F.array().cast(PARTS)))))
 
 
 def scored_patterns(instances: DataFrame) -> DataFrame:

@@ -226,6 +226,20 @@ def test_found_identifiers_support_further_patterns(spark):
     assert not any(found[i] for i in [*range(8), *range(17, len(texts))])
 
 
+def test_identifiers_beside_seeds_are_found(spark):
+    texts = [f"please call me on +1 (274) 555-{1000 + i} today, thing {i}." for i in range(8)]
+    texts += ["please call me on 0274/5559629 a@b.org", "please call me on 0274/5559630; 4111 1111 1111 1111; 10.0.0.1 today."]
+    texts += [f"seen 10.0.0.{i} u{i}@b.org +1 (274) 555-{2000 + i} end" for i in range(8)]
+    texts += ["seen 10.0.0.9 KX-88271 +1 (274) 555-2009 end", "mailto:a@b.org, only"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == pii.FOUND] for r in pii.find(rows).collect()}
+    want = {8: ["0274/5559629"], 9: ["0274/5559630"], 18: ["KX-88271"]}
+    assert {k: v for k, v in found.items() if v} == want
+    instances = {r.doc_id: [(i.value, i.seed) for i in r.instances] for r in pii.matched(rows).collect()}
+    assert instances[9] == [("0274/5559630", False), ("4111 1111 1111 1111", True), ("10.0.0.1", True)]
+    assert instances[19] == [("a@b.org", True)]
+
+
 def test_running_sums(spark):
     numbers = list(range(1, 400))
     row = spark.createDataFrame([(numbers,)], "x array<int>").select(pii.running(F.col("x")).alias("s")).first()
