@@ -34,7 +34,7 @@ def with_text(row: dict[str, Column], text: Column) -> list[Column]:
 
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = free_name(docs, "quality")
-    rows = quality.assess(docs, found).filter(f"{found}.kept")
+    rows = quality.assess(docs, found, by_parts=True).filter(f"{found}.kept")
     return rows.select(with_text({c: col(c) for c in docs.columns}, F.col(found)["clean_text"]))
 
 

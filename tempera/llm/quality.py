@@ -5,6 +5,11 @@ word in a short line), boilerplate phrases, and one word said over and over. Fai
 document that loses more than ``MOST_LOST`` of its words so is rejected, as is one that fails the base
 limits.
 
+With ``by_parts``, long lines are judged by their parts, so that a text without line breaks is no worse than
+one with them: monotony in windows of ``WINDOW`` words and boilerplate in sentences, each failing the line if
+that holds at least half of its words. Without it, the default, the rules are those of ``SQL`` for any length:
+the longer a line, the likelier it has a boilerplate phrase and few different words for its length.
+
 NULL text has no words and is rejected like an empty one. Blank lines are kept. Repeated rows give repeated
 results. All columns of the table are kept as they are; the result is one struct column, whose name replaces
 a column of that name, so the caller picks a free one.
@@ -20,6 +25,8 @@ from tempera.llm.common import col, words
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent of words in repeated windows
 MOST_LOST = 30  # per cent of words in removed lines
+WINDOW = 200  # words; a line of no more is one window
+SHORT = 30  # words; a line of no more is one sentence
 SYMBOLS = "#*$%&|<>"
 MARKS = "#*$%&|<>!{}=~^\\"
 NAVIGATION = (
@@ -37,7 +44,7 @@ def count_of(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, characters, ""))
 
 
-def judged_lines(text: Column) -> Column:
+def judged_lines(text: Column, by_parts: bool = False) -> Column:
     """Lines with their words, the number of words and whether a rule removes the line."""
     split = F.transform(F.split(text, "\n", -1), lambda l: F.struct(l.alias("line"), words(l).alias("words")))
     counted = F.transform(
@@ -52,16 +59,34 @@ def judged_lines(text: Column) -> Column:
     )
     return F.transform(
         counted,
-        lambda l: F.struct(l["line"].alias("line"), l["words"].alias("words"), l["n"].alias("n"), fails(l).alias("fails")),
+        lambda l: F.struct(l["line"].alias("line"), l["words"].alias("words"), l["n"].alias("n"), fails(l, by_parts).alias("fails")),
     )
 
 
-def fails(l: Column) -> Column:
+def monotone_words(said: Column) -> Column:
+    """Words in the windows in which a few are said over and over."""
+    starts = F.sequence(F.lit(1), F.size(said), F.lit(WINDOW))
+    windows = F.transform(starts, lambda i: F.slice(said, i, F.lit(WINDOW)))
+    sizes = F.transform(windows, lambda w: F.when((F.size(w) >= 10) & (4 * F.size(F.array_distinct(w)) <= F.size(w)), F.size(w)).otherwise(0))
+    return F.aggregate(sizes, F.lit(0), lambda a, n: a + n)
+
+
+def boilerplate_words(line: Column) -> Column:
+    """Words in the sentences with a boilerplate phrase."""
+    sentences = F.filter(F.split(line, r"(?<=[.!?])[\x20\x09-\x0D]+"), lambda s: s.rlike(BOILERPLATE))
+    return F.aggregate(sentences, F.lit(0), lambda a, s: a + F.size(words(s)))
+
+
+def fails(l: Column, by_parts: bool = False) -> Column:
     n = l["n"]
     punctuation = (l["marks"] >= 3) & (2 * l["marks"] >= n)
     navigation = (l["separators"] >= 2) & (3 * l["separators"] >= n) | (n <= 4) & l["line"].rlike(NAVIGATION)
     monotone = (n >= 10) & (4 * F.size(F.array_distinct(l["words"])) <= n)
-    return (n > 0) & (punctuation | navigation | l["line"].rlike(BOILERPLATE) | monotone)
+    boilerplate = l["line"].rlike(BOILERPLATE)
+    if by_parts:
+        monotone = F.when(n <= WINDOW, monotone).otherwise(2 * monotone_words(l["words"]) >= n)
+        boilerplate = boilerplate & F.when(n <= SHORT, True).otherwise(2 * boilerplate_words(l["line"]) >= n)
+    return (n > 0) & (punctuation | navigation | boilerplate | monotone)
 
 
 def repeated_words(said: Column) -> Column:
@@ -99,7 +124,7 @@ def covered(positions: Column) -> Column:
     )
 
 
-def assess(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
+def assess(docs: DataFrame, into: str, text: str = "text", by_parts: bool = False) -> DataFrame:
     """``docs`` with a struct ``into``: the counts, the verdict ``kept`` and the ``clean_text``."""
     rest = [col(c) for c in docs.columns if c.lower() != into.lower()]
 
@@ -108,7 +133,7 @@ def assess(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
 
     # The row travels in one struct, so that no name of the steps can clash with a column.
     out = docs.select(F.struct(*rest).alias("row"), F.coalesce(col(text), F.lit("")).alias("text"))
-    out = step(out, lines=judged_lines(F.col("text")))
+    out = step(out, lines=judged_lines(F.col("text"), by_parts))
     out = step(out, said=F.flatten(F.transform("lines", lambda l: l["words"])))
     out = step(out, windows=repeated_words(F.col("said")))
     out = step(out, twins=twins(F.col("windows")))

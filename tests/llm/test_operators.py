@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as driver
+import corpus_pipeline
 from tempera.llm import bpe, chat, components, langid, mixing, pii, quality, repair, secrets, simhash, winnow
 from tempera.llm import queries as registered
 
@@ -134,6 +135,22 @@ def test_lines_are_judged_by_themselves(spark):
     assert not got[3].kept and not got[3].base_failed
 
 
+def test_long_lines_are_judged_by_their_parts(spark):
+    prose = " ".join(f"w{(i * i) % 4801} v{(i * 7919) % 3001}" + ". " * (i % 9 == 0) for i in range(20_000))
+    short = " ".join(f"Word{i}x." for i in range(400))
+    policy = f"{short} Our privacy policy is powered by reason. {short.replace('Word', 'Term')}"
+    junk = "All rights reserved by the owner of this page and of all that it shows or links to. " * 20
+    again = "go on and on " * 200
+    texts = [prose, policy, f"{short}\n{junk}", f"{short}\n{again}"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    cleaned = {r.doc_id: r.q for r in quality.assess(rows, "q", by_parts=True).collect()}
+    assert cleaned[0].kept and cleaned[0].n_lines_removed == 0 and cleaned[0].clean_text == prose
+    assert cleaned[1].kept and cleaned[1].clean_text == policy
+    assert cleaned[2].n_lines_removed == cleaned[3].n_lines_removed == 1 and cleaned[2].clean_text == short
+    staged = {r.doc_id for r in corpus_pipeline.clean_documents(spark, rows, "").collect()}
+    assert {0, 1} <= staged
+
+
 def test_filter_is_not_pushed_into_the_steps(documents):
     kept = quality.assess(documents, "q").filter("q.kept")
     assert kept.count() > 0 and kept.columns == [*documents.columns, "q"]
