@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempera.llm import bpe, chat, langid, mixing, pii, quality, repair, secrets, simhash, winnow
+from tempera.llm import bpe, chat, langid, merkle, mixing, pii, quality, repair, secrets, simhash, winnow
 from tempera.session import materialise, shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -116,6 +116,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered.repartitionByRange("first", "doc_id").sortWithinPartitions("first", "doc_id").drop("first")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and witness of every document, and the root that follows where a text was lower-cased."""
+    docs = documents(spark, sf_dir)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    upper, lower = (bytes(range(a, a + 26)).decode() for a in (65, 97))
+    text = F.when(tampered, F.translate("text", upper, lower)).otherwise(F.col("text"))
+    rows = merkle.witnesses(merkle.leaves(docs, {"text": text})).withColumnRenamed("id", "doc_id")
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair": op1_repair,
     "op2_quality": op2_quality,
@@ -127,9 +137,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_winnow": op9_winnow,
     "op10_mixing": op10_mixing,
+    "op11_merkle": op11_merkle,
 }
 
 SQL: dict[str, str] = {
     "op2_quality": quality.SQL,
     "op10_mixing": mixing.SQL,
+    "op11_merkle": merkle.SQL,
 }
