@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempera.llm import bpe, chat, langid, merkle, mixing, pii, quality, repair, secrets, simhash, winnow
+from tempera.llm import bpe, centroids, chat, langid, merkle, mixing, pii, quality, repair, secrets, simhash, winnow
 from tempera.session import materialise, shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -126,6 +126,15 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after three rounds, and how far it is from the centroid."""
+    rows = centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    digits = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return rows.select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", digits.alias("centroid_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair": op1_repair,
     "op2_quality": op2_quality,
@@ -138,10 +147,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_winnow": op9_winnow,
     "op10_mixing": op10_mixing,
     "op11_merkle": op11_merkle,
+    "op12_centroids": op12_centroids,
 }
 
 SQL: dict[str, str] = {
     "op2_quality": quality.SQL,
     "op10_mixing": mixing.SQL,
     "op11_merkle": merkle.SQL,
+    "op12_centroids": centroids.SQL,
 }
