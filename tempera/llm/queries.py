@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempera.llm import bpe, centroids, chat, langid, merkle, mixing, pii, quality, repair, secrets, simhash, winnow
+from tempera.llm import bpe, centroids, chat, html, langid, merkle, mixing, pii, quality, repair, secrets, simhash, winnow
 from tempera.session import materialise, shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -135,6 +135,12 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    rows = html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"), carry=["page_id", "url"])
+    return rows.select("row.page_id", "row.url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair": op1_repair,
     "op2_quality": op2_quality,
@@ -148,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
     "op11_merkle": op11_merkle,
     "op12_centroids": op12_centroids,
+    "op13_html": op13_html,
 }
 
 SQL: dict[str, str] = {
