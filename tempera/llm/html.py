@@ -249,11 +249,12 @@ def _dropped(page: Page, named: bool) -> list[bool]:
     for its tag; nor is, on a page without these, a form that holds most of the text.
     """
     n = len(page.tags)
-    holds, inside, prose = [False] * n, [False] * n, [0] * n
+    holds, inside, junk, prose = [False] * n, [False] * n, [False] * n, [0] * n
     for i in range(1, n):
         inside[i] = inside[page.parents[i]] or page.tags[i] == "article" or page.named_main[i]
+        junk[i] = junk[page.parents[i]] or page.marked[i] and page.tags[i] != "form"
     for of, _, text in page.pieces:
-        if page.tags[of] == "p" or page.tags[page.parents[of]] == "p":
+        if not junk[of] and (page.tags[of] == "p" or page.tags[page.parents[of]] == "p"):
             prose[of] += len(text)
     for i in range(n - 1, 0, -1):
         up = page.parents[i]

@@ -1,0 +1,101 @@
+"""Centroid clustering against a comparison of all, and its SQL."""
+
+import math
+from hashlib import sha256
+
+import numpy as np
+import pytest
+from brute import SMALL
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from oracle import assert_same, connect
+
+from tempera.llm import centroids
+from tempera.llm import queries as registered
+
+SCHEMA = "vec_id bigint, embedding array<float>, cluster string, x string, distance int, `a.b` int"
+
+
+def plain(rows):
+    """Result rows from (id, vector), by Python integers."""
+    kept = []
+    for i, v in rows:
+        if v is not None and len(v) == 64 and all(e is not None and math.isfinite(e) for e in v):
+            kept.append((i, [math.floor(64 * float(np.float32(e))) for e in v]))
+    key = [(i is None, sha256(f"1:{i}".encode()).hexdigest(), x) for i, x in kept]
+    middle = [x for _, _, x in sorted(key)[:16]]
+
+    def nearest(x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c, strict=True)), n) for n, c in enumerate(middle))
+
+    for _ in range(3):
+        of = [nearest(x)[1] for _, x in kept]
+        for c in range(len(middle)):
+            mine = [x for n, (_, x) in zip(of, kept, strict=True) if n == c]
+            if mine:
+                middle[c] = [sum(column) // len(mine) for column in zip(*mine, strict=True)]
+    last = [nearest(x) for _, x in kept]
+    total = sum(d for d, _ in last)
+    by = {c: sum(d for d, n in last if n == c) for _, c in last}
+    digest = [sha256(",".join(map(str, c)).encode()).hexdigest() for c in middle]
+    return sorted(
+        ((i, n, d, by[n], total, digest[n]) for (i, _), (d, n) in zip(kept, last, strict=True)),
+        key=lambda r: (r[0] is not None, r),
+    )
+
+
+def check(spark, tmp_path, rows):
+    spark.createDataFrame([(i, v, "c", "x", 0, 0) for i, v in rows], SCHEMA).write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = registered.op12_centroids(spark, str(tmp_path)).collect()
+    assert sorted((tuple(r) for r in found), key=lambda r: (r[0] is not None, r)) == plain(rows)
+    return found
+
+
+def random_rows(n, seed=1, spread=3.0):
+    rng = np.random.default_rng(seed)
+    return [(i, [float(v) for v in rng.normal(i % 5, spread, 64).astype(np.float32)]) for i in range(n)]
+
+
+def test_odd_vectors(spark, tmp_path):
+    rows = random_rows(90)
+    same = [0.5] * 64
+    bad = [None, [], [1.0] * 63, [1.0] * 65, [1.0] * 63 + [None], [1.0] * 63 + [math.nan], [math.inf] + [1.0] * 63]
+    rows += [(100 + i, v) for i, v in enumerate(bad)]
+    rows += [(200, same)] * 40 + [(None, same), (None, [-0.001] * 64), (7, [-2.0] * 64), (300, [2_000_000.0, -2_000_000.0] * 32)]
+    assert len(check(spark, tmp_path, rows)) == 90 + 44
+
+
+@pytest.mark.parametrize("n", [0, 1, 9, 16])
+def test_few_vectors(spark, tmp_path, n):
+    assert len(check(spark, tmp_path, random_rows(n))) == n
+
+
+def test_too_large_a_component_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="beyond"):
+        check(spark, tmp_path, [(1, [1e9] * 64)])
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 60), st.integers(1, 40), st.sampled_from([1, 3, 1000, 2**27]))
+def test_search_finds_the_nearest(seed, n, k, size):
+    rng = np.random.default_rng(seed)
+    vectors, middle = rng.integers(-size, size + 1, (n, 64)), rng.integers(-size, size + 1, (k, 64))
+    middle[rng.integers(0, k, k // 3)] = middle[0]  # equal centroids: the smaller number wins
+    number, distance = centroids.Search(middle).nearest(vectors)
+    all_ = ((vectors[:, None] - middle[None]) ** 2).sum(axis=2)
+    assert np.array_equal(number, all_.argmin(axis=1)) and np.array_equal(distance, all_.min(axis=1))
+
+
+def test_most_centroids_are_skipped():
+    """Where means or deviations differ, few centroids are compared."""
+    rng = np.random.default_rng(2)
+    middle = rng.normal(0, 1, (200, 64)) * rng.uniform(1, 400, (200, 1)) + rng.uniform(-3000, 3000, (200, 1))
+    middle = middle.astype(np.int64)
+    search = centroids.Search(middle)
+    vectors = middle[rng.integers(0, 200, 1000)] + rng.integers(-9, 10, (1000, 64))
+    search.nearest(vectors)
+    assert search.compared < 0.05 * 1000 * 200
+
+
+def test_sql(spark):
+    assert assert_same(registered.op12_centroids(spark, SMALL), connect(SMALL), centroids.SQL) == 500
