@@ -15,6 +15,7 @@ from tempera import dims
 from tempera.functions.clock import micros
 from tempera.functions.labels import mood_emoji
 from tempera.operators.ordered import MAX_ROWS, PARTS, Ordered, over_sequence, split
+from tempera.session import materialise
 
 # --- one reading --------------------------------------------------------------------------
 
@@ -134,64 +135,101 @@ def _keep(gap: int):
     return run
 
 
+def step_function(times: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
+    """What a stretch of ascending ``times`` makes of the last kept time before it.
+
+    A time that is due up to ``upto[i]`` (and after ``upto[i - 1]``) leads to the last kept time ``leave[i]``; one due
+    later leaves the last kept time as it is. Only times within one gap of the first can be the first kept one.
+    """
+    if not len(times):
+        return times, times
+    times = np.unique(times)
+    after = np.searchsorted(times, times + gap)
+    leave = np.where(after < len(times), after, np.arange(len(times)))
+    while True:  # each round doubles the length of the jumps
+        further = leave[leave]
+        if np.array_equal(further, leave):
+            break
+        leave = further
+    return _shortened(times, times[leave], int(times[0]) + gap)
+
+
+def _shortened(upto: np.ndarray, leave: np.ndarray, latest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Without steps due after ``latest``, and with one step for equal outcomes in a row."""
+    n = int(np.searchsorted(upto, latest)) + 1
+    upto, leave = upto[:n], leave[:n]
+    ends = np.append(leave[1:] != leave[:-1], True)
+    return upto[ends], leave[ends]
+
+
+def step(upto: np.ndarray, leave: np.ndarray, last: int | None, gap: int) -> int | None:
+    """The last kept time after a stretch, from the one before it."""
+    at = 0 if last is None else int(np.searchsorted(upto, last + gap))
+    return int(leave[at]) if at < len(upto) else last
+
+
+def composed(first: tuple[np.ndarray, np.ndarray], second: tuple[np.ndarray, np.ndarray], gap: int, start: int):
+    """The step function of two stretches, one after the other, that begin at ``start``."""
+    (upto, leave), (upto_2, leave_2) = first, second
+    at = np.searchsorted(upto_2, leave + gap)
+    through = np.where(at < len(upto_2), leave_2[np.minimum(at, len(upto_2) - 1)], leave)
+    passed = upto_2 > upto[-1]
+    return _shortened(np.append(upto, upto_2[passed]), np.append(through, leave_2[passed]), start + gap)
+
+
+FAN = 4
+
+
 def _entries(part: Ordered, gap: int) -> DataFrame:
     """For each chunk of a split key, the time of the last reading kept before the chunk.
 
-    A chunk acts on that time as a step function: every value up to ``upto`` leads to the
-    same last kept time ``leave``. Only readings within one gap of the chunk's start can be
-    its first kept one. The steps are computed for all chunks in parallel; then one pass over the steps
-    of a key, sorted, applies them in order. It streams: a task holds one Arrow batch and one time, however many steps
-    a dense key has.
+    A chunk acts on that time as a step function, and so do several in a row. Functions of neighbouring chunks are composed
+    in a tree, ``FAN`` at a time, until there is one per key; then the times are handed down the same tree. A task
+    sees ``FAN`` functions, each with the readings of one gap at most, never all those of a key.
     """
     hot, chunk = PARTS
-    numbers = [part.df.schema[hot], part.df.schema[chunk]]
-    long = T.LongType()
-    steps_schema = T.StructType([*numbers, T.StructField("upto", long), T.StructField("leave", long)])
-    carry_schema = T.StructType([*numbers, T.StructField("_carry", long)])
+    numbers = [part.df.schema[hot], T.StructField(chunk, T.LongType())]
+    held = [T.StructField("start", T.LongType()), T.StructField("upto", T.BinaryType()), T.StructField("leave", T.BinaryType())]
+    held, carry = T.StructType([*numbers, *held]), T.StructType([*numbers, T.StructField("_carry", T.LongType())])
 
-    def steps(pdf: pd.DataFrame) -> pd.DataFrame:
-        times = np.unique(pdf["_at"].to_numpy())
-        here = np.arange(len(times))
-        after = np.searchsorted(times, times + gap)
-        leave = np.where(after < len(times), after, here)
-        while True:  # each round doubles the length of the jumps
-            further = leave[leave]
-            if np.array_equal(further, leave):
-                break
-            leave = further
-        first = int(np.searchsorted(times, times[0] + gap)) + 1
-        upto, leave = times[:first], times[leave[:first]]
-        ends = np.append(leave[1:] != leave[:-1], True)
-        return pd.DataFrame(
-            {hot: pdf[hot].iloc[0], chunk: pdf[chunk].iloc[0], "upto": upto[ends], "leave": leave[ends]}
-        )
+    def row(h, c, start: int, function: tuple[np.ndarray, np.ndarray]) -> pd.DataFrame:
+        upto, leave = (a.astype(np.int64).tobytes() for a in function)
+        return pd.DataFrame({hot: [h], chunk: [c], "start": [start], "upto": [upto], "leave": [leave]})
 
-    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The time before each chunk, from steps sorted by key, chunk and time."""
-        key = number = last = before = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys, chunks, upto, leave = (c.to_numpy() for c in batch.columns)
-            begin = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (chunks[1:] != chunks[:-1])))
-            out = []
-            for b, e in zip(begin.tolist(), [*begin[1:].tolist(), len(keys)], strict=True):
-                if (keys[b], chunks[b]) != (key, number):  # else the chunk goes on from the batch before
-                    last = last if keys[b] == key else None
-                    key, number, before, settled = keys[b], chunks[b], last, False
-                    out.append((int(key), int(number), before))
-                if not settled:
-                    at = b if before is None else b + int(np.searchsorted(upto[b:e], before + gap))
-                    if at < e:
-                        last, settled = int(leave[at]), True
-            names = [f.name for f in carry_schema]
-            arrays = [pa.array(list(v), c.type) for v, c in zip(zip(*out, strict=True), batch.columns, strict=False)]
-            if out:
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    stepped = part.df.select(*PARTS, "_at").groupBy(*PARTS).applyInPandas(steps, steps_schema)
-    ordered = stepped.repartition(hot).sortWithinPartitions(hot, chunk, "upto")
-    return ordered.mapInArrow(follow, carry_schema)
+    def functions(pdf: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [(np.frombuffer(u, np.int64), np.frombuffer(v, np.int64)) for u, v in zip(pdf["upto"], pdf["leave"], strict=True)]
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        times = np.unique(pdf["_at"].to_numpy())
+        return row(pdf[hot].iloc[0], pdf[chunk].iloc[0], int(times[0]), step_function(times, gap))
+
+    def together(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(chunk)
+        start, (whole, *others) = int(pdf["start"].iloc[0]), functions(pdf)
+        for function in others:
+            whole = composed(whole, function, gap, start)
+        return row(pdf[hot].iloc[0], pdf[chunk].iloc[0] // FAN, start, whole)
+
+    def apart(parent: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(chunk)
+        last = None if pd.isna(parent["_carry"].iloc[0]) else int(parent["_carry"].iloc[0])
+        before = []
+        for upto, leave in functions(pdf):
+            before.append(last)
+            last = step(upto, leave, last, gap)
+        out = pd.DataFrame({hot: pdf[hot].to_numpy(), chunk: pdf[chunk].to_numpy()})
+        return out.assign(_carry=pd.array(before, dtype="Int64"))
+
+    levels = [materialise(part.df.select(*PARTS, "_at").groupBy(*PARTS).applyInPandas(one, held))]
+    up = F.expr(f"{chunk} div {FAN}").alias("_up")
+    while not levels[-1].groupBy(hot).count().filter("count > 1").isEmpty():
+        levels.append(materialise(levels[-1].groupBy(hot, up).applyInPandas(together, held)))
+    down = levels.pop().select(hot, chunk, F.lit(None).cast("bigint").alias("_carry"))
+    while levels:
+        children = levels.pop().groupBy(hot, up)
+        parents = down.withColumnRenamed(chunk, "_up").groupBy(hot, "_up")
+        down = materialise(parents.cogroup(children).applyInPandas(apart, carry))
+    return down.select(hot, F.col(chunk).cast(part.df.schema[chunk].dataType).alias(chunk), "_carry")
 
 
 # --- runs and debounce --------------------------------------------------------------------

@@ -230,6 +230,53 @@ def test_chain(seed):
     assert sequence.chain(times, gap).tolist() == kept
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_step_functions_compose(seed):
+    """Stretches one after the other, in any grouping, act as their rows do; the gap may exceed them by far."""
+    rnd = random.Random(seed)
+    times = np.array(sorted(rnd.randrange(300) for _ in range(rnd.randrange(2, 80))))
+    gap = rnd.choice([1, 5, 40, 150, 1000])
+    cuts = sorted(rnd.sample(range(1, len(times)), min(len(times) - 1, rnd.randrange(1, 9))))
+    pieces = np.split(times, cuts)
+    functions = [sequence.step_function(p, gap) for p in pieces]
+    half = len(pieces) // 2
+
+    def whole(fs, start):
+        out = fs[0]
+        for f in fs[1:]:
+            out = sequence.composed(out, f, gap, start)
+        return out
+
+    left, right = whole(functions[: half or 1], int(times[0])), functions[half or 1 :]
+    both = sequence.composed(left, whole(right, int(right[0][0][0])), gap, int(times[0])) if right else left
+    for before in [None, *range(int(times[0]) - gap - 3, int(times[0]) + 1, max(1, gap // 9))]:
+        last = before
+        for t in times:
+            if last is None or t >= last + gap:
+                last = int(t)
+        assert sequence.step(*both, before, gap) == last
+        one_by_one = before
+        for f in functions:
+            one_by_one = sequence.step(*f, one_by_one, gap)
+        assert one_by_one == last
+
+
+def test_no_task_sees_all_steps(spark, monkeypatch):
+    """With a gap far above a chunk, no composition gets more than ``FAN`` functions."""
+    rows = [(i, "hot", START + dt.timedelta(seconds=i), "m", False) for i in range(900)]
+    _, hot = split(frame(spark, rows).withColumn("_at", F.unix_micros(F.col("ts").cast("timestamp"))), "user_id", ("_at", "event_id"), 20)
+    chunks = hot.df.select("_chunk").distinct().count()
+    assert chunks > sequence.FAN**2
+    entries = {r["_chunk"]: r["_carry"] for r in sequence._entries(hot, 400 * 10**6).collect()}
+    assert len(entries) == chunks
+    first = {r["_chunk"]: r["at"] for r in hot.df.groupBy("_chunk").agg(F.min("_at").alias("at")).collect()}
+    start = min(first.values())
+    for chunk, at in first.items():
+        past = (at - start) // 10**6
+        want = None if past == 0 else start + (past - 1) // 400 * 400 * 10**6
+        assert entries[chunk] == want
+
+
 def test_history_over_tiny_chunks(spark):
     rows = [(i, "hot", START + dt.timedelta(seconds=i), f"m{i % 7}", False) for i in range(60)]
     out = sequence.mood_history(frame(spark, rows), max_rows=2).collect()
