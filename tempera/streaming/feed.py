@@ -9,7 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tempera.functions.clock import micros
 from tempera.session import materialise, shared_folder
 
-ROWS_PER_SLICE = 500_000_000
+ROWS_PER_SLICE = 50_000_000
+ROWS_PER_KEY = 10_000_000
 ROWS_PER_FILE = 1_000_000
 LEAST_SLICES = 4
 
@@ -20,32 +21,43 @@ def stage_slices(
     key: str | None = None,
     slices: int = LEAST_SLICES,
     rows: int = ROWS_PER_SLICE,
+    key_rows: int = ROWS_PER_KEY,
+    rows_per_file: int = ROWS_PER_FILE,
     edges: list[str] | None = None,
 ) -> tuple[str, int]:
     """Write ``df`` as files in time order, one slice of time after the other.
 
     Returns the folder and the number of files of a slice. A stream reads files by age, so it sees the
     slices in order. With ``edges`` (ascending times) a slice ends before each of them; else a range shuffle
-    cuts the table into as many slices as keep each at about ``rows``, and at least ``slices``. Rows of one
-    time stay together, and rows without a time are in the first slice. In a slice the rows are split by
-    ``key``: the order of its files does not matter.
+    cuts the table into as many slices as keep each at about ``rows``, and those of its largest key at about
+    ``key_rows``, and at least ``slices``. Rows of one
+    time stay together, and rows without a time are in the first slice. Every slice has the same number of files,
+    some of them empty if need be: the order of its files does not matter.
     """
-    total = df.count()
+    if key:
+        sizes = df.groupBy(key).count().agg(F.sum("count"), F.max("count")).first()
+    else:
+        sizes = df.agg(F.count(F.lit(1)), F.lit(0)).first()
+    total, largest = sizes[0] or 0, sizes[1] or 0
     if edges is None:
-        count = max(slices, -(-total // rows))
+        count = max(slices, -(-total // rows), -(-largest // key_rows))
         cut = df.withColumn("_at", micros(ts)).repartitionByRange(count, "_at").drop("_at")
         cut = cut.withColumn("_slice", F.spark_partition_id())
     else:
         count = len(edges) + 1
         cut = df.withColumn("_slice", _edges_passed(F.col(ts), edges))
-    files = max(1, -(-total // (count * ROWS_PER_FILE)))
+    files = max(1, -(-total // (count * rows_per_file)))
     # One folder per slice: writing a slice reads no other.
     timed = materialise(cut, "_slice")
-    folder = shared_folder(df.sparkSession)
+    spark, folder, written = df.sparkSession, shared_folder(df.sparkSession), 0
     for k in range(count):
         piece = timed.filter(F.col("_slice") == k).drop("_slice")
-        split = piece.repartition(files, key) if key else piece.repartition(files)
-        split.write.mode("append").parquet(folder)
+        piece.repartition(files).write.mode("append").parquet(folder)
+        # A partition without rows may have written no file; a reader that takes files by number must find them all.
+        written += files
+        while files > 1 and (missing := written - len(spark.read.schema(df.schema).parquet(folder).inputFiles())) > 0:
+            for _ in range(missing):
+                spark.createDataFrame([], df.schema).coalesce(1).write.mode("append").parquet(folder)
     return folder, files
 
 

@@ -1,57 +1,47 @@
 """Sampling, debounce and sessions on a stream, with state per user.
 
-The rows of a user arrive unordered inside a micro-batch; they are sorted before the fold, which is a few
-array steps. So one task holds the rows of a user in one micro-batch, which the source's admission limit
-bounds, never those of the whole stream. Rows that arrive after newer ones were folded count in the order of
-arrival; rows without a time come last in their micro-batch.
-
-The state of a user is dropped once event time has moved ``idle_seconds`` past the user's last row, by
-default a month. Event time, unlike processing time, lets a bounded stream end. Rows more than ``delay``
-late are dropped.
+How rows are folded without holding all of a user is in ``stretches``. The state of a user is dropped once
+event time has moved ``idle_seconds`` past the user's last row, by default a month. Event time, unlike
+processing time, lets a bounded stream end.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import json
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tempera import dims
-from tempera.functions.clock import micros
-from tempera.operators.sequence import chain
+from tempera.operators.sequence import chain, step, step_function
+from tempera.streaming.stretches import DELAY, IDLE_SECONDS, STRETCH_SECONDS, Compose, Rule, summaries_of, cut, over_stretches, run
 
-IDLE_SECONDS = 30 * 24 * 3600.0
-DELAY = "1 hour"
+# --- sampling -----------------------------------------------------------------------------
 
-Fold = Callable[[pd.DataFrame, tuple | None], tuple[pd.DataFrame, tuple]]
 
+def sampling(gap: int) -> Rule:
+    """The state is the last kept time. A stretch is a step function of it."""
 
-def _apply(
-    stream: DataFrame, key: str, fold: Fold, schema: T.StructType, state: T.StructType, idle_seconds: float, delay: str
-) -> DataFrame:
-    """Run ``fold(sorted rows, old state) -> (rows out, new state)`` per key."""
-    timed = stream.withColumn("_at", micros("ts")).withColumn("_event_time", F.col("ts").cast("timestamp"))
-    timed = timed.withWatermark("_event_time", delay)
+    def summarise(rows: pd.DataFrame) -> bytes:
+        times = rows["_at"].dropna().to_numpy().astype(np.int64)
+        return np.concatenate(step_function(times, gap)).astype(np.int64).tobytes()
 
-    def run(keys: tuple, pdfs: Iterator[pd.DataFrame], group: GroupState) -> Iterator[pd.DataFrame]:
-        if group.hasTimedOut:
-            group.remove()
-            return
-        rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["_at", "event_id"], ignore_index=True)
-        out, new = fold(rows, group.get if group.exists else None)
-        group.update(new)
-        newest = rows["_event_time"].max()
-        until = 0 if pd.isna(newest) else int(newest.timestamp() * 1000) + int(idle_seconds * 1000)
-        group.setTimeoutTimestamp(max(until, group.getCurrentWatermarkMs() + 1))
-        yield out[schema.names]
+    def advance(state: tuple, summary: bytes) -> tuple:
+        upto, leave = np.frombuffer(summary, np.int64).reshape(2, -1)
+        return (step(upto, leave, state[0], gap),)
+
+    def fold(rows: pd.DataFrame, state: tuple) -> pd.DataFrame:
+        keep = rows["_at"].isna().to_numpy()
+        times = rows["_at"].to_numpy()[~keep].astype(np.int64)
+        start = 0 if state[0] is None else int(np.searchsorted(times, state[0] + gap))
+        if start < len(times):
+            keep[start + chain(times[start:], gap)] = True  # rows without a time come last
+        return rows[keep]
 
-    timeout = GroupStateTimeout.EventTimeTimeout
-    return timed.groupBy(key).applyInPandasWithState(run, schema, state, "append", timeout)
+    return Rule(summarise, advance, (None,), "last_kept bigint", fold)
 
 
 def stream_throttle(
@@ -59,36 +49,29 @@ def stream_throttle(
     gap_seconds: float = dims.SAMPLING_GAP_SECONDS,
     idle_seconds: float = IDLE_SECONDS,
     delay: str = DELAY,
+    stretch_seconds: float = STRETCH_SECONDS,
 ) -> DataFrame:
     """Keep a reading if the gap has passed since the last kept one of its user, or if it has no time."""
-    gap = round(gap_seconds * 1e6)
+    return over_stretches(readings, "user_id", sampling(round(gap_seconds * 1e6)), idle_seconds, delay, stretch_seconds)
 
-    def fold(rows: pd.DataFrame, old: tuple | None) -> tuple[pd.DataFrame, tuple]:
-        last = old[0] if old else None
-        keep = rows["_at"].isna().to_numpy()
-        times = rows["_at"].to_numpy()[~keep].astype(np.int64)
-        start = 0 if last is None else int(np.searchsorted(times, last + gap))
-        if start < len(times):
-            chosen = start + chain(times[start:], gap)
-            keep[chosen] = True  # rows without a time come last
-            last = int(times[chosen[-1]])
-        return rows[keep], (last,)
 
-    state = T.StructType([T.StructField("last_kept", T.LongType())])
-    return _apply(readings, "user_id", fold, readings.schema, state, idle_seconds, delay)
+# --- debounce -----------------------------------------------------------------------------
 
 
 def _text(value) -> str | None:
     return None if pd.isna(value) else value
 
 
-def _sends(
-    rows: pd.DataFrame, by_hand: np.ndarray, count: int, old: tuple[str | None, int, str | None]
+def _flags(rows: pd.DataFrame, name: str) -> np.ndarray:
+    return rows[name].fillna(False).to_numpy(bool) if name in rows else np.zeros(len(rows), bool)
+
+
+def sends(
+    moods: np.ndarray, by_hand: np.ndarray, count: int, old: tuple[str | None, int, str | None]
 ) -> tuple[np.ndarray, tuple[str | None, int, str | None]]:
-    """Which rows are sent, and the pending mood, its run and the mood sent last after them."""
-    pending, run, sent = old
-    moods = rows["mood"].astype(object)
-    codes, _ = pd.factorize(pd.concat([pd.Series([pending, sent], dtype=object), moods]), use_na_sentinel=False)
+    """Which rows are sent, and the pending mood, its run (up to ``count``) and the mood sent last after them."""
+    pending, run_, sent = old
+    codes, _ = pd.factorize(np.append(np.array([pending, sent], object), moods), use_na_sentinel=False)
     (pending_code, sent_code), codes = codes[:2], codes[2:]
     place = np.arange(len(codes))
     # Runs are counted over detections only, and go on from the run before.
@@ -96,7 +79,7 @@ def _sends(
     number = np.arange(len(seen))
     starts = codes[seen] != np.append([pending_code], codes[seen[:-1]])[: len(seen)]
     begun = np.maximum.accumulate(np.where(starts, number, -1))
-    runs = np.where(begun >= 0, number - begun, run + number) + 1
+    runs = np.where(begun >= 0, number - begun, run_ + number) + 1
     confirmed = np.zeros(len(codes), bool)
     confirmed[seen] = runs >= count
     # After a confirmed detection the mood sent last is its own, whether it was sent or not.
@@ -104,21 +87,103 @@ def _sends(
     before = np.append([-1], setter[:-1])[: len(codes)]
     changed = codes != np.where(before >= 0, codes[before], sent_code)
     if len(seen):
-        pending, run = _text(moods.iloc[seen[-1]]), int(runs[-1])
+        pending, run_ = _text(moods[seen[-1]]), min(int(runs[-1]), count)
     if len(codes) and setter[-1] >= 0:
-        sent = _text(moods.iloc[setter[-1]])
-    return by_hand | (confirmed & changed), (pending, run, sent)
+        sent = _text(moods[setter[-1]])
+    return by_hand | (confirmed & changed), (pending, run_, sent)
 
 
-def _flags(rows: pd.DataFrame, name: str) -> np.ndarray:
-    return rows[name].fillna(False).to_numpy(bool) if name in rows else np.zeros(len(rows), bool)
+NOT_YET = object()  # a mood that equals no other
+
+
+class Lane:
+    """What a stretch does if its first detection goes on a run of ``run`` equal moods.
+
+    The mood sent last is unknown at first. At most one row is sent or not depending on it: the first confirmed one.
+    """
+
+    def __init__(self, first: str | None, run_: int):
+        self.pending, self.run = (first if run_ else NOT_YET), run_
+        self.sent, self.asked, self.sends = NOT_YET, None, 0
+
+    def take(self, mood: str | None, by_hand: bool, fresh: bool, count: int) -> None:
+        if by_hand:
+            self.sends += fresh
+            self.sent = mood
+            return
+        self.run = min(self.run + 1, count) if mood == self.pending else 1
+        self.pending = mood
+        if self.run >= count:
+            if self.sent is NOT_YET:
+                self.asked = (mood, bool(fresh))
+            elif mood != self.sent:
+                self.sends += fresh
+            self.sent = mood
+
+    @property
+    def settled(self) -> tuple | None:
+        return None if self.sent is NOT_YET or self.pending is NOT_YET else (self.pending, self.run, self.sent)
+
+
+def debounce_summary(moods: np.ndarray, by_hand: np.ndarray, fresh: np.ndarray, count: int) -> dict:
+    """What sorted rows make of any state before them; sends are counted among the ``fresh`` rows.
+
+    The rows are taken once for each run that may go before, 0 to ``count`` equal moods, until all agree; what is
+    left is folded once.
+    """
+    seen = np.flatnonzero(~by_hand)
+    first = _text(moods[seen[0]]) if len(seen) else None
+    lanes = [Lane(first, r) for r in range(count + 1 if len(seen) else 1)]
+    for i in range(len(moods)):
+        for lane in lanes:
+            lane.take(_text(moods[i]), bool(by_hand[i]), bool(fresh[i]), count)
+        known = {lane.settled for lane in lanes}
+        if len(known) == 1 and None not in known and i + 1 < len(moods):
+            rest = slice(i + 1, None)
+            sent, end = sends(moods[rest], by_hand[rest], count, known.pop())
+            for lane in lanes:
+                lane.sends += int((sent & fresh[rest]).sum())
+                lane.pending, lane.run, lane.sent = end
+            break
+    said = [
+        [lane.asked, int(lane.sends), None if lane.pending is NOT_YET else lane.pending, lane.run]
+        + ([True, lane.sent] if lane.sent is not NOT_YET else [False, None])
+        for lane in lanes
+    ]
+    return {"seen": bool(len(seen)), "first": first, "lanes": said}
+
+
+def debounce_step(state: tuple, summary: dict, count: int) -> tuple[tuple, int]:
+    """The state after a stretch, and how many fresh rows of it were sent."""
+    pending, run_, sent = state
+    goes_on = summary["seen"] and run_ > 0 and pending == summary["first"]
+    asked, n, pending_then, run_then, known, sent_then = summary["lanes"][min(run_, count) if goes_on else 0]
+    if asked is not None and asked[0] != sent:
+        n += asked[1]
+    if summary["seen"]:
+        pending, run_ = pending_then, run_then
+    return (pending, run_, sent_then if known else sent), n
 
 
-DEBOUNCE_STATE = [
-    T.StructField("pending_mood", T.StringType()),
-    T.StructField("run_length", T.LongType()),
-    T.StructField("last_sent", T.StringType()),
-]
+DEBOUNCE_STATE = "pending_mood string, run_length bigint, last_sent string"
+
+
+def _moods(rows: pd.DataFrame) -> np.ndarray:
+    return rows["mood"].astype(object).to_numpy()
+
+
+def debouncing(count: int) -> Rule:
+    def summarise(rows: pd.DataFrame) -> bytes:
+        every = np.ones(len(rows), bool)
+        return json.dumps(debounce_summary(_moods(rows), _flags(rows, "manual"), every, count)).encode()
+
+    def advance(state: tuple, summary: bytes) -> tuple:
+        return debounce_step(state, json.loads(summary), count)[0]
+
+    def fold(rows: pd.DataFrame, state: tuple) -> pd.DataFrame:
+        return rows[sends(_moods(rows), _flags(rows, "manual"), count, state)[0]]
+
+    return Rule(summarise, advance, (None, 0, None), DEBOUNCE_STATE, fold)
 
 
 def stream_debounce(
@@ -126,18 +191,16 @@ def stream_debounce(
     count: int = dims.DEBOUNCE_COUNT,
     idle_seconds: float = IDLE_SECONDS,
     delay: str = DELAY,
+    stretch_seconds: float = STRETCH_SECONDS,
 ) -> DataFrame:
     """Send a mood seen ``count`` times in a row that is not the one sent last.
 
     Rows flagged ``manual`` are sent at once and are no detections.
     """
+    return over_stretches(readings, "user_id", debouncing(count), idle_seconds, delay, stretch_seconds)
 
-    def fold(rows: pd.DataFrame, old: tuple | None) -> tuple[pd.DataFrame, tuple]:
-        send, new = _sends(rows, _flags(rows, "manual"), count, old or (None, 0, None))
-        return rows[send], new
-
-    return _apply(readings, "user_id", fold, readings.schema, T.StructType(DEBOUNCE_STATE), idle_seconds, delay)
 
+# --- sessions -----------------------------------------------------------------------------
 
 SESSION = T.StructType(
     [
@@ -151,12 +214,80 @@ SESSION = T.StructType(
 )
 
 
+def session_rule(count: int, length: int) -> Rule:
+    """A summary has the debounce of the stretch and the counters since its last reset."""
+
+    def summarise(rows: pd.DataFrame) -> bytes:
+        by_hand, moods = _flags(rows, "manual"), _moods(rows)
+        cleared = np.flatnonzero(_flags(rows, "reset"))
+        fresh = np.arange(len(rows)) > (cleared[-1] if len(cleared) else -1)
+        new = rows["mood"][fresh & ~by_hand]
+        at = rows["_at"][~by_hand].max()
+        return json.dumps(
+            {
+                **debounce_summary(moods, by_hand, fresh, count),
+                "cleared": bool(len(cleared)),
+                "detections": len(new),
+                "history": new.dropna().tolist()[-length:],
+                "last": None if pd.isna(at) else int(at),
+            }
+        ).encode()
+
+    return Rule(summarise, lambda state, _: state, (None, 0, None), DEBOUNCE_STATE)
+
+
+class Sessions(Compose):
+    """Beside the debounce, counters as a value and the last moods as a list."""
+
+    def __init__(self, rule: Rule, idle_ms: int, count: int, length: int):
+        super().__init__(rule, idle_ms)
+        self.count, self.length = count, length
+
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.counters = handle.getValueState("counters", "version bigint, detections bigint, sends bigint, last_at bigint")
+        self.history = handle.getListState("history", "mood string")
+
+    def passed(self, key, state: tuple, stretches: list[tuple[int, bytes]]) -> Iterator[pd.DataFrame]:
+        version, detections, sent, last = self.counters.get() if self.counters.exists() else (0, 0, 0, None)
+        history = [r[0] for r in self.history.get()] if self.history.exists() else []
+        for _, summary in stretches:
+            found = json.loads(summary)
+            if found["cleared"]:
+                detections, sent, history = 0, 0, []
+            state, n = debounce_step(state, found, self.count)
+            detections, sent = detections + found["detections"], sent + n
+            history = [*history, *found["history"]][-self.length :]
+            last = max((t for t in (last, found["last"]) if t is not None), default=None)
+        self.state.update(state)
+        self.counters.update((version + 1, detections, sent, last))
+        if history:
+            self.history.put([(m,) for m in history])
+        else:
+            self.history.clear()
+        row = {
+            "user_id": key[0],
+            "version": version + 1,
+            "detections": detections,
+            "sends": sent,
+            "history": history,
+            "last_reading": pd.NaT if last is None else pd.Timestamp(last, unit="us"),
+        }
+        yield pd.DataFrame([row])
+
+    def forget(self) -> None:
+        super().forget()
+        self.counters.clear()
+        self.history.clear()
+
+
 def stream_session(
     events: DataFrame,
     count: int = dims.DEBOUNCE_COUNT,
     length: int = dims.HISTORY_LENGTH,
     idle_seconds: float = IDLE_SECONDS,
     delay: str = DELAY,
+    stretch_seconds: float = STRETCH_SECONDS,
 ) -> DataFrame:
     """The session of each user after every micro-batch that has rows of the user; the highest ``version``
     is the newest.
@@ -164,32 +295,7 @@ def stream_session(
     Rows flagged ``manual`` are sent at once; the others are detections. A row flagged ``reset`` clears the
     counters and the history after it has counted itself; runs and the mood sent last go on.
     """
-    fields = [f for f in SESSION if f.name not in ("user_id", "last_reading")]
-    state = T.StructType([*DEBOUNCE_STATE, *fields, T.StructField("last_at", T.LongType())])
+    rule = session_rule(count, length)
     user = T.StructType([events.schema["user_id"], *SESSION.fields[1:]])
-
-    def fold(rows: pd.DataFrame, old: tuple | None) -> tuple[pd.DataFrame, tuple]:
-        *runs, version, detections, sends, history, last = old or (None, 0, None, 0, 0, 0, [], None)
-        by_hand = _flags(rows, "manual")
-        sent, runs = _sends(rows, by_hand, count, tuple(runs))
-        cleared = np.flatnonzero(_flags(rows, "reset"))
-        if len(cleared):
-            detections, sends, history = 0, 0, []
-        first = cleared[-1] + 1 if len(cleared) else 0
-        moods = rows["mood"].iloc[first:][~by_hand[first:]]
-        history = [*history, *moods.dropna().tolist()][-length:]
-        detections, sends = detections + len(moods), sends + int(sent[first:].sum())
-        at = rows["_at"][~by_hand].max()
-        last = max((int(t) for t in (last, at) if t is not None and not pd.isna(t)), default=None)
-        new = (*runs, version + 1, detections, sends, history, last)
-        row = {
-            "user_id": rows["user_id"].iloc[0],
-            "version": version + 1,
-            "detections": detections,
-            "sends": sends,
-            "history": history,
-            "last_reading": pd.NaT if last is None else pd.Timestamp(last, unit="us"),
-        }
-        return pd.DataFrame([row]), new
-
-    return _apply(events, "user_id", fold, user, state, idle_seconds, delay)
+    summaries = summaries_of(cut(events, stretch_seconds), "user_id", rule, delay)
+    return run(summaries, "user_id", Sessions(rule, int(idle_seconds * 1000), count, length), user)

@@ -2,7 +2,10 @@
 
 import datetime as dt
 import json
+import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from test_ordered import START, by_user, frame, ids, kept_ids, readings, sent_ids
@@ -15,7 +18,24 @@ from tempera.sources import log
 from tempera.sources.topics import kafka_options, read_messages, write_messages
 from tempera.streaming.feed import finish, stage_slices
 from tempera.streaming.service import PLAYLIST_SCHEMA, Service
-from tempera.streaming.stateful import stream_debounce, stream_session, stream_throttle
+from tempera.streaming.stateful import (
+    debounce_step,
+    debounce_summary,
+    debouncing,
+    sends,
+    stream_debounce,
+    stream_session,
+    stream_throttle,
+)
+from tempera.streaming.stretches import cut
+
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Every partition of state starts a Python worker of its own."""
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
 
 SCHEMA = "event_id bigint, user_id string, ts timestamp_ntz, mood string, manual boolean"
 
@@ -34,19 +54,67 @@ def run(spark, rows, operator, pieces=5):
 
 
 def test_debounce_over_restarts(spark):
+    """A hot user has a third of the rows; its stretches hold a few rows each."""
     rows = readings(11)
-    assert run(spark, rows, stream_debounce) == sent_ids(rows, 2, "manual")
-    assert run(spark, rows, lambda s: stream_debounce(s.drop("manual"), 3)) == sent_ids(rows, 3, None)
+    assert run(spark, rows, lambda s: stream_debounce(s, stretch_seconds=60), 3) == sent_ids(rows, 2, "manual")
+    assert run(spark, rows, lambda s: stream_debounce(s.drop("manual"), 3), 2) == sent_ids(rows, 3, None)
 
 
-def test_throttle_over_restarts(spark):
+@pytest.mark.parametrize("stretch", [7, 86400])
+def test_throttle_over_restarts(spark, stretch):
     rows = readings(12)
-    assert run(spark, rows, lambda s: stream_throttle(s, 15)) == kept_ids(rows, 15)
+    assert run(spark, rows, lambda s: stream_throttle(s, 15, stretch_seconds=stretch), 3) == kept_ids(rows, 15)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_summaries_compose_as_rows_do(seed):
+    """Chunks of three rows: passing a state through their summaries is folding their rows."""
+    rnd = random.Random(seed)
+    count, moods = rnd.randrange(1, 4), ["a", "b", None]
+    rows = [(rnd.choice(moods), rnd.random() < 0.2, rnd.random() < 0.15) for _ in range(rnd.randrange(1, 40))]
+    rule, size = debouncing(count), rnd.choice([1, 3, 8, 50])
+    old = (rnd.choice(moods), rnd.randrange(0, count + 2), rnd.choice(moods))
+    state, plain, counted, told = old, old, 0, 0
+    for low in range(0, len(rows), size):
+        piece = pd.DataFrame(rows[low : low + size], columns=["mood", "manual", "reset"])
+        mine = np.array([r[0] for r in rows[low : low + size]] + [None], object)[:-1]
+        fresh = ~piece["reset"].to_numpy()
+        summary = debounce_summary(mine, piece["manual"].to_numpy(), fresh, count)
+        state_2, n = debounce_step(state, json.loads(json.dumps(summary)), count)
+        sent, plain = sends(mine, piece["manual"].to_numpy(), count, plain)
+        counted, told = counted + n, told + int((sent & fresh).sum())
+        state = rule.advance(state, rule.summarise(piece))
+        assert state[0] == plain[0] and min(state[1], count) == min(plain[1], count) and state[2] == plain[2]
+        assert (state_2, counted) == (state, told)
+    pending, run_, last = old
+    for mood, by_hand, _ in rows:
+        if not by_hand:
+            run_, pending = (run_ + 1 if mood == pending and run_ else 1), mood
+        if by_hand or run_ >= count:
+            last = mood
+    assert (state[0], state[2]) == (pending, last)
+
+
+def test_no_stretch_holds_a_hot_user(spark):
+    """The hot user has most rows of a micro-batch; none of its stretches has more than its seconds allow."""
+    rows = [(i, "hot", START + dt.timedelta(seconds=i), "ab"[i // 3 % 2], False) for i in range(600)]
+    rows += [(1000 + i, "hot", None, "a", False) for i in range(5)]
+    sizes = cut(frame(spark, rows), 20).groupBy("user_id", "_stretch").count().collect()
+    assert max(r["count"] for r in sizes) == 20 and len(sizes) == 31
+    ordered = [r[0] for r in rows]
+    timed = sent_ids(rows[:600], 2, "manual")
+    source = shared_folder(spark)
+    frame(spark, rows).write.parquet(source)
+    stream = stream_debounce(spark.readStream.schema(SCHEMA).parquet(source), stretch_seconds=20)
+    query = stream.writeStream.format("memory").queryName("hot").option("checkpointLocation", shared_folder(spark))
+    finish(query.trigger(availableNow=True).start(), 120)
+    got = ids(spark.table("hot"))
+    assert [i for i in got if i < 1000] == timed and len(ordered) == 605
 
 
 def test_null_moods_and_times(spark):
     rows = [r if r[0] % 4 else (*r[:3], None, r[4]) for r in readings(14, moods=("happy", None))]
-    assert run(spark, rows, stream_debounce) == sent_ids(rows, 2, "manual")
+    assert run(spark, rows, lambda s: stream_debounce(s, stretch_seconds=30), 3) == sent_ids(rows, 2, "manual")
     source = shared_folder(spark)
     frame(spark, [*rows[:40], (900, "u1", None, "sad", False), (901, "new", None, "sad", False)]).write.parquet(source)
     query = stream_throttle(spark.readStream.schema(SCHEMA).parquet(source), 15).writeStream.format("memory")
@@ -72,9 +140,9 @@ def test_session_over_restarts(spark):
                 counts, history = [0, 0], []
         expected[user] = (*counts, history, last)
     source, state, out = shared_folder(spark), shared_folder(spark), shared_folder(spark)
-    for low in range(0, len(rows), 200):
-        spark.createDataFrame(sorted(rows, key=lambda r: (r[2], r[0]))[low : low + 200], schema).write.mode("append").parquet(source)
-        stream = stream_session(spark.readStream.schema(schema).parquet(source))
+    for low in range(0, len(rows), 300):
+        spark.createDataFrame(sorted(rows, key=lambda r: (r[2], r[0]))[low : low + 300], schema).write.mode("append").parquet(source)
+        stream = stream_session(spark.readStream.schema(schema).parquet(source), stretch_seconds=11)
         writer = stream.writeStream.option("checkpointLocation", state).trigger(availableNow=True)
         finish(writer.format("parquet").start(out), 120)
     got = {}
@@ -193,6 +261,21 @@ def test_rows_without_a_time_are_staged(spark):
         assert ids(spark.read.schema(SCHEMA).parquet(folder)) == list(range(100))
 
 
+def test_slices_have_equally_many_files(spark):
+    """Few rows and many files: every micro-batch is still one slice."""
+    rows = [(i, "u", START + dt.timedelta(seconds=i), "m", False) for i in range(40)]
+    edges = [str(START + dt.timedelta(seconds=s)) for s in (2, 30, 35, 36)]
+    folder, files = stage_slices(frame(spark, rows), key="user_id", edges=edges, rows_per_file=2)
+    assert files == 4 and len(spark.read.schema(SCHEMA).parquet(folder).inputFiles()) == 5 * files
+    seen = []
+    query = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", files).parquet(folder).writeStream
+    query = query.foreachBatch(lambda batch, _: seen.append(ids(batch))).option("checkpointLocation", shared_folder(spark))
+    finish(query.trigger(availableNow=True).start(), 120)
+    assert seen == [[0, 1], list(range(2, 30)), list(range(30, 35)), [35], list(range(36, 40))]
+    folder, files = stage_slices(frame(spark, rows), key="user_id", key_rows=5, rows_per_file=100)
+    assert (files, len(spark.read.schema(SCHEMA).parquet(folder).inputFiles())) == (1, 8)
+
+
 def test_empty_batch_keeps_the_scores(spark):
     delivered = []
     service = Service(
