@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -357,17 +358,22 @@ def as_of(
 
 
 def refresh_requests(
-    clicks: DataFrame, detections: DataFrame, resets: DataFrame | None = None, max_rows: int = MAX_ROWS
+    clicks: DataFrame,
+    detections: DataFrame,
+    resets: DataFrame | None = None,
+    max_rows: int = MAX_ROWS,
+    find: Callable[..., DataFrame] | None = None,
 ) -> DataFrame:
     """Refresh clicks re-send the latest detected mood by hand; without one nothing is sent.
 
-    A reset forgets the detected mood.
+    A reset forgets the detected mood. ``find`` is another ``as_of``, such as that of streams.
     """
+    find = find or partial(as_of, max_rows=max_rows)
     mood = detections.select("user_id", "ts", "event_id", F.struct("mood").alias("_detected"))
     if resets is not None:
         nothing = F.struct(F.lit(None).cast("string").alias("mood")).alias("_detected")
         mood = mood.unionByName(resets.select("user_id", "ts", "event_id", nothing))
-    seen = as_of(clicks, mood, {"_detected": None}, max_rows=max_rows)
+    seen = find(clicks, mood, {"_detected": None})
     return (
         seen.withColumn("mood", F.col("_detected.mood"))
         .filter("mood is not null")

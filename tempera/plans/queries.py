@@ -24,6 +24,7 @@ from tempera.sources.topics import write_messages
 THROTTLE_GAP_SECONDS = 12 * 3600.0
 AS_OF = "2024-02-01 00:00:00"
 LEARNED_AT_FIRST = 2
+FIRST_PREFERENCES = {"language_name": dims.DEFAULT_LANGUAGE_NAME, "genre": dims.ANY_GENRE}
 
 
 def joined(column: str) -> Column:
@@ -253,20 +254,23 @@ def debounce_with_manual(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def asof_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    initial = {"language_name": dims.DEFAULT_LANGUAGE_NAME, "genre": dims.ANY_GENRE}
-    return sequence.as_of(views.clicks(spark, sf_dir), views.preference_changes(spark, sf_dir), initial)
+    return sequence.as_of(views.clicks(spark, sf_dir), views.preference_changes(spark, sf_dir), FIRST_PREFERENCES)
 
 
-def refresh_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clicks that re-send the mood detected or chosen last, with the preferences of their time."""
+def refresh_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Moods detected or chosen, and resets."""
     by_hand = views.manual_requests(spark, sf_dir).select("event_id", "user_id", "ts", "mood")
     detections = views.events(spark, sf_dir).filter(
         "event_type <> 'click' and event_id % 9 <> 0 and not (event_type = 'error' and k < 5)"
     )
     detections = detections.withColumn("mood", dims.lookup(views.MOOD_OF_EVENT, F.col("event_type")))
     detections = detections.select("event_id", "user_id", "ts", "mood").unionByName(by_hand)
-    resets = views.resets(spark, sf_dir).filter("event_id % 9 <> 0")
-    return sequence.refresh_requests(asof_preferences(spark, sf_dir), detections, resets)
+    return detections, views.resets(spark, sf_dir).filter("event_id % 9 <> 0")
+
+
+def refresh_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks that re-send the mood detected or chosen last, with the preferences of their time."""
+    return sequence.refresh_requests(asof_preferences(spark, sf_dir), *refresh_inputs(spark, sf_dir))
 
 
 def manual_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,10 +10,18 @@ from pyspark.sql import functions as F
 
 from tempera import dims
 from tempera.operators import learn, parse, publish, retrieve
-from tempera.plans.queries import THROTTLE_GAP_SECONDS, active_users, kept_playlists, served
+from tempera.plans.queries import (
+    FIRST_PREFERENCES,
+    THROTTLE_GAP_SECONDS,
+    active_users,
+    kept_playlists,
+    refresh_inputs,
+    served,
+)
 from tempera.session import shared_folder
 from tempera.sources import log, views
 from tempera.sources.topics import read_messages, write_messages
+from tempera.streaming.asof import stream_as_of, stream_refresh_requests
 from tempera.streaming.feed import finish, stage_slices
 from tempera.streaming.service import STATS_SCHEMA, Service, learn_batch
 from tempera.streaming.stateful import stream_debounce, stream_session, stream_throttle
@@ -24,6 +32,10 @@ SERVE_EDGES = [str(MONTH + dt.timedelta(hours=180 * i)) for i in range(1, 4)]
 STATS_EDGES = [str(MONTH + dt.timedelta(hours=60 * i)) for i in range(1, 12)]
 
 
+HEARTBEAT = -1  # event id of the last row of a bounded stream
+CLOCK_END = "2100-01-01 00:00:00"
+
+
 def _source(spark: SparkSession, table: DataFrame, key: str | None = None, edges: list[str] | None = None) -> DataFrame:
     """``table`` as a stream of at least four micro-batches in time order."""
     folder, files = stage_slices(table, key=key, edges=edges)
@@ -110,6 +122,32 @@ def stream_serve(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _coming_late(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """A stream of ``rows`` that come up to 50 minutes late, so out of order, and at last a heartbeat of nobody."""
+    late = (F.pmod(F.xxhash64("event_id"), F.lit(3000)) / 1).cast("int")
+    coming = rows.withColumn("arrival", F.timestamp_add("SECOND", late, "ts"))
+    beat = spark.range(1).select(F.lit(HEARTBEAT).alias("event_id"), F.lit(CLOCK_END).cast("timestamp_ntz").alias("ts"))
+    coming = coming.unionByName(beat.withColumn("arrival", F.col("ts")), allowMissingColumns=True)
+    folder, files = stage_slices(coming, ts="arrival")
+    reader = spark.readStream.schema(coming.schema).option("maxFilesPerTrigger", files)
+    return reader.parquet(folder).drop("arrival")
+
+
+def stream_asof_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks and preference changes as two streams, both out of order."""
+    clicks = _coming_late(spark, views.clicks(spark, sf_dir))
+    changes = _coming_late(spark, views.preference_changes(spark, sf_dir))
+    return _appended(stream_as_of(clicks, changes, FIRST_PREFERENCES)).filter(F.col("event_id") != HEARTBEAT)
+
+
+def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks that re-send the newest mood, from four streams out of order."""
+    streams = [views.clicks(spark, sf_dir), *refresh_inputs(spark, sf_dir), views.preference_changes(spark, sf_dir)]
+    clicks, detections, resets, changes = (_coming_late(spark, s) for s in streams)
+    found = stream_refresh_requests(clicks, detections, resets, (changes, FIRST_PREFERENCES))
+    return _appended(found).filter(F.col("event_id") != HEARTBEAT)
+
+
 def stream_user_playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The playlist topic as a stream, of which active users keep their own messages."""
     folder = shared_folder(spark)
@@ -142,6 +180,8 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_serve": stream_serve,
     "stream_stats": stream_stats,
     "stream_user_playlists": stream_user_playlists,
+    "stream_asof_preferences": stream_asof_preferences,
+    "stream_refresh_requests": stream_refresh,
 }
 
 # A stream gives the rows of its batch twin, so it is checked by the same SQL.
@@ -152,4 +192,6 @@ BATCH_TWIN = {
     "stream_debounce": "debounce_moods",
     "stream_debounce_with_manual": "debounce_with_manual",
     "stream_user_playlists": "user_playlists",
+    "stream_asof_preferences": "asof_preferences",
+    "stream_refresh_requests": "refresh_requests",
 }

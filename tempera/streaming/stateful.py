@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tempera import dims
@@ -204,7 +205,7 @@ def stream_debounce(
 
 SESSION = T.StructType(
     [
-        T.StructField("user_id", T.LongType()),
+        T.StructField("user_id", T.StringType()),
         T.StructField("version", T.LongType()),
         T.StructField("detections", T.LongType()),
         T.StructField("sends", T.LongType()),
@@ -296,6 +297,6 @@ def stream_session(
     counters and the history after it has counted itself; runs and the mood sent last go on.
     """
     rule = session_rule(count, length)
-    user = T.StructType([events.schema["user_id"], *SESSION.fields[1:]])
-    summaries = summaries_of(cut(events, stretch_seconds), "user_id", rule, delay)
-    return run(summaries, "user_id", Sessions(rule, int(idle_seconds * 1000), count, length), user)
+    summaries = summaries_of(cut(events, "user_id", stretch_seconds), rule, delay)
+    found = run(summaries, Sessions(rule, int(idle_seconds * 1000), count, length), SESSION)
+    return found.withColumn("user_id", F.col("user_id").cast(events.schema["user_id"].dataType))

@@ -55,29 +55,32 @@ def with_state_variables(spark: SparkSession) -> None:
         spark.conf.set(STORE, ROCKS)
 
 
-def cut(stream: DataFrame, seconds: float) -> DataFrame:
-    """Adds ``_at``, ``_event_time`` and the number of the ``_stretch``."""
+def cut(stream: DataFrame, key: str, seconds: float) -> DataFrame:
+    """Adds ``_at``, ``_event_time``, the number of the ``_stretch`` and the ``_key`` as text.
+
+    A numeric key would come to Python as a float where a NULL one is beside it, and find no state.
+    """
     width = round(seconds * 1e6)
     timed = stream.withColumn("_at", micros("ts")).withColumn("_event_time", F.col("ts").cast("timestamp"))
     by_time = F.expr(f"(_at - pmod(_at, {width}L)) div {width}L")
     by_id = F.expr(f"{UNTIMED}L + coalesce(try_cast(event_id as bigint) div {UNTIMED_ROWS}L, 0L)")
-    return timed.withColumn("_stretch", F.coalesce(by_time, by_id))
+    return timed.withColumn("_stretch", F.coalesce(by_time, by_id)).withColumn("_key", F.col(key).cast("string"))
 
 
 def _in_order(rows: pd.DataFrame) -> pd.DataFrame:
     return rows.sort_values(["_at", "event_id"], ignore_index=True)
 
 
-def summaries_of(rows: DataFrame, key: str, rule: Rule, delay: str) -> DataFrame:
+def summaries_of(rows: DataFrame, rule: Rule, delay: str) -> DataFrame:
     """A row for every stretch of the micro-batch."""
-    fields = [T.StructField("stretch", T.LongType()), T.StructField("event_time", T.TimestampType())]
-    schema = T.StructType([rows.schema[key], *fields, T.StructField("summary", T.BinaryType())])
+    names = ["key", "stretch", "event_time", "summary"]
 
     def one(group: pd.DataFrame) -> pd.DataFrame:
-        row = (group[key].iloc[0], group["_stretch"].iloc[0], group["_event_time"].max(), rule.summarise(_in_order(group)))
-        return pd.DataFrame([row], columns=schema.names)
+        row = (group["_key"].iloc[0], group["_stretch"].iloc[0], group["_event_time"].max(), rule.summarise(_in_order(group)))
+        return pd.DataFrame([row], columns=names)
 
-    return rows.groupBy(key, "_stretch").applyInPandas(one, schema).withWatermark("event_time", delay)
+    found = rows.groupBy("_key", "_stretch").applyInPandas(one, "key string, stretch bigint, event_time timestamp, summary binary")
+    return found.withWatermark("event_time", delay)
 
 
 class Compose(StatefulProcessor):
@@ -136,9 +139,9 @@ class Compose(StatefulProcessor):
         pass
 
 
-def run(summaries: DataFrame, key: str, processor: Compose, schema: T.StructType) -> DataFrame:
+def run(summaries: DataFrame, processor: Compose, schema: str | T.StructType) -> DataFrame:
     with_state_variables(summaries.sparkSession)
-    return summaries.groupBy(key).transformWithStateInPandas(processor, schema, "append", "EventTime")
+    return summaries.groupBy("key").transformWithStateInPandas(processor, schema, "append", "EventTime")
 
 
 def over_stretches(
@@ -150,11 +153,9 @@ def over_stretches(
     stretch_seconds: float = STRETCH_SECONDS,
 ) -> DataFrame:
     """The rows that ``rule.fold`` gives, for every stretch of every user."""
-    rows = cut(stream, stretch_seconds)
-    fields = [T.StructField("stretch", T.LongType()), T.StructField("entry", T.BinaryType())]
-    entry = T.StructType([T.StructField("key", rows.schema[key].dataType), *fields])
+    rows = cut(stream, key, stretch_seconds)
     processor = Compose(rule, int(idle_seconds * 1000))
-    entries = run(summaries_of(rows, key, rule, delay), key, processor, entry).groupBy("key", "stretch")
+    entries = run(summaries_of(rows, rule, delay), processor, "key string, stretch bigint, entry binary").groupBy("key", "stretch")
     names = stream.columns
 
     def fold(group: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
@@ -162,4 +163,4 @@ def over_stretches(
             return group[names].iloc[:0]
         return rule.fold(_in_order(group), tuple(json.loads(before["entry"].iloc[0])))[names]
 
-    return rows.groupBy(key, "_stretch").cogroup(entries).applyInPandas(fold, stream.schema)
+    return rows.groupBy("_key", "_stretch").cogroup(entries).applyInPandas(fold, stream.schema)

@@ -16,6 +16,7 @@ from tempera.operators.publish import parse_playlists
 from tempera.session import shared_folder
 from tempera.sources import log
 from tempera.sources.topics import kafka_options, read_messages, write_messages
+from tempera.streaming.asof import stream_as_of
 from tempera.streaming.feed import finish, stage_slices
 from tempera.streaming.service import PLAYLIST_SCHEMA, Service
 from tempera.streaming.stateful import (
@@ -99,7 +100,7 @@ def test_no_stretch_holds_a_hot_user(spark):
     """The hot user has most rows of a micro-batch; none of its stretches has more than its seconds allow."""
     rows = [(i, "hot", START + dt.timedelta(seconds=i), "ab"[i // 3 % 2], False) for i in range(600)]
     rows += [(1000 + i, "hot", None, "a", False) for i in range(5)]
-    sizes = cut(frame(spark, rows), 20).groupBy("user_id", "_stretch").count().collect()
+    sizes = cut(frame(spark, rows), "user_id", 20).groupBy("user_id", "_stretch").count().collect()
     assert max(r["count"] for r in sizes) == 20 and len(sizes) == 31
     ordered = [r[0] for r in rows]
     timed = sent_ids(rows[:600], 2, "manual")
@@ -312,3 +313,44 @@ def test_stream_that_does_not_end_is_stopped(spark):
 def test_users_are_seen_whole():
     rows = readings(11)
     assert sum(len(m) for m in by_user(rows).values()) == len(rows)
+
+
+def test_as_of_meets_streams_out_of_order(spark):
+    """Rows come late and in any order, from two sources and over restarts; one later than allowed is dropped."""
+    rnd = random.Random(5)
+    rows = readings(21, rows=300)
+    rows = [(*r[:2], r[2].replace(microsecond=i), *r[3:]) for i, r in enumerate(rows)]
+    late = [(rnd.randrange(50), r) for r in rows]
+    arriving = [r for _, r in sorted(late, key=lambda p: (p[1][2] + dt.timedelta(seconds=p[0]), p[1][0]))]
+    end = START + dt.timedelta(days=900)
+    sources, state, out = [shared_folder(spark) for _ in range(2)], shared_folder(spark), shared_folder(spark)
+    big = 2**60  # ids that a float cannot hold
+
+    def write(piece):
+        for k, source in enumerate(sources):
+            mine = [(big + r[0], *r[1:]) for r in piece if (r[0] % 3 == 0) == (k == 0)]
+            frame(spark, mine or [(big - 1, None, piece[-1][2], None, False)]).coalesce(1).write.mode("append").parquet(source)
+
+    def go():
+        clicks, changes = (spark.readStream.schema(SCHEMA).parquet(s) for s in sources)
+        changes = changes.select("event_id", "user_id", "ts", F.when(~F.col("manual"), F.col("mood")).alias("genre"))
+        stream = stream_as_of(clicks.drop("mood"), changes, {"genre": "none"}, delay="1 minute", stretch_seconds=20)
+        writer = stream.writeStream.option("checkpointLocation", state).trigger(availableNow=True)
+        finish(writer.format("parquet").start(out), 120)
+
+    third = len(arriving) // 2
+    for low in (0, third):
+        write(arriving[low : low + third])
+        go()
+    write([(10**6, None, end, None, False), (10**6 + 3, None, end, None, False)])
+    go()
+    write([(3, "hot", START, None, False), (4, "hot", START, "sad", False)])  # far too late
+    go()
+    expected = {}
+    for mine in by_user(rows).values():
+        for event, _, ts, *_ in mine:
+            if event % 3 == 0:
+                known = [r[3] for r in mine if r[0] % 3 and r[2] <= ts and not r[4]]
+                expected[big + event] = known[-1] if known else "none"
+    got = {r.event_id: r.genre for r in spark.read.parquet(out).collect() if r.user_id is not None}
+    assert got == expected
