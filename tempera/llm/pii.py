@@ -8,6 +8,9 @@ patterns', less a decay. Identifiers found so support further patterns as seeds
 settled, patterns with enough support and confidence report their other instances that look like identifiers,
 as kind ``id``.
 
+What a text costs grows little faster than its matches, also if all stand in one line: positions come from running sums, and one
+pass over the sorted starts finds what lies between matches.
+
 Starts and ends are code points, the end exclusive; a pattern's finds do not overlap. NULL and empty texts
 have no spans. Each row is judged by itself, repeated rows alike; repetition of an instance adds nothing to
 the graph. Columns other than the two named ones are ignored. An empty table gives an empty result.
@@ -15,10 +18,13 @@ the graph. Columns other than the two named ones are ignored. An empty table giv
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempera.llm.common import SPACES, text_of, words
+from tempera.operators.lookup import Lookup
 from tempera.session import materialise
 
 # A match that starts inside a run of the first class would have started with the run, unless a match ended
@@ -43,45 +49,64 @@ PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 TRIM_START = r"""[("'\[<{]"""
 TRIM_END = r"""[.,;:!?)"'\]>}]"""
 BESIDE = rf"""[{SPACES}.,;:!?()"'\[\]<>{{}}|/=&-]"""  # at the ends of what stands beside a match
-PARTS = "array<struct<start:bigint,end:bigint,value:string,kind:string,seed:boolean>>"
+TOKENS = "array<struct<start:bigint,value:string,kind:string,first:string,last:array<string>>>"
+INSTANCE_TYPE = "array<struct<start:bigint,end:bigint,value:string,seed:boolean,patterns:array<string>>>"
 REACH = 80  # code points before an instance in which its words are sought
 SETTLED = 0.01  # growth of a confidence below which no further round is needed
 DECAY = 0.9  # of belief, from a pattern to what it finds
 SMOOTHING = 1.0
 LEAST_SEEDS = 3
 CONFIDENCE = 0.6
-BLOCK = 128
+CHUNK = 1024  # code points
 SPAN = "array<struct<kind:string,start:bigint,end:bigint,value:string>>"
 
 
-def running(steps: Column) -> Column:
-    """Running sums of an array, by blocks: what a long one costs grows slower than its square."""
-    total = lambda part: F.aggregate(part, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    last = F.floor((F.size(steps) - 1) / BLOCK).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), last), lambda j: total(F.slice(steps, j * BLOCK + 1, BLOCK)))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once. A lambda computes what it captures anew for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
 
-    def upto(k: Column) -> Column:
-        block = F.floor(k / BLOCK).cast("int")
-        inside = F.slice(steps, block * BLOCK + 1, k - block * BLOCK + 1)
-        return total(F.slice(blocks, F.lit(1), block)) + total(inside)
+def running(values: Column, join: Callable[[Column, Column], Column] = lambda a, b: a + b) -> Column:
+    """Running sums of an array, or what else ``join`` makes of all values up to each one.
+
+    Appending copies, so it is done in blocks of about the square root of the length: the cost grows with the power 1.5, mostly of
+    copying numbers.
+    """
+    none = F.array().cast("array<bigint>")
+    last = lambda a: F.get(a, F.size(a) - 1)
+
+    def short(part: Column) -> Column:
+        add = lambda done, x: F.concat(done, F.array(F.coalesce(join(last(done), x), x)))
+        return F.aggregate(part, none, lambda done, x: add(done, x.cast("bigint")))
+
+    def blocked(all_: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(all_))).cast("int")
+        count = F.ceil(F.size(all_) / size).cast("int")
+        blocks = let(size, lambda n: F.transform(F.sequence(F.lit(1), count), lambda j: short(F.slice(all_, (j - 1) * n + 1, n))))
+        before = lambda upto: F.concat(F.array(F.lit(None).cast("bigint")), F.slice(upto, 1, F.greatest(F.size(upto) - 1, F.lit(0))))
+        whole = let(
+            blocks,
+            lambda b: F.zip_with(
+                b,
+                let(short(F.transform(b, last)), before),
+                lambda block, old: F.transform(block, lambda x: F.coalesce(join(old, x), x)),
+            ),
+        )
+        return F.flatten(whole)
 
-    return F.transform(steps, lambda _, k: upto(k))
+    return let(values, lambda v: F.when(F.size(v) > 0, blocked(v)).otherwise(none))
 
 
 def located(kind: str, values: Column, gaps: Column) -> Column:
     """Spans of ``values``, between which the text has ``gaps``."""
-    steps = F.transform(values, lambda _, k: F.length(F.get(gaps, k)) + F.coalesce(F.length(F.get(values, k - 1)), F.lit(0)))
-    starts = running(steps)
-    spans = F.transform(
+    n = F.size(values)
+    steps = F.zip_with(F.slice(gaps, 1, n), values, lambda gap, v: F.length(gap) + F.length(v))
+    spans = F.zip_with(
         values,
-        lambda v, k: F.struct(
-            F.lit(kind).alias("kind"),
-            F.get(starts, k).alias("start"),
-            (F.get(starts, k) + F.length(v)).alias("end"),
-            v.alias("value"),
-        ),
+        running(steps),
+        lambda v, end: F.struct(F.lit(kind).alias("kind"), (end - F.length(v)).alias("start"), end.alias("end"), v.alias("value")),
     )
-    return F.when(F.size(values) > 0, spans).otherwise(F.array().cast(SPAN))
+    return F.when(n > 0, spans).otherwise(F.array().cast(SPAN))
 
 
 def digits(value: Column) -> Column:
@@ -129,126 +154,140 @@ def matched(docs: DataFrame) -> DataFrame:
         ],
     )
     gaps = [F.when(F.size(k) > 0, F.split("text", p, -1)).otherwise(nothing).alias(f"{k}_gaps") for k, p, _ in PATTERNS]
-    out = out.select("doc_id", *[k for k, _, _ in PATTERNS], *gaps)
+    # Short strings that make up the text: a part is then found without reading the text from its start.
+    chunks = F.when(F.size("instance") > 0, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))).otherwise(nothing)
+    out = out.select("doc_id", chunks.alias("chunks"), *[k for k, _, _ in PATTERNS], *gaps)
     spans = [located(k, F.col(k), F.col(f"{k}_gaps")).alias(f"{k}_spans") for k, _, _ in PATTERNS]
-    out = out.select("doc_id", "instance_gaps", *spans)
+    out = out.select("doc_id", "chunks", "instance_gaps", *spans)
     base = F.concat(*[checked(k) for k in KINDS])
-    return out.select("doc_id", "instance_gaps", base.alias("base"), F.col("instance_spans").alias("found")).select(
-        "doc_id", "base", around(F.col("found"), F.col("instance_gaps"), F.col("base")).alias("instances")
-    )
+    out = out.select("doc_id", "chunks", "instance_gaps", "instance_spans", base.alias("base"))
+    found = tokens(F.col("chunks"), F.col("base"), F.col("instance_spans"), F.col("instance_gaps"))
+    some = F.size("instance_spans") > 0
+    return out.select("doc_id", "base", F.when(some, instances(found)).otherwise(F.array().cast(INSTANCE_TYPE)).alias("instances"))
 
 
 def checked(kind: str) -> Column:
     return F.filter(f"{kind}_spans", lambda s: valid(kind, s["value"]))
 
 
-def around(found: Column, gaps: Column, base: Column) -> Column:
-    """Instances without the punctuation at their ends, their patterns, and whether they are seeds.
+def token(start: Column, value: Column, kind: Column | None = None, first: Column | None = None, last: Column | None = None) -> Column:
+    """A part of a run or, if it has ``last`` words, the words between two runs."""
+    empty = {"kind": kind, "first": first, "last": last}
+    kinds = {"kind": "string", "first": "string", "last": "array<string>"}
+    rest = [F.lit(None).cast(kinds[n]).alias(n) if c is None else c.alias(n) for n, c in empty.items()]
+    return F.struct(start.alias("start"), value.alias("value"), *rest)
+
+
+def latest(said: Column) -> Column:
+    """The last two words."""
+    return F.slice(said, F.greatest(F.size(said) - 1, F.lit(1)), 2)
 
-    Matches of the fixed patterns are cut out of the runs ``found``: they are seeds, what remains of the run
-    beside them are instances of their own. In contexts a match stands as its kind.
+
+def tokens(chunks: Column, base: Column, runs: Column, gaps: Column) -> Column:
+    """A text as matches of the fixed patterns, parts of runs beside them, and the words between runs, in order.
+
+    Matches and gaps between runs cover parts of the text, and may overlap. In the order of their starts, a part is
+    what lies between the farthest end so far and the next start; one pass finds all.
     """
-    runs = F.transform(
-        found,
-        lambda s, k: F.struct(
-            words(F.lower(F.right(F.get(gaps, k), F.lit(REACH)))).alias("before"),
-            words(F.lower(F.left(F.get(gaps, k + 1), F.lit(REACH)))).alias("behind"),
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            s["value"].alias("value"),
-            F.array_sort(
-                F.filter(base, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])),
-                lambda x, y: F.when(x["start"] != y["start"], F.signum(x["start"] - y["start"]))
-                .otherwise(F.signum(y["end"] - x["end"]))
-                .cast("int"),
-            ).alias("base"),
-        ),
-    )
-    parted = F.transform(
-        runs,
-        lambda r: F.struct(
-            r["before"].alias("before"),
-            r["behind"].alias("behind"),
-            F.when(F.size(r["base"]) > 0, F.filter(parts(r), lambda p: p["value"] != ""))
-            .otherwise(F.array(part(r["start"], r["value"], TRIM_START, TRIM_END)))
-            .alias("parts"),
-        ),
-    )
-    said = F.transform(
-        parted,
-        lambda r: F.struct(
-            r["before"].alias("before"),
-            r["behind"].alias("behind"),
-            r["parts"].alias("parts"),
-            F.transform(
-                r["parts"],
-                lambda p: F.when(p["kind"].isNotNull(), F.array(F.concat(F.lit("<"), p["kind"], F.lit(">")))).otherwise(
-                    words(F.lower(p["value"]))
-                ),
-            ).alias("said"),
-        ),
+    none = F.array().cast("array<string>")
+
+    def gap(g: Column, k: Column) -> Column:
+        start = F.coalesce(F.get(runs, k - 1)["end"], F.lit(0).cast("bigint"))
+        before = latest(words(F.lower(F.right(g, F.lit(REACH)))))
+        behind = F.get(words(F.lower(F.left(g, F.lit(REACH)))), F.lit(0))
+        return cover(start, start + F.length(g), F.lit(""), F.lit(None).cast("string"), behind, before)
+
+    def cover(start: Column, end: Column, value: Column, kind: Column, first: Column, last: Column) -> Column:
+        names = {"start": start, "order": -end, "end": end, "value": value, "kind": kind, "first": first, "last": last}
+        return F.struct(*[c.alias(n) for n, c in names.items()])
+
+    matches = F.transform(
+        base, lambda b: cover(b["start"], b["end"], b["value"], b["kind"], F.lit(None).cast("string"), none)
     )
+    covers = F.sort_array(F.concat(matches, F.transform(gaps, gap)))
 
-    def instance(r: Column, p: Column, j: Column) -> Column:
-        # Two words before and one behind are enough, from the parts beside it and then from beyond the run.
-        before = F.concat(r["before"], F.flatten(F.slice(r["said"], F.greatest(j - 1, F.lit(1)), F.least(j, F.lit(2)))))
-        behind = F.concat(F.get(r["said"], j + 1), r["behind"])
-        behind = F.when(j + 1 < F.size(r["said"]), behind).otherwise(r["behind"])
-        w1, w2 = F.get(before, F.size(before) - 1), F.get(before, F.size(before) - 2)
-        patterns = F.array(F.concat(w2, F.lit(" "), w1, F.lit(" _")), F.concat(w1, F.lit(" _ "), F.get(behind, F.lit(0))))
-        return F.struct(
-            p["start"].alias("start"),
-            p["end"].alias("end"),
-            p["value"].alias("value"),
-            p["seed"].alias("seed"),
-            F.filter(patterns, lambda x: x.isNotNull()).alias("patterns"),
-            (p["seed"] | p["kind"].isNull() & p["value"].rlike("[0-9@]")).alias("one"),
-        )
+    def between(start: Column, end: Column) -> Column:
+        first = F.floor(start / CHUNK).cast("int")
+        some = F.slice(chunks, first + 1, (F.floor((end - 1) / CHUNK) + 1).cast("int") - first)
+        return F.substring(F.array_join(some, ""), (start % CHUNK + 1).cast("int"), (end - start).cast("int"))
 
-    each = F.flatten(F.transform(said, lambda r: F.transform(r["parts"], lambda p, j: instance(r, p, j))))
-    named = ("start", "end", "value", "seed", "patterns")
-    return F.transform(F.filter(each, lambda i: i["one"]), lambda i: F.struct(*[i[n].alias(n) for n in named]))
+    def each(c: Column, far: Column) -> Column:
+        nothing = F.array().cast(TOKENS)
+        part = F.when(c["start"] > far, F.array(token(far, between(far, c["start"])))).otherwise(nothing)
+        match = F.when(c["kind"].isNotNull(), F.array(token(c["start"], c["value"], c["kind"])))
+        hidden = (c["end"] <= far) & (far > c["start"])  # a gap inside a match
+        words_ = F.when(~hidden, F.array(token(c["start"], c["value"], None, c["first"], c["last"]))).otherwise(nothing)
+        return F.concat(part, F.coalesce(match, words_))
 
+    def passed(all_: Column) -> Column:
+        ends = running(F.transform(all_, lambda c: c["end"]), F.greatest)
+        far = F.concat(F.array(F.lit(0).cast("bigint")), ends)
+        return F.flatten(F.zip_with(all_, let(far, lambda f: F.slice(f, 1, F.size(f) - 1)), each))
 
-def part(start: Column, value: Column, first: str, last: str) -> Column:
-    """What a run has beside the matches of the fixed patterns, without the characters of ``first`` and ``last``
-    at its ends."""
-    inner = F.regexp_replace(value, f"^{first}+", "")
-    at = start + F.length(value) - F.length(inner)
-    core = F.regexp_replace(inner, f"{last}+$", "")
-    return F.struct(
-        at.alias("start"),
-        (at + F.length(core)).alias("end"),
-        core.alias("value"),
-        F.lit(None).cast("string").alias("kind"),
-        F.lit(False).alias("seed"),
-    )
+    return let(covers, passed)
 
 
-def parts(r: Column) -> Column:
-    """A run cut at its matches, in order. A match that goes on from the run before is no seed again."""
-    piece = lambda at, end: part(
-        at, F.substring(r["value"], (at - r["start"] + 1).cast("int"), (end - at).cast("int")), BESIDE, BESIDE
-    )
+def instances(found: Column) -> Column:
+    """Instances without the punctuation at their ends, their patterns, and whether they are seeds.
+
+    Matches of the fixed patterns are seeds, what remains of a run beside them are instances of their own. In
+    contexts a match stands as its kind.
+    """
+
+    def trimmed(all_: Column, t: Column, k: Column) -> Column:
+        alone = F.get(all_, k - 1)["last"].isNotNull() & F.get(all_, k + 1)["last"].isNotNull()
+        ends = F.when(alone, F.array(F.lit(f"^{TRIM_START}+"), F.lit(f"{TRIM_END}+$"))).otherwise(
+            F.array(F.lit(f"^{BESIDE}+"), F.lit(f"{BESIDE}+$"))
+        )
+        return F.when(t["last"].isNotNull(), part(t["start"], t["value"], None, t["first"], t["last"])).otherwise(
+            F.when(t["kind"].isNotNull(), part(t["start"], t["value"], t["kind"])).otherwise(
+                let(ends, lambda e: let(F.regexp_replace(t["value"], F.get(e, F.lit(0)), F.lit("")), lambda inner: part(
+                    t["start"] + F.length(t["value"]) - F.length(inner), F.regexp_replace(inner, F.get(e, F.lit(1)), F.lit(""))
+                )))
+            )
+        )
 
-    def match(b: Column) -> Column:
+    def part(start: Column, value: Column, kind: Column | None = None, first: Column | None = None, last: Column | None = None) -> Column:
+        if kind is not None:
+            said = F.array(F.concat(F.lit("<"), kind, F.lit(">")))
+        else:
+            said = words(F.lower(value))
+        tail = F.struct(F.get(said, F.lit(0)).alias("first"), latest(said).alias("last")) if last is None else None
+        if last is None and kind is None:
+            tail = let(said, lambda w: F.struct(F.get(w, F.lit(0)).alias("first"), latest(w).alias("last")))
         return F.struct(
-            b["start"].alias("start"),
-            b["end"].alias("end"),
-            b["value"].alias("value"),
-            b["kind"].alias("kind"),
-            (b["start"] >= r["start"]).alias("seed"),
+            start.alias("start"),
+            value.alias("value"),
+            (F.lit(None).cast("string") if kind is None else kind).alias("kind"),
+            F.lit(last is not None).alias("gap"),
+            (F.struct(first.alias("first"), last.alias("last")) if tail is None else tail).alias("said"),
         )
 
-    # How far the matches before each one reach: these may overlap.
-    ends = lambda k: F.transform(F.slice(r["base"], F.lit(1), k), lambda b: b["end"])
-    far = lambda k: F.greatest(r["start"], F.coalesce(F.array_max(ends(k)), r["start"]))
-    cut = F.transform(
-        r["base"],
-        lambda b, k: F.when(b["start"] > far(k), F.array(piece(far(k), b["start"]), match(b))).otherwise(F.array(match(b))),
-    )
-    rest = far(F.size(r["base"]))
-    return F.flatten(F.concat(cut, F.array(F.when(rest < r["end"], F.array(piece(rest, r["end"]))).otherwise(F.array().cast(PARTS)))))
+    def instance(all_: Column, t: Column, k: Column) -> Column:
+        before = F.get(all_, k - 1)
+        mine = before["said"]["last"]
+        last = F.when(before["gap"], mine).otherwise(F.concat(F.get(all_, k - 2)["said"]["last"], mine))
+        behind = F.get(all_, k + 1)["said"]["first"]
+
+        def around(last: Column) -> Column:
+            w1, w2 = F.get(last, F.size(last) - 1), F.get(last, F.size(last) - 2)
+            return F.array(F.concat(w2, F.lit(" "), w1, F.lit(" _")), F.concat(w1, F.lit(" _ "), behind))
+
+        patterns = let(last, around)
+        return F.struct(
+            t["start"].alias("start"),
+            (t["start"] + F.length(t["value"])).alias("end"),
+            t["value"].alias("value"),
+            t["kind"].isNotNull().alias("seed"),
+            F.filter(patterns, lambda x: x.isNotNull()).alias("patterns"),
+            (t["kind"].isNotNull() | ~t["gap"] & t["value"].rlike("[0-9@]")).alias("one"),
+        )
+
+    cores = let(found, lambda all_: F.transform(all_, lambda t, k: trimmed(all_, t, k)))
+    cores = F.filter(cores, lambda t: t["gap"] | (t["value"] != ""))
+    each = let(cores, lambda all_: F.transform(all_, lambda t, k: instance(all_, t, k)))
+    named = ("start", "end", "value", "seed", "patterns")
+    return F.transform(F.filter(each, lambda i: i["one"]), lambda i: F.struct(*[i[n].alias(n) for n in named]))
 
 
 def scored_patterns(instances: DataFrame) -> DataFrame:
@@ -302,7 +341,8 @@ def find(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     scores = scored_patterns(each.select("value", "seed", "patterns"))
     sure = scores.filter(F.col("confidence") >= CONFIDENCE).select("pattern")
     new = each.filter(~F.col("seed") & is_identifier(F.col("value")))
-    reached = new.select("row", "start", "end", "value", F.explode("patterns").alias("pattern")).join(sure, "pattern")
+    reached = new.select("row", "start", "end", "value", F.explode("patterns").alias("pattern"))
+    reached = Lookup(sure).join(reached, {"pattern": "pattern"}, {}, "left_semi")  # one pattern may reach most instances
     span = F.struct(F.lit(FOUND).alias("kind"), "start", "end", "value")
     added = reached.select("row", span.alias("span")).groupBy("row").agg(F.sort_array(F.collect_set("span")).alias("added"))
     whole = F.concat("base", F.coalesce("added", F.array().cast(SPAN)))

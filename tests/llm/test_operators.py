@@ -257,9 +257,32 @@ def test_identifiers_beside_seeds_are_found(spark):
     assert instances[19] == [("a@b.org", True)]
 
 
+def test_a_text_of_many_matches(spark):
+    """Five thousand addresses and cards, without a line break, and the same without any space."""
+    words = [
+        (f"10.{i % 200}.{i // 200}.{i % 7}" if i % 3 else "4111 1111 1111 1111") if i % 5 else f"call \U0001f600 u{i}@x.org KX-{88000 + i}"
+        for i in range(5000)
+    ]
+    texts = {1: " ".join(words), 2: ",".join(words).replace(" ", ";"), 3: "7" * 30_000 + " a@b.co" * 300}
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for r in pii.matched(rows).collect():
+        text = texts[r.doc_id]
+        assert [(b.kind, b.start, b.end) for b in r.base] == brute.personal(text)
+        assert all(text[i.start : i.end] == i.value for i in r.instances)
+        seeds = [(i.start, i.end) for i in r.instances if i.seed]
+        assert sorted(seeds) == sorted((b.start, b.end) for b in r.base)
+        if r.doc_id == 1:
+            beside = [i for i in r.instances if not i.seed]
+            assert [i.value for i in beside] == [f"KX-{88000 + i}" for i in range(0, 5000, 5)]
+            assert all(i.patterns[0].endswith("<email> _") for i in beside[1:])
+
+
 def test_running_sums(spark):
     numbers = list(range(1, 400))
-    row = spark.createDataFrame([(numbers,)], "x array<int>").select(pii.running(F.col("x")).alias("s")).first()
+    row = spark.createDataFrame([(numbers,)], "x array<int>").select(
+        pii.running(F.col("x")).alias("s"), pii.running(F.reverse("x"), F.greatest).alias("m")
+    ).first()
+    assert row.m == [399] * 399
     assert row.s == np.cumsum(numbers).tolist()
 
 
