@@ -5,10 +5,10 @@ word in a short line), boilerplate phrases, and one word said over and over. Fai
 document that loses more than ``MOST_LOST`` of its words so is rejected, as is one that fails the base
 limits.
 
-With ``by_parts``, long lines are judged by their parts, so that a text without line breaks is no worse than
-one with them: monotony in windows of ``WINDOW`` words and boilerplate in sentences, each failing the line if
-that holds at least half of its words. Without it, the default, the rules are those of ``SQL`` for any length:
-the longer a line, the likelier it has a boilerplate phrase and few different words for its length.
+No rule depends on how a text is cut into lines or sentences: a phrase stands for ``PHRASE`` words of its
+line, monotony is judged in windows of ``WINDOW`` words, and either fails a line that it fills by half. So a long line
+with one such phrase stays, whatever its punctuation and script. The work grows with the length of a text. An empty table
+gives an empty result.
 
 NULL text has no words and is rejected like an empty one. Blank lines are kept. Repeated rows give repeated
 results. All columns of the table are kept as they are; the result is one struct column, whose name replaces
@@ -26,16 +26,19 @@ LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent of words in repeated windows
 MOST_LOST = 30  # per cent of words in removed lines
 WINDOW = 200  # words; a line of no more is one window
-SHORT = 30  # words; a line of no more is one sentence
+PHRASE = 20  # words for which a boilerplate phrase stands
 SYMBOLS = "#*$%&|<>"
 MARKS = "#*$%&|<>!{}=~^\\"
 NAVIGATION = (
     r"(?i)^[\x20\x09-\x0D]*(home|menu|login|log in|sign in|sign up|register|search|next|previous|back|back to top|"
-    r"skip to content|read more|share|contact us|about us|site map|sitemap|subscribe)\b"
+    r"skip to content|read more|share|contact us|about us|site map|sitemap|subscribe|startseite|anmelden|suche|weiterlesen|"
+    r"kontakt|impressum|accueil|connexion|rechercher|lire la suite|nous contacter|inicio|buscar|contacto)\b"
 )
 BOILERPLATE = (
     r"(?i)(lorem ipsum|all rights reserved|terms of (use|service)|privacy policy|cookie policy|uses cookies|"
-    r"enable javascript|powered by|click here|©)"
+    r"enable javascript|powered by|click here|©|alle rechte vorbehalten|datenschutzerkl[äÄ]rung|verwendet cookies|"
+    r"tous droits r[éÉ]serv[éÉ]s|politique de confidentialit[éÉ]|utilise des cookies|"
+    r"todos los derechos reservados|pol[íÍ]tica de privacidad|utiliza cookies)"
 )
 
 
@@ -44,7 +47,7 @@ def count_of(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, characters, ""))
 
 
-def judged_lines(text: Column, by_parts: bool = False) -> Column:
+def judged_lines(text: Column) -> Column:
     """Lines with their words, the number of words and whether a rule removes the line."""
     split = F.transform(F.split(text, "\n", -1), lambda l: F.struct(l.alias("line"), words(l).alias("words")))
     counted = F.transform(
@@ -59,7 +62,7 @@ def judged_lines(text: Column, by_parts: bool = False) -> Column:
     )
     return F.transform(
         counted,
-        lambda l: F.struct(l["line"].alias("line"), l["words"].alias("words"), l["n"].alias("n"), fails(l, by_parts).alias("fails")),
+        lambda l: F.struct(l["line"].alias("line"), l["words"].alias("words"), l["n"].alias("n"), fails(l).alias("fails")),
     )
 
 
@@ -71,21 +74,13 @@ def monotone_words(said: Column) -> Column:
     return F.aggregate(sizes, F.lit(0), lambda a, n: a + n)
 
 
-def boilerplate_words(line: Column) -> Column:
-    """Words in the sentences with a boilerplate phrase."""
-    sentences = F.filter(F.split(line, r"(?<=[.!?])[\x20\x09-\x0D]+"), lambda s: s.rlike(BOILERPLATE))
-    return F.aggregate(sentences, F.lit(0), lambda a, s: a + F.size(words(s)))
-
-
-def fails(l: Column, by_parts: bool = False) -> Column:
+def fails(l: Column) -> Column:
     n = l["n"]
     punctuation = (l["marks"] >= 3) & (2 * l["marks"] >= n)
     navigation = (l["separators"] >= 2) & (3 * l["separators"] >= n) | (n <= 4) & l["line"].rlike(NAVIGATION)
-    monotone = (n >= 10) & (4 * F.size(F.array_distinct(l["words"])) <= n)
-    boilerplate = l["line"].rlike(BOILERPLATE)
-    if by_parts:
-        monotone = F.when(n <= WINDOW, monotone).otherwise(2 * monotone_words(l["words"]) >= n)
-        boilerplate = boilerplate & F.when(n <= SHORT, True).otherwise(2 * boilerplate_words(l["line"]) >= n)
+    monotone = F.when(n < 10, False).otherwise(2 * monotone_words(l["words"]) >= n)
+    phrases = F.when(l["line"].rlike(BOILERPLATE), F.size(F.regexp_extract_all(l["line"], F.lit(BOILERPLATE), F.lit(0)))).otherwise(0)
+    boilerplate = (phrases > 0) & (2 * PHRASE * phrases >= n)
     return (n > 0) & (punctuation | navigation | boilerplate | monotone)
 
 
@@ -124,7 +119,7 @@ def covered(positions: Column) -> Column:
     )
 
 
-def assess(docs: DataFrame, into: str, text: str = "text", by_parts: bool = False) -> DataFrame:
+def assess(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
     """``docs`` with a struct ``into``: the counts, the verdict ``kept`` and the ``clean_text``."""
     rest = [col(c) for c in docs.columns if c.lower() != into.lower()]
 
@@ -133,7 +128,7 @@ def assess(docs: DataFrame, into: str, text: str = "text", by_parts: bool = Fals
 
     # The row travels in one struct, so that no name of the steps can clash with a column.
     out = docs.select(F.struct(*rest).alias("row"), F.coalesce(col(text), F.lit("")).alias("text"))
-    out = step(out, lines=judged_lines(F.col("text"), by_parts))
+    out = step(out, lines=judged_lines(F.col("text")))
     out = step(out, said=F.flatten(F.transform("lines", lambda l: l["words"])))
     out = step(out, windows=repeated_words(F.col("said")))
     out = step(out, twins=twins(F.col("windows")))
@@ -175,8 +170,10 @@ counted AS (SELECT rid, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w
 lines AS (SELECT rid, line, len(ws) AS n, len(ws) > 0 AND (
     (marks >= 3 AND 2 * marks >= len(ws)) OR (separators >= 2 AND 3 * separators >= len(ws))
     OR (len(ws) <= 4 AND regexp_matches(line, '{NAVIGATION}'))
-    OR regexp_matches(line, '{BOILERPLATE}')
-    OR (len(ws) >= 10 AND 4 * len(list_distinct(ws)) <= len(ws))) AS fails FROM counted),
+    OR (regexp_matches(line, '{BOILERPLATE}') AND {2 * PHRASE} * len(regexp_extract_all(line, '{BOILERPLATE}')) >= len(ws))
+    OR (len(ws) >= 10 AND 2 * list_sum(list_transform(range(0, len(ws), {WINDOW}), lambda i: CASE
+        WHEN len(ws[i + 1 : i + {WINDOW}]) >= 10 AND 4 * len(list_distinct(ws[i + 1 : i + {WINDOW}])) <= len(ws[i + 1 : i + {WINDOW}])
+        THEN len(ws[i + 1 : i + {WINDOW}]) ELSE 0 END)) >= len(ws))) AS fails FROM counted),
 by_line AS (SELECT rid, count(*) FILTER (n > 0) - count(DISTINCT line) FILTER (n > 0) AS n_dup_lines,
     count(*) FILTER (fails) AS n_lines_removed, coalesce(sum(n) FILTER (fails), 0)::BIGINT AS n_words_removed
     FROM lines GROUP BY rid),
