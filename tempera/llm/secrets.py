@@ -29,6 +29,7 @@ BASE = KINDS[:3]
 LEAST_HEX = 24
 LEAST_ACCESS = 20
 LEAST_ASSIGNED = 6
+JOINS = "/+=._-"  # what may join a secret to a span of the fixed patterns
 LEAST_NOVEL = 16
 CONTEXT = 64  # characters before a candidate in which a sensitive word must stand
 AROUND = 512  # characters on either side that prime the compressor
@@ -115,21 +116,32 @@ def scan(raw: bytes) -> list[tuple[str, int, int, int, float | None]]:
 
 
 def novel(text: str, taken: list[tuple[int, int]]) -> list[tuple[str, int, int, int, float]]:
-    """Incompressible strings in a sensitive context that touch no span of the fixed patterns."""
+    """Incompressible strings in a sensitive context. What spans of the fixed patterns cover is cut out first."""
     out, after, at, reach = [], -1, 0, -1
     for m in CANDIDATE.finditer(text):
-        start, end = m.start(), m.start() + len(m[0].rstrip(".="))
-        while at < len(taken) and taken[at][0] < end:
-            reach = max(reach, taken[at][1])
+        begin, stop = m.start(), m.start() + len(m[0].rstrip(".="))
+        sensitive, left, pieces = None, begin, []
+        covered = reach > begin
+        while at < len(taken) and taken[at][0] < stop:
+            if taken[at][0] > max(left, reach):
+                pieces.append((max(left, reach), taken[at][0]))
+            reach, covered = max(reach, taken[at][1]), covered or taken[at][1] > begin
+            left = max(left, reach)
             at += 1
-        if reach > start or end - start < LEAST_NOVEL:
-            continue
-        chained = 0 <= start - after <= 2
-        if chained or SENSITIVE_WORD.search(text, max(0, start - CONTEXT), start):
-            added = novelty(text, start, end)
-            if added >= NOVEL * alphabet_bytes(text[start:end]):
-                out.append(("novel", start, end, start, round(added, 4)))
-                after = m.end()
+        if max(left, reach) < stop:
+            pieces.append((max(left, reach), stop))
+        for start, end in pieces:
+            if covered:
+                start, end = start + len(text[start:end]) - len(text[start:end].lstrip(JOINS)), start + len(text[start:end].rstrip(JOINS))
+            if end - start < LEAST_NOVEL:
+                continue
+            if sensitive is None:
+                sensitive = 0 <= begin - after <= 2 or SENSITIVE_WORD.search(text, max(0, begin - CONTEXT), begin) is not None
+            if sensitive:
+                added = novelty(text, start, end)
+                if added >= NOVEL * alphabet_bytes(text[start:end]):
+                    out.append(("novel", start, end, start, round(added, 4)))
+                    after = m.end()
     return out
 
 
