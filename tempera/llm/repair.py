@@ -2,7 +2,8 @@
 
 Documents are sorted by id over range partitions (shards), encoded, and packed in blocks of about a million
 ids. In a block, frequent pairs of neighbouring ids are replaced by new ids, round after round at a falling
-threshold; no pair spans two documents. A block stores the rules in the order of their making, the length of
+threshold and then until no pair is frequent; no pair spans two documents. In a run of one id every other pair is
+replaced, so a run and a passage that is copied often shrink to a few symbols. A block stores the rules in the order of their making, the length of
 each rule's expansion and the remaining symbols, so any document or range of ids is decoded without the
 rest.
 
@@ -26,6 +27,7 @@ archive without blocks.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +40,10 @@ from tempera.llm.common import bytes_of, slices
 
 END = 2
 BLOCK = 1 << 20
-#: A pair must occur once in so many symbols to be replaced, round by round.
+#: A pair must occur once in so many symbols to be replaced, round by round; the last goes on until no pair does.
 ROUNDS = (1 << 10, 1 << 12, 1 << 14, 1 << 15, 1 << 16, 1 << 17)
 LEAST = 4
+LEAST_USES = 3
 SLOT_BITS = 18
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 SCHEMA = (
@@ -50,19 +53,30 @@ SCHEMA = (
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols, rules and the mask of document ends among the symbols."""
+    """Symbols, rules and the mask of document ends among the symbols.
+
+    The first rounds look at all pairs, at falling thresholds. From then on only pairs with a symbol of the round before,
+    or that lost a place in it, can be frequent; rounds over these few go on until no pair is.
+    """
     rules, seq, last = [np.zeros((0, 2), np.uint32)], ids.astype(np.uint32), ends.copy()
-    made = first
-    for share in ROUNDS:
-        key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        pairs, at, rank = frequent(key, last[:-1], max(LEAST, len(seq) // share))
-        # The better pair wins where two overlap; of equal ones the left. Losers wait for a later round.
-        meet = np.diff(at) == 1
-        lost = np.zeros(len(at), bool)
-        lost[1:] |= meet & (rank[1:] >= rank[:-1])
-        lost[:-1] |= meet & (rank[:-1] > rank[1:])
-        at, rank = at[~lost], rank[~lost]
-        used = np.flatnonzero(np.bincount(rank, minlength=len(pairs)))
+    made, places = first, None
+    for share in chain(ROUNDS, repeat(ROUNDS[-1])):
+        if places is None:
+            places = np.arange(max(len(seq) - 1, 0))
+        key = (seq[places].astype(np.uint64) << np.uint64(32)) | seq[places + 1]
+        pairs, at, rank = frequent(key, last[places], max(LEAST, len(seq) // share))
+        at = places[at]
+        won = winners(at, rank)
+        # A rule that few places use is longer than what it saves.
+        uses = np.bincount(rank[won], minlength=len(pairs))
+        won &= uses[rank] >= LEAST_USES
+        waits, at, rank = at[~won & (uses[rank] >= LEAST_USES)], at[won], rank[won]
+        if not len(at):
+            if share == ROUNDS[-1]:
+                return seq, np.ascontiguousarray(np.concatenate(rules)), last
+            places = None
+            continue
+        used = np.flatnonzero(uses >= LEAST_USES)
         ids_of = np.zeros(len(pairs), np.uint32)
         ids_of[used] = made + np.arange(len(used))
         rules.append(pairs[used].view("<u4").reshape(-1, 2)[:, ::-1])
@@ -71,8 +85,27 @@ def compress(ids: np.ndarray, ends: np.ndarray, first: int) -> tuple[np.ndarray,
         last[at] = last[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq, last = seq[keep], last[keep]
-    return seq, np.ascontiguousarray(np.concatenate(rules)), last
+        look = np.zeros(len(seq), bool)
+        look[at] = look[waits] = True
+        seq, last, look = seq[keep], last[keep], look[keep]
+        places = None
+        if share == ROUNDS[-1]:
+            look[:-1] |= look[1:]
+            places = np.flatnonzero(look[:-1])
+
+
+def winners(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which of the ascending places are replaced: the better pair where two overlap, every other place in a run of one
+    pair. A loser may wait for a later round."""
+    meet = np.diff(at) == 1
+    better, worse, equal = rank[1:] < rank[:-1], rank[1:] > rank[:-1], rank[1:] == rank[:-1]
+    lost = np.zeros(len(at), bool)
+    lost[1:] |= meet & worse
+    lost[:-1] |= meet & better
+    begins = np.append(True, ~(meet & equal))[: len(at)]
+    number = np.arange(len(at))
+    lost |= (number - np.maximum.accumulate(np.where(begins, number, 0))) % 2 == 1
+    return ~lost
 
 
 def frequent(key: np.ndarray, closed: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
