@@ -1,15 +1,16 @@
 """Language identification by string kernels.
 
 Two texts are compared by the n-grams of one to three characters that both have, counted once each and
-divided by the square root of the product of their numbers: the blended-spectrum presence kernel. Characters
-are taken in lower case over an alphabet of ``ALPHABET`` symbols: the commonest letters of the training
-sample, one sign for all other letters, one for digits, one for white space and one for the rest, so that
-every n-gram has a number and presence is a flag in a table.
+divided by the square root of the product of their numbers: the blended-spectrum presence kernel. Letters and marks of every
+script stand for themselves, in lower case; white space, digits and all other characters each fold into one sign. An n-gram
+is a 63-bit number of its code points.
 
-Training is on a bounded sample: at most ``PER_LANGUAGE`` labelled texts of each language (the first by a
-hash of their id and text) and ``MOST_LANGUAGES`` languages (the commonest). ``LANDMARKS`` of them span the
-Nyström features, on which one ridge regression per language against the rest is solved. Scoring multiplies
-a batch of presence rows with the landmarks and the result with the weights; every text is scored whole.
+Training is on a bounded sample: of each language at most ``PER_LANGUAGE`` labelled texts (the first by a
+hash of their id and text), of each the first ``SAMPLE_CHARS`` characters. Every language is learned. ``LANDMARKS`` of the
+texts, or ``PER_CLASS`` of each language if that is more, span the Nyström features, on which one ridge regression per
+language against the rest is solved. Scoring multiplies a batch of presence rows with the landmarks and the result with
+the weights; every text is scored whole. The product is dense over the ``DENSE`` n-grams that most landmarks have and
+sums postings of the others, so memory is bounded whatever the script.
 
 A text that is NULL, empty or without letters is ``und`` with score 0; so is every text if no label can be
 learned from. Other texts get the language with the highest value, the smaller name on ties. The score is
@@ -20,8 +21,10 @@ than the named ones are ignored.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,98 +33,108 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tempera.llm.common import bytes_of, col, slices
+from tempera.operators.lookup import Lookup
 
-ALPHABET = 64
-SPACE, DIGIT, OTHER, RARE = 0, 1, 2, 3
+POINT_BITS = 21
 PER_LANGUAGE = 400
-MOST_LANGUAGES = 64
+SAMPLE_CHARS = 20_000
 LANDMARKS = 256
+PER_CLASS = 8
+DENSE = 1 << 16
 RIDGE = 1e-2
-BATCH = 256
+BATCH = 128
 UNKNOWN = "und"
 
 
-@dataclass(frozen=True)
-class Grams:
-    """Numbers of characters, and of n-grams of up to three of them."""
-
-    symbols: np.ndarray  # by code point
-
-    @property
-    def size(self) -> int:
-        return ALPHABET + ALPHABET**2 + ALPHABET**3
-
-    def present(self, text: str, flags: np.ndarray) -> np.ndarray:
-        """Ascending numbers of the n-grams in the text. ``flags`` is a table of zeros, left as such."""
-        points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-        one = self.symbols[np.minimum(points, len(self.symbols) - 1)].astype(np.int32)
-        flags[one] = True
-        if len(one) > 1:
-            two = one[:-1] * ALPHABET + one[1:]
-            flags[ALPHABET + two] = True
-        if len(one) > 2:
-            flags[ALPHABET + ALPHABET**2 + two[:-1] * ALPHABET + one[2:]] = True
-        found = np.flatnonzero(flags)
-        flags[found] = False
-        return found
-
-
-def symbols_of(texts: list[str]) -> np.ndarray:
-    """The symbol of every code point: the commonest letters of the texts have their own."""
-    characters = np.frombuffer("".join(texts).lower().encode("utf-32-le", "replace"), np.uint32)
-    points, counts = np.unique(characters, return_counts=True)
-    letters = [(-int(n), int(p)) for p, n in zip(points, counts, strict=True) if chr(p).isalpha()]
-    own = {p: RARE + 1 + i for i, (_, p) in enumerate(sorted(letters)[: ALPHABET - RARE - 1])}
-    table = np.empty(0x110000, np.uint8)
+@lru_cache(maxsize=1)
+def folded() -> np.ndarray:
+    """What every code point counts as, plus one."""
+    table = np.full(0x110000, ord(".") + 1, np.int64)
     for p in range(len(table)):
-        c = chr(p)
-        low = c.lower()
-        if ord(low[0]) in own:
-            table[p] = own[ord(low[0])]
-        else:
-            table[p] = SPACE if c.isspace() else DIGIT if c.isdigit() else RARE if c.isalpha() else OTHER
+        kind = unicodedata.category(chr(p))
+        if kind[0] in "LM":
+            table[p] = ord(chr(p).lower()[0]) + 1
+        elif kind == "Nd":
+            table[p] = ord("0") + 1
+        elif chr(p).isspace():
+            table[p] = ord(" ") + 1
     return table
 
 
+def grams(text: str) -> np.ndarray:
+    """Ascending numbers of the n-grams in the text."""
+    one = folded()[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
+    two = one[1:] << POINT_BITS | one[:-1]
+    three = one[2:] << (2 * POINT_BITS) | two[:-1]
+    return np.concatenate([np.unique(n) for n in (one, two, three)])
+
+
 @dataclass(frozen=True)
 class Model:
-    """Landmarks as rows over the n-grams that any of them has, and the weights of the languages."""
-
-    grams: Grams
-    row_of: np.ndarray  # by n-gram: its row among those of the landmarks, or their number
-    landmarks: np.ndarray  # n-gram row x landmark, divided by the landmark's norm
+    """Landmarks as rows over the n-grams that any of them has, and the weights of the languages.
+
+    Rows are ordered by the number of landmarks with the n-gram. The first are a matrix; each of the others has a list
+    of its landmarks.
+    """
+
+    keys: np.ndarray  # n-grams, ascending
+    row_of: np.ndarray  # the row of each
+    dense: np.ndarray  # row x landmark
+    starts: np.ndarray  # of the further rows: where their lists start
+    postings: np.ndarray
+    norms: np.ndarray  # square root of the number of n-grams of each landmark
     weights: np.ndarray  # landmark x language
     languages: list[str]
 
+    def kernel(self, found: list[np.ndarray]) -> np.ndarray:
+        """Kernel of texts, as their n-grams, with the landmarks."""
+        present = np.zeros((len(found), len(self.dense)), np.float32)
+        rest = np.zeros((len(found), len(self.norms)), np.float32)
+        for i, f in enumerate(found if len(self.keys) else []):
+            at = np.minimum(np.searchsorted(self.keys, f), len(self.keys) - 1)
+            rows = self.row_of[at[self.keys[at] == f]]
+            present[i, rows[rows < len(self.dense)]] = 1
+            rare = rows[rows >= len(self.dense)] - len(self.dense)
+            sizes = self.starts[rare + 1] - self.starts[rare]
+            where = np.repeat(self.starts[rare] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            rest[i] = np.bincount(self.postings[where], minlength=len(self.norms))
+        sizes = np.sqrt(np.array([max(1, len(f)) for f in found], np.float32))
+        return (present @ self.dense + rest) / sizes[:, None] / self.norms
+
     def values(self, found: list[np.ndarray]) -> np.ndarray:
         """Regression values: text x language."""
-        present = np.zeros((len(found), self.landmarks.shape[0] + 1), np.float32)
-        for i, f in enumerate(found):
-            present[i, self.row_of[f]] = 1
-        norms = np.sqrt(np.array([max(1, len(f)) for f in found], np.float32))
-        kernel = (present[:, :-1] @ self.landmarks) / norms[:, None]
-        return kernel @ self.weights
+        return self.kernel(found) @ self.weights
+
+
+def landmarks_of(found: list[np.ndarray]) -> Model:
+    """A model of landmarks, yet without weights."""
+    sizes = np.array([len(f) for f in found])
+    all_, mark = np.concatenate(found), np.repeat(np.arange(len(found)), sizes)
+    keys, which, counts = np.unique(all_, return_inverse=True, return_counts=True)
+    row_of = np.empty(len(keys), np.int64)
+    row_of[np.argsort(-counts, kind="stable")] = np.arange(len(keys))
+    row = row_of[which]
+    dense = np.zeros((min(DENSE, len(keys)), len(found)), np.float32)
+    common = row < len(dense)
+    dense[row[common], mark[common]] = 1
+    order = np.argsort(row[~common], kind="stable")
+    further = np.bincount(row[~common] - len(dense), minlength=len(keys) - len(dense))
+    starts = np.concatenate(([0], np.cumsum(further)))
+    norms = np.sqrt(np.maximum(sizes, 1)).astype(np.float32)
+    return Model(keys, row_of, dense, starts, mark[~common][order], norms, np.eye(len(found), dtype=np.float32), [])
 
 
 def learn(texts: list[str], labels: list[str]) -> Model:
     """Nyström features on evenly chosen landmarks, and ridge regression of each language against the
     rest."""
-    grams = Grams(symbols_of(texts))
-    flags = np.zeros(grams.size, bool)
-    found = [grams.present(t, flags) for t in texts]
+    found = [grams(t) for t in texts]
     languages = sorted(set(labels))
     # Landmarks take turns over the languages, in the order of the sample.
     place = {name: [i for i, x in enumerate(labels) if x == name] for name in languages}
     turns = [p[k] for k in range(max(map(len, place.values()))) for p in place.values() if k < len(p)]
-    marks = sorted(turns[:LANDMARKS])
-    used = np.unique(np.concatenate([found[i] for i in marks]))
-    row_of = np.full(grams.size, len(used), np.int32)
-    row_of[used] = np.arange(len(used))
-    landmarks = np.zeros((len(used), len(marks)), np.float32)
-    for j, i in enumerate(marks):
-        landmarks[row_of[found[i]], j] = 1 / np.sqrt(max(1, len(found[i])))
-    raw = Model(grams, row_of, landmarks, np.eye(len(marks), dtype=np.float32), languages)
-    kernel = np.concatenate([raw.values(found[i : i + BATCH]) for i in range(0, len(found), BATCH)]).astype(np.float64)
+    marks = sorted(turns[: max(LANDMARKS, PER_CLASS * len(languages))])
+    raw = landmarks_of([found[i] for i in marks])
+    kernel = np.concatenate([raw.kernel(found[i : i + BATCH]) for i in range(0, len(found), BATCH)]).astype(np.float64)
     values, vectors = np.linalg.eigh(kernel[marks])
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
@@ -131,23 +144,19 @@ def learn(texts: list[str], labels: list[str]) -> Model:
     weight = np.array([1 / len(place[x]) for x in labels])[:, None]
     square = features.T @ (weight * features) + RIDGE * np.eye(features.shape[1]) / len(labels)
     solved = np.linalg.solve(square, features.T @ (weight * wanted))
-    return Model(grams, row_of, landmarks, (root @ solved).astype(np.float32), languages)
+    return replace(raw, weights=(root @ solved).astype(np.float32), languages=languages)
 
 
 def sample(labelled: DataFrame, id: str, text: str, lang: str) -> tuple[list[str], list[str]]:
-    """At most ``PER_LANGUAGE`` texts of each of at most ``MOST_LANGUAGES`` languages, to the driver."""
+    """At most ``PER_LANGUAGE`` texts of each language, to the driver; a row per language comes there before."""
     rows = labelled.select(col(id).alias("id"), col(text).alias("text"), col(lang).cast("string").alias("lang"))
     rows = rows.filter("lang is not null and text is not null").select("lang", "text", F.xxhash64("id", "text").alias("order"))
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
     # A hash below this lets about twice the wanted number of a language pass; the window then has few rows.
-    span = 1 << 64
-    least = F.lit(None).cast("bigint")
-    for r in common:
-        share = min(1.0, 2 * (PER_LANGUAGE + 50) / r["count"])
-        top = min((1 << 63) - 1, int(share * span) - (1 << 63))
-        least = F.when(F.col("lang") == r["lang"], F.lit(top).cast("bigint")).otherwise(least)
+    share = F.least(F.lit(1.0), F.lit(2.0 * (PER_LANGUAGE + 50)) / F.count("*"))
+    top = F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise((share * float(1 << 64) - float(1 << 63)).cast("bigint"))
+    passed = Lookup(rows.groupBy("lang").agg(top.alias("top"))).join(rows, {"lang": "lang"}, {"top": "top"}, "inner")
+    passed = passed.filter("order <= top").select("lang", "order", F.left("text", F.lit(SAMPLE_CHARS)).alias("text"))
     first = W.partitionBy("lang").orderBy("order", "text")
-    passed = rows.filter(F.col("order") <= least)
     chosen = passed.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= PER_LANGUAGE)
     got = sorted(((r["lang"], r["n"], r["text"]) for r in chosen.select("lang", "n", "text").collect()))
     return [t for _, _, t in got], [name for name, _, _ in got]
@@ -159,7 +168,6 @@ def predict(docs: DataFrame, model: Model | None, id: str = "doc_id", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
-        flags = np.zeros(model.grams.size if model else 0, bool)
         for b in slices(batches, "text"):
             names, scores = [], []
             texts = [t.decode("utf-8", "replace") for t in b.column("text").to_pylist()]
@@ -169,7 +177,7 @@ def predict(docs: DataFrame, model: Model | None, id: str = "doc_id", text: str
                     names += [UNKNOWN] * len(some)
                     scores += [0.0] * len(some)
                     continue
-                values = model.values([model.grams.present(t, flags) for t in some]).astype(np.float64)
+                values = model.values([grams(t) for t in some]).astype(np.float64)
                 best = values.argmax(axis=1)
                 ordered = np.sort(values, axis=1)
                 lead = ordered[:, -1] - ordered[:, -2] if values.shape[1] > 1 else ordered[:, -1]

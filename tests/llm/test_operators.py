@@ -86,6 +86,32 @@ def test_repair_compresses():
     assert len(symbols) < len(block) / 4 and len(rules) > 50
 
 
+def test_runs_and_copies_shrink_to_little():
+    run = np.full(1 << 20, 7, np.uint32)
+    passage = np.tile(np.random.default_rng(1).integers(0, 50_000, 5000).astype(np.uint32), 200)
+    ends = np.zeros(len(passage), bool)
+    ends[4999::5000] = True
+    for ids_, last, most in ((run, np.zeros(len(run), bool), 100), (passage, ends, 0.03 * len(passage))):
+        symbols, rules, marks = repair.compress(ids_, last, 60_000)
+        assert len(symbols) + 2 * len(rules) < most
+        assert np.array_equal(repair.expand(symbols.copy(), rules, 60_000), ids_) and marks.sum() == last.sum()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=400), st.lists(st.booleans(), min_size=400, max_size=400))
+def test_no_pair_stays_frequent(ids_, flags):
+    ids_, last = np.array(ids_, np.uint32), np.array(flags[: len(ids_)], bool) & (np.arange(len(ids_)) % 9 == 8)
+    symbols, rules, marks = repair.compress(ids_, last, 10)
+    assert np.array_equal(repair.expand(symbols.copy(), rules, 10), ids_)
+    left = Counter()
+    at = -2
+    for i in range(len(symbols) - 1):  # places of a pair that do not overlap
+        if not marks[i]:
+            left[int(symbols[i]), int(symbols[i + 1])] += 1
+    runs = {p: n for p, n in left.items() if p[0] != p[1]}
+    assert max(runs.values(), default=0) < 2 * repair.LEAST and at == -2
+
+
 def test_archive(spark, docs, tmp_path, monkeypatch):
     monkeypatch.setattr(repair, "BLOCK", 20_000)
     repair.write_archive(docs, PATH, f"{tmp_path}/archive")
@@ -141,14 +167,17 @@ def test_long_lines_are_judged_by_their_parts(spark):
     policy = f"{short} Our privacy policy is powered by reason. {short.replace('Word', 'Term')}"
     junk = "All rights reserved by the owner of this page and of all that it shows or links to. " * 20
     again = "go on and on " * 200
-    texts = [prose, policy, f"{short}\n{junk}", f"{short}\n{again}"]
+    no_stop = " ".join(f"w{(i * i) % 4801} v{(i * 7919) % 3001}" for i in range(2000)) + " privacy policy again"
+    far_stop = "。".join(f"字{i} 词{i * 7 % 331}" for i in range(900)) + " © 。"
+    texts = [prose, policy, f"{short}\n{junk}", f"{short}\n{again}", no_stop, far_stop]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    cleaned = {r.doc_id: r.q for r in quality.assess(rows, "q", by_parts=True).collect()}
+    cleaned = {r.doc_id: r.q for r in quality.assess(rows, "q").collect()}
     assert cleaned[0].kept and cleaned[0].n_lines_removed == 0 and cleaned[0].clean_text == prose
     assert cleaned[1].kept and cleaned[1].clean_text == policy
     assert cleaned[2].n_lines_removed == cleaned[3].n_lines_removed == 1 and cleaned[2].clean_text == short
     staged = {r.doc_id for r in corpus_pipeline.clean_documents(spark, rows, "").collect()}
-    assert {0, 1} <= staged
+    assert {0, 1, 4, 5} <= staged
+    assert cleaned[4].n_words == 4003 and cleaned[4].n_lines_removed == cleaned[5].n_lines_removed == 0
 
 
 def test_filter_is_not_pushed_into_the_steps(documents):
@@ -260,7 +289,7 @@ def test_identifiers_beside_seeds_are_found(spark):
 def test_a_text_of_many_matches(spark):
     """Five thousand addresses and cards, without a line break, and the same without any space."""
     words = [
-        (f"10.{i % 200}.{i // 200}.{i % 7}" if i % 3 else "4111 1111 1111 1111") if i % 5 else f"call \U0001f600 u{i}@x.org KX-{88000 + i}"
+        (f"10.{i % 200}.{i // 200}.{i % 7}" if i % 3 else "4111 1111 1111 1111") if i % 5 else f"call \U0001f600 u{i}@x.org KX-{88000 + i} and"
         for i in range(5000)
     ]
     texts = {1: " ".join(words), 2: ",".join(words).replace(" ", ";"), 3: "7" * 30_000 + " a@b.co" * 300}
@@ -272,7 +301,7 @@ def test_a_text_of_many_matches(spark):
         seeds = [(i.start, i.end) for i in r.instances if i.seed]
         assert sorted(seeds) == sorted((b.start, b.end) for b in r.base)
         if r.doc_id == 1:
-            beside = [i for i in r.instances if not i.seed]
+            beside = [i for i in r.instances if i.value.startswith("KX")]
             assert [i.value for i in beside] == [f"KX-{88000 + i}" for i in range(0, 5000, 5)]
             assert all(i.patterns[0].endswith("<email> _") for i in beside[1:])
 
@@ -321,6 +350,17 @@ def test_secrets_need_no_mixture_of_digits(key, rest):
         assert secrets.scan(f"The signing key is {name}{rest}".encode()) == []
 
 
+@pytest.mark.parametrize("join", ["/", ".", "=", "+", "_", "-", ""])
+def test_secrets_beside_base_spans_are_found(join):
+    """A random key that a hex run adjoins is measured without it, before and behind."""
+    key, run = "qZ8vT1xLr0YbW5nKfU3mJ7sHdP9cG2eXtA6iOyRk", "4283fefc63f0cd0e873a0000"
+    for text in (f"the private credential is {run}{join}{key} so", f"the private credential is {key}{join}{run} so"):
+        found = [(k, text[s:e]) for k, s, e, _, _ in secrets.scan(text.encode())]
+        assert sorted(found) == [("hex", run), ("novel", key)]
+        assert secrets.masked(text.encode(), secrets.scan(text.encode())).count(secrets.MASK) == 2
+    assert [k for k, *_ in secrets.scan(f"nothing about {run}/{key}".encode())] == ["hex"]
+
+
 def test_overlapping_secrets_are_masked_once():
     raw = b'x token = "0123456789abcdef0123456789abcdef" y'
     assert secrets.masked(raw, secrets.scan(raw)) == 'x token = "[SECRET]" y'
@@ -346,13 +386,61 @@ def test_language_of_odd_rows(odd, spark):
     assert {r.lang_pred for r in unlabelled} == {"und"}
 
 
-def test_kernel_counts_common_grams():
-    model = langid.learn(["abc", "xyz"], ["p", "q"])
-    flags = np.zeros(model.grams.size, bool)
-    a, b = (model.grams.present(t, flags) for t in ("abab", "abc"))
-    assert len(a) == 2 + 2 + 2 and len(np.intersect1d(a, b)) == 3 and not flags.any()
-    values = model.values([b, model.grams.present("xyz", flags)])
-    assert values[0, 0] > values[0, 1] and values[1, 1] > values[1, 0]
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text(max_size=30), min_size=1, max_size=6), st.sampled_from([1, 7, 1 << 16]))
+def test_kernel_equals_sets_of_grams(texts, dense):
+    """Whatever share of the n-grams the matrix holds and the lists of the others."""
+    before, langid.DENSE = langid.DENSE, dense
+    try:
+        got = langid.landmarks_of([langid.grams(t) for t in texts]).kernel([langid.grams(t) for t in texts])
+    finally:
+        langid.DENSE = before
+    want = [[brute.kernel(a, b) for b in texts] for a in texts]
+    assert np.allclose(got, want, atol=1e-5)
+
+
+def test_values_equal_plain_ridge():
+    rnd = np.random.default_rng(3)
+    letters = {"a": "abcde", "b": "cdefg", "c": "\u0e01\u0e02\u0e31\u0e34"}
+    texts = ["".join(rnd.choice(list(letters[x]), 14)) for x in "aabbccabc"]
+    labels = list("aabbccabc")
+    model = langid.learn(texts, labels)
+    asked = [*texts[:3], "abg", "\u0e01x"]
+    want = brute.ridge(texts, labels, range(len(texts)), langid.RIDGE, asked)
+    assert np.allclose(model.values([langid.grams(t) for t in asked]), want, atol=2e-3)
+
+
+SCRIPTS = {  # first letter and how many follow
+    "latin": (0x61, 26), "cyrillic": (0x430, 32), "greek": (0x3B1, 24), "hebrew": (0x5D0, 27), "arabic": (0x628, 26),
+    "thai": (0xE01, 46), "korean": (0xAC00, 2000), "chinese": (0x4E00, 3000), "japanese": (0x3041, 86), "hindi": (0x915, 37),
+}
+
+
+def invented(rnd, letters, n):
+    """Texts of a language with words of its own over some letters."""
+    words = ["".join(rnd.choice(letters, rnd.integers(2, 6))) for _ in range(60)]
+    return [" ".join(rnd.choice(words, 25)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("kind", ["scripts", "languages"])
+def test_every_script_and_language_is_told(kind):
+    rnd = np.random.default_rng(11)
+    texts, labels = [], []
+    if kind == "scripts":
+        made = {k: [chr(a + i) for i in range(n)] for k, (a, n) in SCRIPTS.items()}
+    else:
+        base = list("abcdefghijklmnopqrstuvwxyz\u00e9\u00f1\u00fc\u0142\u0159\u0111")
+        made = {f"l{k}": list(rnd.choice(base, 12, replace=False)) for k in range(70)}
+    held = []
+    for name, letters in made.items():
+        mine = invented(rnd, letters, 60)
+        texts += mine[:40]
+        labels += [name] * 40
+        held += [(name, t) for t in mine[40:]]
+    model = langid.learn(texts, labels)
+    best = model.values([langid.grams(t) for _, t in held]).argmax(axis=1)
+    right = Counter(name for (name, _), j in zip(held, best, strict=True) if model.languages[j] == name)
+    assert min(right[name] / 20 for name in made) >= 0.9
 
 
 # --- conversations --------------------------------------------------------------------------
