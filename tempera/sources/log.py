@@ -6,9 +6,10 @@ its own, so a new checkpoint on an old log adds to it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 LOG_SCHEMA = "mood string, genre string, confidence double, language string, action_time timestamp_ntz"
 PARTS_SCHEMA = (
@@ -23,9 +24,11 @@ def write_batch(rows: DataFrame, root: str, batch_id: int, run: str = FIRST_RUN)
     rows.write.mode("overwrite").parquet(f"{root}/run={run}/batch_id={batch_id}")
 
 
-def _read(spark: SparkSession, path: str, schema: str, root: str) -> DataFrame | None:
+def read_folder(spark: SparkSession, path: str, schema: str, root: str, recursive: bool = False) -> DataFrame | None:
+    """The table in a folder; None if there is no folder."""
     try:
-        return spark.read.schema(schema).option("basePath", root).parquet(path)
+        reader = spark.read.schema(schema).option("recursiveFileLookup", str(recursive).lower())
+        return (reader if recursive else reader.option("basePath", root)).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -35,7 +38,7 @@ def _read(spark: SparkSession, path: str, schema: str, root: str) -> DataFrame |
 def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """All batches with ``run`` and ``batch_id``; no rows, but the same columns, before the first write."""
     full = f"{schema}, run string, batch_id bigint"
-    found = _read(spark, root, full, root)
+    found = read_folder(spark, root, full, root)
     return spark.createDataFrame([], full) if found is None else found
 
 
@@ -43,28 +46,26 @@ def read_batch(spark: SparkSession, root: str, batch_id: int, schema: str, run:
     """One batch alone: a single folder is listed, whatever the age of the log. A missing batch is an
     error."""
     path = f"{root}/run={run}/batch_id={batch_id}"
-    found = _read(spark, path, schema, path)
+    found = read_folder(spark, path, schema, path)
     if found is None:
         raise FileNotFoundError(f"no batch {batch_id} of run {run} in {root}")
     return found
 
 
-def begin_run(spark: SparkSession, root: str, run: str, snapshots: str) -> tuple[str, int] | None:
-    """Where a run goes on from: the newest batch in ``snapshots`` of the run before it, or None for the
+def begin_run(spark: SparkSession, root: str, run: str, newest: Callable[[], dict[str, int]]) -> tuple[str, int] | None:
+    """Where a run goes on from: the ``newest`` committed batch of the run before it, or None for the
     first run.
 
     Decided once and written down, so that a replay goes on from the same place.
     """
-    runs = _read(spark, root, RUNS_SCHEMA, root)
+    runs = read_folder(spark, root, RUNS_SCHEMA, root)
     known = {r["run"]: r for r in runs.collect()} if runs is not None else {}  # a row per checkpoint
     if run not in known:
         parent = None
+        done = newest() if known else {}
         for r in sorted(known.values(), key=lambda r: r["number"]):
-            path = f"{snapshots}/run={r['run']}"
-            written = _read(spark, path, "mood string, batch_id bigint", path)
-            newest = written.select(F.max("batch_id")).first()[0] if written is not None else None
-            if newest is not None:
-                parent = (r["run"], newest)
+            if r["run"] in done:
+                parent = (r["run"], done[r["run"]])
         row = (len(known), *(parent or (None, None)))
         spark.createDataFrame([row], "number int, parent string, parent_batch bigint").coalesce(1).write.mode(
             "overwrite"

@@ -44,3 +44,8 @@ def write_messages(
         writer.mode("append").save(path)
     else:
         writer.save()
+
+
+def received_once(messages: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
+    """A stream without the repeats that a replay sends: of equal keys that come within ``delay``, the first."""
+    return messages.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])

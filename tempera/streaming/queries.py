@@ -19,11 +19,11 @@ from tempera.plans.queries import (
     served,
 )
 from tempera.session import shared_folder
-from tempera.sources import log, views
+from tempera.sources import commits, log, views
 from tempera.sources.topics import read_messages, write_messages
 from tempera.streaming.asof import stream_as_of, stream_refresh_requests
 from tempera.streaming.feed import finish, stage_slices
-from tempera.streaming.service import STATS_SCHEMA, Service, learn_batch
+from tempera.streaming.service import OUTPUTS, PLAYLIST_SCHEMA, SNAPSHOTS, STATS_SCHEMA, Service, learn_batch
 from tempera.streaming.stateful import stream_debounce, stream_session, stream_throttle
 
 #: Fixed cuts of the month of events: micro-batches of 180 hours for serving and of 60 for the statistics.
@@ -109,7 +109,9 @@ def stream_serve(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = read_messages(spark, "parquet", folder, columns, maxFilesPerTrigger=str(files))
     service = Service(shared_folder(spark), retrieve.catalogue(views.tracks(spark, sf_dir)), key="event_id")
     finish(service.start(messages, shared_folder(spark), availableNow=True))
-    rows = log.read_batches(spark, f"{service.root}/playlists", "request string, value string")
+    commits.compact(spark, service.root, OUTPUTS)
+    commits.expire(spark, service.root, OUTPUTS, SNAPSHOTS)
+    rows = commits.read(spark, service.root, "playlists", PLAYLIST_SCHEMA).select("run", "batch_id", "request", "value")
     lists = publish.parse_playlists(rows.drop("run", "batch_id"))
     return lists.select(
         "request",
@@ -164,10 +166,10 @@ def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        learn_batch(batch, root, batch_id, dims.STATS_EVERY)
+        commits.commit(spark, root, batch_id, learn_batch(batch, root, batch_id, dims.STATS_EVERY))
 
     _each_batch(source, handle)
-    return log.read_batches(spark, f"{root}/stats", STATS_SCHEMA).drop("run")
+    return commits.read(spark, root, "stats", STATS_SCHEMA).drop("run")
 
 
 STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
