@@ -23,6 +23,7 @@ from tempera.sources import commits, log, views
 from tempera.sources.topics import read_messages, write_messages
 from tempera.streaming.asof import stream_as_of, stream_refresh_requests
 from tempera.streaming.feed import finish, stage_slices
+from tempera.streaming.newest import NewestPerKey
 from tempera.streaming.service import OUTPUTS, PLAYLIST_SCHEMA, SNAPSHOTS, STATS_SCHEMA, Service, learn_batch
 from tempera.streaming.stateful import stream_debounce, stream_session, stream_throttle
 
@@ -159,6 +160,24 @@ def stream_user_playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _appended(kept_playlists(topic, active_users(spark, sf_dir)))
 
 
+def stream_latest_playlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The playlist topic upserted into a table of each user's newest."""
+    lists = served(spark, sf_dir).select(
+        "user_id",
+        "event_id",
+        "ts",
+        "mood",
+        F.size("playlist").alias("n_tracks"),
+        F.array_join("playlist.video_id", "|").alias("video_ids"),
+    )
+    topic = _source(spark, lists, key="user_id")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lists.schema)
+    newest = NewestPerKey(shared_folder(spark), schema, "user_id", ("ts", "event_id"), buckets=8)
+    finish(newest.start(topic, shared_folder(spark), availableNow=True))
+    newest.expire(spark)
+    return newest.read(spark).drop("ts")
+
+
 def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Interactions per batch are logged; every tenth batch reports the statistics so far."""
     table = views.training_log(spark, sf_dir).withColumnRenamed("action_time", "ts")
@@ -182,6 +201,7 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_serve": stream_serve,
     "stream_stats": stream_stats,
     "stream_user_playlists": stream_user_playlists,
+    "stream_latest_playlist": stream_latest_playlist,
     "stream_asof_preferences": stream_asof_preferences,
     "stream_refresh_requests": stream_refresh,
 }
@@ -194,6 +214,7 @@ BATCH_TWIN = {
     "stream_debounce": "debounce_moods",
     "stream_debounce_with_manual": "debounce_with_manual",
     "stream_user_playlists": "user_playlists",
+    "stream_latest_playlist": "latest_playlist",
     "stream_asof_preferences": "asof_preferences",
     "stream_refresh_requests": "refresh_requests",
 }

@@ -62,7 +62,8 @@ class Service:
         text = F.col("value").cast("string")
         raw = messages.select(text.alias("value"), text.alias("_text"), *named)
         # Parsed once for all that follows.
-        batch = parse_actions(raw, integer_confidence=self.integer_confidence).withColumn("reason", rejection()).persist()
+        batch = parse_actions(raw, integer_confidence=self.integer_confidence).withColumn("reason", rejection())
+        batch = batch.withColumn("_part", F.spark_partition_id()).persist()
         try:
             # The rows of the batch are counted while the rejected ones are written.
             seen = Observation()
@@ -73,7 +74,7 @@ class Service:
                 write_batch(before, f"{self.root}/scores", batch_id, run)
                 commit(spark, self.root, batch_id, ["rejected", "scores"], run)
                 return
-            requests = clean_requests(batch).withColumn("request", self._request())
+            requests = self._named(clean_requests(batch))
             learned = learned_genres(scores_from_parts(before))
             served = serve(requests, answer_wishes(requests, learned, self.cells), "request", self.seed)
             rows = served.select(
@@ -97,11 +98,18 @@ class Service:
         finally:
             batch.unpersist()
 
-    def _request(self):
+    def _named(self, requests: DataFrame) -> DataFrame:
+        """Adds ``request``. Equal texts, such as heartbeats, are counted per partition; then each partition knows where
+        its own start, and no task gets all of one text."""
         if self.key:
-            return F.col("_name")
-        same = F.md5("_text")
-        return F.concat_ws("-", same, F.row_number().over(W.partitionBy(same).orderBy(F.lit(0))))
+            return requests.withColumn("request", F.col("_name"))
+        rows = requests.withColumn("_same", F.md5("_text"))
+        counts = rows.groupBy("_same", "_part").agg(F.count(F.lit(1)).alias("_n"))
+        before = W.partitionBy("_same").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+        starts = counts.select("_same", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        here = F.row_number().over(W.partitionBy("_same", "_part").orderBy(F.lit(0)))
+        named = rows.join(starts, ["_same", "_part"]).withColumn("_number", F.col("_start") + here)
+        return named.withColumn("request", F.concat_ws("-", "_same", "_number"))
 
     def start(self, messages: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Start serving; the default trigger is a micro-batch every two seconds."""

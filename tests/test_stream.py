@@ -1,6 +1,7 @@
 """Streams: restarts, replays, empty batches, late state."""
 
 import datetime as dt
+import hashlib
 import json
 import random
 
@@ -250,9 +251,12 @@ def test_a_lost_snapshot_is_an_error(spark):
 def test_equal_messages_are_requests_of_their_own(spark):
     service = Service(shared_folder(spark), shop(spark, {"A": 40}))
     text = message("u", "sad", 1, "A")
-    service.handle(spark.createDataFrame([(text,)] * 3, "value string"), 0)
+    other = message("v", "sad", 2, "A")
+    service.handle(spark.createDataFrame([(text,)] * 30 + [(other,)], "value string").repartition(7), 0)
     rows = log.read_batches(spark, f"{service.root}/playlists", "request string, value string").collect()
-    assert len({r.request for r in rows}) == 3 and len({r.value for r in rows}) == 3
+    same = hashlib.md5(text.encode()).hexdigest()
+    assert {r.request for r in rows} == {f"{same}-{n}" for n in range(1, 31)} | {f"{hashlib.md5(other.encode()).hexdigest()}-1"}
+    assert len(rows) == 31 and len({r.value for r in rows}) > 20
 
 
 def test_rows_without_a_time_are_staged(spark):
