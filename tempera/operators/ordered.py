@@ -116,9 +116,9 @@ def split(df: DataFrame, key: str, order: tuple[str, ...], max_rows: int = MAX_R
     equal times. A chunk has about ``max_rows`` rows, whatever the size of the table.
     """
     counts = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_rows)
-    hot, *size = measured(counts.withColumn("_hot", F.monotonically_increasing_id()))
-    if not size[0]:
+    if counts.isEmpty():  # most tables: nothing is written for them
         return [Ordered(df, key, order)]
+    hot, *size = measured(counts.withColumn("_hot", F.monotonically_increasing_id()))
     rows = hot.agg(F.sum("_n")).first()[0]
     listed = F.broadcast(hot.drop("_n")) if may_broadcast(*size) else hot.drop("_n")
     same = df[key].eqNullSafe(listed["_key"])

@@ -55,7 +55,7 @@ def stage_slices(
         piece.repartition(files).write.mode("append").parquet(folder)
         # A partition without rows may have written no file; a reader that takes files by number must find them all.
         written += files
-        while files > 1 and (missing := written - len(spark.read.schema(df.schema).parquet(folder).inputFiles())) > 0:
+        while (files > 1 or edges) and (missing := written - len(spark.read.schema(df.schema).parquet(folder).inputFiles())) > 0:
             for _ in range(missing):
                 spark.createDataFrame([], df.schema).coalesce(1).write.mode("append").parquet(folder)
     return folder, files

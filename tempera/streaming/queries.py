@@ -33,6 +33,7 @@ SERVE_EDGES = [str(MONTH + dt.timedelta(hours=180 * i)) for i in range(1, 4)]
 STATS_EDGES = [str(MONTH + dt.timedelta(hours=60 * i)) for i in range(1, 12)]
 
 
+TRIGGER_EDGES = ["2023-12-31 00:00:00", SERVE_EDGES[1], "2025-01-01 00:00:00"]
 HEARTBEAT = -1  # event id of the last row of a bounded stream
 CLOCK_END = "2100-01-01 00:00:00"
 
@@ -102,14 +103,14 @@ def stream_session_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.withColumn("history", F.array_join("history", "|"))
 
 
-def stream_serve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Playlists served while the scores are learned from the batches before."""
+def _served(spark: SparkSession, sf_dir: str, edges: list[str], run: Callable[[Service, DataFrame], None]) -> DataFrame:
+    """What a service writes for the actions, in micro-batches cut at ``edges``, read after compaction."""
     table = views.action_messages(spark, sf_dir)
-    folder, files = stage_slices(table, edges=SERVE_EDGES)
+    folder, files = stage_slices(table, edges=edges)
     columns = "event_id bigint, ts timestamp_ntz, value string"
     messages = read_messages(spark, "parquet", folder, columns, maxFilesPerTrigger=str(files))
     service = Service(shared_folder(spark), retrieve.catalogue(views.tracks(spark, sf_dir)), key="event_id")
-    finish(service.start(messages, shared_folder(spark), availableNow=True))
+    run(service, messages)
     commits.compact(spark, service.root, OUTPUTS)
     commits.expire(spark, service.root, OUTPUTS, SNAPSHOTS)
     rows = commits.read(spark, service.root, "playlists", PLAYLIST_SCHEMA).select("run", "batch_id", "request", "value")
@@ -125,6 +126,28 @@ def stream_serve(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_serve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Playlists served while the scores are learned from the batches before."""
+
+    def to_the_end(service: Service, messages: DataFrame) -> None:
+        finish(service.start(messages, shared_folder(spark), availableNow=True))
+
+    return _served(spark, sf_dir, SERVE_EDGES, to_the_end)
+
+
+def stream_serve_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As deployed: a micro-batch every two seconds. The first and the last are empty and serve nothing."""
+
+    def by_the_clock(service: Service, messages: DataFrame) -> None:
+        query = service.start(messages, shared_folder(spark))
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
+    return _served(spark, sf_dir, TRIGGER_EDGES, by_the_clock)
+
+
 def _coming_late(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """A stream of ``rows`` that come up to 50 minutes late, so out of order, and at last a heartbeat of nobody."""
     late = (F.pmod(F.xxhash64("event_id"), F.lit(3000)) / 1).cast("int")
@@ -199,6 +222,7 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_debounce_with_manual": stream_debounced_with_manual,
     "stream_session": stream_session_state,
     "stream_serve": stream_serve,
+    "stream_serve_trigger": stream_serve_trigger,
     "stream_stats": stream_stats,
     "stream_user_playlists": stream_user_playlists,
     "stream_latest_playlist": stream_latest_playlist,
