@@ -27,7 +27,6 @@ archive without blocks.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +40,7 @@ from tempera.llm.common import bytes_of, slices
 END = 2
 BLOCK = 1 << 20
 #: A pair must occur once in so many symbols to be replaced, round by round; the last goes on until no pair does.
-ROUNDS = (1 << 10, 1 << 12, 1 << 14, 1 << 15, 1 << 16, 1 << 17)
+ROUNDS = (1 << 10, 1 << 12, 1 << 14, 1 << 16, 1 << 17)
 LEAST = 4
 LEAST_USES = 3
 SLOT_BITS = 18
@@ -56,54 +55,70 @@ def compress(ids: np.ndarray, ends: np.ndarray, first: int) -> tuple[np.ndarray,
     """Symbols, rules and the mask of document ends among the symbols.
 
     The first rounds look at all pairs, at falling thresholds. From then on only pairs with a symbol of the round before,
-    or that lost a place in it, can be frequent; rounds over these few go on until no pair is.
+    or that lost a place in it, can be frequent; rounds over these few go on until no pair is. They leave gaps in the
+    sequence, which are closed at the end.
     """
     rules, seq, last = [np.zeros((0, 2), np.uint32)], ids.astype(np.uint32), ends.copy()
-    made, places = first, None
-    for share in chain(ROUNDS, repeat(ROUNDS[-1])):
-        if places is None:
-            places = np.arange(max(len(seq) - 1, 0))
-        key = (seq[places].astype(np.uint64) << np.uint64(32)) | seq[places + 1]
-        pairs, at, rank = frequent(key, last[places], max(LEAST, len(seq) // share))
-        at = places[at]
-        won = winners(at, rank)
-        # A rule that few places use is longer than what it saves.
-        uses = np.bincount(rank[won], minlength=len(pairs))
-        won &= uses[rank] >= LEAST_USES
-        waits, at, rank = at[~won & (uses[rank] >= LEAST_USES)], at[won], rank[won]
-        if not len(at):
-            if share == ROUNDS[-1]:
-                return seq, np.ascontiguousarray(np.concatenate(rules)), last
-            places = None
-            continue
-        used = np.flatnonzero(uses >= LEAST_USES)
-        ids_of = np.zeros(len(pairs), np.uint32)
-        ids_of[used] = made + np.arange(len(used))
-        rules.append(pairs[used].view("<u4").reshape(-1, 2)[:, ::-1])
-        made += len(used)
-        seq[at] = ids_of[rank]
-        last[at] = last[at + 1]
-        keep = np.ones(len(seq), bool)
+    made, places = first, np.zeros(0, np.int64)
+    for share in ROUNDS:
+        new, at, names, waits = chosen(seq[:-1], seq[1:], last[:-1], max(LEAST, len(seq) // share), made)
+        rules.append(new)
+        made += len(new)
+        keep, look = np.ones(len(seq), bool), np.zeros(len(seq), bool)
         keep[at + 1] = False
-        look = np.zeros(len(seq), bool)
         look[at] = look[waits] = True
+        seq[at], last[at] = names, last[at + 1]
         seq, last, look = seq[keep], last[keep], look[keep]
-        places = None
-        if share == ROUNDS[-1]:
-            look[:-1] |= look[1:]
-            places = np.flatnonzero(look[:-1])
-
-
-def winners(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Which of the ascending places are replaced: the better pair where two overlap, every other place in a run of one
-    pair. A loser may wait for a later round."""
-    meet = np.diff(at) == 1
+        places = np.flatnonzero(look)
+    n = len(seq)
+    live, following, before = np.ones(n, bool), np.arange(1, n + 1), np.arange(-1, n)
+    while len(places):
+        places = np.unique(np.concatenate((places, before[places])))
+        places = places[(places >= 0) & live[places]]
+        places = places[following[places] < len(seq)]
+        next_ = following[places]
+        new, at, names, waits = chosen(seq[places], seq[next_], last[places], max(LEAST, n // ROUNDS[-1]), made, next_[:-1] == places[1:])
+        if not len(at):
+            break
+        at, waits = places[at], places[waits]
+        rules.append(new)
+        made += len(new)
+        gone = following[at]
+        seq[at], last[at] = names, last[gone]
+        live[gone], n = False, n - len(gone)
+        following[at] = following[gone]
+        before[following[at]] = at
+        places = np.concatenate((waits, at))
+    return seq[live], np.ascontiguousarray(np.concatenate(rules)), last[live]
+
+
+def chosen(
+    left: np.ndarray, right: np.ndarray, closed: np.ndarray, least: int, made: int, meet: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """New rules, numbered from ``made``, for the frequent pairs of ``left`` and ``right`` symbols: where they apply,
+    under which name, and where they had to wait. ``meet`` tells which neighbouring pairs share a symbol, by default all."""
+    pairs, at, rank = frequent((left.astype(np.uint64) << np.uint64(32)) | right, closed, least)
+    near = np.diff(at) == 1
+    won = winners(near if meet is None else near & meet[at[:-1]] if len(meet) else near, rank)
+    # A rule that few places use is longer than what it saves.
+    uses = np.bincount(rank[won], minlength=len(pairs))
+    useful = uses[rank] >= LEAST_USES
+    used = np.flatnonzero(uses >= LEAST_USES)
+    names = np.zeros(len(pairs), np.uint32)
+    names[used] = made + np.arange(len(used))
+    new = pairs[used].view("<u4").reshape(-1, 2)[:, ::-1]
+    return new, at[won & useful], names[rank[won & useful]], at[~won & useful]
+
+
+def winners(meet: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which of the ascending places are replaced, if neighbours ``meet``: the better pair where two overlap, every other
+    place in a run of one pair. A loser may wait for a later round."""
     better, worse, equal = rank[1:] < rank[:-1], rank[1:] > rank[:-1], rank[1:] == rank[:-1]
-    lost = np.zeros(len(at), bool)
+    lost = np.zeros(len(rank), bool)
     lost[1:] |= meet & worse
     lost[:-1] |= meet & better
-    begins = np.append(True, ~(meet & equal))[: len(at)]
-    number = np.arange(len(at))
+    begins = np.append(True, ~(meet & equal))[: len(rank)]
+    number = np.arange(len(rank))
     lost |= (number - np.maximum.accumulate(np.where(begins, number, 0))) % 2 == 1
     return ~lost
 
