@@ -26,6 +26,7 @@ from tempera.streaming.feed import finish, stage_slices
 from tempera.streaming.newest import NewestPerKey
 from tempera.streaming.service import OUTPUTS, PLAYLIST_SCHEMA, SNAPSHOTS, STATS_SCHEMA, Service, learn_batch
 from tempera.streaming.stateful import stream_debounce, stream_session, stream_throttle
+from tempera.streaming.stretches import no_idle_partitions
 
 #: Fixed cuts of the month of events: micro-batches of 180 hours for serving and of 60 for the statistics.
 MONTH = dt.datetime(2024, 1, 1)
@@ -49,7 +50,9 @@ def _appended(stream: DataFrame) -> DataFrame:
     """Run ``stream`` to its end into files and return them as a table."""
     root = shared_folder(stream.sparkSession)
     writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{root}/state")
-    finish(writer.trigger(availableNow=True).start(f"{root}/out"))
+    with no_idle_partitions(stream.sparkSession):
+        query = writer.trigger(availableNow=True).start(f"{root}/out")
+    finish(query)
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/out")
 
 
