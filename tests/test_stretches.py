@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from tempera.operators.sequence import step_function
+from tempera.streaming.asof import ACTION, CHANGE, Meet
 from tempera.streaming.stateful import Sessions, debouncing, sampling, session_rule, step_functions
 from tempera.streaming.stretches import NEVER, Compose, in_order, no_idle_partitions
 
@@ -181,6 +182,24 @@ def test_only_silent_users_of_a_bucket_are_forgotten():
     assert processor.known()[None][0] == 3001
 
 
+def test_waiting_rows_of_a_bucket_are_one_value_for_a_stretch():
+    calls = []
+    for n in (10, 1000):
+        columns = {"key": [None, *[f"u{i}" for i in range(1, n)]], "timed": True, "has_id": True, "kind": CHANGE, "action": None}
+        change = pd.DataFrame({**columns, "at": 5, "id": range(n), "change": [json.dumps({"genre": f"g{i}"}) for i in range(n)]})
+        action = pd.DataFrame({**columns, "kind": ACTION, "at": 5, "id": 2**60, "action": [str(i) for i in range(n)], "change": None})
+        before = action.assign(at=4, action="early")
+        meet, handle = Meet({"genre": "none"}, 1000), Handle()
+        meet.init(handle)
+        assert not list(meet.handleInputRows((0,), iter([pd.concat([action, change, before])]), Clock(0)))
+        assert handle.timers == {1000}
+        told = [r for out in meet.handleExpiredTimer((0,), Clock(1000), Clock(1000)) for r in out.itertuples(index=False)]
+        got = {r.action: json.loads(r.change)["genre"] for r in told}
+        assert got == {"early": "none", **{str(i): f"g{i}" for i in range(n)}} and len(told) == 2 * n
+        calls.append(handle.calls)
+    assert calls[0] == calls[1]
+
+
 def test_no_more_partitions_than_buckets(spark):
     name = "spark.sql.shuffle.partitions"
     old = spark.conf.get(name)
