@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tempera.functions.clock import micros
@@ -11,7 +14,8 @@ from tempera.session import materialise, shared_folder
 
 ROWS_PER_SLICE = 50_000_000
 ROWS_PER_KEY = 10_000_000
-ROWS_PER_FILE = 1_000_000
+ROWS_PER_FILE = 100_000  # a file is at least one task of every step before a shuffle
+ROWS_PER_RANGE = 1_000_000
 LEAST_SLICES = 4
 
 
@@ -41,8 +45,10 @@ def stage_slices(
     total, largest = sizes[0] or 0, sizes[1] or 0
     if edges is None:
         count = max(slices, -(-total // rows), -(-largest // key_rows))
-        cut = df.withColumn("_at", micros(ts)).repartitionByRange(count, "_at").drop("_at")
-        cut = cut.withColumn("_slice", F.spark_partition_id())
+        # A slice is several ranges, so that several tasks write it.
+        ranges = max(1, -(-total // (count * ROWS_PER_RANGE)))
+        cut = df.withColumn("_at", micros(ts)).repartitionByRange(count * ranges, "_at").drop("_at")
+        cut = cut.withColumn("_slice", F.floor(F.spark_partition_id() / ranges).cast("int"))
     else:
         count = len(edges) + 1
         cut = df.withColumn("_slice", _edges_passed(F.col(ts), edges))
@@ -56,11 +62,21 @@ def stage_slices(
         # A partition without rows may have written no file; a reader that takes files by number must find them all.
         written += files
         while (files > 1 or edges) and (missing := written - len(spark.read.schema(df.schema).parquet(folder).inputFiles())) > 0:
-            for _ in range(missing):
-                spark.createDataFrame([], df.schema).coalesce(1).write.mode("append").parquet(folder)
+            _add_empty_files(spark, folder, df.schema, missing)
     return folder, files
 
 
+def _add_empty_files(spark: SparkSession, folder: str, schema: T.StructType, n: int) -> None:
+    """Copies of one file without rows: a job for each would take longer than the rows do."""
+    source = shared_folder(spark)
+    spark.createDataFrame([], schema).coalesce(1).write.parquet(source)
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    system = hadoop.Path(source).getFileSystem(conf)
+    empty = next(f.getPath() for f in system.listStatus(hadoop.Path(source)) if f.getPath().getName().startswith("part-"))
+    for _ in range(n):
+        hadoop.FileUtil.copy(system, empty, system, hadoop.Path(f"{folder}/part-{uuid.uuid4().hex}.parquet"), False, conf)
+
+
 def _edges_passed(at: Column, edges: list[str]) -> Column:
     passed = F.lit(0)
     for edge in edges:

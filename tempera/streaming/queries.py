@@ -35,6 +35,7 @@ STATS_EDGES = [str(MONTH + dt.timedelta(hours=60 * i)) for i in range(1, 12)]
 
 
 TRIGGER_EDGES = ["2023-12-31 00:00:00", SERVE_EDGES[1], "2025-01-01 00:00:00"]
+ROWS_PER_SERVED_FILE = 25_000  # each row draws and writes a playlist
 HEARTBEAT = -1  # event id of the last row of a bounded stream
 CLOCK_END = "2100-01-01 00:00:00"
 
@@ -109,7 +110,7 @@ def stream_session_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _served(spark: SparkSession, sf_dir: str, edges: list[str], run: Callable[[Service, DataFrame], None]) -> DataFrame:
     """What a service writes for the actions, in micro-batches cut at ``edges``, read after compaction."""
     table = views.action_messages(spark, sf_dir)
-    folder, files = stage_slices(table, edges=edges)
+    folder, files = stage_slices(table, edges=edges, rows_per_file=ROWS_PER_SERVED_FILE)
     columns = "event_id bigint, ts timestamp_ntz, value string"
     messages = read_messages(spark, "parquet", folder, columns, maxFilesPerTrigger=str(files))
     service = Service(shared_folder(spark), retrieve.catalogue(views.tracks(spark, sf_dir)), key="event_id")
